@@ -1,0 +1,49 @@
+"""Every registered query against its SQL counterpart, on the whole tables."""
+
+import glob
+import os
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as registered
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{FOLDER}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    yield connection
+    connection.close()
+
+
+def ordered(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame[sorted(frame.columns)]
+    return frame.sort_values(list(frame.columns), ignore_index=True)
+
+
+@pytest.mark.parametrize("name", sorted(registered.queries()))
+def test_matches_sql(spark, duck, name):
+    result = registered.queries()[name](spark, FOLDER)
+    got = ordered(result.toPandas())
+    wanted = ordered(duck.execute(registered.oracle_sql()[name]).df())
+    assert len(wanted) > 0
+    pd.testing.assert_frame_equal(got, wanted, check_dtype=False)
+    for column, kind in result.dtypes:
+        if column == "idx":
+            assert kind in ("double", "int")
+
+
+def test_every_query_has_sql():
+    assert set(registered.queries()) == set(registered.oracle_sql())
+
+
+def test_entry(spark):
+    result = registered.entry(spark)
+    assert result.columns == ["l_orderkey", "l_linenumber", "l_returnflag", "idx"]
+    assert result.count() > 0
