@@ -17,4 +17,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def read_table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The same table as a file stream."""
     schema = read_table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(table_path(folder, name))
+    # A glob names a table kept as one file as well as one kept as a folder.
+    path = table_path(folder, name).removesuffix("t") + "[t]"
+    return spark.readStream.schema(schema).parquet(path)
