@@ -14,7 +14,6 @@ _EXACT_LITERALS = (
     T.IntegerType,
     T.LongType,
     T.BooleanType,
-    T.DateType,
 )
 
 

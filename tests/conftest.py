@@ -47,3 +47,28 @@ def settings(spark):
 def categories(spark):
     rows = [(0, "aa"), (1, "ab"), (2, "cd"), (3, "ad"), (4, "aa")]
     return spark.createDataFrame(rows).toDF("ID", "CATEGORY")
+
+
+# Session options that force each way of holding and applying a mapping.
+WAYS = {
+    "literal": {},
+    "held": {"spark__rankfold__literalLabels": -1},
+    "written": {"spark__rankfold__heldLabels": -1},
+    "shuffled": {
+        "spark__rankfold__heldLabels": -1,
+        "spark__rankfold__broadcastBytes": -1,
+        "spark__sql__autoBroadcastJoinThreshold": -1,
+    },
+    "hot": {
+        "spark__rankfold__heldLabels": -1,
+        "spark__rankfold__broadcastBytes": -1,
+        "spark__rankfold__hotRows": 2,
+        "spark__sql__autoBroadcastJoinThreshold": -1,
+    },
+}
+
+
+@pytest.fixture(params=sorted(WAYS))
+def way(request, settings):
+    settings(**WAYS[request.param])
+    return request.param
