@@ -1,0 +1,44 @@
+"""Where working tables go."""
+
+import pytest
+
+from rankfold.sources import store
+
+
+class Context:
+    applicationId = "app-1"
+
+    def __init__(self, master, folder=None):
+        self.master = master
+        self.folder = folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class Session:
+    def __init__(self, context, options=()):
+        self.sparkContext = context
+        self.conf = dict(options)
+
+
+def test_the_folder_the_cluster_names(spark):
+    session = Session(Context("yarn"), {"spark.checkpoint.dir": "hdfs://nn/shared/"})
+    assert store.shared_folder(session) == "hdfs://nn/shared"
+    assert store.new_folder(session, "ranked").startswith("hdfs://nn/shared/rankfold/app-1/ranked-")
+    assert store.new_folder(session, "x") != store.new_folder(session, "x")
+    assert store.shared_folder(Session(Context("yarn", "hdfs://nn/set"))) == "hdfs://nn/set"
+
+
+def test_no_local_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        store.shared_folder(Session(Context("spark://host:7077")))
+
+
+def test_a_local_session_sets_its_own_once():
+    session = Session(Context("local[2]"))
+    folder = store.shared_folder(session)
+    assert folder and store.shared_folder(session) == folder
