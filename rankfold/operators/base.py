@@ -92,7 +92,7 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
     def setMappingCat(self, value: DataFrame | PairsByKey | Iterable):
         if not isinstance(value, DataFrame):
             pairs = list(value.items() if isinstance(value, PairsByKey) else value)
-            spark = SparkSession.builder.getOrCreate()
+            spark = SparkSession.active()
             if pairs:
                 value = spark.createDataFrame([tuple(p) for p in pairs], ["category", "idx"])
             else:
@@ -103,12 +103,12 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
     @property
     def mapping(self) -> DataFrame:
         """The mapping as a table ``category, idx``, whatever its size."""
-        return self._frozen().frame(SparkSession.builder.getOrCreate())
+        return self._frozen().frame(SparkSession.active())
 
     def mapping_dict(self, limit: int | None = None) -> dict:
         """The mapping as a dict; refused past ``limit`` entries, use ``mapping`` then."""
         frozen = self._frozen()
-        limits = Limits.of(SparkSession.builder.getOrCreate())
+        limits = Limits.of(SparkSession.active())
         if limit is None:
             limit = limits.collected_labels
         if frozen.labels > limit or frozen.key_bytes > limits.collected_bytes:

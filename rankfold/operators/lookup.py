@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +41,7 @@ def add_index(
         key = key.cast(key_type)
     if mapping.held is not None or mapping.broadcastable(limits):
         return _broadcast_lookup(dataset, key, key_type, output_col, mapping, missing)
-    return _shuffled_lookup(dataset, key, key_type, output_col, mapping, missing)
+    return _shuffled_lookup(dataset, input_col, key, key_type, output_col, mapping, missing)
 
 
 def _or_missing(found: list[Column], missing: float | None) -> Column:
@@ -65,6 +68,7 @@ def _broadcast_lookup(
 
 def _shuffled_lookup(
     dataset: DataFrame,
+    input_col: str,
     key: Column,
     key_type: T.DataType,
     output_col: str,
@@ -80,31 +84,32 @@ def _shuffled_lookup(
     What skew remains (a frequent unknown value) is left to adaptive execution.
     """
     spark = dataset.sparkSession
-    wanted, spread = fresh("wanted"), fresh("spread")
-    label, label_spread, index = fresh("label"), fresh("label_spread"), fresh("index")
-    found = [F.col(index)]
-    scratch = [wanted, spread, label, label_spread, index]
-    rest = key
+    label, index = fresh("label"), fresh("index")
+    entries = _entries(mapping.frame(spark), key_type, label, index)
+    found, scratch = [F.col(index)], [label, index]
+    matches = key == F.col(label)
+    settled = []
+    if dataset.schema[input_col].nullable:
+        settled.append(key.isNull())
     if mapping.hot is not None:
         hot_label, hot_index = fresh("hot_label"), fresh("hot_index")
         hot = _entries(mapping.hot_frame(spark), key_type, hot_label, hot_index)
         dataset = dataset.join(F.broadcast(hot), key == F.col(hot_label), "left")
-        rest = F.when(F.col(hot_index).isNull(), key)
         found.insert(0, F.col(hot_index))
         scratch += [hot_label, hot_index]
-    rows = dataset.withColumn(wanted, rest).withColumn(
-        spread,
-        F.when(F.col(wanted).isNull(), F.spark_partition_id().cast("long")).otherwise(
-            F.xxhash64(wanted)
-        ),
-    )
-    # The hash goes first: sorting on a long is cheaper than on a text.
-    entries = _entries(mapping.frame(spark), key_type, label, index).withColumn(
-        label_spread, F.xxhash64(label)
-    )
-    matches = (F.col(spread) == F.col(label_spread)) & (F.col(wanted) == F.col(label))
+        settled.append(F.col(hot_index).isNotNull())
+    # Only where a row can be settled: Catalyst moves no filter below the mark.
+    if settled:
+        spread, label_spread = fresh("spread"), fresh("label_spread")
+        origin = F.spark_partition_id().cast("long")
+        dataset = dataset.withColumn(
+            spread, F.when(reduce(or_, settled), origin).otherwise(F.xxhash64(key))
+        )
+        entries = entries.withColumn(label_spread, F.xxhash64(label))
+        matches = (F.col(spread) == F.col(label_spread)) & matches
+        scratch += [spread, label_spread]
     return (
-        rows.join(entries, matches, "left")
+        dataset.join(entries, matches, "left")
         .withColumn(output_col, _or_missing(found, missing))
         .drop(*scratch)
     )

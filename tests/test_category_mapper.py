@@ -60,6 +60,7 @@ KEYS = {
 }
 
 
+@pytest.mark.parametrize("way", ["literal", "hot"], indirect=True)
 @pytest.mark.parametrize("kind", sorted(KEYS))
 def test_keys_of_every_sortable_type(spark, way, kind):
     keys = KEYS[kind]

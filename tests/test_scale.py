@@ -101,7 +101,6 @@ def test_fit_reads_one_column_and_skips_earlier_lookups(spark, settings):
 
 def test_filters_and_columns_reach_the_scan_through_the_lookup(spark, way):
     lines = spark.read.parquet(LINES)
-    model = LabelIndexer(inputCol="l_shipmode", outputCol="i")
     model = LabelIndexer(inputCol="l_returnflag", outputCol="i").fit(lines)
     text = plan(model.transform(lines).where("l_quantity > 49").select("l_orderkey", "i"))
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string>" in text
@@ -111,6 +110,17 @@ def test_filters_and_columns_reach_the_scan_through_the_lookup(spark, way):
         assert "GreaterThan(l_quantity,49.0)" in text
 
 
+def test_filters_pass_a_shuffled_lookup_of_a_column_without_nulls(spark, shuffled):
+    ids = spark.range(1000).select("id", (F.col("id") % 7).alias("k"))
+    ids = ids.select("id", F.coalesce("k", F.lit(0)).alias("k"))
+    model = CategoryMapper(inputCol="k", outputCol="i").fit(ids)
+    result = model.transform(ids).where("id < 10")
+    assert "spark_partition_id" not in optimized(result).lower()
+    above_range = optimized(result).index("Filter (id#")
+    assert above_range > optimized(result).index("Join LeftOuter")
+    assert {row["id"]: row["i"] for row in result.collect()} == {i: i % 7 for i in range(10)}
+
+
 def skewed(spark, n=30_000):
     """A third of the rows hold one label, a third are null, the rest are spread."""
     return spark.range(0, n, 1, 12).select(
