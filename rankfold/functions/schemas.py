@@ -13,7 +13,6 @@ _FRACTIONAL = (T.FloatType, T.DoubleType)
 
 # Types that Spark's sort accepts at the top level of a key.
 _ORDERED = _INTEGRAL + _FRACTIONAL + (
-    T.StringType,
     T.BinaryType,
     T.BooleanType,
     T.DateType,
@@ -26,7 +25,9 @@ _ORDERED = _INTEGRAL + _FRACTIONAL + (
 
 
 def is_orderable(data_type: T.DataType) -> bool:
-    """Whether Spark can sort values of this type."""
+    """Whether values of this type have one order: Spark's, and by code point for text."""
+    if isinstance(data_type, T.StringType):
+        return data_type == T.StringType()
     if isinstance(data_type, T.ArrayType):
         return is_orderable(data_type.elementType)
     if isinstance(data_type, T.StructType):

@@ -17,7 +17,7 @@ class _CategoryParams(IndexParams):
         if not is_orderable(data_type):
             raise ValueError(
                 f"{self.uid}: column {self.getInputCol()!r} of type "
-                f"{data_type.simpleString()} has no order"
+                f"{data_type.simpleString()} has no fixed order"
             )
 
 

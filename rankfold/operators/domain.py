@@ -17,6 +17,7 @@ from rankfold.operators.limits import Limits
 from rankfold.operators.mapping import (
     SLICE_BITS,
     Mapping,
+    fits_broadcast,
     may_hold,
     read_positions,
 )
@@ -48,11 +49,11 @@ def learn_mapping(dataset: DataFrame, column: str, index_type: T.DataType) -> Ma
             raise ValueError(f"{labels} labels do not fit an int index")
         if may_hold(key_type, labels, key_bytes, limits):
             return _held(values, index_type, labels, key_bytes)
+        if fits_broadcast(labels, key_bytes, limits):
+            return _sorted_table(values, index_type, labels, key_bytes)
         mapping = _ranked_table(values, index_type, labels, key_bytes)
     finally:
         values.unpersist()
-    if mapping.broadcastable(limits):
-        return mapping
     return replace(mapping, hot=_hot_labels(present, mapping, limits))
 
 
@@ -72,6 +73,21 @@ def _held(values: DataFrame, index_type: T.DataType, labels: int, key_bytes: int
     return Mapping(key_type, index_type, labels, key_bytes, held=held)
 
 
+def _sorted_table(
+    values: DataFrame, index_type: T.DataType, labels: int, key_bytes: int
+) -> Mapping:
+    """Sort in one task what is small enough to be broadcast as a whole."""
+    spark = values.sparkSession
+    folder = new_folder(spark, "mapping")
+    # The row number of the only partition is the rank.
+    rank = F.monotonically_increasing_id().cast(index_type)
+    values.coalesce(1).sortWithinPartitions("category").select(
+        "category", rank.alias("idx")
+    ).write.parquet(folder)
+    key_type = values.schema["category"].dataType
+    return Mapping(key_type, index_type, labels, key_bytes, folder=folder)
+
+
 def _ranked_table(
     values: DataFrame, index_type: T.DataType, labels: int, key_bytes: int
 ) -> Mapping:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -19,16 +18,13 @@ class DropColumn(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         Params._dummy(), "column", "column to drop", typeConverter=TypeConverters.toString
     )
 
-    @keyword_only
-    def __init__(self, *, column=None):
+    def __init__(self, column=None):
         super().__init__()
         self._setDefault(column=None)
-        self.setParams(**self._input_kwargs)
+        self.setParams(column)
 
-    @keyword_only
-    def setParams(self, *, column=None):
-        params = {name: value for name, value in self._input_kwargs.items() if value}
-        return self._set(**params)
+    def setParams(self, column=None):
+        return self._set(column=column) if column else self
 
     def setDropCol(self, value):
         return self._set(column=value)

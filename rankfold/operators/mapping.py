@@ -90,7 +90,7 @@ class Mapping:
         return sorted(zip(*columns), key=lambda pair: pair[1])
 
     def broadcastable(self, limits: Limits) -> bool:
-        return self.key_bytes + _ENTRY_BYTES * self.labels <= limits.broadcast_bytes
+        return self.held is not None or fits_broadcast(self.labels, self.key_bytes, limits)
 
 
 def read_positions(spark: SparkSession, folder: str, key_type: T.DataType) -> DataFrame:
@@ -109,6 +109,11 @@ def may_hold(key_type: T.DataType, labels: int, key_bytes: int, limits: Limits)
     )
 
 
+def fits_broadcast(labels: int, key_bytes: int, limits: Limits) -> bool:
+    """Whether a mapping of this counted size may be sent to every executor."""
+    return key_bytes + _ENTRY_BYTES * labels <= limits.broadcast_bytes
+
+
 def freeze(
     frame: DataFrame, index_type: T.DataType, counted: tuple[int, int] | None = None
 ) -> Mapping:

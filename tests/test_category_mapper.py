@@ -92,9 +92,11 @@ def test_time_keys_in_a_zone_with_clock_changes(spark, settings, way):
 
 
 def test_types_without_order_are_refused(spark):
-    frame = spark.sql("SELECT map('a', 1) AS m, array(map('a', 1)) AS a")
-    for column in ("m", "a"):
-        with pytest.raises(ValueError, match="no order"):
+    frame = spark.sql(
+        "SELECT map('a', 1) AS m, array(map('a', 1)) AS a, 'a' COLLATE UTF8_LCASE AS c"
+    )
+    for column in ("m", "a", "c"):
+        with pytest.raises(ValueError, match="no fixed order"):
             CategoryMapper(inputCol=column, outputCol="i").fit(frame)
 
 
@@ -135,3 +137,11 @@ def test_model_from_given_mapping(spark, categories, way):
 def test_empty_given_mapping(categories):
     model = CategoryMapperModel(inputCol="CATEGORY", outputCol="i", mappingCat=[])
     assert set(indexed(model.transform(categories), "i").values()) == {None}
+
+
+def test_int_index_must_hold_every_label(categories, monkeypatch):
+    monkeypatch.setattr("rankfold.operators.domain._INT_LABELS", 3)
+    with pytest.raises(ValueError, match="do not fit"):
+        CategoryMapper(inputCol="CATEGORY").fit(categories)
+    monkeypatch.setattr("rankfold.operators.domain._INT_LABELS", 4)
+    assert CategoryMapper(inputCol="CATEGORY").fit(categories).mapping.count() == 4

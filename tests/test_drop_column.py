@@ -9,6 +9,7 @@ from rankfold import DropColumn
 def test_drops(categories):
     assert DropColumn().setDropCol("ID").transform(categories).columns == ["CATEGORY"]
     assert DropColumn(column="CATEGORY").transform(categories).columns == ["ID"]
+    assert DropColumn("CATEGORY").transform(categories).columns == ["ID"]
 
 
 @pytest.mark.parametrize("column", ["absent", "", None, "ID.x"])

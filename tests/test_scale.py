@@ -43,6 +43,7 @@ def test_random_labels_against_plain_python(spark, way, seed):
 def test_ranks_over_many_sorted_slices(spark, settings):
     settings(
         spark__rankfold__heldLabels=-1,
+        spark__rankfold__broadcastBytes=-1,
         spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__sql__shuffle__partitions=13,
     )
@@ -55,6 +56,19 @@ def test_ranks_over_many_sorted_slices(spark, settings):
     assert [row["idx"] for row in got] == [float(i) for i in range(len(expected))]
 
 
+def test_a_mapping_to_broadcast_is_one_sorted_file(spark, settings):
+    settings(spark__rankfold__heldLabels=-1)
+    lines = spark.read.parquet(LINES).select(F.col("l_orderkey").cast("string").alias("k"))
+    model = LabelIndexer(inputCol="k", outputCol="i").fit(lines)
+    assert model._mapping.slice_starts is None
+    assert len(model.mapping.inputFiles()) == 1
+    expected = sorted({row["k"] for row in lines.collect()})
+    got = model.mapping.orderBy("idx").collect()
+    assert [(row["category"], row["idx"]) for row in got] == [
+        (value, float(i)) for i, value in enumerate(expected)
+    ]
+
+
 def test_no_row_passes_through_python_or_a_udf(spark, categories, way):
     model = LabelIndexer(inputCol="CATEGORY", outputCol="i").fit(categories)
     rows = spark.range(3).select(F.col("id").cast("string").alias("CATEGORY"))
@@ -69,8 +83,8 @@ def test_plan_follows_the_size_of_the_mapping(spark, categories, way):
     joins = {
         "literal": (0, 0),
         "held": (1, 0),
-        # The second broadcast places each written slice of the mapping.
-        "written": (2, 0),
+        "written": (1, 0),
+        # One broadcast places each sorted slice of the mapping.
         "shuffled": (1, 1),
         "hot": (2, 1),
     }
