@@ -17,8 +17,8 @@ from rankfold.operators.limits import Limits
 from rankfold.operators.mapping import (
     SLICE_BITS,
     Mapping,
-    fits_broadcast,
     may_hold,
+    memory_bytes,
     read_positions,
 )
 from rankfold.sources.store import new_folder
@@ -49,11 +49,13 @@ def learn_mapping(dataset: DataFrame, column: str, index_type: T.DataType) -> Ma
             raise ValueError(f"{labels} labels do not fit an int index")
         if may_hold(key_type, labels, key_bytes, limits):
             return _held(values, index_type, labels, key_bytes)
-        if fits_broadcast(labels, key_bytes, limits):
+        if memory_bytes(labels, key_bytes) <= limits.one_task_bytes:
             return _sorted_table(values, index_type, labels, key_bytes)
         mapping = _ranked_table(values, index_type, labels, key_bytes)
     finally:
         values.unpersist()
+    if mapping.broadcastable(limits):
+        return mapping
     return replace(mapping, hot=_hot_labels(present, mapping, limits))
 
 
@@ -76,7 +78,7 @@ def _held(values: DataFrame, index_type: T.DataType, labels: int, key_bytes: int
 def _sorted_table(
     values: DataFrame, index_type: T.DataType, labels: int, key_bytes: int
 ) -> Mapping:
-    """Sort in one task what is small enough to be broadcast as a whole."""
+    """Sort in one task what was counted to fit there."""
     spark = values.sparkSession
     folder = new_folder(spark, "mapping")
     # The row number of the only partition is the rank.

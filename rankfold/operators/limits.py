@@ -21,8 +21,10 @@ class Limits:
     # What a user may read back as a dict; the table form has no limit.
     collected_labels: int = 1_000_000
     collected_bytes: int = 256 * 1024 * 1024
-    # A mapping whose checked size is within this is broadcast, else shuffled.
-    broadcast_bytes: int = 64 * 1024 * 1024
+    # A mapping whose counted size is within this is sorted by one task, else by all.
+    one_task_bytes: int = 64 * 1024 * 1024
+    # A mapping whose counted size is within this is broadcast, else shuffled.
+    broadcast_bytes: int = 128 * 1024 * 1024
     # Labels with this many rows are kept out of the shuffle, most frequent first.
     hot_rows: int = 1_000_000
     hot_labels: int = 8192
@@ -39,6 +41,7 @@ class Limits:
             held_bytes=setting("heldBytes", Limits.held_bytes),
             collected_labels=setting("collectedLabels", Limits.collected_labels),
             collected_bytes=setting("collectedBytes", Limits.collected_bytes),
+            one_task_bytes=setting("oneTaskBytes", Limits.one_task_bytes),
             broadcast_bytes=setting("broadcastBytes", Limits.broadcast_bytes),
             hot_rows=setting("hotRows", Limits.hot_rows),
             hot_labels=setting("hotLabels", Limits.hot_labels),

@@ -90,7 +90,8 @@ class Mapping:
         return sorted(zip(*columns), key=lambda pair: pair[1])
 
     def broadcastable(self, limits: Limits) -> bool:
-        return self.held is not None or fits_broadcast(self.labels, self.key_bytes, limits)
+        size = memory_bytes(self.labels, self.key_bytes)
+        return self.held is not None or size <= limits.broadcast_bytes
 
 
 def read_positions(spark: SparkSession, folder: str, key_type: T.DataType) -> DataFrame:
@@ -109,9 +110,9 @@ def may_hold(key_type: T.DataType, labels: int, key_bytes: int, limits: Limits)
     )
 
 
-def fits_broadcast(labels: int, key_bytes: int, limits: Limits) -> bool:
-    """Whether a mapping of this counted size may be sent to every executor."""
-    return key_bytes + _ENTRY_BYTES * labels <= limits.broadcast_bytes
+def memory_bytes(labels: int, key_bytes: int) -> int:
+    """What a mapping of this counted size takes in memory."""
+    return key_bytes + _ENTRY_BYTES * labels
 
 
 def freeze(

@@ -12,7 +12,7 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("rankfold-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -54,13 +54,16 @@ WAYS = {
     "literal": {},
     "held": {"spark__rankfold__literalLabels": -1},
     "written": {"spark__rankfold__heldLabels": -1},
+    "sliced": {"spark__rankfold__heldLabels": -1, "spark__rankfold__oneTaskBytes": -1},
     "shuffled": {
         "spark__rankfold__heldLabels": -1,
+        "spark__rankfold__oneTaskBytes": -1,
         "spark__rankfold__broadcastBytes": -1,
         "spark__sql__autoBroadcastJoinThreshold": -1,
     },
     "hot": {
         "spark__rankfold__heldLabels": -1,
+        "spark__rankfold__oneTaskBytes": -1,
         "spark__rankfold__broadcastBytes": -1,
         "spark__rankfold__hotRows": 2,
         "spark__sql__autoBroadcastJoinThreshold": -1,

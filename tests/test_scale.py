@@ -43,6 +43,7 @@ def test_random_labels_against_plain_python(spark, way, seed):
 def test_ranks_over_many_sorted_slices(spark, settings):
     settings(
         spark__rankfold__heldLabels=-1,
+        spark__rankfold__oneTaskBytes=-1,
         spark__rankfold__broadcastBytes=-1,
         spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__sql__shuffle__partitions=13,
@@ -56,7 +57,7 @@ def test_ranks_over_many_sorted_slices(spark, settings):
     assert [row["idx"] for row in got] == [float(i) for i in range(len(expected))]
 
 
-def test_a_mapping_to_broadcast_is_one_sorted_file(spark, settings):
+def test_a_mapping_for_one_task_is_one_sorted_file(spark, settings):
     settings(spark__rankfold__heldLabels=-1)
     lines = spark.read.parquet(LINES).select(F.col("l_orderkey").cast("string").alias("k"))
     model = LabelIndexer(inputCol="k", outputCol="i").fit(lines)
@@ -85,6 +86,7 @@ def test_plan_follows_the_size_of_the_mapping(spark, categories, way):
         "held": (1, 0),
         "written": (1, 0),
         # One broadcast places each sorted slice of the mapping.
+        "sliced": (2, 0),
         "shuffled": (1, 1),
         "hot": (2, 1),
     }
@@ -96,6 +98,7 @@ def test_plan_follows_the_size_of_the_mapping(spark, categories, way):
 def test_fit_reads_one_column_and_skips_earlier_lookups(spark, settings):
     settings(
         spark__rankfold__heldLabels=-1,
+        spark__rankfold__oneTaskBytes=-1,
         spark__rankfold__broadcastBytes=-1,
         spark__sql__autoBroadcastJoinThreshold=-1,
     )
@@ -150,6 +153,7 @@ def skewed(spark, n=30_000):
 def shuffled(settings):
     settings(
         spark__rankfold__heldLabels=-1,
+        spark__rankfold__oneTaskBytes=-1,
         spark__rankfold__broadcastBytes=-1,
         spark__sql__autoBroadcastJoinThreshold=-1,
         spark__sql__adaptive__coalescePartitions__enabled="false",
