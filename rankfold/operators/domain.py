@@ -126,21 +126,19 @@ def _ranked_table(
 
 
 def _hot_labels(present: DataFrame, mapping: Mapping, limits: Limits) -> pa.Table | None:
-    """The labels that would make a shuffle partition heavy, with their indexes.
+    """The labels that hold at least one in ``hot_labels`` of the rows, with their index.
 
-    At most ``hot_labels`` of at most ``hot_label_bytes`` each, so the result can
-    be broadcast. It only steers the lookup: labels left out are joined by shuffle.
+    There can be no more than ``hot_labels`` of them, and none is longer than
+    ``hot_label_bytes``, so they can be broadcast. They only steer the lookup: all
+    other labels are joined by shuffle.
     """
+    if limits.hot_labels < 1:
+        return None
     short = stored_bytes(F.col("category"), mapping.key_type) <= limits.hot_label_bytes
-    frequent = (
-        present.where(short)
-        .groupBy("category")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= limits.hot_rows)
-        .orderBy(F.desc("n"))
-        .limit(limits.hot_labels)
-        .select("category")
-    )
+    counts = present.where(short).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    # The total comes from the counts' own shuffle, which Spark runs once.
+    rows = counts.agg(F.sum("n")).scalar()
+    frequent = counts.where(F.col("n") * limits.hot_labels >= rows).select("category")
     hot = (
         mapping.frame(present.sparkSession)
         .join(F.broadcast(frequent), "category", "left_semi")

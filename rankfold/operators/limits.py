@@ -25,8 +25,8 @@ class Limits:
     one_task_bytes: int = 64 * 1024 * 1024
     # A mapping whose counted size is within this is broadcast, else shuffled.
     broadcast_bytes: int = 128 * 1024 * 1024
-    # Labels with this many rows are kept out of the shuffle, most frequent first.
-    hot_rows: int = 1_000_000
+    # Labels with at least one in this many of the rows, so no more than this many
+    # labels, skip the shuffle join, unless they are longer than the second.
     hot_labels: int = 8192
     hot_label_bytes: int = 1024
 
@@ -43,7 +43,6 @@ class Limits:
             collected_bytes=setting("collectedBytes", Limits.collected_bytes),
             one_task_bytes=setting("oneTaskBytes", Limits.one_task_bytes),
             broadcast_bytes=setting("broadcastBytes", Limits.broadcast_bytes),
-            hot_rows=setting("hotRows", Limits.hot_rows),
             hot_labels=setting("hotLabels", Limits.hot_labels),
             hot_label_bytes=setting("hotLabelBytes", Limits.hot_label_bytes),
         )

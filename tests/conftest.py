@@ -59,13 +59,14 @@ WAYS = {
         "spark__rankfold__heldLabels": -1,
         "spark__rankfold__oneTaskBytes": -1,
         "spark__rankfold__broadcastBytes": -1,
+        "spark__rankfold__hotLabels": 0,
         "spark__sql__autoBroadcastJoinThreshold": -1,
     },
     "hot": {
         "spark__rankfold__heldLabels": -1,
         "spark__rankfold__oneTaskBytes": -1,
         "spark__rankfold__broadcastBytes": -1,
-        "spark__rankfold__hotRows": 2,
+        "spark__rankfold__hotLabels": 4,
         "spark__sql__autoBroadcastJoinThreshold": -1,
     },
 }

@@ -127,7 +127,8 @@ def test_filters_and_columns_reach_the_scan_through_the_lookup(spark, way):
         assert "GreaterThan(l_quantity,49.0)" in text
 
 
-def test_filters_pass_a_shuffled_lookup_of_a_column_without_nulls(spark, shuffled):
+def test_filters_pass_a_shuffled_lookup_of_a_column_without_nulls(spark, settings, shuffled):
+    settings(spark__rankfold__hotLabels=3)
     ids = spark.range(1000).select("id", (F.col("id") % 7).alias("k"))
     ids = ids.select("id", F.coalesce("k", F.lit(0)).alias("k"))
     model = CategoryMapper(inputCol="k", outputCol="i").fit(ids)
@@ -161,27 +162,34 @@ def shuffled(settings):
     )
 
 
-def test_hot_labels_and_nulls_spread_over_the_shuffle(spark, settings, shuffled):
-    settings(spark__rankfold__hotRows=1000)
+@pytest.mark.parametrize("hot_labels", [100, 0])
+def test_hot_labels_and_nulls_spread_over_the_shuffle(spark, settings, shuffled, hot_labels):
+    settings(spark__rankfold__hotLabels=hot_labels)
     frame = skewed(spark)
     model = LabelIndexer(inputCol="c", outputCol="i").fit(frame)
-    assert model._mapping.hot.column("category").to_pylist() == ["hot"]
     result = model.transform(frame)
     sizes = [r["count"] for r in result.groupBy(F.spark_partition_id()).count().collect()]
-    # Unspread, two partitions would hold a third each.
-    assert max(sizes) < 0.2 * 30_000
+    if hot_labels:
+        assert model._mapping.hot.column("category").to_pylist() == ["hot"]
+        assert max(sizes) < 0.2 * 30_000
+    else:
+        # What the hot labels are for: one partition holds them all.
+        assert model._mapping.hot is None
+        assert max(sizes) > 0.33 * 30_000
     expected = {v: i for i, v in enumerate(sorted({r["c"] for r in frame.collect() if r["c"]}))}
     for row in result.collect():
         assert row["i"] == expected.get(row["c"], -1)
 
 
 def test_hot_labels_are_bounded_and_the_rest_is_joined(spark, settings, shuffled):
-    settings(
-        spark__rankfold__hotRows=5, spark__rankfold__hotLabels=2, spark__rankfold__hotLabelBytes=4
-    )
+    settings(spark__rankfold__hotLabels=500, spark__rankfold__hotLabelBytes=3)
     frame = skewed(spark)
     model = LabelIndexer(inputCol="c", outputCol="i").fit(frame)
-    assert model._mapping.hot.num_rows == 2
+    # Among labels of at most three bytes: "hot" has 10,000 rows, "k2" to "k98" have 10 each.
+    assert model._mapping.hot.column("category").to_pylist() == ["hot"]
+    settings(spark__rankfold__hotLabels=2000)
+    model = LabelIndexer(inputCol="c", outputCol="i").fit(frame)
+    assert 1 < model._mapping.hot.num_rows <= 2000
     expected = {v: i for i, v in enumerate(sorted({r["c"] for r in frame.collect() if r["c"]}))}
     result = model.transform(frame)
     assert result.count() == 30_000
@@ -189,6 +197,14 @@ def test_hot_labels_are_bounded_and_the_rest_is_joined(spark, settings, shuffled
         assert row["i"] == expected.get(row["c"], -1)
 
 
+def test_finding_hot_labels_shuffles_once(spark):
+    counts = skewed(spark).where("c is not null").groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    frequent = counts.where(F.col("n") * 100 >= counts.agg(F.sum("n")).scalar())
+    assert [row["c"] for row in frequent.collect()] == ["hot"]
+    text = plan(frequent)
+    assert "ReusedExchange" in text or "ReusedSubquery" in text
+
+
 def test_a_frequent_unknown_value_is_split_while_running(spark, settings, shuffled):
     settings(
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1KB",
@@ -205,8 +221,7 @@ def test_a_frequent_unknown_value_is_split_while_running(spark, settings, shuffl
     assert {row["i"] for row in rows if row["c"] == "hot"} == {None}
 
 
-def test_one_hot_label_fills_a_column(spark, shuffled, settings):
-    settings(spark__rankfold__hotRows=1000)
+def test_one_hot_label_fills_a_column(spark, shuffled):
     frame = spark.range(0, 20_000, 1, 12).select("id", F.lit("only").alias("c"))
     model = LabelIndexer(inputCol="c", outputCol="i").fit(frame)
     result = model.transform(frame)
@@ -216,7 +231,7 @@ def test_one_hot_label_fills_a_column(spark, shuffled, settings):
 
 
 def test_two_shuffled_lookups_in_a_row(spark, settings, shuffled):
-    settings(spark__rankfold__hotRows=1000)
+    settings(spark__rankfold__hotLabels=10)
     frame = skewed(spark, 3000).withColumn("d", F.reverse("c"))
     first = LabelIndexer(inputCol="c", outputCol="i").fit(frame).transform(frame)
     both = CategoryMapper(inputCol="d", outputCol="j").fit(first).transform(first)
