@@ -19,6 +19,7 @@ from rankfold.operators.mapping import (
     Mapping,
     may_hold,
     memory_bytes,
+    reaches_arrow,
     read_positions,
 )
 from rankfold.sources.store import new_folder
@@ -132,16 +133,19 @@ def _hot_labels(present: DataFrame, mapping: Mapping, limits: Limits) -> pa.Tabl
     ``hot_label_bytes``, so they can be broadcast. They only steer the lookup: all
     other labels are joined by shuffle.
     """
-    if limits.hot_labels < 1:
+    spark = present.sparkSession
+    key_type = mapping.key_type
+    if limits.hot_labels < 1 or not reaches_arrow(key_type):
         return None
-    short = stored_bytes(F.col("category"), mapping.key_type) <= limits.hot_label_bytes
+    short = stored_bytes(F.col("category"), key_type) <= limits.hot_label_bytes
     counts = present.where(short).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
     # The total comes from the counts' own shuffle, which Spark runs once.
     rows = counts.agg(F.sum("n")).scalar()
-    frequent = counts.where(F.col("n") * limits.hot_labels >= rows).select("category")
-    hot = (
-        mapping.frame(present.sparkSession)
-        .join(F.broadcast(frequent), "category", "left_semi")
-        .toArrow()
+    # An action of its own: as a part of the broadcast it could outlast its timeout.
+    frequent = (
+        counts.where(F.col("n") * limits.hot_labels >= rows).select("category").toArrow()
     )
-    return hot if hot.num_rows else None
+    if not frequent.num_rows:
+        return None
+    labels = spark.createDataFrame(frequent, T.StructType([mapping.schema()["category"]]))
+    return mapping.frame(spark).join(F.broadcast(labels), "category", "left_semi").toArrow()

@@ -101,10 +101,14 @@ def read_positions(spark: SparkSession, folder: str, key_type: T.DataType) -> Da
     return spark.read.schema(schema).parquet(folder)
 
 
+def reaches_arrow(key_type: T.DataType) -> bool:
+    return isinstance(key_type, _ARROW_EXACT)
+
+
 def may_hold(key_type: T.DataType, labels: int, key_bytes: int, limits: Limits) -> bool:
     """Whether a mapping of this counted size may live on the driver."""
     return (
-        isinstance(key_type, _ARROW_EXACT)
+        reaches_arrow(key_type)
         and labels <= limits.held_labels
         and key_bytes <= limits.held_bytes
     )

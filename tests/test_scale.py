@@ -240,3 +240,11 @@ def test_two_shuffled_lookups_in_a_row(spark, settings, shuffled):
     assert both.columns == ["id", "c", "d", "i", "j"]
     for row in both.collect():
         assert (row["i"], row["j"]) == (by_c.get(row["c"], -1), by_d.get(row["d"]))
+
+
+def test_keys_arrow_cannot_take_stay_on_the_executors(spark, way):
+    frame = spark.sql("SELECT id, make_ym_interval(0, int(id % 5)) AS k FROM range(20)")
+    model = CategoryMapper(inputCol="k", outputCol="i").fit(frame)
+    assert model._mapping.held is None and model._mapping.hot is None
+    rows = model.transform(frame).select("id", "i").collect()
+    assert {row["id"]: row["i"] for row in rows} == {n: n % 5 for n in range(20)}
