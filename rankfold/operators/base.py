@@ -34,6 +34,9 @@ class IndexParams(HasInputCol, HasOutputCol):
         super().__init__()
         self._setDefault(outputCol=self.uid + "__output")
 
+    def _set_given(self, **params):
+        return self._set(**{name: v for name, v in params.items() if v is not None})
+
     def setInputCol(self, value):
         return self._set(inputCol=value)
 
@@ -61,6 +64,13 @@ class IndexEstimator(IndexParams, Estimator, DefaultParamsReadable, DefaultParam
 
     model_class: type[IndexModel]
 
+    def __init__(self, *, inputCol=None, outputCol=None):
+        super().__init__()
+        self.setParams(inputCol=inputCol, outputCol=outputCol)
+
+    def setParams(self, *, inputCol=None, outputCol=None):
+        return self._set_given(inputCol=inputCol, outputCol=outputCol)
+
     def _fit(self, dataset: DataFrame) -> IndexModel:
         self.output_schema(dataset.schema)
         model = self.model_class()
@@ -75,19 +85,19 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
     # Index of a value without an entry; None leaves it null.
     missing: float | None
 
-    def __init__(self):
+    def __init__(self, *, inputCol=None, outputCol=None, mappingCat=None):
         super().__init__()
         self._mapping: Mapping | None = None
+        self.setParams(inputCol=inputCol, outputCol=outputCol, mappingCat=mappingCat)
+
+    def setParams(self, *, inputCol=None, outputCol=None, mappingCat=None):
+        self._set_given(inputCol=inputCol, outputCol=outputCol)
+        return self if mappingCat is None else self.setMappingCat(mappingCat)
 
     @classmethod
     def from_mapping(cls, mapping, inputCol=None, outputCol=None):
         """A model from a table of (category, index), a dict, or a list of pairs."""
-        model = cls()
-        if inputCol is not None:
-            model.setInputCol(inputCol)
-        if outputCol is not None:
-            model.setOutputCol(outputCol)
-        return model.setMappingCat(mapping)
+        return cls(inputCol=inputCol, outputCol=outputCol, mappingCat=mapping)
 
     def setMappingCat(self, value: DataFrame | PairsByKey | Iterable):
         if not isinstance(value, DataFrame):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import keyword_only
 from pyspark.sql import types as T
 
 from rankfold.functions.schemas import is_orderable
@@ -26,29 +25,8 @@ class CategoryMapperModel(_CategoryParams, IndexModel):
 
     missing = None
 
-    @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, mappingCat=None):
-        super().__init__()
-        self.setParams(**self._input_kwargs)
-
-    @keyword_only
-    def setParams(self, *, inputCol=None, outputCol=None, mappingCat=None):
-        params = dict(self._input_kwargs)
-        given = params.pop("mappingCat", None)
-        self._set(**params)
-        return self if given is None else self.setMappingCat(given)
-
 
 class CategoryMapper(_CategoryParams, IndexEstimator):
     """Ranks the distinct values of a column in ascending order, from 0."""
 
     model_class = CategoryMapperModel
-
-    @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None):
-        super().__init__()
-        self.setParams(**self._input_kwargs)
-
-    @keyword_only
-    def setParams(self, *, inputCol=None, outputCol=None):
-        return self._set(**self._input_kwargs)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import keyword_only
 from pyspark.sql import types as T
 
 from rankfold.operators.base import IndexEstimator, IndexModel, IndexParams
@@ -25,26 +24,8 @@ class LabelIndexerModel(_LabelParams, IndexModel):
 
     missing = -1.0
 
-    @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None):
-        super().__init__()
-        self.setParams(**self._input_kwargs)
-
-    @keyword_only
-    def setParams(self, *, inputCol=None, outputCol=None):
-        return self._set(**self._input_kwargs)
-
 
 class LabelIndexer(_LabelParams, IndexEstimator):
     """Ranks the distinct labels of a string column in ascending order, from 0."""
 
     model_class = LabelIndexerModel
-
-    @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None):
-        super().__init__()
-        self.setParams(**self._input_kwargs)
-
-    @keyword_only
-    def setParams(self, *, inputCol=None, outputCol=None):
-        return self._set(**self._input_kwargs)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rankfold import DropColumn
+from rankfold import DropColumn, LabelIndexer
 
 
 def test_drops(categories):
@@ -37,6 +37,11 @@ def test_case_sensitive_session(spark, settings):
     stage = DropColumn(column="x")
     assert stage.transform(frame).columns == ["X"]
     assert stage.output_schema(frame.schema).names == ["X"]
+    labels = spark.createDataFrame([("a", 1)], "c string, x int")
+    model = LabelIndexer(inputCol="c", outputCol="X").fit(labels)
+    result = model.transform(labels)
+    assert result.columns == ["c", "x", "X"]
+    assert result.schema == model.output_schema(labels.schema)
 
 
 def test_params():
