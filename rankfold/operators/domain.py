@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +28,8 @@ from rankfold.sources.store import new_folder
 
 _INT_LABELS = 2**31
 
+_SAMPLE_SETTING = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+
 
 def learn_mapping(dataset: DataFrame, column: str, index_type: T.DataType) -> Mapping:
     """Number the distinct non-null values of ``column`` in ascending order.
@@ -102,9 +106,10 @@ def _ranked_table(
     spark = values.sparkSession
     key_type = values.schema["category"].dataType
     folder = new_folder(spark, "ranked")
-    values.orderBy("category").select(
-        "category", F.monotonically_increasing_id().alias("position")
-    ).write.parquet(folder)
+    with _bounded_sample(spark, labels, key_bytes):
+        values.orderBy("category").select(
+            "category", F.monotonically_increasing_id().alias("position")
+        ).write.parquet(folder)
     sizes = (
         read_positions(spark, folder, key_type)
         .groupBy(F.shiftright("position", SLICE_BITS).alias("slice"))
@@ -126,6 +131,26 @@ def _ranked_table(
     )
 
 
+@contextmanager
+def _bounded_sample(spark: SparkSession, labels: int, key_bytes: int) -> Iterator[None]:
+    """Let a sort of long keys sample fewer of them to the driver.
+
+    Spark draws up to three times the setting for each partition, in whole keys.
+    Fewer samples make slices less even, not less right.
+    """
+    partitions = int(
+        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        or spark.conf.get("spark.sql.shuffle.partitions")
+    )
+    usual = spark.conf.get(_SAMPLE_SETTING)
+    room = Limits.of(spark).sample_bytes * labels // (3 * partitions * max(key_bytes, 1))
+    spark.conf.set(_SAMPLE_SETTING, str(max(2, min(int(usual), room))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SAMPLE_SETTING, usual)
+
+
 def _hot_labels(present: DataFrame, mapping: Mapping, limits: Limits) -> pa.Table | None:
     """The labels that hold at least one in ``hot_labels`` of the rows, with their index.
 

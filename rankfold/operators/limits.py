@@ -23,6 +23,8 @@ class Limits:
     collected_bytes: int = 256 * 1024 * 1024
     # A mapping whose counted size is within this is sorted by one task, else by all.
     one_task_bytes: int = 64 * 1024 * 1024
+    # What sorting over all executors may sample to the driver.
+    sample_bytes: int = 256 * 1024 * 1024
     # A mapping whose counted size is within this is broadcast, else shuffled.
     broadcast_bytes: int = 128 * 1024 * 1024
     # Labels with at least one in this many of the rows, so no more than this many
@@ -42,6 +44,7 @@ class Limits:
             collected_labels=setting("collectedLabels", Limits.collected_labels),
             collected_bytes=setting("collectedBytes", Limits.collected_bytes),
             one_task_bytes=setting("oneTaskBytes", Limits.one_task_bytes),
+            sample_bytes=setting("sampleBytes", Limits.sample_bytes),
             broadcast_bytes=setting("broadcastBytes", Limits.broadcast_bytes),
             hot_labels=setting("hotLabels", Limits.hot_labels),
             hot_label_bytes=setting("hotLabelBytes", Limits.hot_label_bytes),

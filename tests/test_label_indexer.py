@@ -104,13 +104,14 @@ def test_order_is_by_code_point(spark, way):
 
 def test_output_replaces_a_column_in_place(spark, way):
     frame = spark.createDataFrame([(1, "b", "x"), (2, "a", "y")], "n int, c string, d string")
+    fitted = LabelIndexer(inputCol="c").fit(frame)
     for output, expected in [
         ("n", ["n", "c", "d"]),
         ("c", ["n", "c", "d"]),
         ("D", ["n", "c", "D"]),
         ("new", ["n", "c", "d", "new"]),
     ]:
-        model = LabelIndexer(inputCol="c", outputCol=output).fit(frame)
+        model = fitted.copy().setOutputCol(output)
         result = model.transform(frame)
         assert result.columns == expected
         assert result.schema == model.output_schema(frame.schema)
