@@ -31,8 +31,7 @@ def ordered(frame: pd.DataFrame) -> pd.DataFrame:
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "UDF")
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
-def test_matches_sql(spark, duck, name):
+def check(spark, duck, name):
     result = registered.queries()[name](spark, FOLDER)
     got = ordered(result.toPandas())
     wanted = ordered(duck.execute(registered.oracle_sql()[name]).df())
@@ -40,11 +39,32 @@ def test_matches_sql(spark, duck, name):
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert not [node for node in UNWANTED if node in plan]
     pd.testing.assert_frame_equal(got, wanted, check_dtype=False)
+    return result
+
+
+@pytest.mark.parametrize("name", sorted(registered.queries()))
+def test_matches_sql(spark, duck, name):
+    result = check(spark, duck, name)
     for column, kind in result.dtypes:
         if column == "idx":
             assert kind in ("double", "int")
 
 
+@pytest.mark.parametrize("way", ["shuffled", "hot"], indirect=True)
+@pytest.mark.parametrize(
+    "name",
+    [
+        "label_index_long_text",
+        "label_index_nulls",
+        "label_index_unseen",
+        "category_map_date_key",
+        "reload_category_model",
+    ],
+)
+def test_matches_sql_by_shuffle(spark, duck, way, name):
+    check(spark, duck, name)
+
+
 def test_every_query_has_sql():
     assert set(registered.queries()) == set(registered.oracle_sql())
 
