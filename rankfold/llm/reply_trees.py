@@ -81,22 +81,21 @@ def root_paths(nodes: DataFrame, keep: int | None = 1) -> DataFrame:
         & (F.col("s.parent") != F.col("s.node")),
         "left",
     )
-    jumps = [written(up.select("s.tree", "s.node", F.col("known").alias("up"), "gain"), "jump")]
-    size = jumps[0].groupBy("tree").count().agg(F.max("count")).head()[0] or 1
+    first = written(up.select("s.tree", "s.node", F.col("known").alias("up"), "gain"), "jump")
+    # Messages that have reached their root leave the rounds; the others jump over them.
+    jumps, ended = [first.where("up is not null")], first.where("up is null")
+    size = first.groupBy("tree").count().agg(F.max("count")).head()[0] or 1
     for _ in range(math.ceil(math.log2(size)) if size > 1 else 0):
-        a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
+        a, b = jumps[-1].alias("a"), jumps[-1].unionAll(ended).alias("b")
         twice = a.join(
-            b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.up") == F.col("b.node")), "left"
-        ).select(
-            "a.tree",
-            "a.node",
-            F.col("b.up").alias("up"),
-            (F.col("a.gain") + F.coalesce("b.gain", F.lit(0.0))).alias("gain"),
-        )
-        jumps.append(written(twice, "jump"))
-
-    inner = jumps[0].where("up is not null").select(F.col("tree").alias("t"), F.col("up").alias("u"))
-    leaves = jumps[-1].where("up is null").join(
+            b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.up") == F.col("b.node"))
+        ).select("a.tree", "a.node", F.col("b.up").alias("up"), (F.col("a.gain") + F.col("b.gain")).alias("gain"))
+        twice = written(twice, "jump")
+        jumps.append(twice.where("up is not null"))
+        ended = ended.unionAll(twice.where("up is null"))
+
+    inner = jumps[0].select(F.col("tree").alias("t"), F.col("up").alias("u"))
+    leaves = ended.join(
         inner.distinct(), F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("u")), "left_anti"
     )
     order = Window.partitionBy("tree").orderBy(F.col("gain").desc(), "node")
@@ -111,7 +110,7 @@ def root_paths(nodes: DataFrame, keep: int | None = 1) -> DataFrame:
         far = (
             paths.alias("p")
             .join(
-                jump.where("up is not null").alias("j"),
+                jump.alias("j"),
                 F.col("p.tree").eqNullSafe(F.col("j.tree")) & (F.col("p.node") == F.col("j.node")),
             )
             .select("p.tree", "p.leaf", "p.rank", F.col("j.up").alias("node"), F.col("p.above") + F.lit(2**i))
