@@ -49,3 +49,31 @@ def whole(text: str | Column) -> Column:
 def column(name: str) -> Column:
     """A column by its exact name, which may hold dots."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+#: Texts that one call of a text function takes at once.
+TEXTS_AT_ONCE = 256
+
+
+def map_texts(docs: DataFrame, make, schema: str, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row out for each row in: the keys, and the columns a text function gives.
+
+    ``make`` is called once in each task and returns a function from a list of texts
+    (UTF-8; null is the empty text) to a list of columns named in ``schema``.
+    """
+    import pyarrow as pa
+
+    frame = docs.select(*[column(key).alias(key) for key in keys], whole(column(text)).cast("binary").alias("text"))
+    fields = ", ".join(f"`{name}` {kind}" for name, kind in frame.drop("text").dtypes)
+    width = len(keys)
+
+    def mapped(batches):
+        work = make()
+        for batch in batches:
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(start, TEXTS_AT_ONCE)
+                made = work(part.column(width).to_pylist())
+                names = [*part.schema.names[:width], *made]
+                yield pa.record_batch([*part.columns[:width], *(c[0] if isinstance(c[0], pa.Array) else pa.array(*c) for c in made.values())], names=names)
+
+    return in_arrow(frame, mapped, f"{fields}, {schema}")
