@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.llm.common import column, map_texts
+from rankfold.llm.common import column, map_texts, written
 
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -82,49 +82,48 @@ def strict_failed() -> Column:
     )
 
 
-def host_rates(measured: DataFrame, host: str = "host") -> DataFrame:
-    """One row per host: ``n_docs, n_failed, rate`` drawn towards all hosts.
+def host_rates(measured: DataFrame) -> DataFrame:
+    """One row per host: ``host, n_docs, n_failed, rate``, the rate drawn towards all hosts.
 
     The prior's mean is the pooled rate ``m``. Its weight ``a + b`` follows from the variance
     between hosts beyond that of counting, ``m (1 - m) / v - 1``, kept within 1 and 10,000
-    documents. The weighted variance is a sum over hosts, so one row holds the prior.
+    documents. The prior is two numbers, whatever the input.
     """
-    hosts = measured.groupBy(host).agg(
+    hosts = measured.groupBy("host").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")
     )
-    raw = F.col("n_failed") / F.col("n_docs")
     pooled = hosts.agg(
-        F.sum("n_docs").alias("n"),
-        F.sum("n_failed").alias("k"),
-        F.count(F.lit(1)).alias("h"),
-        F.sum(F.col("n_failed") * raw).alias("squares"),
-    ).select(
-        (F.col("k") / F.col("n")).alias("m"),
-        (F.col("squares") / F.col("n")).alias("s"),
-        (F.col("h") / F.col("n")).alias("per_doc"),
-    )
-    m = F.col("m")
-    between = F.col("s") - m * m - m * (1 - m) * F.col("per_doc")
-    weight = F.when(between > 0, F.least(F.lit(1e4), F.greatest(F.lit(1.0), m * (1 - m) / between - 1))).otherwise(F.lit(1e4))
-    prior = pooled.select(m.alias("prior_mean"), weight.alias("prior_weight"))
-    # One row, whatever the input: the prior's two numbers.
-    return hosts.join(F.broadcast(prior)).withColumn(
-        "rate",
-        (F.col("n_failed") + F.col("prior_mean") * F.col("prior_weight")) / (F.col("n_docs") + F.col("prior_weight")),
+        F.coalesce(F.sum("n_docs"), F.lit(0)).alias("docs"),
+        F.sum("n_failed").alias("failed"),
+        F.count(F.lit(1)).alias("hosts"),
+        F.sum(F.col("n_failed") * F.col("n_failed") / F.col("n_docs")).alias("squares"),
+    ).head()
+    mean, weight = beta_prior(*pooled)
+    return hosts.withColumn(
+        "rate", (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight))
     )
 
 
+def beta_prior(docs: int, failed: int | None, hosts: int, squares: float | None) -> tuple[float, float]:
+    """Mean and weight of the prior; ``squares`` sums failures times rate over the hosts."""
+    if not docs:
+        return 0.0, 1.0
+    mean = failed / docs
+    between = squares / docs - mean * mean - mean * (1 - mean) * hosts / docs
+    if between <= 0:
+        return mean, 1e4
+    return mean, min(1e4, max(1.0, mean * (1 - mean) / between - 1))
+
+
 def judge(docs: DataFrame, host: str = "source", suspect: float = 0.5) -> DataFrame:
     """Measures and verdicts of every row: ``doc_id, host, n_words, ..., base_failed, kept``.
 
     A null text has no words and fails. Documents without a host share one, the null host.
     """
-    measured = map_texts(
-        docs.withColumn("host", column(host)),
-        lambda: measure,
-        ", ".join(f"{name} bigint" for name in MEASURES),
-        keys=("doc_id", "host"),
-    ).withColumn("base_failed", base_failed())
+    named = docs.select(column("doc_id").alias("doc_id"), column(host).alias("host"), column("text").alias("text"))
+    measures = ", ".join(f"{name} bigint" for name in MEASURES)
+    measured = map_texts(named, lambda: measure, measures, keys=("doc_id", "host"))
+    measured = written(measured.withColumn("base_failed", base_failed()), "measures")
     rates = host_rates(measured).select(F.col("host").alias("h"), "rate")
     judged = measured.join(rates, F.col("host").eqNullSafe(F.col("h"))).drop("h")
     kept = ~F.col("base_failed") & ((F.col("rate") <= suspect) | ~strict_failed())

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import reply_trees, warc_archives
+from rankfold.llm import host_rules, piece_merging, prefix_tokens, reply_trees, warc_archives
 from rankfold.sources.tables import read_table
 
+#: Where the vocabulary files of public tokenizers are installed, on every worker.
+TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+
 
 def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     control = "<|im_end|><|im_start|>assistant ok"
@@ -34,7 +39,26 @@ def op3_warc_zstd(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return prefix_tokens.count_tokens(docs, f"{TOKENIZERS}/byte_bpe_50k.json", limit=1024)
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return host_rules.judge(read_table(spark, folder, "documents")).select(
+        "doc_id", *host_rules.MEASURES, "base_failed", "kept"
+    )
+
+
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return piece_merging.encode_texts(docs, f"{TOKENIZERS}/piece_bpe_32k.model", ids=False)
+
+
 LLM_QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_warc_zstd": op3_warc_zstd,
+    "op5_token_counts": op5_token_counts,
+    "op6_quality_rules": op6_quality_rules,
+    "op10_sentencepiece": op10_sentencepiece,
 }
