@@ -1,0 +1,197 @@
+"""Licence scans with a generalised suffix automaton.
+
+The automaton holds every run of words of every template. Fed a text word by word, it knows
+the longest run that ends at each word (the matching statistics). Long runs are chained, in
+the order of text and template, into spans; a template of which a span covers enough gives
+its label. Words that no template has end every run, so only stretches of template words
+that are long enough to matter are fed to it. The templates are a short fixed list, and so
+is the automaton that each task builds from them.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+from rankfold.llm.common import map_texts
+from rankfold.llm.licence_texts import TEMPLATES
+
+#: Phrases that count wherever their words stand together, and their labels.
+PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
+
+#: Lower case for A-Z, and a blank for each ASCII character that is in no word.
+_FOLD = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20
+    for b in range(256)
+)
+
+
+def words_of(text: bytes) -> list[bytes]:
+    return text.translate(_FOLD).split()
+
+
+@dataclass
+class State:
+    length: int
+    link: int = -1
+    next: dict[int, int] = field(default_factory=dict)
+    #: By template, where in it the state's runs end first.
+    ends: dict[int, int] = field(default_factory=dict)
+
+
+class SuffixAutomaton:
+    """All runs of several sequences of numbers."""
+
+    def __init__(self, sequences):
+        self.states = [State(0)]
+        for number, sequence in enumerate(sequences):
+            last = 0
+            for at, symbol in enumerate(sequence):
+                last = self._extend(last, symbol)
+                self.states[last].ends.setdefault(number, at + 1)
+        for i in sorted(range(1, len(self.states)), key=lambda i: -self.states[i].length):
+            ends = self.states[self.states[i].link].ends
+            for number, end in self.states[i].ends.items():
+                ends[number] = min(end, ends.get(number, end))
+
+    def _extend(self, last: int, symbol: int) -> int:
+        states = self.states
+        if symbol in states[last].next:
+            return self._exact(last, symbol)
+        made = len(states)
+        states.append(State(states[last].length + 1))
+        at = last
+        while at >= 0 and symbol not in states[at].next:
+            states[at].next[symbol] = made
+            at = states[at].link
+        states[made].link = 0 if at < 0 else self._exact(at, symbol)
+        return made
+
+    def _exact(self, at: int, symbol: int) -> int:
+        """The state after ``symbol`` whose longest run is one word longer; split off if need be."""
+        states = self.states
+        to = states[at].next[symbol]
+        if states[to].length == states[at].length + 1:
+            return to
+        made = len(states)
+        states.append(State(states[at].length + 1, states[to].link, dict(states[to].next), {}))
+        states[to].link = made
+        while at >= 0 and states[at].next.get(symbol) == to:
+            states[at].next[symbol] = made
+            at = states[at].link
+        return made
+
+    def matches(self, symbols):
+        """For each symbol: the length of the longest known run that ends there, and its state."""
+        states, at, length = self.states, 0, 0
+        for symbol in symbols:
+            while at and symbol not in states[at].next:
+                at = states[at].link
+                length = states[at].length
+            if symbol in states[at].next:
+                at, length = states[at].next[symbol], length + 1
+            yield length, at
+
+
+class LicenceScanner:
+    def __init__(self, templates, least: int, gap: int, enough: float):
+        self.least, self.gap, self.enough = least, gap, enough
+        self.labels = [label for label, _ in templates]
+        split = [words_of(text.encode()) for _, text in templates]
+        phrases = {phrase.encode(): label for phrase, label in PHRASES.items()}
+        self.numbers: dict[bytes, int] = {}
+        for words in [*split, *(phrase.split() for phrase in phrases)]:
+            for word in words:
+                self.numbers.setdefault(word, len(self.numbers) + 1)
+        self.sizes = list(map(len, split))
+        self.automaton = SuffixAutomaton([[self.numbers[w] for w in words] for words in split])
+        self.phrases = [([self.numbers[w] for w in phrase.split()], label) for phrase, label in phrases.items()]
+
+    def spans(self, ids: np.ndarray):
+        """``(template, first word, end word, words covered)`` of every chain."""
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], ids > 0, [0])).astype(np.int8)))
+        chains: dict[int, list] = {}
+        done = []
+        for start, end in edges.reshape(-1, 2):
+            if end - start < self.least:
+                continue
+            found = list(self.automaton.matches(ids[start:end].tolist()))
+            for i, (length, state) in enumerate(found):
+                if length < self.least or (i + 1 < len(found) and found[i + 1][0] > length):
+                    continue
+                last = int(start) + i + 1
+                for template, stop in self.automaton.states[state].ends.items():
+                    # doc span, template span
+                    a, b, x, y = last - length, last, stop - length, stop
+                    chain = chains.get(template)
+                    if chain and a - chain[1] <= self.gap and b > chain[1] and y > chain[2]:
+                        chain[3] += min(y - max(x, chain[2]), b - max(a, chain[1]))
+                        chain[1], chain[2] = b, y
+                    else:
+                        if chain:
+                            done.append((template, chain[0], chain[1], chain[3]))
+                        chains[template] = [a, b, y, length]
+        return done + [(template, c[0], c[1], c[3]) for template, c in chains.items()]
+
+    def scan(self, text: bytes) -> dict:
+        words = words_of(text)
+        get = self.numbers.get
+        ids = np.fromiter((get(word, 0) for word in words), np.int64, len(words))
+        starts, base = [], set()
+        for phrase, label in self.phrases:
+            ends = np.flatnonzero(ids == phrase[-1])
+            ends = ends[ends >= len(phrase) - 1]
+            for back, number in enumerate(reversed(phrase[:-1]), 1):
+                ends = ends[ids[ends - back] == number]
+            if len(ends):
+                base.add(label)
+                starts += (ends - len(phrase) + 1).tolist()
+        spans = [s for s in self.spans(ids) if s[3] >= self.enough * self.sizes[s[0]]]
+        score = max((min(1.0, s[3] / self.sizes[s[0]]) for s in spans), default=0.0)
+        return {
+            "n_words": len(words),
+            "n_base": len(starts),
+            "first_word": min(starts, default=None),
+            "last_word": max(starts, default=None),
+            "base_labels": ",".join(sorted(base)),
+            "labels": ",".join(sorted(base | {self.labels[s[0]] for s in spans})),
+            "score": score,
+            "spans": [
+                {"label": self.labels[t], "first": a, "end": b, "covered": c / self.sizes[t]}
+                for t, a, b, c in sorted(spans, key=lambda s: (s[1], s[2], s[0]))
+            ],
+        }
+
+
+_SPAN = pa.struct([("label", pa.string()), ("first", pa.int64()), ("end", pa.int64()), ("covered", pa.float64())])
+_KINDS = {
+    "n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(),
+    "base_labels": pa.string(), "labels": pa.string(), "score": pa.float64(), "spans": pa.list_(_SPAN),
+}
+
+
+def scan_licences(docs: DataFrame, templates=tuple(TEMPLATES), least: int = 4, gap: int = 20, enough: float = 0.7) -> DataFrame:
+    """One row per document: counts, labels, score and the spans that templates cover.
+
+    ``least``: words in a run that counts; ``gap``: words between two runs of a chain;
+    ``enough``: the share of a template that gives its label. A null text has no words.
+    """
+
+    def make():
+        scanner = LicenceScanner(templates, least, gap, enough)
+
+        def scan(texts):
+            rows = list(map(scanner.scan, texts))
+            return {name: ([row[name] for row in rows], kind) for name, kind in _KINDS.items()}
+
+        return scan
+
+    return map_texts(
+        docs,
+        make,
+        "n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
+        "labels string, score double, spans array<struct<label:string,first:bigint,end:bigint,covered:double>>",
+    )

@@ -7,7 +7,15 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm import host_rules, piece_merging, prefix_tokens, reply_trees, warc_archives
+from rankfold.llm import (
+    disguised_data,
+    host_rules,
+    licence_spans,
+    piece_merging,
+    prefix_tokens,
+    reply_trees,
+    warc_archives,
+)
 from rankfold.sources.tables import read_table
 
 #: Where the vocabulary files of public tokenizers are installed, on every worker.
@@ -32,6 +40,10 @@ def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return disguised_data.find_personal_data(read_table(spark, folder, "documents"))
+
+
 def op3_warc_zstd(spark: SparkSession, folder: str) -> DataFrame:
     archives = warc_archives.write_archives(read_table(spark, folder, "pages"))
     return warc_archives.read_archives(archives).select(
@@ -50,6 +62,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licence_spans.scan_licences(read_table(spark, folder, "documents")).drop("spans")
+
+
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return piece_merging.encode_texts(docs, f"{TOKENIZERS}/piece_bpe_32k.model", ids=False)
@@ -57,8 +73,10 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_personal_data": op2_personal_data,
     "op3_warc_zstd": op3_warc_zstd,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op7_licence_scan": op7_licence_scan,
     "op10_sentencepiece": op10_sentencepiece,
 }
