@@ -33,4 +33,24 @@ LLM_ORACLES = {
                CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM keeper
                     THEN keeper END AS refers_to
         FROM kept""",
+    "op4_repeated_phrases": r"""
+        WITH split AS (
+            SELECT doc_id, row_number() OVER () AS row_no,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS words
+            FROM documents),
+        starts AS (
+            SELECT row_no, unnest(range(1, len(words) - 33)) AS pos FROM split WHERE len(words) >= 35),
+        windows AS (
+            SELECT row_no, pos, list_slice(words, pos, pos + 34) AS w FROM starts JOIN split USING (row_no)),
+        repeated AS (
+            SELECT row_no, pos FROM (
+                SELECT row_no, pos, count(*) OVER (PARTITION BY w) AS n FROM windows) WHERE n > 1),
+        covered AS (
+            SELECT DISTINCT row_no, pos + d AS pos FROM repeated, range(35) AS r(d)),
+        gone AS (
+            SELECT row_no, list(pos) AS places, count(*) AS n FROM covered GROUP BY row_no)
+        SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed,
+               sha256(array_to_string(
+                   list_filter(words, lambda w, i: NOT coalesce(list_contains(places, i), false)), ' ')) AS kept_sha256
+        FROM split LEFT JOIN gone USING (row_no)""",
 }

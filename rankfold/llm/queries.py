@@ -13,7 +13,9 @@ from rankfold.llm import (
     licence_spans,
     piece_merging,
     prefix_tokens,
+    repeated_phrases,
     reply_trees,
+    simhash_groups,
     warc_archives,
 )
 from rankfold.sources.tables import read_table
@@ -51,6 +53,10 @@ def op3_warc_zstd(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_phrases.remove_repeats(read_table(spark, folder, "documents"), window=35)
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return prefix_tokens.count_tokens(docs, f"{TOKENIZERS}/byte_bpe_50k.json", limit=1024)
@@ -66,6 +72,11 @@ def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licence_spans.scan_licences(read_table(spark, folder, "documents")).drop("spans")
 
 
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    linked = simhash_groups.link_fingerprints(read_table(spark, folder, "documents"), max_bits=2)
+    return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return piece_merging.encode_texts(docs, f"{TOKENIZERS}/piece_bpe_32k.model", ids=False)
@@ -75,8 +86,10 @@ LLM_QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_personal_data": op2_personal_data,
     "op3_warc_zstd": op3_warc_zstd,
+    "op4_repeated_phrases": op4_repeated_phrases,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op7_licence_scan": op7_licence_scan,
+    "op9_simhash": op9_simhash,
     "op10_sentencepiece": op10_sentencepiece,
 }
