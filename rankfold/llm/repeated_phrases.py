@@ -46,9 +46,10 @@ def _powers_of(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     if known is None or len(known[0]) < n:
         size = max(1 << 15, 1 << (n - 1).bit_length())
         inverse = np.uint64(pow(int(_BASES[k]), -1, 1 << 64))
-        known = tuple(
-            np.cumprod(np.concatenate(([1], np.full(size - 1, base))).astype(np.uint64)) for base in (_BASES[k], inverse)
-        )
+        known = tuple(np.full(size, base, np.uint64) for base in (_BASES[k], inverse))
+        for row in known:
+            row[0] = 1
+            np.cumprod(row, out=row)
         if size <= 1 << 20:
             _powers[k] = known
     return known
