@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rankfold.llm import (
     disguised_data,
+    edit_matches,
     host_rules,
     licence_spans,
     piece_merging,
@@ -72,6 +73,11 @@ def op7_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licence_spans.scan_licences(read_table(spark, folder, "documents")).drop("spans")
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    return edit_matches.find_items(docs, items, share=5)
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     linked = simhash_groups.link_fingerprints(read_table(spark, folder, "documents"), max_bits=2)
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -90,6 +96,7 @@ LLM_QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op7_licence_scan": op7_licence_scan,
+    "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_sentencepiece": op10_sentencepiece,
 }
