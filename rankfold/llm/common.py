@@ -77,3 +77,18 @@ def map_texts(docs: DataFrame, make, schema: str, text: str = "text", keys: tupl
                 yield pa.record_batch([*part.columns[:width], *(c[0] if isinstance(c[0], pa.Array) else pa.array(*c) for c in made.values())], names=names)
 
     return in_arrow(frame, mapped, f"{fields}, {schema}")
+
+
+#: Names a row by what it says, where ids repeat.
+TEXT_KEY = "_text_key"
+
+
+def with_text_key(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(TEXT_KEY, F.xxhash64(whole(column("text"))))
+
+
+def only_rows(keyed: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """The rows of ``keyed`` that are among ``rows`` (``left_semi``) or not (``left_anti``)."""
+    named = rows.select(F.col("doc_id").alias("_id"), F.col(TEXT_KEY).alias("_key"))
+    same = keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed[TEXT_KEY] == F.col("_key"))
+    return keyed.join(named, same, how).drop(TEXT_KEY)

@@ -21,7 +21,7 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rankfold.llm.common import map_texts
+from rankfold.llm.common import in_arrow, map_texts
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -344,3 +344,25 @@ def masked(text: str) -> str:
             parts += [text[done:start], f"[{kind.upper()}]"]
         done = end
     return "".join([*parts, text[done:]])
+
+
+def mask_texts(docs: DataFrame) -> DataFrame:
+    """The same rows and columns; finds in ``text`` are masked and ``n_chars`` says the new length.
+
+    Null texts stay null, and so does their length.
+    """
+    names = docs.columns
+    text, length = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+    kinds = {"text": "string", "n_chars": "bigint"}
+    schema = ", ".join(f"`{name.replace('`', '``')}` {kinds.get(name, kind)}" for name, kind in docs.dtypes)
+
+    def mask(batches):
+        for batch in batches:
+            columns = list(batch.columns)
+            made = [None if value is None else masked(value) for value in columns[text].to_pylist()]
+            columns[text] = pa.array(made, pa.string())
+            if length is not None:
+                columns[length] = pa.array([None if value is None else len(value) for value in made], pa.int64())
+            yield pa.record_batch(columns, names=batch.schema.names)
+
+    return in_arrow(docs, mask, schema)

@@ -115,14 +115,16 @@ def beta_prior(docs: int, failed: int | None, hosts: int, squares: float | None)
     return mean, min(1e4, max(1.0, mean * (1 - mean) / between - 1))
 
 
-def judge(docs: DataFrame, host: str = "source", suspect: float = 0.5) -> DataFrame:
-    """Measures and verdicts of every row: ``doc_id, host, n_words, ..., base_failed, kept``.
+def judge(
+    docs: DataFrame, host: str = "source", suspect: float = 0.5, keys: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """Measures and verdicts of every row: its keys, ``host, n_words, ..., base_failed, kept``.
 
     A null text has no words and fails. Documents without a host share one, the null host.
     """
-    named = docs.select(column("doc_id").alias("doc_id"), column(host).alias("host"), column("text").alias("text"))
+    named = docs.select(*[column(key).alias(key) for key in keys], column(host).alias("host"), column("text").alias("text"))
     measures = ", ".join(f"{name} bigint" for name in MEASURES)
-    measured = map_texts(named, lambda: measure, measures, keys=("doc_id", "host"))
+    measured = map_texts(named, lambda: measure, measures, keys=(*keys, "host"))
     measured = written(measured.withColumn("base_failed", base_failed()), "measures")
     rates = host_rates(measured).select(F.col("host").alias("h"), "rate")
     judged = measured.join(rates, F.col("host").eqNullSafe(F.col("h"))).drop("h")

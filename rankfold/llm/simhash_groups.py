@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.llm import golay
-from rankfold.llm.common import column, in_arrow, map_texts, whole, written
+from rankfold.llm.common import TEXT_KEY, in_arrow, map_texts, written
 from rankfold.llm.components import components
 
 #: Lowest bit and width of each segment.
@@ -175,14 +175,14 @@ def sketch(text: bytes, size: int = 5) -> np.ndarray:
     """The ``SKETCH`` smallest 32-bit hashes of the different runs of five words."""
     words = text.lower().split()
     if not words:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.uint32)
     digest = xxhash.xxh3_64_intdigest
     hashed = np.array([digest(word) for word in words], np.uint64)
     runs = np.zeros(max(1, len(words) - size + 1), np.uint64)
     for i in range(min(size, len(words))):
         runs = runs * np.uint64(0x9E3779B97F4A7C15) + hashed[i : i + len(runs)]
     runs = (runs ^ runs >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
-    return np.unique(runs >> np.uint64(32))[:SKETCH].astype(np.int64)
+    return np.unique(runs >> np.uint64(32))[:SKETCH].astype(np.uint32)
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -197,10 +197,8 @@ def _similar(pairs: DataFrame, least: float) -> DataFrame:
     def similar(batches):
         for batch in batches:
             a, b, left, right = batch.columns
-            good = [
-                similarity(np.array(x, np.int64), np.array(y, np.int64)) >= least
-                for x, y in zip(left.to_pylist(), right.to_pylist())
-            ]
+            sketches = zip(left.to_pylist(), right.to_pylist())
+            good = [similarity(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) >= least for x, y in sketches]
             mask = pa.array(good, pa.bool_())
             yield pa.record_batch([a.filter(mask), b.filter(mask)], names=["a", "b"])
 
@@ -208,43 +206,44 @@ def _similar(pairs: DataFrame, least: float) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, least: float = 0.8, max_bits: int = 4) -> DataFrame:
-    """Groups of near copies: ``doc_id, text_key, kept`` for each different row.
-
-    Texts are fingerprinted by their different words, which near copies change least, and
-    linked where fingerprints differ in at most ``max_bits`` and the similarity of their
-    runs of five words, estimated from ``SKETCH`` hashes, is at least ``least``. Of each
-    group one row is kept: that with the smallest id, then text key. Equal texts are always
-    one group; texts without words are one group.
+    """Groups of near copies: ``doc_id``, the text key, ``copies`` and ``kept`` of each different row.
+
+    ``docs`` has ``doc_id``, ``text`` and the text key. Texts are fingerprinted by their
+    different words, which near copies change least. Texts are linked where fingerprints
+    differ in at most ``max_bits`` and the similarity of their runs of five words,
+    estimated from ``SKETCH`` hashes, is at least ``least``; texts of one fingerprint are
+    compared with the one of them that speaks for it. Of each group one row is kept: that
+    with the smallest id, then text key. Equal texts are one group, null as the empty one.
+    ``copies`` counts the rows that are repeated whole.
     """
-    keyed = docs.select(column("doc_id").alias("doc_id"), whole(column("text")).alias("text"))
-    keyed = keyed.withColumn("text_key", F.xxhash64("text"))
 
     def make():
         def measured(texts):
             return {
                 "fp": ([fingerprint(word_hashes(text)) for text in texts], pa.int64()),
-                "sketch": ([sketch(text) for text in texts], pa.list_(pa.int64())),
+                "sketch": ([sketch(text).tobytes() for text in texts], pa.binary()),
             }
 
         return measured
 
-    rows = map_texts(keyed, make, "fp bigint, sketch array<bigint>", keys=("doc_id", "text_key"))
-    rows = written(rows, "sketches")
-    texts = rows.groupBy("text_key").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
-    texts = written(texts, "texts")
-    chosen = written(texts.groupBy("fp").agg(F.min_by(F.struct("text_key", "sketch"), "text_key").alias("c")), "chosen")
-    chosen = chosen.select(F.col("fp").alias("f"), F.col("c.text_key").alias("k"), F.col("c.sketch").alias("s"))
-    equal = texts.join(chosen, F.col("fp") == F.col("f")).where("text_key != k")
-    equal = equal.select(F.col("text_key").alias("a"), F.col("k").alias("b"), "sketch", "s")
+    rows = map_texts(docs, make, "fp bigint, sketch binary", keys=("doc_id", TEXT_KEY))
+    rows = written(rows.withColumnRenamed(TEXT_KEY, "key"), "sketches")
+    chosen = rows.groupBy("fp").agg(F.min_by(F.struct("key", "sketch"), "key").alias("c"))
+    chosen = written(chosen.select(F.col("fp").alias("f"), F.col("c.key").alias("k"), F.col("c.sketch").alias("s")), "chosen")
+    equal = rows.join(chosen, (F.col("fp") == F.col("f")) & (F.col("key") != F.col("k")))
+    equal = equal.select(F.col("key").alias("a"), F.col("k").alias("b"), F.col("sketch").alias("sa"), F.col("s").alias("sb"))
     pairs = near_pairs(chosen.select(F.col("f").alias("fp")), max_bits)
     left = chosen.select(F.col("f").alias("a"), F.col("k").alias("ka"), F.col("s").alias("sa"))
     right = chosen.select(F.col("f").alias("b"), F.col("k").alias("kb"), F.col("s").alias("sb"))
     near = pairs.join(left, "a").join(right, "b").select("ka", "kb", "sa", "sb")
     roots = components(_similar(equal.unionAll(near), least))
-    grouped = rows.select("doc_id", "text_key").distinct()
-    grouped = grouped.join(roots, F.col("text_key") == F.col("node"), "left")
-    grouped = grouped.select("doc_id", "text_key", F.coalesce("root", "text_key").alias("group"))
-    best = grouped.groupBy(F.col("group").alias("g")).agg(F.min(F.struct("doc_id", "text_key")).alias("best"))
+    different = rows.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies"))
+    grouped = different.join(roots, F.col("key") == F.col("node"), "left")
+    grouped = grouped.select("doc_id", "key", "copies", F.coalesce("root", "key").alias("group"))
+    best = grouped.groupBy(F.col("group").alias("g")).agg(F.min(F.struct("doc_id", "key")).alias("best"))
     return grouped.join(best, F.col("group") == F.col("g")).select(
-        "doc_id", "text_key", F.struct("doc_id", "text_key").eqNullSafe(F.col("best")).alias("kept")
+        "doc_id",
+        F.col("key").alias(TEXT_KEY),
+        "copies",
+        F.struct("doc_id", "key").eqNullSafe(F.col("best")).alias("kept"),
     )
