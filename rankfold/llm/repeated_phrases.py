@@ -15,6 +15,7 @@ gathers in one place because many documents share it.
 from __future__ import annotations
 
 import hashlib
+from itertools import product
 
 import ahocorasick
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from rankfold.llm.common import column, in_arrow, partitions, reach_workers, whole, written
 
 #: Bytes of text in a shard, about.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 
 _BASES = tuple(np.uint64(base) for base in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03))
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -134,22 +135,37 @@ def _anchors(window: int, anchor: int):
 
 
 class PhraseAutomaton:
-    """Finds phrases of a fixed number of words in documents."""
+    """Finds phrases of a fixed number of words in documents.
+
+    Each known word is a code of equally many letters of a small alphabet, since the
+    automaton looks through a node's branches one by one.
+    """
+
+    LETTERS = "abcdefghijklmnopqrstuvwxyz012345"
 
     def __init__(self, phrases: set[tuple[bytes, ...]], size: int):
-        self.size, self.numbers = size, {}
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+        self.size, self.codes = size, {}
+        known = {word for phrase in phrases for word in phrase}
+        self.width = 1
+        while len(self.LETTERS) ** self.width < len(known):
+            self.width += 1
+        for word, letters in zip(known, product(self.LETTERS, repeat=self.width)):
+            self.codes[word] = "".join(letters)
+        self.other = "." * self.width
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for phrase in phrases:
-            self.automaton.add_word(tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in phrase))
+            self.automaton.add_word("".join([self.codes[word] for word in phrase]))
         self.automaton.make_automaton()
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Where phrases start."""
-        if not self.numbers or len(words) < self.size:
+        if not self.codes or len(words) < self.size:
             return np.empty(0, np.int64)
-        get = self.numbers.get
-        ends = [end for end, _ in self.automaton.iter(tuple([get(word, 0) for word in words]))]
-        return np.array(ends, np.int64) - (self.size - 1)
+        get, other, width = self.codes.get, self.other, self.width
+        found = self.automaton.iter("".join([get(word, other) for word in words]))
+        # A hit that does not end with a word's code is none.
+        ends = np.array([end for end, _ in found if (end + 1) % width == 0], np.int64)
+        return (ends + 1) // width - self.size
 
 
 def _compiled(docs: pa.Table, phrases: pa.Table, anchor: int) -> PhraseAutomaton:
