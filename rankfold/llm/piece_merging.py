@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 
+import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
@@ -25,7 +26,7 @@ from rankfold.llm.common import map_texts
 SPACE = "▁"
 
 #: Units that a task remembers before it starts afresh, and the longest that it remembers.
-REMEMBERED, LONGEST = 1 << 19, 64
+REMEMBERED, LONGEST = 1 << 18, 64
 
 _LETTER = r"\p{L}\p{M}"
 _UNITS = rf"{SPACE}*[{_LETTER}]+|{SPACE}*[^{_LETTER}{SPACE}\n]+|{SPACE}+|\n"
@@ -138,7 +139,7 @@ def encode_texts(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:
         merging, known = loaded(path)
 
         def entry(unit: str, made: list[int]):
-            return ",".join(map(str, made)), len(made), merging.spell(made), pa.array(made, pa.int32()) if ids else None
+            return ",".join(map(str, made)), len(made), merging.spell(made), np.array(made, np.int32).tobytes() if ids else None
 
         def encode(texts):
             cut = [merging.cut(marked(data.decode())) for data in texts]
@@ -168,12 +169,9 @@ def encode_texts(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:
                 ),
             }
             if ids:
-                empty = pa.array([], pa.int32())
-                lists = [pa.concat_arrays([e[3] for e in row] or [empty]) for row in found]
-                ends = [0]
-                for made in lists:
-                    ends.append(ends[-1] + len(made))
-                out["ids"] = (pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(lists or [empty])),)
+                made = np.frombuffer(b"".join([e[3] for row in found for e in row]), np.int32)
+                ends = np.cumsum([0, *out["n_tokens"][0]]).astype(np.int32)
+                out["ids"] = (pa.ListArray.from_arrays(pa.array(ends), pa.array(made)),)
             return out
 
         return encode
