@@ -118,13 +118,14 @@ def unmarked(symbols: str) -> str:
     return symbols.removeprefix(SPACE).replace(SPACE, " ")
 
 
-_LOADED: dict[str, tuple[PieceMerging, dict]] = {}
+_LOADED: dict[tuple[str, bool], tuple[PieceMerging, dict]] = {}
 
 
-def loaded(path: str) -> tuple[PieceMerging, dict]:
-    if path not in _LOADED:
-        _LOADED[path] = (PieceMerging(path), {})
-    return _LOADED[path]
+def loaded(path: str, ids: bool = True) -> tuple[PieceMerging, dict]:
+    """The vocabulary, and what is remembered of units with or without their ids."""
+    if (path, ids) not in _LOADED:
+        _LOADED[path, ids] = (PieceMerging(path), {})
+    return _LOADED[path, ids]
 
 
 def encode_texts(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:
@@ -136,7 +137,7 @@ def encode_texts(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:
     """
 
     def make():
-        merging, known = loaded(path)
+        merging, known = loaded(path, ids)
 
         def entry(unit: str, made: list[int]):
             return ",".join(map(str, made)), len(made), merging.spell(made), np.array(made, np.int32).tobytes() if ids else None

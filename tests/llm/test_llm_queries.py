@@ -1,0 +1,92 @@
+"""The registered queries of this folder: against SQL, or against plain versions."""
+
+import glob
+import os
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as registered
+import corpus_pipeline
+from rankfold.llm import disguised_data, edit_matches, piece_merging
+from rankfold.llm.common import written
+from rankfold.llm.oracles import LLM_ORACLES
+from rankfold.llm.queries import LLM_QUERIES
+
+from .conftest import FOLDER
+
+
+def ordered(frame):
+    frame = frame[sorted(frame.columns)]
+    return frame.sort_values(list(frame.columns), ignore_index=True)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{FOLDER}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    yield connection
+    connection.close()
+
+
+@pytest.mark.parametrize("name", sorted(LLM_ORACLES))
+def test_matches_sql(spark, duck, name):
+    got = ordered(LLM_QUERIES[name](spark, FOLDER).toPandas())
+    wanted = ordered(duck.execute(LLM_ORACLES[name]).df())
+    assert len(wanted) > 0
+    pd.testing.assert_frame_equal(got, wanted, check_dtype=False)
+
+
+def test_all_are_registered():
+    assert {*LLM_QUERIES, "pipeline"} <= set(registered.queries())
+    assert sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(set(LLM_QUERIES) - set(LLM_ORACLES)))
+def test_one_row_for_each_document(spark, name):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = LLM_QUERIES[name](spark, FOLDER).select("doc_id").collect()
+    if name != "op8_decontamination":
+        assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in documents.collect())
+
+
+def test_stages_keep_what_they_should(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns = docs.columns
+    items = [(r.item_id, r.text.encode()) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, written(stage(spark, docs, FOLDER), "stage")
+        kept[name] = docs.collect()
+        if name == "quality rules":
+            judged = {r.doc_id for r in LLM_QUERIES["op6_quality_rules"](spark, FOLDER).where("kept").collect()}
+            assert {r.doc_id for r in kept[name]} == judged
+        elif name == "near duplicates":
+            texts = [r.text for r in kept[name]]
+            assert len(set(texts)) == len(texts)
+            assert {r.doc_id for r in kept[name]} <= {r.doc_id for r in before.collect()}
+        elif name == "decontamination":
+            finder = edit_matches.ItemFinder(items, 5)
+            clean = {r.doc_id for r in before.collect() if not finder.find(r.text.encode())}
+            assert {r.doc_id for r in kept[name]} == clean
+        elif name == "personal data":
+            wanted = {(r.doc_id, disguised_data.masked(r.text)) for r in before.collect()}
+            assert {(r.doc_id, r.text) for r in kept[name]} == wanted
+            assert all(r.n_chars == len(r.text) for r in kept[name])
+        if name != "encoding":
+            assert docs.columns == columns
+    merging, _ = piece_merging.loaded(f"{corpus_pipeline.TOKENIZERS}/piece_bpe_32k.model")
+    texts = {r.doc_id: r.text for r in before.collect()}
+    assert {r.doc_id: r.ids for r in kept["encoding"]} == {d: merging.library.encode(t) for d, t in texts.items()}
+    run = corpus_pipeline.run(spark, FOLDER).collect()
+    assert sorted(run) == sorted(kept["encoding"])
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark, documents, no_documents):
+    for docs in (documents, no_documents):
+        for name, stage in corpus_pipeline.STAGES:
+            docs = written(stage(spark, docs, FOLDER), "stage")
+        assert {r.doc_id for r in docs.collect()} <= {1, 2, 5}

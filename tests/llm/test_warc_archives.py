@@ -1,0 +1,74 @@
+"""Archives: round trip, revisits and damage."""
+
+import hashlib
+import io
+
+import pytest
+import zstandard
+
+from rankfold.llm import warc_archives as warc
+
+
+def test_round_trip(spark):
+    big, long = "é" * 800, "x" * 3_000_000
+    rows = [(1, "http://a/ b\n", big, "n"), (9, None, big, "n"), (3, "u", "small", "n"), (4, "u", "small", "n"),
+            (5, "u", None, "n"), (6, "u", long, "n"), (9, None, big, "n"), (None, "u", big, "n")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, sha1 string").repartition(3)
+    archives = warc.write_archives(pages, archive_bytes=2000)
+    assert archives.agg({"records": "sum"}).head()[0] == len(rows)
+    got = warc.read_archives(archives).collect()
+    assert len(got) == len(rows)
+    texts = {1: big, 9: big, 3: "small", 4: "small", 5: "", 6: long, None: big}
+    for row in got:
+        data = texts[row.page_id].encode()
+        assert (row.payload_bytes, row.payload_digest) == (len(data), hashlib.sha1(data).hexdigest())
+        again = row.page_id in (1, None)
+        assert row.record_type == ("revisit" if again else "response")
+        assert row.refers_to == (9 if again else None)
+        assert row.payload == (None if again else data)
+        if row.page_id == 1:
+            assert row.url == "http://a/%20b%0A"
+    empty = warc.write_archives(pages.where("false"))
+    assert warc.read_archives(empty).count() == 0
+
+
+def test_the_dictionary_leads_and_each_record_is_a_frame(spark):
+    rows = [(i, "u", f"<html><head><title>page {i}</title></head><body><p>" + f"text {i % 7} " * 30) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    words = warc.dictionary_for(pages)
+    assert words
+    archive = warc.write_archives(pages.coalesce(1)).head().archive.removeprefix("file://")
+    data = open(archive, "rb").read()
+    assert data[:4] == warc.SKIPPABLE.to_bytes(4, "little")
+    assert sorted(r["page_id"] for r in warc.read_archive(io.BytesIO(data))) == list(range(300))
+    assert data.count(warc.FRAME) >= 300
+
+
+def archive_of(data):
+    return io.BytesIO(zstandard.ZstdCompressor().compress(data))
+
+
+GOOD = warc.record(1, "u", b"abc", hashlib.sha1(b"abc").hexdigest(), None, False, "2024-01-01T00:00:00Z")
+
+
+@pytest.mark.parametrize(
+    "damage",
+    [
+        GOOD.replace(b"WARC/1.1", b"WARX/1.1"),
+        GOOD.replace(b"abc", b"abd"),
+        GOOD.replace(b"abc", b"abcd"),
+        GOOD[:-1],
+        GOOD.replace(b"WARC-Type: response", b"WARC-Type: other"),
+        GOOD.replace(b"WARC-Date:", b"WARC-Date"[:4] + b"\r\nbare\r\n:"),
+    ],
+)
+def test_damage_is_noticed(damage):
+    assert list(warc.read_archive(archive_of(GOOD)))[0]["payload"] == b"abc"
+    with pytest.raises((ValueError, KeyError)):
+        list(warc.read_archive(archive_of(damage)))
+
+
+def test_a_cut_archive_is_noticed():
+    data = archive_of(GOOD).getvalue()
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.read_archive(io.BytesIO(data[:-5])))
