@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 # Types whose keys may be compared with each other after a cast.
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType)
+# Types whose every value is a double.
+_DOUBLES = _FRACTIONAL + (T.ByteType, T.ShortType, T.IntegerType)
 
 # Types that Spark's sort accepts at the top level of a key.
 _ORDERED = _INTEGRAL + _FRACTIONAL + (
@@ -21,8 +23,12 @@ _ORDERED = _INTEGRAL + _FRACTIONAL + (
     T.DecimalType,
     T.DayTimeIntervalType,
     T.YearMonthIntervalType,
+    T.TimeType,
 )
 
+# Decimal digits of the largest value, by integral type.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
 
 def is_orderable(data_type: T.DataType) -> bool:
     """Whether values of this type have one order: Spark's, and by code point for text."""
@@ -39,12 +45,41 @@ def common_key_type(left: T.DataType, right: T.DataType) -> T.DataType | None:
     """The type in which two keys are compared, or None if they are not comparable."""
     if left == right:
         return left
-    # Both casts keep distinct keys distinct; an integral key as a double may not.
+    # An empty mapping that names no type.
+    if isinstance(right, T.NullType):
+        return left
+    # Whether parts may be null is no difference between values.
+    if _nullable(left) == _nullable(right):
+        return _nullable(left)
+    # Every cast keeps distinct keys distinct; a bigint as a double may not.
     if isinstance(left, _INTEGRAL) and isinstance(right, _INTEGRAL):
         return T.LongType()
-    if isinstance(left, _FRACTIONAL) and isinstance(right, _FRACTIONAL):
+    if isinstance(left, _DOUBLES) and isinstance(right, _DOUBLES):
         return T.DoubleType()
-    return None
+    digits = [_decimal(data_type) for data_type in (left, right)]
+    if None in digits:
+        return None
+    whole = max(precision - scale for precision, scale in digits)
+    scale = max(scale for _, scale in digits)
+    return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+
+
+def _nullable(data_type: T.DataType) -> T.DataType:
+    """The type with nulls allowed in every part."""
+    if isinstance(data_type, T.ArrayType):
+        return T.ArrayType(_nullable(data_type.elementType), True)
+    if isinstance(data_type, T.StructType):
+        fields = data_type.fields
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in fields])
+    return data_type
+
+
+def _decimal(data_type: T.DataType) -> tuple[int, int] | None:
+    """Precision and scale of the decimal that holds every value of the type."""
+    if isinstance(data_type, T.DecimalType):
+        return data_type.precision, data_type.scale
+    digits = _DIGITS.get(type(data_type))
+    return None if digits is None else (digits, 0)
 
 
 def input_field(schema: T.StructType, name: str) -> T.StructField:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping as PairsByKey
+from collections.abc import Iterable, Iterator, Mapping as PairsByKey
+from dataclasses import replace
 
 from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -13,14 +15,16 @@ from pyspark.ml.util import (
     MLWritable,
 )
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankfold.functions.schemas import common_key_type, input_field, with_field
-from rankfold.operators.domain import learn_mapping
+from rankfold.operators.domain import hot_values, learn_mapping
 from rankfold.operators.limits import Limits
 from rankfold.operators.lookup import add_index
 from rankfold.operators.mapping import Mapping, freeze_given
 from rankfold.sources.model_files import MappingModelReader, MappingModelWriter
+from rankfold.sources.store import remove_folder
 
 
 class IndexParams(HasInputCol, HasOutputCol):
@@ -30,9 +34,13 @@ class IndexParams(HasInputCol, HasOutputCol):
     index_type: T.DataType
     index_nullable: bool
 
+    planLimits = Param(
+        Params._dummy(), "planLimits", "size limits in place of the session's, by option name"
+    )
+
     def __init__(self):
         super().__init__()
-        self._setDefault(outputCol=self.uid + "__output")
+        self._setDefault(outputCol=self.uid + "__output", planLimits={})
 
     def _set_given(self, **params):
         return self._set(**{name: v for name, v in params.items() if v is not None})
@@ -43,6 +51,16 @@ class IndexParams(HasInputCol, HasOutputCol):
     def setOutputCol(self, value):
         return self._set(outputCol=value)
 
+    def setPlanLimits(self, **limits):
+        """Limits of this stage, named as the session's options; they change no result."""
+        return self._set(planLimits={name: str(value) for name, value in limits.items()})
+
+    def getPlanLimits(self) -> dict[str, str]:
+        return self.getOrDefault(self.planLimits)
+
+    def _limits(self, spark: SparkSession) -> Limits:
+        return Limits.of(spark, self.getPlanLimits())
+
     def _check_key(self, data_type: T.DataType) -> None:
         """Raise ValueError if the stage cannot index values of this type."""
         raise NotImplementedError
@@ -74,7 +92,8 @@ class IndexEstimator(IndexParams, Estimator, DefaultParamsReadable, DefaultParam
     def _fit(self, dataset: DataFrame) -> IndexModel:
         self.output_schema(dataset.schema)
         model = self.model_class()
-        model._mapping = learn_mapping(dataset, self.getInputCol(), self.index_type)
+        limits = self._limits(dataset.sparkSession)
+        model._mapping = learn_mapping(dataset, self.getInputCol(), self.index_type, limits)
         model._resetUid(self.uid)
         return self._copyValues(model)
 
@@ -106,31 +125,65 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
             if pairs:
                 value = spark.createDataFrame([tuple(p) for p in pairs], ["category", "idx"])
             else:
-                value = spark.createDataFrame([], "category string, idx int")
-        self._mapping = freeze_given(value, self.index_type)
+                value = spark.createDataFrame([], "category void, idx int")
+        self._mapping = freeze_given(value, self.index_type, self._limits(value.sparkSession))
         return self
 
+    def learn_hot(self, rows: DataFrame):
+        """Note which values of the input column are frequent in ``rows``, known or not.
+
+        A shuffled lookup then spreads their rows. Fitting a large mapping does this with
+        the fitted rows; results are the same either way.
+        """
+        limits = self._limits(rows.sparkSession)
+        self._mapping = replace(self._frozen(), hot=hot_values(rows, self.getInputCol(), limits))
+        return self
+
+    def release(self) -> None:
+        """Remove the working table of a mapping that has one; the model has no mapping then.
+
+        Saved models stay, and so does a mapping that is read from one. Copies of this
+        model share the table.
+        """
+        frozen, self._mapping = self._frozen(), None
+        if frozen.folder is not None and frozen.own_folder:
+            remove_folder(SparkSession.active(), frozen.folder)
+
     @property
     def mapping(self) -> DataFrame:
         """The mapping as a table ``category, idx``, whatever its size."""
         return self._frozen().frame(SparkSession.active())
 
+    def mapping_pairs(self) -> Iterator[tuple]:
+        """All (category, index) pairs in index order; the driver holds a partition at a time.
+
+        Categories of a type Python has no value for, year-month intervals, are numbers
+        of months.
+        """
+        rows = self.mapping
+        if isinstance(self._frozen().key_type, T.YearMonthIntervalType):
+            months = F.expr("12 * extract(YEAR FROM category) + extract(MONTH FROM category)")
+            rows = rows.orderBy("idx", "category").select(months.cast("int").alias("category"), "idx")
+        else:
+            rows = rows.orderBy("idx", "category")
+        return ((row["category"], row["idx"]) for row in rows.toLocalIterator())
+
     def mapping_dict(self, limit: int | None = None) -> dict:
-        """The mapping as a dict; refused past ``limit`` entries, use ``mapping`` then."""
-        frozen = self._frozen()
-        limits = Limits.of(SparkSession.active())
-        if limit is None:
-            limit = limits.collected_labels
-        if frozen.labels > limit or frozen.key_bytes > limits.collected_bytes:
-            raise ValueError(
-                f"{frozen.labels} labels of {frozen.key_bytes} bytes: read .mapping instead"
-            )
-        rows = self.mapping.orderBy("idx", "category").collect()
-        return {row["category"]: row["idx"] for row in rows}
+        """The mapping as a dict; past ``limit`` entries use ``mapping_pairs``."""
+        self._refuse_above(limit)
+        return dict(self.mapping_pairs())
 
-    def getMappingCat(self) -> list[tuple]:
-        """The mapping as (category, index) pairs in index order, if it is small."""
-        return list(self.mapping_dict().items())
+    def getMappingCat(self, limit: int | None = None) -> list[tuple]:
+        """The mapping as (category, index) pairs in index order, as ``mapping_dict``."""
+        self._refuse_above(limit)
+        return list(self.mapping_pairs())
+
+    def _refuse_above(self, limit: int | None) -> None:
+        labels = self._frozen().labels
+        if limit is None:
+            limit = self._limits(SparkSession.active()).collected_labels
+        if labels > limit:
+            raise ValueError(f"{labels} labels: read .mapping or .mapping_pairs(), or give a limit")
 
     @property
     def mapping_cat(self) -> dict:
@@ -145,7 +198,7 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
         declared = super().output_schema(schema)
         frozen = self._frozen()
         data_type = schema[self.getInputCol()].dataType
-        if frozen.labels and common_key_type(data_type, frozen.key_type) is None:
+        if common_key_type(data_type, frozen.key_type) is None:
             raise ValueError(
                 f"{self.uid}: the mapping has {frozen.key_type.simpleString()} keys, "
                 f"column {self.getInputCol()!r} is {data_type.simpleString()}"
@@ -155,7 +208,12 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         self.output_schema(dataset.schema)
         return add_index(
-            dataset, self.getInputCol(), self.getOutputCol(), self._frozen(), self.missing
+            dataset,
+            self.getInputCol(),
+            self.getOutputCol(),
+            self._frozen(),
+            self.missing,
+            self._limits(dataset.sparkSession),
         )
 
     def write(self) -> MappingModelWriter:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import replace
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankfold.functions.labels import stored_bytes
+from rankfold.functions.labels import steady_hash, stored_bytes
 from rankfold.functions.names import quoted
 from rankfold.operators.limits import Limits
 from rankfold.operators.mapping import (
@@ -21,7 +22,6 @@ from rankfold.operators.mapping import (
     Mapping,
     may_hold,
     memory_bytes,
-    reaches_arrow,
     read_positions,
 )
 from rankfold.sources.store import new_folder
@@ -31,7 +31,9 @@ _INT_LABELS = 2**31
 _SAMPLE_SETTING = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
 
 
-def learn_mapping(dataset: DataFrame, column: str, index_type: T.DataType) -> Mapping:
+def learn_mapping(
+    dataset: DataFrame, column: str, index_type: T.DataType, limits: Limits
+) -> Mapping:
     """Number the distinct non-null values of ``column`` in ascending order.
 
     The scan reads one column, and each task drops its own duplicates before the
@@ -41,7 +43,6 @@ def learn_mapping(dataset: DataFrame, column: str, index_type: T.DataType) -> Ma
     """
     if dataset.isStreaming:
         raise ValueError("fit needs a batch table, not a stream")
-    limits = Limits.of(dataset.sparkSession)
     key_type = dataset.schema[column].dataType
     present = _present(dataset, column)
     values = present.distinct().persist(StorageLevel.MEMORY_AND_DISK)
@@ -56,12 +57,12 @@ def learn_mapping(dataset: DataFrame, column: str, index_type: T.DataType) -> Ma
             return _held(values, index_type, labels, key_bytes)
         if memory_bytes(labels, key_bytes) <= limits.one_task_bytes:
             return _sorted_table(values, index_type, labels, key_bytes)
-        mapping = _ranked_table(values, index_type, labels, key_bytes)
+        mapping = _ranked_table(values, index_type, labels, key_bytes, limits)
     finally:
         values.unpersist()
     if mapping.broadcastable(limits):
         return mapping
-    return replace(mapping, hot=_hot_labels(present, mapping, limits))
+    return replace(mapping, hot=hot_values(dataset, column, limits))
 
 
 def _present(dataset: DataFrame, column: str) -> DataFrame:
@@ -71,7 +72,8 @@ def _present(dataset: DataFrame, column: str) -> DataFrame:
 
 
 def _held(values: DataFrame, index_type: T.DataType, labels: int, key_bytes: int) -> Mapping:
-    ordered = values.orderBy("category").toArrow()
+    # Few enough, as counted, for one task; a sort over all would be a job more.
+    ordered = values.coalesce(1).sortWithinPartitions("category").toArrow()
     indexes = pa.array(range(labels), pa.int64()).cast(
         pa.float64() if isinstance(index_type, T.DoubleType) else pa.int32()
     )
@@ -96,7 +98,7 @@ def _sorted_table(
 
 
 def _ranked_table(
-    values: DataFrame, index_type: T.DataType, labels: int, key_bytes: int
+    values: DataFrame, index_type: T.DataType, labels: int, key_bytes: int, limits: Limits
 ) -> Mapping:
     """Sort over all executors and number each slice; no task sees the whole domain.
 
@@ -106,7 +108,7 @@ def _ranked_table(
     spark = values.sparkSession
     key_type = values.schema["category"].dataType
     folder = new_folder(spark, "ranked")
-    with _bounded_sample(spark, labels, key_bytes):
+    with _bounded_sample(spark, labels, key_bytes, limits):
         values.orderBy("category").select(
             "category", F.monotonically_increasing_id().alias("position")
         ).write.parquet(folder)
@@ -131,46 +133,53 @@ def _ranked_table(
     )
 
 
+# Fits may run in threads of one session, which share its options.
+_SAMPLING = threading.Lock()
+
+
 @contextmanager
-def _bounded_sample(spark: SparkSession, labels: int, key_bytes: int) -> Iterator[None]:
+def _bounded_sample(
+    spark: SparkSession, labels: int, key_bytes: int, limits: Limits
+) -> Iterator[None]:
     """Let a sort of long keys sample fewer of them to the driver.
 
     Spark draws up to three times the setting for each partition, in whole keys.
-    Fewer samples make slices less even, not less right.
+    Fewer samples make slices less even, not less right. One sort at a time has the
+    option, and it is left as it was found.
     """
     partitions = int(
         spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
         or spark.conf.get("spark.sql.shuffle.partitions")
     )
-    usual = spark.conf.get(_SAMPLE_SETTING)
-    room = Limits.of(spark).sample_bytes * labels // (3 * partitions * max(key_bytes, 1))
-    spark.conf.set(_SAMPLE_SETTING, str(max(2, min(int(usual), room))))
-    try:
-        yield
-    finally:
-        spark.conf.set(_SAMPLE_SETTING, usual)
-
-
-def _hot_labels(present: DataFrame, mapping: Mapping, limits: Limits) -> pa.Table | None:
-    """The labels that hold at least one in ``hot_labels`` of the rows, with their index.
-
-    There can be no more than ``hot_labels`` of them, and none is longer than
-    ``hot_label_bytes``, so they can be broadcast. They only steer the lookup: all
-    other labels are joined by shuffle.
+    room = limits.sample_bytes * labels // (3 * partitions * max(key_bytes, 1))
+    with _SAMPLING:
+        was_set = spark.conf.getAll.get(_SAMPLE_SETTING)
+        usual = int(spark.conf.get(_SAMPLE_SETTING))
+        spark.conf.set(_SAMPLE_SETTING, str(max(2, min(usual, room))))
+        try:
+            yield
+        finally:
+            if was_set is None:
+                spark.conf.unset(_SAMPLE_SETTING)
+            else:
+                spark.conf.set(_SAMPLE_SETTING, was_set)
+
+
+def hot_values(rows: DataFrame, column: str, limits: Limits) -> tuple[int, ...]:
+    """Hashes of the values that hold at least one in ``hot_labels`` of the rows, about.
+
+    One aggregate over a sketch of fixed size finds them: the values themselves are not
+    shuffled. A value of any type and length counts by its hash. The hashes only steer the
+    lookup, so a value that is missed or added changes no result.
     """
-    spark = present.sparkSession
-    key_type = mapping.key_type
-    if limits.hot_labels < 1 or not reaches_arrow(key_type):
-        return None
-    short = stored_bytes(F.col("category"), key_type) <= limits.hot_label_bytes
-    counts = present.where(short).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
-    # The total comes from the counts' own shuffle, which Spark runs once.
-    rows = counts.agg(F.sum("n")).scalar()
-    # An action of its own: as a part of the broadcast it could outlast its timeout.
-    frequent = (
-        counts.where(F.col("n") * limits.hot_labels >= rows).select("category").toArrow()
-    )
-    if not frequent.num_rows:
-        return None
-    labels = spark.createDataFrame(frequent, T.StructType([mapping.schema()["category"]]))
-    return mapping.frame(spark).join(F.broadcast(labels), "category", "left_semi").toArrow()
+    if limits.hot_labels < 1:
+        return ()
+    value = F.col(quoted(column))
+    data_type = rows.schema[column].dataType
+    hashes = rows.where(value.isNotNull()).select(steady_hash(value, data_type).alias("hash"))
+    tracked = min(1_000_000, max(1024, 8 * limits.hot_labels))
+    found, total = hashes.agg(
+        F.expr(f"approx_top_k(hash, {min(limits.hot_labels, tracked)}, {tracked})"),
+        F.count(F.lit(1)),
+    ).head()
+    return tuple(row["item"] for row in found if row["count"] * limits.hot_labels >= total)

@@ -15,7 +15,7 @@ class DropColumn(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Drops one column; an absent column, or none set, leaves the table as it is."""
 
     column = Param(
-        Params._dummy(), "column", "column to drop", typeConverter=TypeConverters.toString
+        Params._dummy(), "column", "name of the column that the result leaves out", typeConverter=TypeConverters.toString
     )
 
     def __init__(self, column=None):

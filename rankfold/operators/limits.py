@@ -1,12 +1,15 @@
 """Size limits that decide between plans; none of them changes a result.
 
 Each can be set on the session, for instance
-``spark.conf.set("spark.rankfold.broadcastBytes", "134217728")``.
+``spark.conf.set("spark.rankfold.broadcastBytes", "128m")``, or on a stage with
+``setPlanLimits(broadcastBytes="128m")``, which goes first.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from collections.abc import Mapping as Options
+from dataclasses import dataclass, fields
 
 from pyspark.sql import SparkSession
 
@@ -18,34 +21,47 @@ class Limits:
     # A mapping within both is held by the driver instead of a written table.
     held_labels: int = 10_000
     held_bytes: int = 4 * 1024 * 1024
-    # What a user may read back as a dict; the table form has no limit.
+    # What a user reads back as a dict unless they say how much; pairs and table have no limit.
     collected_labels: int = 1_000_000
-    collected_bytes: int = 256 * 1024 * 1024
     # A mapping whose counted size is within this is sorted by one task, else by all.
     one_task_bytes: int = 64 * 1024 * 1024
     # What sorting over all executors may sample to the driver.
     sample_bytes: int = 256 * 1024 * 1024
     # A mapping whose counted size is within this is broadcast, else shuffled.
     broadcast_bytes: int = 128 * 1024 * 1024
-    # Labels with at least one in this many of the rows, so no more than this many
-    # labels, skip the shuffle join, unless they are longer than the second.
+    # Values with at least one in this many of the rows, so no more than this many
+    # values, are spread over the shuffle; zero spreads none.
     hot_labels: int = 8192
-    hot_label_bytes: int = 1024
+    # Places that each of them is spread to.
+    hot_spread: int = 64
 
     @staticmethod
-    def of(spark: SparkSession) -> "Limits":
-        def setting(name: str, default: int) -> int:
-            return int(spark.conf.get(f"spark.rankfold.{name}", str(default)))
-
-        return Limits(
-            literal_labels=setting("literalLabels", Limits.literal_labels),
-            held_labels=setting("heldLabels", Limits.held_labels),
-            held_bytes=setting("heldBytes", Limits.held_bytes),
-            collected_labels=setting("collectedLabels", Limits.collected_labels),
-            collected_bytes=setting("collectedBytes", Limits.collected_bytes),
-            one_task_bytes=setting("oneTaskBytes", Limits.one_task_bytes),
-            sample_bytes=setting("sampleBytes", Limits.sample_bytes),
-            broadcast_bytes=setting("broadcastBytes", Limits.broadcast_bytes),
-            hot_labels=setting("hotLabels", Limits.hot_labels),
-            hot_label_bytes=setting("hotLabelBytes", Limits.hot_label_bytes),
-        )
+    def of(spark: SparkSession, own: Options[str, object] | None = None) -> "Limits":
+        """The session's limits, with a stage's ``own`` in place of them."""
+        own = own or {}
+        names = {_option(f.name): f for f in fields(Limits)}
+        if unknown := sorted(set(own) - set(names)):
+            raise ValueError(f"no such limits: {', '.join(unknown)}; there are {', '.join(names)}")
+        given = {}
+        for option, field in names.items():
+            setting = f"spark.rankfold.{option}"
+            value = own.get(option, spark.conf.get(setting, None))
+            given[field.name] = field.default if value is None else _amount(setting, value)
+        return Limits(**given)
+
+
+def _option(name: str) -> str:
+    first, *rest = name.split("_")
+    return first + "".join(map(str.capitalize, rest))
+
+
+# Powers of 1,024 for each unit of Spark's size strings.
+_UNITS = {"b": 0, "k": 1, "m": 2, "g": 3, "t": 4, "p": 5}
+
+
+def _amount(setting: str, value: object) -> int:
+    """A number, or a size string such as ``128m`` or ``64kb``."""
+    found = re.fullmatch(r"(-?\d+)(?:([bkmgtp])b?)?", str(value).strip().lower())
+    if found is None:
+        raise ValueError(f"{setting} is a number or a size such as 128m, not {value!r}")
+    return int(found[1]) * 1024 ** _UNITS[found[2] or "b"]

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankfold.functions.labels import has_exact_literals, literal_lookup
+from rankfold.functions.labels import has_exact_literals, literal_lookup, steady_hash
 from rankfold.functions.names import fresh, quoted
 from rankfold.functions.schemas import common_key_type
 from rankfold.operators.limits import Limits
@@ -22,6 +19,7 @@ def add_index(
     output_col: str,
     mapping: Mapping,
     missing: float | None,
+    limits: Limits,
 ) -> DataFrame:
     """Add ``output_col``: the index of ``input_col``, or ``missing`` if it has none.
 
@@ -29,7 +27,6 @@ def add_index(
     the scan's own stage; a mapping of checked size is broadcast; any other is
     joined by shuffle. Column order is that of ``withColumn``.
     """
-    limits = Limits.of(dataset.sparkSession)
     key_type = common_key_type(dataset.schema[input_col].dataType, mapping.key_type)
     key = F.col(quoted(input_col))
     if mapping.held is not None and mapping.labels <= limits.literal_labels and (
@@ -41,7 +38,9 @@ def add_index(
         key = key.cast(key_type)
     if mapping.broadcastable(limits):
         return _broadcast_lookup(dataset, key, key_type, output_col, mapping, missing)
-    return _shuffled_lookup(dataset, input_col, key, key_type, output_col, mapping, missing)
+    return _shuffled_lookup(
+        dataset, input_col, key, key_type, output_col, mapping, missing, limits.hot_spread
+    )
 
 
 def _or_missing(found: list[Column], missing: float | None) -> Column:
@@ -74,43 +73,50 @@ def _shuffled_lookup(
     output_col: str,
     mapping: Mapping,
     missing: float | None,
+    places: int,
 ) -> DataFrame:
     """Join by key over a shuffle that no single key can overload.
 
-    Rows of hot labels get their index from a small broadcast first. They, and
-    rows without a key, need no match in the shuffle, so they spread over all of
-    it by the partition they come from. That spread is a fixed property of a row
-    rather than a random number: a task that runs again sends it to the same place.
-    What skew remains (a frequent unknown value) is left to adaptive execution.
+    Rows of frequent values spread over ``places`` by the partition they come from, and
+    the entries of such values, if the mapping has any, are copied to each place. Rows
+    without a key need no match and spread likewise. Where a row goes is a fixed property
+    of it rather than a random number: a task that runs again sends it to the same place.
+    Skew that no table has shown before is left to adaptive execution.
     """
     spark = dataset.sparkSession
     label, index = fresh("label"), fresh("index")
     entries = _entries(mapping.frame(spark), key_type, label, index)
-    found, scratch = [F.col(index)], [label, index]
+    scratch = [label, index]
     matches = key == F.col(label)
-    settled = []
-    if dataset.schema[input_col].nullable:
-        settled.append(key.isNull())
-    if mapping.hot is not None:
-        hot_label, hot_index = fresh("hot_label"), fresh("hot_index")
-        hot = _entries(mapping.hot_frame(spark), key_type, hot_label, hot_index)
-        dataset = dataset.join(F.broadcast(hot), key == F.col(hot_label), "left")
-        found.insert(0, F.col(hot_index))
-        scratch += [hot_label, hot_index]
-        settled.append(F.col(hot_index).isNotNull())
-    # Only where a row can be settled: Catalyst moves no filter below the mark.
-    if settled:
+    # Only where a row may be moved: Catalyst moves no filter below the mark.
+    if dataset.schema[input_col].nullable or mapping.hot:
+        origin = F.pmod(F.spark_partition_id(), F.lit(places)).cast("long")
         spread, label_spread = fresh("spread"), fresh("label_spread")
-        origin = F.spark_partition_id().cast("long")
-        dataset = dataset.withColumn(
-            spread, F.when(reduce(or_, settled), origin).otherwise(F.xxhash64(key))
-        )
-        entries = entries.withColumn(label_spread, F.xxhash64(label))
+        moved, copies = key.isNull(), F.array(F.xxhash64(label))
+        if mapping.hot:
+            hot, hot_entry = fresh("hot"), fresh("hot_entry")
+            hashes = F.broadcast(mapping.hot_frame(spark))
+            dataset = dataset.join(
+                hashes.withColumnRenamed("hash", hot),
+                steady_hash(key, key_type) == F.col(hot),
+                "left",
+            )
+            entries = entries.join(
+                hashes.withColumnRenamed("hash", hot_entry),
+                steady_hash(F.col(label), key_type) == F.col(hot_entry),
+                "left",
+            )
+            moved = moved | F.col(hot).isNotNull()
+            everywhere = F.sequence(F.lit(0).cast("long"), F.lit(places - 1).cast("long"))
+            copies = F.when(F.col(hot_entry).isNotNull(), everywhere).otherwise(copies)
+            scratch.append(hot)
+        dataset = dataset.withColumn(spread, F.when(moved, origin).otherwise(F.xxhash64(key)))
+        entries = entries.select(label, index, F.explode(copies).alias(label_spread))
         matches = (F.col(spread) == F.col(label_spread)) & matches
         scratch += [spread, label_spread]
     return (
         dataset.join(entries, matches, "left")
-        .withColumn(output_col, _or_missing(found, missing))
+        .withColumn(output_col, _or_missing([F.col(index)], missing))
         .drop(*scratch)
     )
 

@@ -56,8 +56,10 @@ class Mapping:
     # the index at which each slice starts: columns slice, start.
     folder: str | None = None
     slice_starts: pa.Table | None = None
-    # The labels that fill the most rows of the fitted table: columns category, idx.
-    hot: pa.Table | None = None
+    # Hashes of the values that fill the most rows of a table.
+    hot: tuple[int, ...] = ()
+    # Whether the folder is a working table, which may be removed.
+    own_folder: bool = True
 
     def schema(self) -> T.StructType:
         return T.StructType(
@@ -82,7 +84,8 @@ class Mapping:
         ).select("category", (row + F.col("start")).cast(self.index_type).alias("idx"))
 
     def hot_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.hot, self.schema())
+        """The frequent values' hashes, a column ``hash``: no more than ``hotLabels``."""
+        return spark.createDataFrame(pa.table({"hash": pa.array(self.hot, pa.int64())}))
 
     def pairs(self) -> list[tuple]:
         """The entries of a held mapping in index order."""
@@ -107,6 +110,8 @@ def reaches_arrow(key_type: T.DataType) -> bool:
 
 def may_hold(key_type: T.DataType, labels: int, key_bytes: int, limits: Limits) -> bool:
     """Whether a mapping of this counted size may live on the driver."""
+    if isinstance(key_type, T.NullType):
+        return True
     return (
         reaches_arrow(key_type)
         and labels <= limits.held_labels
@@ -120,18 +125,12 @@ def memory_bytes(labels: int, key_bytes: int) -> int:
 
 
 def freeze(
-    frame: DataFrame, index_type: T.DataType, counted: tuple[int, int] | None = None
+    frame: DataFrame, index_type: T.DataType, counted: tuple[int, int], limits: Limits
 ) -> Mapping:
     """Fix the content of a table ``category, idx`` whose categories are unique."""
     spark = frame.sparkSession
-    limits = Limits.of(spark)
     key_type = frame.schema["category"].dataType
     frame = frame.select("category", F.col("idx").cast(index_type).alias("idx"))
-    if counted is None:
-        counted = frame.agg(
-            F.count(F.lit(1)),
-            F.coalesce(F.sum(stored_bytes(F.col("category"), key_type)), F.lit(0)),
-        ).head()
     labels, key_bytes = counted
     if may_hold(key_type, labels, key_bytes, limits):
         return Mapping(key_type, index_type, labels, key_bytes, held=frame.toArrow())
@@ -140,7 +139,7 @@ def freeze(
     return Mapping(key_type, index_type, labels, key_bytes, folder=folder)
 
 
-def freeze_given(frame: DataFrame, index_type: T.DataType) -> Mapping:
+def freeze_given(frame: DataFrame, index_type: T.DataType, limits: Limits) -> Mapping:
     """Freeze a mapping somebody supplied, after checking that it is one."""
     if frame.isStreaming:
         raise ValueError("a mapping needs a batch table")
@@ -149,17 +148,23 @@ def freeze_given(frame: DataFrame, index_type: T.DataType) -> Mapping:
     given = frame.toDF("category", "idx").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         key_type = given.schema["category"].dataType
-        rows, keys, indexes, key_bytes = given.agg(
+        index = F.col("idx")
+        # There and back again: what changes on the way is no index.
+        exact = index.try_cast(index_type).try_cast(given.schema["idx"].dataType).eqNullSafe(index)
+        rows, keys, indexes, changed, key_bytes = given.agg(
             F.count(F.lit(1)),
             F.count("category"),
             F.count("idx"),
+            F.count_if(~exact),
             F.coalesce(F.sum(stored_bytes(F.col("category"), key_type)), F.lit(0)),
         ).head()
         if keys < rows or indexes < rows:
             raise ValueError("a mapping has no null category and no null index")
+        if changed:
+            raise ValueError(f"{changed} indexes are no {index_type.simpleString()} values")
         repeated = given.groupBy("category").count().where("count > 1").take(1)
         if repeated:
             raise ValueError(f"category {repeated[0]['category']!r} is mapped more than once")
-        return freeze(given, index_type, (rows, key_bytes))
+        return freeze(given, index_type, (rows, key_bytes), limits)
     finally:
         given.unpersist()

@@ -20,6 +20,9 @@ _INDEX_THEN_DROP = (
     f"SELECT c_custkey, c_name, c_nationkey, c_acctbal, {_label('c_mktsegment')} AS idx "
     "FROM customer"
 )
+_ORDER_LABELS = f"""
+    SELECT l_orderkey, l_linenumber, {_label('CAST(l_orderkey AS VARCHAR)')} AS idx
+    FROM lineitem"""
 _DOUBLE_KEY = f"SELECT c_custkey, c_acctbal, {_category('c_acctbal')} AS idx FROM customer"
 
 ORACLES = {
@@ -101,4 +104,33 @@ ORACLES = {
         SELECT l_orderkey, l_linenumber, l_linestatus, {_label('l_linestatus')} AS idx
         FROM lineitem""",
     "reload_fitted_chain": _INDEX_THEN_DROP,
+    "label_index_ranked": _ORDER_LABELS,
+    "label_mapping_ranked": f"""
+        SELECT order_label AS category, {_label('order_label')} AS idx
+        FROM (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS order_label FROM lineitem)""",
+    "label_index_shuffled": _ORDER_LABELS,
+    "category_map_shuffled": f"""
+        WITH learned AS (
+            SELECT doc_id, {_category('doc_id')} AS i FROM (SELECT DISTINCT doc_id FROM labels))
+        SELECT documents.doc_id AS id,
+               CASE WHEN lang <> 'en' THEN documents.doc_id END AS doc_id,
+               CASE WHEN lang <> 'en' THEN learned.i END AS idx
+        FROM documents LEFT JOIN learned ON learned.doc_id = documents.doc_id""",
+    "label_index_shuffled_hot": _LABEL_INDEX,
+    "label_index_hot_text": f"SELECT doc_id, {_label('text')} AS idx FROM documents",
+    "two_shuffled_indexers": f"""
+        SELECT o_orderkey, {_label('CAST(o_custkey AS VARCHAR)')} AS customer_idx,
+               {_label('o_orderpriority')} AS prio_idx
+        FROM orders""",
+    "reload_ranked_model": _ORDER_LABELS,
+    "stream_shuffled": f"SELECT event_id, user_id, {_category('user_id')} AS idx FROM events",
+    "model_from_mapping_shuffled": """
+        SELECT l_orderkey, l_linenumber, l_partkey, CAST(p_size AS INTEGER) AS idx
+        FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
+    "category_map_decimal_key": f"""
+        SELECT l_orderkey, l_linenumber,
+               {_category('CAST(l_extendedprice AS DECIMAL(12, 2))')} AS idx
+        FROM lineitem""",
+    "category_map_array_key": f"""
+        SELECT p_partkey, {_category('[p_brand, p_type]')} AS idx FROM part""",
 }

@@ -267,6 +267,124 @@ def reload_fitted_chain(spark: SparkSession, folder: str) -> DataFrame:
     return PipelineModel.load(saved).transform(customers)
 
 
+# Limits under which a mapping of any size is written in sorted slices, and joined by shuffle.
+_SLICED = {"heldLabels": -1, "oneTaskBytes": -1}
+_SHUFFLED = {**_SLICED, "broadcastBytes": -1}
+
+
+def _order_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_orderkey").cast("string").alias("order_label")
+    )
+
+
+def label_index_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbered over all executors, looked up by broadcast."""
+    lines = _order_labels(spark, folder)
+    indexer = LabelIndexer(inputCol="order_label", outputCol="idx").setPlanLimits(**_SLICED)
+    return DropColumn(column="order_label").transform(indexer.fit(lines).transform(lines))
+
+
+def label_mapping_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _order_labels(spark, folder)
+    return LabelIndexer(inputCol="order_label").setPlanLimits(**_SLICED).fit(lines).mapping
+
+
+def label_index_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _order_labels(spark, folder)
+    indexer = LabelIndexer(inputCol="order_label", outputCol="idx")
+    model = indexer.setPlanLimits(**_SHUFFLED, hotLabels=0).fit(lines)
+    return DropColumn(column="order_label").transform(model.transform(lines))
+
+
+def category_map_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """Fitted on the labelled documents; all documents, ids of one language as null."""
+    labels = read_table(spark, folder, "labels").select("doc_id")
+    documents = read_table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), F.when(F.col("lang") != "en", F.col("doc_id")).alias("doc_id")
+    )
+    mapper = CategoryMapper(inputCol="doc_id", outputCol="idx").setPlanLimits(**_SHUFFLED)
+    return mapper.fit(labels).transform(documents)
+
+
+def label_index_shuffled_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Three labels hold all rows; each is spread."""
+    lines = read_table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag"
+    )
+    indexer = LabelIndexer(inputCol="l_returnflag", outputCol="idx").setPlanLimits(**_SHUFFLED)
+    return indexer.fit(lines).transform(lines)
+
+
+def label_index_hot_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents as labels, looked up by shuffle; texts of any length may be frequent."""
+    documents = read_table(spark, folder, "documents").select("doc_id", "text")
+    indexer = LabelIndexer(inputCol="text", outputCol="idx").setPlanLimits(**_SHUFFLED)
+    indexed = indexer.fit(documents).transform(documents)
+    return DropColumn(column="text").transform(indexed)
+
+
+def two_shuffled_indexers(spark: SparkSession, folder: str) -> DataFrame:
+    orders = read_table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("customer"), "o_orderpriority"
+    )
+    stages = [
+        LabelIndexer(inputCol="customer", outputCol="customer_idx").setPlanLimits(**_SHUFFLED),
+        LabelIndexer(inputCol="o_orderpriority", outputCol="prio_idx").setPlanLimits(**_SHUFFLED),
+        DropColumn(column="customer"),
+        DropColumn(column="o_orderpriority"),
+    ]
+    return Pipeline(stages=stages).fit(orders).transform(orders)
+
+
+def reload_ranked_model(spark: SparkSession, folder: str) -> DataFrame:
+    """A large mapping, read where it was saved."""
+    lines = _order_labels(spark, folder)
+    saved = new_folder(spark, "saved")
+    indexer = LabelIndexer(inputCol="order_label", outputCol="idx").setPlanLimits(**_SHUFFLED)
+    indexer.fit(lines).write().overwrite().save(saved)
+    indexed = LabelIndexerModel.load(saved).transform(lines)
+    return DropColumn(column="order_label").transform(indexed)
+
+
+def stream_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    events = read_table(spark, folder, "events")
+    indexer = CategoryMapper(inputCol="user_id", outputCol="idx").setPlanLimits(**_SHUFFLED)
+    model = indexer.fit(events)
+    rows = read_table_stream(spark, folder, "events").select("event_id", "user_id")
+    written, checkpoint = new_folder(spark, "stream"), new_folder(spark, "progress")
+    write_transformed(model, rows, written, checkpoint).awaitTermination()
+    return spark.read.schema(model.output_schema(rows.schema)).parquet(written)
+
+
+def model_from_mapping_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """A given mapping; which parts are frequent is learned from the lines."""
+    sizes = read_table(spark, folder, "part").select("p_partkey", "p_size")
+    lines = read_table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey"
+    )
+    model = CategoryMapperModel(inputCol="l_partkey", outputCol="idx").setPlanLimits(**_SHUFFLED)
+    return model.setMappingCat(sizes).learn_hot(lines).transform(lines)
+
+
+def category_map_decimal_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Fitted on narrow decimals, applied to wide ones."""
+    lines = read_table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(12,2)").alias("price")
+    )
+    wide = lines.withColumn("price", F.col("price").cast("decimal(20,4)"))
+    model = CategoryMapper(inputCol="price", outputCol="idx").fit(lines)
+    return DropColumn(column="price").transform(model.transform(wide))
+
+
+def category_map_array_key(spark: SparkSession, folder: str) -> DataFrame:
+    parts = read_table(spark, folder, "part").select(
+        "p_partkey", F.array("p_brand", "p_type").alias("kind")
+    )
+    model = CategoryMapper(inputCol="kind", outputCol="idx").fit(parts)
+    return DropColumn(column="kind").transform(model.transform(parts))
+
+
 ALL = (
     label_index,
     label_index_counts,
@@ -300,6 +418,18 @@ ALL = (
     reload_drop,
     reload_estimator,
     reload_fitted_chain,
+    label_index_ranked,
+    label_mapping_ranked,
+    label_index_shuffled,
+    category_map_shuffled,
+    label_index_shuffled_hot,
+    label_index_hot_text,
+    two_shuffled_indexers,
+    reload_ranked_model,
+    stream_shuffled,
+    model_from_mapping_shuffled,
+    category_map_decimal_key,
+    category_map_array_key,
 )
 
 QUERIES = {query.__name__: query for query in ALL}

@@ -1,6 +1,8 @@
 """Saved models: ``metadata/`` by Spark's own writer, the mapping as Parquet.
 
-``data/`` holds ``category, idx``; ``hot/`` the most frequent labels, if any.
+``data/`` holds ``category, idx``; ``hot/`` the hashes of the most frequent values, if any.
+A large mapping is read where it was saved; one inside a saved chain is copied, since a
+chain that is overwritten removes its stages' files before they are written.
 """
 
 from __future__ import annotations
@@ -8,11 +10,12 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from rankfold.operators.limits import Limits
-from rankfold.operators.mapping import Mapping, freeze, may_hold
+from rankfold.operators.mapping import Mapping, may_hold
+from rankfold.sources.store import new_folder, qualified
 
 
 class MappingModelWriter(MLWriter):
@@ -20,6 +23,15 @@ class MappingModelWriter(MLWriter):
         super().__init__()
         self.instance = instance
 
+    def save(self, path: str) -> None:
+        mapping = self.instance._frozen()
+        if mapping.folder is not None and not mapping.own_folder:
+            source, target = (qualified(self.sparkSession, p) for p in (mapping.folder, path))
+            if source == target or source.startswith(target.rstrip("/") + "/"):
+                # Its own files are about to be removed: take the mapping over first.
+                self.instance._mapping = copied(self.sparkSession, mapping)
+        super().save(path)
+
     def saveImpl(self, path: str) -> None:
         spark = self.sparkSession
         mapping = self.instance._frozen()
@@ -32,7 +44,7 @@ class MappingModelWriter(MLWriter):
                     "schema": mapping.schema().jsonValue(),
                     "labels": mapping.labels,
                     "keyBytes": mapping.key_bytes,
-                    "hotLabels": mapping.hot is not None,
+                    "hot": len(mapping.hot),
                 }
             },
         )
@@ -40,7 +52,7 @@ class MappingModelWriter(MLWriter):
         if mapping.held is not None:
             frame = frame.coalesce(1)
         frame.write.parquet(f"{path}/data")
-        if mapping.hot is not None:
+        if mapping.hot:
             mapping.hot_frame(spark).coalesce(1).write.parquet(f"{path}/hot")
 
 
@@ -56,19 +68,30 @@ class MappingModelReader(MLReader):
         model = self.model_class()
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
-        model._mapping = self._load_mapping(path, metadata["mapping"])
+        model._mapping = self._load_mapping(path, metadata["mapping"], model._limits(spark))
         return model
 
-    def _load_mapping(self, path: str, saved: dict) -> Mapping:
-        """Take the mapping over, so that the saved files may change afterwards."""
+    def _load_mapping(self, path: str, saved: dict, limits: Limits) -> Mapping:
         spark = self.sparkSession
         schema = T.StructType.fromJson(saved["schema"])
-        counted = saved["labels"], saved["keyBytes"]
-        frame = spark.read.schema(schema).parquet(f"{path}/data")
-        if may_hold(schema["category"].dataType, *counted, Limits.of(spark)):
-            frame = frame.orderBy(F.col("idx"))
-        mapping = freeze(frame, schema["idx"].dataType, counted)
-        if saved["hotLabels"]:
-            hot = spark.read.schema(schema).parquet(f"{path}/hot").toArrow()
-            mapping = replace(mapping, hot=hot)
+        key_type, index_type = schema["category"].dataType, schema["idx"].dataType
+        labels, key_bytes = saved["labels"], saved["keyBytes"]
+        mapping = Mapping(
+            key_type, index_type, labels, key_bytes, folder=f"{path}/data", own_folder=False
+        )
+        if may_hold(key_type, labels, key_bytes, limits):
+            frame = mapping.frame(spark).coalesce(1).sortWithinPartitions("idx")
+            mapping = replace(mapping, folder=None, own_folder=True, held=frame.toArrow())
+        elif "/stages/" in path:
+            mapping = copied(spark, mapping)
+        if saved["hot"]:
+            hot = spark.read.schema("hash bigint").parquet(f"{path}/hot").toArrow()
+            mapping = replace(mapping, hot=tuple(hot["hash"].to_pylist()))
         return mapping
+
+
+def copied(spark: SparkSession, mapping: Mapping) -> Mapping:
+    """The same mapping in a working table."""
+    folder = new_folder(spark, "mapping")
+    mapping.frame(spark).write.parquet(folder)
+    return replace(mapping, folder=folder, slice_starts=None, own_folder=True)

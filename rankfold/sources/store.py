@@ -29,3 +29,35 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     """A path nothing has been written to yet, grouped by application."""
     application = spark.sparkContext.applicationId
     return f"{shared_folder(spark)}/rankfold/{application}/{kind}-{uuid.uuid4().hex}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as the cluster completes it."""
+    place, system = _place(spark, path)
+    return system.makeQualified(place).toString()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a working folder; one that is gone already is no error."""
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
+def remove_working_tables(spark: SparkSession) -> None:
+    """Remove the working tables of this application's models, at its end; saved models stay.
+
+    Models whose mapping is such a table cannot be used afterwards.
+    """
+    application = spark.sparkContext.applicationId
+    place, system = _place(spark, f"{shared_folder(spark)}/rankfold/{application}")
+    if not system.exists(place):
+        return
+    for entry in system.listStatus(place):
+        if entry.getPath().getName().startswith(("mapping-", "ranked-")):
+            system.delete(entry.getPath(), True)
+
+
+def _place(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())

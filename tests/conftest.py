@@ -45,6 +45,7 @@ def settings(spark):
 
 @pytest.fixture
 def categories(spark):
+    # The documented example of both indexing stages.
     rows = [(0, "aa"), (1, "ab"), (2, "cd"), (3, "ad"), (4, "aa")]
     return spark.createDataFrame(rows).toDF("ID", "CATEGORY")
 

@@ -149,3 +149,66 @@ def test_int_index_must_hold_every_label(categories, monkeypatch):
         CategoryMapper(inputCol="CATEGORY").fit(categories)
     monkeypatch.setattr("rankfold.operators.domain._INT_LABELS", 4)
     assert CategoryMapper(inputCol="CATEGORY").fit(categories).mapping.count() == 4
+
+
+def test_pairs_of_every_key_type(spark):
+    frame = spark.sql("""
+        SELECT array(id % 3, 1) AS a, make_ym_interval(1, int(id % 3)) AS m,
+               named_struct('x', id % 2) AS s FROM range(6)""")
+    expected = {
+        "a": [([0, 1], 0), ([1, 1], 1), ([2, 1], 2)],
+        "m": [(12, 0), (13, 1), (14, 2)],
+        "s": [((0,), 0), ((1,), 1)],
+    }
+    for name, pairs in expected.items():
+        model = CategoryMapper(inputCol=name, outputCol="i").fit(frame)
+        assert list(model.mapping_pairs()) == pairs
+        assert model.getMappingCat() == pairs
+
+
+def test_times_of_day(spark, settings):
+    settings(spark__sql__timeType__enabled="true")
+    frame = spark.sql("SELECT id, make_time(int(12 - id), 0, 0) AS t FROM range(4)")
+    model = CategoryMapper(inputCol="t", outputCol="i").fit(frame)
+    got = {row["id"]: row["i"] for row in model.transform(frame).select("id", "i").collect()}
+    assert got == {0: 3, 1: 2, 2: 1, 3: 0}
+
+
+@pytest.mark.parametrize("way", ["literal", "shuffled"], indirect=True)
+@pytest.mark.parametrize(
+    "learned, applied",
+    [("decimal(10,2)", "decimal(12,4)"), ("int", "double"), ("bigint", "decimal(25,3)"), ("decimal(6,1)", "int")],
+)
+def test_key_types_that_meet_without_loss(spark, way, learned, applied):
+    frame = spark.sql(f"SELECT CAST(id AS {learned}) AS k FROM range(5)")
+    other = spark.sql(f"SELECT id, CAST(id + 1 AS {applied}) AS k FROM range(5)")
+    model = CategoryMapper(inputCol="k", outputCol="i").fit(frame)
+    got = {row["id"]: row["i"] for row in model.transform(other).collect()}
+    assert got == {0: 1, 1: 2, 2: 3, 3: 4, 4: None}
+
+
+@pytest.mark.parametrize("learned, applied", [("bigint", "double"), ("decimal(38,0)", "decimal(38,2)"), ("int", "string")])
+def test_key_types_that_lose_values_are_refused(spark, learned, applied):
+    frame = spark.sql(f"SELECT CAST(id AS {learned}) AS k FROM range(5)")
+    model = CategoryMapper(inputCol="k", outputCol="i").fit(frame)
+    with pytest.raises(ValueError, match="keys"):
+        model.transform(spark.sql(f"SELECT CAST(1 AS {applied}) AS k"))
+
+
+def test_an_empty_mapping_checks_its_key_type(spark, way):
+    empty = spark.createDataFrame([], "k array<int>")
+    model = CategoryMapper(inputCol="k", outputCol="i").fit(empty)
+    rows = spark.sql("SELECT array(1) AS k")
+    assert [row["i"] for row in model.transform(rows).collect()] == [None]
+    with pytest.raises(ValueError, match="keys"):
+        model.transform(spark.sql("SELECT 'a' AS k"))
+    # A mapping given as no pairs names no type.
+    model = CategoryMapperModel.from_mapping({}, inputCol="k", outputCol="i")
+    assert [row["i"] for row in model.transform(rows).collect()] == [None]
+
+
+@pytest.mark.parametrize("index", ["1.7D", "3000000000L", "'x'"])
+def test_given_indexes_that_would_change_are_refused(spark, index):
+    given = spark.sql(f"SELECT 'a' AS c, {index} AS i")
+    with pytest.raises(ValueError, match="int"):
+        CategoryMapperModel.from_mapping(given, inputCol="c")

@@ -8,6 +8,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as registered
+from rankfold.operators import domain, lookup
+from rankfold.plans.oracles import ORACLES
+from rankfold.plans.queries import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -42,7 +45,7 @@ def check(spark, duck, name):
     return result
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
     result = check(spark, duck, name)
     for column, kind in result.dtypes:
@@ -66,7 +69,42 @@ def test_matches_sql_by_shuffle(spark, duck, way, name):
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(registered.oracle_sql()) <= set(registered.queries())
+
+
+@pytest.mark.parametrize(
+    "name, ranked, shuffled",
+    [
+        ("label_index_ranked", 1, 0),
+        ("label_mapping_ranked", 1, 0),
+        ("label_index_shuffled", 1, 1),
+        ("category_map_shuffled", 1, 1),
+        ("label_index_shuffled_hot", 1, 1),
+        ("label_index_hot_text", 1, 1),
+        ("two_shuffled_indexers", 2, 2),
+        ("reload_ranked_model", 1, 1),
+        ("stream_shuffled", 1, 1),
+        ("model_from_mapping_shuffled", 0, 1),
+    ],
+)
+def test_queries_reach_the_large_plans(spark, monkeypatch, name, ranked, shuffled):
+    counts = {"ranked": 0, "shuffled": 0}
+
+    def counted(kind, function):
+        def call(*args):
+            counts[kind] += 1
+            return function(*args)
+
+        return call
+
+    monkeypatch.setattr(domain, "_ranked_table", counted("ranked", domain._ranked_table))
+    monkeypatch.setattr(lookup, "_shuffled_lookup", counted("shuffled", lookup._shuffled_lookup))
+    QUERIES[name](spark, FOLDER)
+    assert counts["ranked"] == ranked
+    # A fitted chain transforms once more for the stage that follows; a stream for each batch.
+    assert counts["shuffled"] >= shuffled and bool(counts["shuffled"]) == bool(shuffled)
 
 
 def test_entry(spark):

@@ -1,12 +1,16 @@
 """Plans that hold on large data: what is shuffled, what is broadcast, where skew goes."""
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
-from rankfold import CategoryMapper, LabelIndexer
+from rankfold import CategoryMapper, LabelIndexer, LabelIndexerModel
+from rankfold.functions.labels import stored_bytes
 from rankfold.functions.names import quoted
+from rankfold.operators.domain import hot_values
+from rankfold.operators.limits import Limits
 
 LINES = "/root/testdata/sf0.01/lineitem.parquet"
 
@@ -115,7 +119,8 @@ def test_plan_follows_the_size_of_the_mapping(spark, categories, way):
         # One broadcast places each sorted slice of the mapping.
         "sliced": (2, 0),
         "shuffled": (1, 1),
-        "hot": (2, 1),
+        # The frequent values' hashes mark rows and entries.
+        "hot": (3, 1),
     }
     assert (text.count("BroadcastHashJoin"), text.count("SortMergeJoin")) == joins[way]
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
@@ -197,39 +202,121 @@ def test_hot_labels_and_nulls_spread_over_the_shuffle(spark, settings, shuffled,
     result = model.transform(frame)
     sizes = [r["count"] for r in result.groupBy(F.spark_partition_id()).count().collect()]
     if hot_labels:
-        assert model._mapping.hot.column("category").to_pylist() == ["hot"]
+        assert len(model._mapping.hot) == 1
         assert max(sizes) < 0.2 * 30_000
     else:
         # What the hot labels are for: one partition holds them all.
-        assert model._mapping.hot is None
+        assert model._mapping.hot == ()
         assert max(sizes) > 0.33 * 30_000
     expected = {v: i for i, v in enumerate(sorted({r["c"] for r in frame.collect() if r["c"]}))}
     for row in result.collect():
         assert row["i"] == expected.get(row["c"], -1)
 
 
-def test_hot_labels_are_bounded_and_the_rest_is_joined(spark, settings, shuffled):
-    settings(spark__rankfold__hotLabels=500, spark__rankfold__hotLabelBytes=3)
+def test_hot_values_are_bounded_and_results_stay(spark, settings, shuffled):
     frame = skewed(spark)
-    model = LabelIndexer(inputCol="c", outputCol="i").fit(frame)
-    # Among labels of at most three bytes: "hot" has 10,000 rows, "k2" to "k98" have 10 each.
-    assert model._mapping.hot.column("category").to_pylist() == ["hot"]
-    settings(spark__rankfold__hotLabels=2000)
-    model = LabelIndexer(inputCol="c", outputCol="i").fit(frame)
-    assert 1 < model._mapping.hot.num_rows <= 2000
     expected = {v: i for i, v in enumerate(sorted({r["c"] for r in frame.collect() if r["c"]}))}
+    for hot_labels in (500, 5000):
+        settings(spark__rankfold__hotLabels=hot_labels)
+        model = LabelIndexer(inputCol="c", outputCol="i").fit(frame)
+        assert 1 <= len(model._mapping.hot) <= hot_labels
+        result = model.transform(frame).collect()
+        assert len(result) == 30_000
+        for row in result:
+            assert row["i"] == expected.get(row["c"], -1)
+
+
+def test_finding_hot_values_does_not_shuffle_the_domain(spark, settings, monkeypatch):
+    settings(spark__rankfold__hotLabels=100)
+    frame, seen = skewed(spark), []
+    head = type(frame).head
+
+    def noted(self, *args):
+        seen.append(plan(self))
+        return head(self, *args)
+
+    monkeypatch.setattr(type(frame), "head", noted)
+    assert len(hot_values(frame, "c", Limits.of(spark))) == 1
+    assert seen and all("hashpartitioning" not in text for text in seen)
+
+
+@pytest.fixture
+def whole_partitions(settings):
+    """Leave what is hot to the stages alone."""
+    settings(spark__sql__adaptive__enabled="false")
+
+
+def largest(result):
+    return max(r["count"] for r in result.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_hot_long_texts_are_spread(spark, shuffled, whole_partitions):
+    frame = skewed(spark).withColumn("c", F.when(F.col("c") == "hot", F.repeat("c", 500)).otherwise(F.col("c")))
+    model = LabelIndexer(inputCol="c", outputCol="i").fit(frame)
+    assert largest(model.transform(frame)) < 0.2 * 30_000
+
+
+def test_hot_values_of_a_given_mapping_and_unknown_ones_are_spread(spark, shuffled, whole_partitions):
+    frame = skewed(spark)
+    for known in ("hot", "other"):
+        model = LabelIndexerModel.from_mapping({known: 4.0}, inputCol="c", outputCol="i")
+        model.setPlanLimits(heldLabels=-1, broadcastBytes=-1).setMappingCat({known: 4.0})
+        result = model.learn_hot(frame).transform(frame)
+        assert largest(result) < 0.2 * 30_000
+        assert result.where("i = 4").count() == (10_000 if known == "hot" else 0)
+
+
+def test_hot_values_of_types_arrow_cannot_take_are_spread(spark, shuffled, whole_partitions):
+    frame = skewed(spark).withColumn("c", F.when(F.col("c").isNotNull(), F.array("c")))
+    model = CategoryMapper(inputCol="c", outputCol="i").fit(frame)
     result = model.transform(frame)
-    assert result.count() == 30_000
-    for row in result.collect():
-        assert row["i"] == expected.get(row["c"], -1)
+    assert largest(result) < 0.2 * 30_000
+    assert result.where("i = 0").count() == 10_000
+
+
+@pytest.mark.parametrize("set_before", [False, True])
+def test_fits_at_once_leave_the_session_option_as_it_was(spark, settings, set_before):
+    option = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    settings(
+        spark__rankfold__heldLabels=-1,
+        spark__rankfold__oneTaskBytes=-1,
+        spark__rankfold__sampleBytes=400_000,
+    )
+    if set_before:
+        settings(spark__sql__execution__rangeExchange__sampleSizePerPartition=90)
+    rows = spark.range(300).select(F.repeat(F.col("id").cast("string"), 1000).alias("k"))
+    with ThreadPoolExecutor(4) as pool:
+        fits = [pool.submit(LabelIndexer(inputCol="k", outputCol="i").fit, rows) for _ in range(4)]
+        assert [fit.result()._mapping.labels for fit in fits] == [300] * 4
+    assert spark.conf.getAll.get(option) == ("90" if set_before else None)
+
+
+def test_a_stage_has_limits_of_its_own(spark, categories):
+    indexer = LabelIndexer(inputCol="CATEGORY", outputCol="i").setPlanLimits(heldLabels=-1, oneTaskBytes="-1")
+    model = indexer.fit(categories)
+    assert model._mapping.slice_starts is not None
+    assert model.getPlanLimits() == {"heldLabels": "-1", "oneTaskBytes": "-1"}
+    with pytest.raises(ValueError, match="no such limits: held"):
+        LabelIndexer(inputCol="CATEGORY").setPlanLimits(held=1).fit(categories)
+
+
+def test_sizes_take_units(spark, settings):
+    settings(spark__rankfold__broadcastBytes="128m")
+    assert Limits.of(spark).broadcast_bytes == 128 << 20
+    settings(spark__rankfold__broadcastBytes="many")
+    with pytest.raises(ValueError, match="spark.rankfold.broadcastBytes"):
+        Limits.of(spark)
 
 
-def test_finding_hot_labels_shuffles_once(spark):
-    counts = skewed(spark).where("c is not null").groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-    frequent = counts.where(F.col("n") * 100 >= counts.agg(F.sum("n")).scalar())
-    assert [row["c"] for row in frequent.collect()] == ["hot"]
-    text = plan(frequent)
-    assert "ReusedExchange" in text or "ReusedSubquery" in text
+def test_counted_bytes_cover_nested_values(spark):
+    frame = spark.sql("""
+        SELECT array(1L, NULL, 3L) AS a, named_struct('x', NULL, 'y', 'text', 'z', 1) AS s,
+               array('ab', NULL, 'c') AS t, array(named_struct('d', 1.5D, 'e', 'f')) AS u,
+               CAST(NULL AS STRUCT<p: BIGINT>) AS n, CAST(1 AS DECIMAL(38, 2)) AS d""")
+    # A long takes 8 bytes, a text its bytes, behind a word for each.
+    least = {"a": 24, "s": 24 + 4, "t": 24 + 3, "u": 16 + 1, "n": 0, "d": 16}
+    row = frame.select(*[stored_bytes(F.col(f.name), f.dataType).alias(f.name) for f in frame.schema]).head()
+    assert all(row[name] >= size for name, size in least.items()), row
 
 
 def test_a_frequent_unknown_value_is_split_while_running(spark, settings, shuffled):
@@ -272,6 +359,6 @@ def test_two_shuffled_lookups_in_a_row(spark, settings, shuffled):
 def test_keys_arrow_cannot_take_stay_on_the_executors(spark, way):
     frame = spark.sql("SELECT id, make_ym_interval(0, int(id % 5)) AS k FROM range(20)")
     model = CategoryMapper(inputCol="k", outputCol="i").fit(frame)
-    assert model._mapping.held is None and model._mapping.hot is None
+    assert model._mapping.held is None and model._mapping.hot == ()
     rows = model.transform(frame).select("id", "i").collect()
     assert {row["id"]: row["i"] for row in rows} == {n: n % 5 for n in range(20)}

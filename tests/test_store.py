@@ -1,7 +1,10 @@
 """Where working tables go."""
 
+import os
+
 import pytest
 
+from rankfold import LabelIndexer, LabelIndexerModel
 from rankfold.sources import store
 
 
@@ -42,3 +45,31 @@ def test_a_local_session_sets_its_own_once():
     session = Session(Context("local[2]"))
     folder = store.shared_folder(session)
     assert folder and store.shared_folder(session) == folder
+
+
+def test_release_removes_the_working_table_and_no_saved_model(spark, categories, settings, tmp_path):
+    settings(spark__rankfold__heldLabels=-1)
+    model = LabelIndexer(inputCol="CATEGORY", outputCol="i").fit(categories)
+    path = str(tmp_path / "model")
+    model.save(path)
+    folder = model._mapping.folder.removeprefix("file:")
+    assert os.path.isdir(folder)
+    loaded = LabelIndexerModel.load(path)
+    # The saved files are read where they are.
+    assert loaded._mapping.folder == f"{path}/data"
+    model.release()
+    loaded.release()
+    assert not os.path.exists(folder) and os.path.isdir(f"{path}/data")
+    with pytest.raises(ValueError, match="no mapping"):
+        model.transform(categories)
+    assert LabelIndexerModel.load(path).transform(categories).count() == 5
+
+
+def test_working_tables_go_at_the_end(spark, categories, settings):
+    settings(spark__rankfold__heldLabels=-1)
+    model = LabelIndexer(inputCol="CATEGORY", outputCol="i").fit(categories)
+    kept = store.new_folder(spark, "saved")
+    model.save(kept)
+    store.remove_working_tables(spark)
+    assert not os.path.exists(model._mapping.folder.removeprefix("file:"))
+    assert LabelIndexerModel.load(kept).mapping_dict() == {"aa": 0, "ab": 1, "ad": 2, "cd": 3}
