@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from rankfold.llm.common import column, in_arrow, partitions, reach_workers, whole, written
 
 #: Bytes of text in a shard, about.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 _BASES = tuple(np.uint64(base) for base in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03))
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -275,7 +275,7 @@ def _packed(batches):
         yield pa.record_batch([*batch.columns[:3], packed], names=["doc_id", "shard", "uid", "packed"])
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, anchor: int = 16) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 35, anchor: int = 8) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row.
 
     A word goes if a window of ``window`` words that covers it also stands anywhere else,
