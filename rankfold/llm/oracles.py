@@ -53,4 +53,47 @@ LLM_ORACLES = {
                sha256(array_to_string(
                    list_filter(words, lambda w, i: NOT coalesce(list_contains(places, i), false)), ' ')) AS kept_sha256
         FROM split LEFT JOIN gone USING (row_no)""",
+    "op6_quality_rules": r"""
+        WITH split AS (
+            SELECT doc_id, source, row_number() OVER () AS row_no, coalesce(text, '') AS body,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda l: regexp_matches(l, '[^ \t\n\x0B\f\r]')) AS lines
+            FROM documents),
+        starts AS (SELECT row_no, unnest(range(1, len(words) - 1)) AS pos FROM split WHERE len(words) >= 3),
+        windows AS (
+            SELECT row_no, pos, list_slice(words, pos, pos + 2) AS w FROM starts JOIN split USING (row_no)),
+        repeated AS (
+            SELECT row_no, pos FROM (
+                SELECT row_no, pos, count(*) OVER (PARTITION BY row_no, w) AS n FROM windows) WHERE n > 1),
+        covered AS (
+            SELECT row_no, count(DISTINCT pos + d) AS n FROM repeated, range(3) AS r(d) GROUP BY row_no),
+        measured AS (
+            SELECT doc_id, source, len(words) AS n_words,
+                   length(regexp_replace(body, '[ \t\n\x0B\f\r]', '', 'g')) AS word_chars,
+                   length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(covered.n, 0) AS n_repeat_words
+            FROM split LEFT JOIN covered USING (row_no)),
+        judged AS (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+                   20 * n_symbols > n_words OR 10 * n_dup_lines > n_words
+                       OR 100 * n_repeat_words > 20 * n_words
+                       OR word_chars < 2 * n_words OR word_chars > 15 * n_words AS strict_failed
+            FROM measured),
+        hosts AS (
+            SELECT source AS host, CAST(count(*) AS DOUBLE) AS docs,
+                   CAST(count(*) FILTER (base_failed) AS DOUBLE) AS failed
+            FROM judged GROUP BY source),
+        pooled AS (
+            SELECT sum(failed) / sum(docs) AS m, sum(failed * failed / docs) / sum(docs) AS s,
+                   count(*) / sum(docs) AS per_doc
+            FROM hosts),
+        prior AS (
+            SELECT m, CASE WHEN between_hosts <= 0 THEN 10000
+                           ELSE least(10000, greatest(1, m * (1 - m) / between_hosts - 1)) END AS weight
+            FROM (SELECT m, s - m * m - m * (1 - m) * per_doc AS between_hosts FROM pooled))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND ((failed + m * weight) / (docs + weight) <= 0.5 OR NOT strict_failed) AS kept
+        FROM judged JOIN hosts ON host IS NOT DISTINCT FROM source, prior""",
 }
