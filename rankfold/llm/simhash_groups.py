@@ -120,35 +120,59 @@ def _refined(crowded: DataFrame, max_bits: int) -> DataFrame:
     ]
     signed = [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
     choices = F.array(*[F.struct(F.lit(i).alias("part"), F.lit(mask).cast("long").alias("mask")) for i, mask in enumerate(signed)])
-    return crowded.select("key", "fp", F.explode(choices).alias("choice")).select(
-        "key", F.col("choice.part").alias("part"), F.col("fp").bitwiseAND(F.col("choice.mask")).alias("same"), "fp"
+    return crowded.withColumn("choice", F.explode(choices)).select(
+        *crowded.columns, F.col("choice.part").alias("part"), F.col("fp").bitwiseAND(F.col("choice.mask")).alias("same")
     )
 
 
 def near_pairs(values: DataFrame, max_bits: int = 2, crowded: int = CROWDED) -> DataFrame:
     """Pairs ``a < b`` of different fingerprints in ``fp`` that differ in at most ``max_bits``.
 
-    ``values`` holds each fingerprint once. ``max_bits`` is at most 5.
+    ``values`` holds each fingerprint once. ``max_bits`` is at most 5. Where ``values`` has a
+    column ``comp``, only pairs that differ in it are told.
     """
-    if not 0 < max_bits <= 5:
-        raise ValueError("max_bits must be from 1 to 5")
-    keyed = written(_keyed(values, max_bits), "keys")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(shared, "shared")
-    keyed = keyed.join(shared, "key")
+    keyed = shared_keys(values, max_bits)
     near = (F.col("x.fp") < F.col("y.fp")) & (F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= max_bits)
+    if "comp" in values.columns:
+        keyed = keyed.join(values.select("fp", "comp"), "fp")
+        near = near & (F.col("x.comp") != F.col("y.comp"))
     pair = [F.col("x.fp").alias("a"), F.col("y.fp").alias("b")]
-    few = keyed.where(F.col("n") <= crowded).select("key", "fp")
+    few = keyed.where(F.col("n") <= crowded)
     pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & near).select(*pair)
-    many = shared.where(F.col("n") > crowded)
+    many = keyed.where(F.col("n") > crowded)
     if many.limit(1).count():
-        fine = written(_refined(keyed.where(F.col("n") > crowded).select("key", "fp"), max_bits), "refined")
+        fine = written(_refined(many, max_bits), "refined")
         same = [F.col(f"x.{name}") == F.col(f"y.{name}") for name in ("key", "part", "same")]
         more = fine.alias("x").join(fine.alias("y"), same[0] & same[1] & same[2] & near).select(*pair)
         pairs = pairs.unionAll(more)
     return written(pairs.distinct(), "near")
 
 
+def shared_keys(values: DataFrame, max_bits: int) -> DataFrame:
+    """``key, fp, n`` of the keys that two fingerprints or more have, ``n`` of them."""
+    if not 0 < max_bits <= 5:
+        raise ValueError("max_bits must be from 1 to 5")
+    keyed = written(_keyed(values, max_bits), "keys")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return keyed.join(written(shared, "shared"), "key")
+
+
+def pivot_pairs(values: DataFrame, max_bits: int, orders: int = 3) -> DataFrame:
+    """Near pairs of each fingerprint with the first ones of its keys, in several random orders.
+
+    As many rows as keys, however many fingerprints are near each other.
+    """
+    keyed = shared_keys(values, max_bits)
+    firsts = F.array(*[F.min_by("fp", F.xxhash64(F.lit(i), "fp")) for i in range(orders)])
+    pivots = keyed.groupBy(F.col("key").alias("k")).agg(firsts.alias("pivots"))
+    near = F.filter(
+        F.array_distinct("pivots"),
+        lambda p: (p != F.col("fp")) & (F.bit_count(p.bitwiseXOR(F.col("fp"))) <= max_bits),
+    )
+    met = keyed.join(pivots, F.col("key") == F.col("k")).select("fp", F.explode(near).alias("pivot"))
+    return met.select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).distinct()
+
+
 def link_fingerprints(docs: DataFrame, max_bits: int = 2, crowded: int = CROWDED) -> DataFrame:
     """One row per document: ``doc_id, fp, component_id``, the smallest id it is linked to.
 
@@ -232,11 +256,21 @@ def near_copies(docs: DataFrame, least: float = 0.8, max_bits: int = 4) -> DataF
     chosen = written(chosen.select(F.col("fp").alias("f"), F.col("c.key").alias("k"), F.col("c.sketch").alias("s")), "chosen")
     equal = rows.join(chosen, (F.col("fp") == F.col("f")) & (F.col("key") != F.col("k")))
     equal = equal.select(F.col("key").alias("a"), F.col("k").alias("b"), F.col("sketch").alias("sa"), F.col("s").alias("sb"))
-    pairs = near_pairs(chosen.select(F.col("f").alias("fp")), max_bits)
+    fps = chosen.select(F.col("f").alias("fp"), F.col("k"))
     left = chosen.select(F.col("f").alias("a"), F.col("k").alias("ka"), F.col("s").alias("sa"))
     right = chosen.select(F.col("f").alias("b"), F.col("k").alias("kb"), F.col("s").alias("sb"))
-    near = pairs.join(left, "a").join(right, "b").select("ka", "kb", "sa", "sb")
-    roots = components(_similar(equal.unionAll(near), least))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _similar(pairs.join(left, "a").join(right, "b").select("ka", "kb", "sa", "sb"), least)
+
+    # First each fingerprint with few others; then only what these links leave apart, so that
+    # a large group does not give all its pairs.
+    links = written(verified(pivot_pairs(fps, max_bits)), "links")
+    first = components(links)
+    parts = fps.join(first, F.col("k") == F.col("node"), "left")
+    parts = written(parts.select("fp", F.coalesce("root", "k").alias("comp")), "parts")
+    more = verified(near_pairs(parts, max_bits))
+    roots = components(_similar(equal, least).unionAll(links).unionAll(more))
     different = rows.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies"))
     grouped = different.join(roots, F.col("key") == F.col("node"), "left")
     grouped = grouped.select("doc_id", "key", "copies", F.coalesce("root", "key").alias("group"))
