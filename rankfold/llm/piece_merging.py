@@ -25,8 +25,9 @@ from rankfold.llm.common import map_texts
 
 SPACE = "▁"
 
-#: Units that a task remembers before it starts afresh, and the longest that it remembers.
-REMEMBERED, LONGEST = 1 << 18, 64
+#: Units that a worker remembers before it starts afresh, half as many with their ids, and the
+#: longest that it remembers.
+REMEMBERED, LONGEST = 1 << 19, 64
 
 _LETTER = r"\p{L}\p{M}"
 _UNITS = rf"{SPACE}*[{_LETTER}]+|{SPACE}*[^{_LETTER}{SPACE}\n]+|{SPACE}+|\n"
@@ -151,7 +152,7 @@ def encode_texts(docs: DataFrame, path: str, ids: bool = True) -> DataFrame:
                         new[unit] = merging.encode(unit)
             if new:
                 merging.check(new)
-                if len(known) + len(new) > REMEMBERED:
+                if len(known) + len(new) > REMEMBERED >> ids:
                     known.clear()
                     for units in cut:
                         new.update((unit, merging.encode(unit)) for unit in units if unit not in new)
