@@ -84,7 +84,7 @@ class MappingModelReader(MLReader):
             mapping = replace(mapping, folder=None, own_folder=True, held=frame.toArrow())
         elif "/stages/" in path:
             mapping = copied(spark, mapping)
-        if saved["hot"]:
+        if saved.get("hot"):
             hot = spark.read.schema("hash bigint").parquet(f"{path}/hot").toArrow()
             mapping = replace(mapping, hot=tuple(hot["hash"].to_pylist()))
         return mapping
