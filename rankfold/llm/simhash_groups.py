@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.llm import golay
@@ -132,7 +132,10 @@ def near_pairs(values: DataFrame, max_bits: int = 2, crowded: int = CROWDED) ->
     column ``comp``, only pairs that differ in it are told.
     """
     keyed = shared_keys(values, max_bits)
-    near = (F.col("x.fp") < F.col("y.fp")) & (F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= max_bits)
+    errors = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
+    near = (F.col("x.fp") < F.col("y.fp")) & (F.bit_count(errors) <= max_bits)
+    # A pair that shares keys of several kinds is told by one kind alone.
+    near = near & (F.shiftright("x.key", 36) == _first_kind(errors, max_bits))
     if "comp" in values.columns:
         keyed = keyed.join(values.select("fp", "comp"), "fp")
         near = near & (F.col("x.comp") != F.col("y.comp"))
@@ -148,6 +151,17 @@ def near_pairs(values: DataFrame, max_bits: int = 2, crowded: int = CROWDED) ->
     return written(pairs.distinct(), "near")
 
 
+def _first_kind(errors: Column, max_bits: int) -> Column:
+    """The first kind of key that two fingerprints with these errors are certain to share."""
+    a, b, c = (
+        F.bit_count(F.shiftrightunsigned(errors, low).bitwiseAND(F.lit((1 << width) - 1).cast("long")))
+        for low, width in SEGMENTS
+    )
+    if max_bits <= 2:
+        return F.when(a == 0, 0).when(b == 0, 1).otherwise(2)
+    return F.when((a <= 2) & (b <= 2), 0).when((a <= 2) & (c <= 2), 1).otherwise(2)
+
+
 def shared_keys(values: DataFrame, max_bits: int) -> DataFrame:
     """``key, fp, n`` of the keys that two fingerprints or more have, ``n`` of them."""
     if not 0 < max_bits <= 5:
