@@ -13,6 +13,7 @@ than bits may differ, and the parts that must then be equal join the key.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -209,20 +210,29 @@ def link_fingerprints(docs: DataFrame, max_bits: int = 2, crowded: int = CROWDED
 SKETCH = 128
 
 
-def sketch(text: bytes, size: int = 5) -> np.ndarray:
-    """The ``SKETCH`` smallest 32-bit hashes of the different runs of five words."""
+def run_hashes(text: bytes, size: int = 5) -> np.ndarray:
+    """The 64-bit hashes of the different runs of five words, in order; zero for no words."""
     words = text.lower().split()
     if not words:
-        return np.empty(0, np.uint32)
+        return np.zeros(1, np.uint64)
     digest = xxhash.xxh3_64_intdigest
     hashed = np.array([digest(word) for word in words], np.uint64)
     runs = np.zeros(max(1, len(words) - size + 1), np.uint64)
     for i in range(min(size, len(words))):
         runs = runs * np.uint64(0x9E3779B97F4A7C15) + hashed[i : i + len(runs)]
-    runs = (runs ^ runs >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
+    return np.unique((runs ^ runs >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD))
+
+
+def sketch_of(runs: np.ndarray) -> np.ndarray:
+    """The ``SKETCH`` smallest different upper halves of the hashes."""
     return np.unique(runs >> np.uint64(32))[:SKETCH].astype(np.uint32)
 
 
+def sketch(text: bytes, size: int = 5) -> np.ndarray:
+    """The ``SKETCH`` smallest 32-bit hashes of the different runs of five words."""
+    return sketch_of(run_hashes(text, size)) if text.split() else np.empty(0, np.uint32)
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """The Jaccard similarity of two sketches; exact where they hold all runs."""
     both = np.union1d(a, b)[:SKETCH]
@@ -243,16 +253,106 @@ def _similar(pairs: DataFrame, least: float) -> DataFrame:
     return in_arrow(pairs, similar, "a bigint, b bigint")
 
 
+#: Texts in which runs are counted, and the share of all texts where that is more; runs seen in so
+#: many of them are common, and so many of the most common ones are told to every task.
+COUNTED_TEXTS, COUNTED_SHARE, COMMON_FROM, COMMON_RUNS = 8192, 1 / 16, 8, 1 << 16
+
+
+def rare_runs(runs: np.ndarray, least: float, common: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """So many of a text's runs, rarest first, that texts at ``least`` share one of them.
+
+    Of ``n`` runs at least ``least * n`` are shared, so one of any ``n - least * n + 1`` is;
+    the rarest of both texts hold the rarest shared one, whatever order all texts are held to.
+    ``common`` are the runs that come last, in order, and ``seen`` how often they were seen.
+    """
+    count = len(runs) - math.ceil(least * len(runs) - 1e-9) + 1
+    if not len(common):
+        return runs[:count]
+    at = np.minimum(np.searchsorted(common, runs), len(common) - 1)
+    often = np.where(common[at] == runs, seen[at], 0)
+    return runs[np.lexsort((runs, often))[:count]]
+
+
+def _common_runs(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Runs that many of the counted texts have, in order, and in how many. They only steer."""
+    share = max(COUNTED_SHARE, COUNTED_TEXTS / max(1, docs.count()))
+    counted = docs.where(F.pmod(F.xxhash64(TEXT_KEY), F.lit(1 << 20)) < int(share * (1 << 20)))
+    runs = map_texts(
+        counted,
+        lambda: lambda texts: {"runs": ([run_hashes(text).view(np.int64) for text in texts], pa.list_(pa.int64()))},
+        "runs array<bigint>",
+        keys=(TEXT_KEY,),
+    )
+    often = runs.select(F.explode("runs").alias("run")).groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    often = often.where(F.col("n") >= COMMON_FROM).orderBy(F.desc("n"), "run").limit(COMMON_RUNS).collect()
+    common = np.array([row.run for row in often], np.int64).view(np.uint64)
+    order = np.argsort(common)
+    return common[order], np.array([row.n for row in often], np.int64)[order]
+
+
+def _rare(docs: DataFrame, least: float) -> DataFrame:
+    """``run, key, size``: rare runs of each text that others have too, and its number of runs."""
+    common, seen = _common_runs(docs)
+
+    def make():
+        def picked(texts):
+            found = [run_hashes(text) for text in texts]
+            rare = [rare_runs(runs, least, common, seen).view(np.int64) for runs in found]
+            return {"size": ([len(runs) for runs in found], pa.int64()), "runs": (rare, pa.list_(pa.int64()))}
+
+        return picked
+
+    rare = map_texts(docs, make, "size bigint, runs array<bigint>", keys=(TEXT_KEY,))
+    rare = written(rare.select(F.explode("runs").alias("run"), F.col(TEXT_KEY).alias("key"), "size"), "rare")
+    shared = rare.groupBy(F.col("run").alias("r")).agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    shared = written(shared.where("low < high").select("r"), "shared")
+    return written(rare.join(shared, F.col("run") == F.col("r"), "left_semi").distinct(), "rare-shared")
+
+
+def _sized(least: float) -> Column:
+    """Whether two sets ``x`` and ``y`` are not too unlike in size."""
+    return F.least("x.size", "y.size") >= F.greatest("x.size", "y.size") * least - 1e-9
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+
+
+def _rare_pivots(rare: DataFrame, least: float) -> DataFrame:
+    """Pairs of each text with the first one of each of its rare runs: as many rows as runs."""
+    first = rare.groupBy("run").agg(F.min_by(F.struct("key", "size"), F.xxhash64("key")).alias("first"))
+    first = first.select("run", "first.*")
+    met = rare.alias("x").join(first.alias("y"), F.col("x.run") == F.col("y.run"))
+    return _pairs(met.where((F.col("x.key") != F.col("y.key")) & _sized(least)))
+
+
+def _rare_pairs(rare: DataFrame, least: float) -> DataFrame:
+    """All pairs that share a rare run and differ in ``comp``.
+
+    Of two such texts one at least is not of the run's main component, so its texts are not
+    joined with each other.
+    """
+    main = rare.groupBy(F.col("run").alias("r")).agg(
+        F.min_by("comp", F.xxhash64("run", "key")).alias("main"), F.min("comp").alias("low"), F.max("comp").alias("high")
+    )
+    mixed = rare.join(main.where("low < high").select("r", "main"), F.col("run") == F.col("r"))
+    mixed = written(mixed.select("run", "key", "size", "comp", "main"), "mixed")
+    apart = (F.col("x.run") == F.col("y.run")) & (F.col("x.comp") != F.col("y.comp")) & _sized(least)
+    # Where both are of other components, one order is enough.
+    once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.key") < F.col("y.key"))
+    return _pairs(mixed.where("comp != main").alias("x").join(mixed.alias("y"), apart & once))
+
+
 def near_copies(docs: DataFrame, least: float = 0.8, max_bits: int = 4) -> DataFrame:
     """Groups of near copies: ``doc_id``, the text key, ``copies`` and ``kept`` of each different row.
 
-    ``docs`` has ``doc_id``, ``text`` and the text key. Texts are fingerprinted by their
-    different words, which near copies change least. Texts are linked where fingerprints
-    differ in at most ``max_bits`` and the similarity of their runs of five words,
-    estimated from ``SKETCH`` hashes, is at least ``least``; texts of one fingerprint are
-    compared with the one of them that speaks for it. Of each group one row is kept: that
-    with the smallest id, then text key. Equal texts are one group, null as the empty one.
-    ``copies`` counts the rows that are repeated whole.
+    ``docs`` has ``doc_id``, ``text`` and the text key. Texts are linked where the similarity
+    of their runs of five words is at least ``least``, and every such pair ends in one group.
+    Fingerprints of their different words that differ in at most ``max_bits`` join large
+    groups first, with few comparisons; then all texts of different groups that share one of
+    their rarest runs are compared, which no similar pair escapes. Pairs are compared
+    by ``SKETCH`` hashes. Of each group one row is kept: that with the smallest id, then text key. Equal texts are one group, null as the
+    empty one. ``copies`` counts the rows that are repeated whole.
     """
 
     def make():
@@ -266,25 +366,30 @@ def near_copies(docs: DataFrame, least: float = 0.8, max_bits: int = 4) -> DataF
 
     rows = map_texts(docs, make, "fp bigint, sketch binary", keys=("doc_id", TEXT_KEY))
     rows = written(rows.withColumnRenamed(TEXT_KEY, "key"), "sketches")
-    chosen = rows.groupBy("fp").agg(F.min_by(F.struct("key", "sketch"), "key").alias("c"))
-    chosen = written(chosen.select(F.col("fp").alias("f"), F.col("c.key").alias("k"), F.col("c.sketch").alias("s")), "chosen")
-    equal = rows.join(chosen, (F.col("fp") == F.col("f")) & (F.col("key") != F.col("k")))
-    equal = equal.select(F.col("key").alias("a"), F.col("k").alias("b"), F.col("sketch").alias("sa"), F.col("s").alias("sb"))
-    fps = chosen.select(F.col("f").alias("fp"), F.col("k"))
-    left = chosen.select(F.col("f").alias("a"), F.col("k").alias("ka"), F.col("s").alias("sa"))
-    right = chosen.select(F.col("f").alias("b"), F.col("k").alias("kb"), F.col("s").alias("sb"))
+    texts = written(rows.groupBy("key").agg(F.first("fp").alias("fp"), F.first("sketch").alias("s")), "texts")
+    speaks = written(texts.groupBy("fp").agg(F.min("key").alias("k")), "chosen")
+    equal = texts.join(speaks, "fp").where("key != k").select(F.col("key").alias("a"), F.col("k").alias("b"))
+    left = texts.select(F.col("key").alias("a"), F.col("s").alias("sa"))
+    right = texts.select(F.col("key").alias("b"), F.col("s").alias("sb"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return _similar(pairs.join(left, "a").join(right, "b").select("ka", "kb", "sa", "sb"), least)
-
-    # First each fingerprint with few others; then only what these links leave apart, so that
-    # a large group does not give all its pairs.
-    links = written(verified(pivot_pairs(fps, max_bits)), "links")
+        sketched = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
+        return _similar(sketched, least)
+
+    # First each text with few others; then only what these links leave apart, so that a large
+    # group does not give all its pairs.
+    near = pivot_pairs(speaks.select("fp"), max_bits)
+    near = near.join(speaks.select(F.col("fp").alias("a"), F.col("k").alias("ka")), "a")
+    near = near.join(speaks.select(F.col("fp").alias("b"), F.col("k").alias("kb")), "b")
+    near = near.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"))
+    rare = _rare(docs, least)
+    few = equal.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionAll(near)
+    links = written(verified(few.unionAll(_rare_pivots(rare, least)).distinct()), "links")
     first = components(links)
-    parts = fps.join(first, F.col("k") == F.col("node"), "left")
-    parts = written(parts.select("fp", F.coalesce("root", "k").alias("comp")), "parts")
-    more = verified(near_pairs(parts, max_bits))
-    roots = components(_similar(equal, least).unionAll(links).unionAll(more))
+    parts = rare.join(first, F.col("key") == F.col("node"), "left")
+    parts = written(parts.select("run", "key", "size", F.coalesce("root", "key").alias("comp")), "parts")
+    more = verified(_rare_pairs(parts, least))
+    roots = components(links.unionAll(more))
     different = rows.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies"))
     grouped = different.join(roots, F.col("key") == F.col("node"), "left")
     grouped = grouped.select("doc_id", "key", "copies", F.coalesce("root", "key").alias("group"))

@@ -111,6 +111,36 @@ def test_near_copies(spark, documents, no_documents):
     assert simhash_groups.near_copies(with_text_key(no_documents)).count() == 0
 
 
+def kept_by_brute_force(texts, least=0.8):
+    words = {i: text.split() for i, text in texts}
+    runs = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+    pairs = [(a, b) for a in runs for b in runs if a < b]
+    links = [(a, b) for a, b in pairs if len(runs[a] & runs[b]) / len(runs[a] | runs[b]) >= least]
+    return sorted(set(grouped(runs, links).values()))
+
+
+def kept_ids(spark, texts):
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    return sorted(r.doc_id for r in simhash_groups.near_copies(with_text_key(frame)).where("kept").collect())
+
+
+def test_unlike_texts_of_one_word_set_find_their_near_copies(spark):
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(12):
+        words = rng.sample(vocabulary, 120)
+        near = list(words)
+        near[40], near[41] = near[41], near[40]
+        other = list(near)
+        other[90] = f"new{i}"
+        texts += [(3 * i + 1, " ".join(words)), (3 * i, " ".join(near)), (3 * i + 2, " ".join(other))]
+    marks = {simhash_groups.fingerprint(simhash_groups.word_hashes(t.encode())) for i, t in texts if i % 3 < 2}
+    assert len(marks) == 1
+    wanted = kept_by_brute_force(texts)
+    assert wanted == list(range(0, 36, 3)) and kept_ids(spark, texts) == wanted
+
+
 def test_similarity_is_that_of_the_runs():
     rng = random.Random(1)
     for n in (3, 8, 60, 400):
