@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one document stays; of rows repeated whole, one row."""
     keyed = with_text_key(docs)
-    kept = written(simhash_groups.near_copies(keyed, least=0.8, max_bits=4).where("kept"), "kept")
+    kept = written(simhash_groups.near_copies(keyed, least=0.8, max_bits=5).where("kept"), "kept")
     rows = only_rows(keyed, kept, "left_semi")
     if kept.where("copies > 1").limit(1).count():
         rows = with_text_key(rows).dropDuplicates(["doc_id", TEXT_KEY]).drop(TEXT_KEY)

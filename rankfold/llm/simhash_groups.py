@@ -343,7 +343,7 @@ def _rare_pairs(rare: DataFrame, least: float) -> DataFrame:
     return _pairs(mixed.where("comp != main").alias("x").join(mixed.alias("y"), apart & once))
 
 
-def near_copies(docs: DataFrame, least: float = 0.8, max_bits: int = 4) -> DataFrame:
+def near_copies(docs: DataFrame, least: float = 0.8, max_bits: int = 5) -> DataFrame:
     """Groups of near copies: ``doc_id``, the text key, ``copies`` and ``kept`` of each different row.
 
     ``docs`` has ``doc_id``, ``text`` and the text key. Texts are linked where the similarity

@@ -141,6 +141,20 @@ def test_unlike_texts_of_one_word_set_find_their_near_copies(spark):
     assert wanted == list(range(0, 36, 3)) and kept_ids(spark, texts) == wanted
 
 
+def test_pairs_with_unlike_fingerprints_are_found(spark):
+    rng = random.Random(13)
+    texts = []
+    for i in range(20):
+        words = [f"g{i}w{rng.randint(0, 11)}" for _ in range(60)]
+        near = list(words)
+        near[30] = "new"
+        texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
+    marks = [simhash_groups.fingerprint(simhash_groups.word_hashes(text.encode())) for _, text in texts]
+    assert sum(((a ^ b) & (1 << 64) - 1).bit_count() > 5 for a, b in zip(marks[::2], marks[1::2])) > 5
+    wanted = kept_by_brute_force(texts)
+    assert len(wanted) < 25 and kept_ids(spark, texts) == wanted
+
+
 def test_similarity_is_that_of_the_runs():
     rng = random.Random(1)
     for n in (3, 8, 60, 400):
