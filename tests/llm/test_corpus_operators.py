@@ -141,6 +141,19 @@ def test_unlike_texts_of_one_word_set_find_their_near_copies(spark):
     assert wanted == list(range(0, 36, 3)) and kept_ids(spark, texts) == wanted
 
 
+def test_long_texts_are_compared_by_all_runs(spark):
+    rng = random.Random(11)
+    texts = []
+    for i in range(30):
+        words = [f"w{rng.randint(0, 900)}" for _ in range(600)]
+        near = list(words)
+        for at in rng.sample(range(5, 595, 10), 11 + i % 5):
+            near[at] = "new"
+        texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
+    wanted = kept_by_brute_force(texts)
+    assert 30 < len(wanted) < 60 and kept_ids(spark, texts) == wanted
+
+
 def test_pairs_with_unlike_fingerprints_are_found(spark):
     rng = random.Random(13)
     texts = []
