@@ -198,12 +198,16 @@ _ADDRESS = re.compile(
     re.I,
 )
 _SIGN = re.compile(rf"{_DOT_SIGN}|{_AT_SIGN}", re.I)
-_SIGNED = re.compile(r"[ (\[{<](?:(?<= )dot |(?<=[(\[{<])[ ]?(?:at|@|dot|[.])[ ]?[)\]}>])", re.I)
-_REACH = 400
+#: Every address that is not a plain one holds one of these: of "at" alone, a sign for "dot" follows.
+_SIGNED = re.compile(r"[ (\[{<](?:(?<= )(?:dot |@)|(?<=[(\[{<])[ ]?(?:at|@|dot|[.])[ ]?[)\]}>])|@ ", re.I)
+#: More than an address can be long.
+_REACH = 700
 _DOTS = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:(?:{_DOT_SIGN}|[.])[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
 _DOT = re.compile(_DOT_SIGN, re.I)
 _PART = rf"{_ITEM}(?:{_JOIN}{_ITEM}){{0,2}}"
 _SPELLED_DOTS = re.compile(rf"(?<![^\W_]){_PART}(?:(?:{_DOT_SIGN}|[.]){_PART}){{3}}", re.I)
+#: What these hold where none of their dots is a sign.
+_DOTTED_PARTS = re.compile(rf"[.]{_PART}[.]{_PART}[.]", re.I)
 
 
 def _spelled_together(text: str) -> bool:
@@ -244,7 +248,7 @@ def _plus(text: str):
 
 
 def _near_signs(text: str):
-    """Stretches around signs for "dot", or for "at" in brackets, joined where they meet."""
+    """Stretches around signs for "dot", and for "at" but the bare word, joined where they meet."""
     low = high = None
     for sign in _SIGNED.finditer(text):
         start, end = max(0, sign.start() - _REACH), min(len(text), sign.end() + _REACH)
@@ -285,7 +289,7 @@ def disguised(text: str) -> list[tuple[str, int, int]]:
         if odd := table.keys() & set(text):
             found = re.finditer("[" + "".join(map(re.escape, odd)) + "]", text)
             rewritten = rewritten.rewrite((m.start(), m.end(), table[m[0]]) for m in found)
-    if _SIGNED.search(rewritten.text):
+    if _SIGNED.search(rewritten.text) or _DOTTED_PARTS.search(rewritten.text):
         rewritten = rewritten.rewrite(_dotted_numerals(rewritten.text))
     for transducer in (_numerals, _plus, _signs):
         rewritten = rewritten.rewrite(transducer(rewritten.text))

@@ -137,6 +137,27 @@ def test_disguises(text, kind, source):
     assert source not in disguised_data.masked(text)
 
 
+BRACKETED = [f"{a}{word}{b}" for a, b in ("()", "[]", "{}", "<>") for word in ("at", "@", " AT ")]
+
+
+@pytest.mark.parametrize("sign", [" @ ", " @", "@ ", "  @  ", *BRACKETED, *(f" {sign} " for sign in BRACKETED)])
+def test_each_sign_for_at_is_found_alone(sign):
+    text = f"jane{sign}example.com"
+    assert disguised_data.find(text) == ([], [("email", 0, len(text))])
+
+
+@pytest.mark.parametrize("dot", [".", " dot ", "[.]", "(dot)", " { dot } "])
+@pytest.mark.parametrize("parts", ["one two three four", "10 0 0 one", "one-nine-two one,six,eight 1 2", "1-two 3 4 5"])
+def test_each_dot_of_spelled_numbers_is_found_alone(dot, parts):
+    text = dot.join(parts.split())
+    assert disguised_data.find(text) == ([], [("ip", 0, len(text))])
+
+
+def test_long_addresses_are_found_whole():
+    text = f"{'a' * 64} dot {'b' * 64}.{'c' * 64}@{'.'.join(['d' * 63] * 5)}"
+    assert ("email", 0, len(text)) in disguised_data.find(text)[1]
+
+
 @pytest.mark.parametrize("text", ["look at foo.bar the", "one two three", "at dot at", "", "the plus side", "5 - 6 - 7"])
 def test_clean_texts_have_no_finds(text):
     assert disguised_data.find(text) == ([], [])
