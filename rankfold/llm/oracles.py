@@ -2,6 +2,70 @@
 
 from __future__ import annotations
 
+
+
+def _field(name: str) -> str:
+    return f"coalesce(strlen(CAST({name} AS VARCHAR)) || ':' || CAST({name} AS VARCHAR), '-')"
+
+
+def _climb(nodes: str, walk: str, levels: int) -> str:
+    """``levels`` levels over ``nodes0`` (part, pos, n, digest), and each row's way up them.
+
+    Trees that have ended stay as they are, so more levels than a tree has change nothing.
+    """
+    steps = []
+    for i in range(levels):
+        steps.append(f"""
+        {nodes}{i + 1} AS MATERIALIZED (
+            SELECT part, pos // 2 AS pos, (n + 1) // 2 AS n,
+                   CASE WHEN n = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+            FROM {nodes}{i} GROUP BY part, pos // 2, n),
+        {walk}{i + 1} AS MATERIALIZED (
+            SELECT row_no, w.part, w.pos // 2 AS pos, (w.n + 1) // 2 AS n, proof || coalesce(digest, '') AS proof,
+                   CASE WHEN w.n = 1 THEN node WHEN digest IS NULL THEN sha256(node)
+                        WHEN w.pos % 2 = 0 THEN sha256(node || digest) ELSE sha256(digest || node) END AS node
+            FROM {walk}{i} AS w LEFT JOIN {nodes}{i} AS s ON s.part = w.part AND s.pos = xor(w.pos, 1))""")
+    return ",".join(steps)
+
+
+def _manifest(levels: int = 20, part_levels: int = 8) -> str:
+    fields = " || ".join(_field(name) for name in ("doc_id", "source", "lang", "n_chars", "text"))
+    tampered = fields.replace("n_chars", "n_chars + 1")
+    return f"""
+        WITH crc AS (
+            SELECT *, row_number() OVER () AS row_no, coalesce('+' || lang, '') AS part,
+                   xor(4294967295, list_reduce(
+                       list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+                           string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                       lambda crc, byte: list_reduce(
+                           [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                           lambda x, ignored: xor(x >> 1, 3988292384 * (x & 1))))) AS crc32
+            FROM documents),
+        leaves AS MATERIALIZED (
+            SELECT row_no, doc_id, part, sha256({fields}) AS leaf,
+                   CASE WHEN crc32 % 7 = 0 THEN sha256({tampered}) ELSE sha256({fields}) END AS now
+            FROM crc),
+        placed AS MATERIALIZED (
+            SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   count(*) OVER (PARTITION BY part) AS n
+            FROM leaves),
+        nodes0 AS (SELECT part, pos, n, leaf AS digest FROM placed),
+        walk0 AS (SELECT row_no, part, pos, n, '' AS proof, now AS node FROM placed),
+        {_climb("nodes", "walk", levels)},
+        parts0 AS MATERIALIZED (
+            SELECT '' AS part, row_number() OVER (ORDER BY part) - 1 AS pos, count(*) OVER () AS n, digest,
+                   part AS name
+            FROM nodes{levels}),
+        way0 AS (
+            SELECT row_no, '' AS part, parts0.pos, parts0.n, proof, node
+            FROM walk{levels} AS w JOIN parts0 ON name = w.part),
+        {_climb("parts", "way", part_levels)}
+        SELECT doc_id, leaf, own.digest AS subroot, top.digest AS root, sha256(proof) AS proof_sha256,
+               node AS folded_root, node = top.digest AS verified
+        FROM placed JOIN way{part_levels} AS w USING (row_no)
+             JOIN parts0 AS own ON own.name = placed.part, parts{part_levels} AS top"""
+
+
 LLM_ORACLES = {
     "op1_chat_formatting": r"""
         WITH spoken AS (
@@ -96,4 +160,34 @@ LLM_ORACLES = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND ((failed + m * weight) / (docs + weight) <= 0.5 OR NOT strict_failed) AS kept
         FROM judged JOIN hosts ON host IS NOT DISTINCT FROM source, prior""",
+    "op12_merkle_manifest": _manifest(),
+    "op13_mask_ranking": r"""
+        WITH held AS (
+            SELECT doc_id, row_number() OVER () AS row_no,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        docs AS (SELECT doc_id, row_no, CAST(len(words) AS BIGINT) AS n, words FROM held WHERE len(words) > 0),
+        totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM docs),
+        places AS (
+            SELECT row_no, term, count(*) AS tf FROM (SELECT row_no, unnest(words) AS term FROM docs) GROUP BY ALL),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * totals.docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM places, totals GROUP BY term, totals.docs),
+        asked AS (
+            SELECT item_no, item_id, term, count(*) AS times
+            FROM (SELECT row_number() OVER () AS item_no, item_id,
+                         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                  FROM benchmark) GROUP BY ALL),
+        scored AS (
+            SELECT item_no, item_id, doc_id, row_no,
+                   CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * totals.docs) // totals.words))))
+                        AS BIGINT) AS score
+            FROM asked JOIN places USING (term) JOIN weights USING (term) JOIN docs USING (row_no), totals
+            GROUP BY ALL)
+        SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id) AS place
+              FROM scored WHERE score > 0)
+        WHERE place <= 10""",
 }

@@ -12,6 +12,8 @@ from rankfold.llm import (
     edit_matches,
     host_rules,
     licence_spans,
+    mask_ranking,
+    merkle_manifest,
     piece_merging,
     prefix_tokens,
     repeated_phrases,
@@ -88,6 +90,17 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_merging.encode_texts(docs, f"{TOKENIZERS}/piece_bpe_32k.model", ids=False)
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle_manifest.manifest(read_table(spark, folder, "documents"), tampered={"n_chars": more})
+
+
+def op13_mask_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    return mask_ranking.rank_documents(docs, items, best=10)
+
+
 LLM_QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_personal_data": op2_personal_data,
@@ -99,4 +112,6 @@ LLM_QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_mask_ranking": op13_mask_ranking,
 }
