@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import rankfold
-from rankfold.sources.store import new_folder
+from rankfold.sources.store import new_folder, remove_folder
 
 
 def reach_workers(spark: SparkSession) -> None:
@@ -30,9 +33,38 @@ def in_arrow(frame: DataFrame, function, schema: str) -> DataFrame:
     return frame.mapInArrow(function, schema)
 
 
-def written(frame: DataFrame, kind: str) -> DataFrame:
-    """The same rows, kept in a table that outlives any executor."""
+#: Folders written by the operators that are at work in this thread, the innermost last.
+_AT_WORK: ContextVar[tuple[list[str], ...]] = ContextVar("_AT_WORK", default=())
+
+
+@contextmanager
+def inner_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables written inside once the block ends, but those written to ``keep``.
+
+    What the block returns must not read them any more.
+    """
+    folders: list[str] = []
+    token = _AT_WORK.set((*_AT_WORK.get(), folders))
+    try:
+        yield
+    finally:
+        _AT_WORK.reset(token)
+        for folder in folders:
+            remove_folder(spark, folder)
+
+
+def written(frame: DataFrame, kind: str, keep: bool = False) -> DataFrame:
+    """The same rows, kept in a table that outlives any executor.
+
+    Inside ``inner_tables`` the table goes when the block ends; one to ``keep``, when the
+    block around that one does.
+    """
     path = new_folder(frame.sparkSession, kind)
+    open_blocks = _AT_WORK.get()
+    if keep:
+        open_blocks = open_blocks[:-1]
+    if open_blocks:
+        open_blocks[-1].append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.parquet(path)
 

@@ -160,6 +160,36 @@ LLM_ORACLES = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND ((failed + m * weight) / (docs + weight) <= 0.5 OR NOT strict_failed) AS kept
         FROM judged JOIN hosts ON host IS NOT DISTINCT FROM source, prior""",
+    "op11_column_suffixes": """
+        WITH spelled AS (
+            SELECT doc_id, row_number() OVER () AS row_no, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        starts AS (
+            SELECT row_no, doc_id, unnest(range(0, CAST(length(h) / 2 AS BIGINT) - 99)) AS pos, h
+            FROM spelled WHERE length(h) >= 200),
+        windows AS (SELECT row_no, doc_id, pos, md5(substr(h, 2 * pos + 1, 200)) AS w FROM starts),
+        again AS (
+            SELECT row_no, pos FROM (
+                SELECT row_no, pos, row_number() OVER (PARTITION BY w ORDER BY doc_id, row_no, pos) AS place
+                FROM windows) WHERE place > 1),
+        chained AS (
+            SELECT row_no, pos,
+                   CASE WHEN pos - lag(pos) OVER (PARTITION BY row_no ORDER BY pos) <= 100 THEN 0 ELSE 1 END AS new
+            FROM again),
+        numbered AS (SELECT row_no, pos, sum(new) OVER (PARTITION BY row_no ORDER BY pos) AS span FROM chained),
+        spans AS (
+            SELECT row_no, span, min(pos) AS first, max(pos) + 100 AS after FROM numbered GROUP BY row_no, span),
+        kept AS (
+            SELECT row_no, count(*) AS n_spans, sum(after - first) AS n_removed,
+                   list(first ORDER BY span) AS firsts, list(after ORDER BY span) AS afters
+            FROM spans GROUP BY row_no)
+        SELECT doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE array_to_string(list_transform(
+                   range(0, n_spans + 1),
+                   lambda i: substr(h, 2 * CASE WHEN i = 0 THEN 0 ELSE afters[i] END + 1,
+                       2 * (CASE WHEN i = n_spans THEN CAST(length(h) / 2 AS BIGINT) ELSE firsts[i + 1] END
+                            - CASE WHEN i = 0 THEN 0 ELSE afters[i] END))), '') END)) AS kept_sha256
+        FROM spelled LEFT JOIN kept USING (row_no)""",
     "op12_merkle_manifest": _manifest(),
     "op13_mask_ranking": r"""
         WITH held AS (

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankfold.llm import (
+    column_suffixes,
     disguised_data,
     edit_matches,
     host_rules,
@@ -90,6 +91,18 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_merging.encode_texts(docs, f"{TOKENIZERS}/piece_bpe_32k.model", ids=False)
 
 
+def op11_column_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    left = column_suffixes.remove_repeats(read_table(spark, folder, "documents"), window=100)
+    lengths = F.transform("spans", lambda span: span["end"] - span["start"])
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda total, length: total + length).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     more = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
@@ -112,6 +125,7 @@ LLM_QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_column_suffixes": op11_column_suffixes,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_mask_ranking": op13_mask_ranking,
 }

@@ -1,0 +1,144 @@
+"""Repeated strings of bytes against every window of every text."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rankfold.llm import column_suffixes
+from rankfold.llm.column_suffixes import anchors, insert_column, least_between, remove_repeats, run_hashes
+
+
+def plain(docs, window):
+    """Rows with one id go in the order given."""
+    seen, rows = set(), []
+    for doc_id, text in sorted(docs, key=lambda row: (row[0] is not None, row[0] or 0)):
+        data = (text or "").encode()
+        gone = np.zeros(len(data), bool)
+        for start in range(len(data) - window + 1):
+            piece = data[start : start + window]
+            if piece in seen:
+                gone[start : start + window] = True
+            seen.add(piece)
+        spans = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        kept = bytes(np.frombuffer(data, np.uint8)[~gone])
+        rows.append((doc_id, len(data), spans, kept))
+    return rows
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda row: (row[0] is not None, row))
+
+
+def check(spark, docs, window=40, parts=3):
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    # In the order given, over several tasks.
+    frame = frame.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(parts, "row").sortWithinPartitions("row")
+    got = remove_repeats(frame.withColumns({"place": F.lit(1), "key": F.lit("k"), "shard": F.lit(2)}), window)
+    assert got.columns == ["doc_id", "n_bytes", "spans", "kept"]
+    rows = [(r.doc_id, r.n_bytes, len(r.spans), bytes(r.kept)) for r in got.collect()]
+    assert ordered(rows) == ordered(plain(docs, window))
+    return rows
+
+
+def prose(rng, words, size):
+    return " ".join(rng.choices([f"w{i}é" if i % 7 == 0 else f"word{i}" for i in range(words)], k=size))
+
+
+def mixed(rng):
+    passage, line = prose(rng, 500, 40), prose(rng, 500, 9)
+    docs = []
+    for i in range(60):
+        text = prose(rng, 500, rng.randint(0, 60))
+        if i % 3 == 0:
+            text = f"{text} {line} {prose(rng, 500, 30)}"
+        if i % 4 == 0:
+            text = f"{prose(rng, 9, 8)} {passage} {text}"
+        docs.append((rng.randint(0, 40), text))
+    docs += [(100 + i, docs[i % 5][1]) for i in range(30)]
+    return docs
+
+
+@pytest.mark.parametrize("crowded", [2, 6, 1 << 13])
+def test_against_every_window(spark, monkeypatch, crowded):
+    # A low bound deals crowded cores by longer ones, over several rounds.
+    monkeypatch.setattr(column_suffixes, "CROWDED", crowded)
+    rng = random.Random(crowded)
+    rows = check(spark, mixed(rng))
+    assert sum(spans for _, _, spans, _ in rows) > 40
+
+
+def test_small_shards_and_frequent_keys(spark, monkeypatch):
+    monkeypatch.setattr(column_suffixes, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(column_suffixes, "COLLECTION", 20)
+    monkeypatch.setattr(column_suffixes, "HOT_ROWS", 5)
+    monkeypatch.setattr(column_suffixes, "HOT_SHARE", 10_000)
+    monkeypatch.setattr(column_suffixes, "CROWDED", 10)
+    check(spark, mixed(random.Random(7)), parts=4)
+
+
+def test_periodic_texts_and_runs(spark):
+    docs = [
+        (1, "a" * 500),
+        (2, "ab" * 100 + "c" + "ab" * 100),
+        (3, "long " * 300 + "end"),
+        (4, "b" + "a" * 120),
+        (5, "a" * 39),
+        (6, "long " * 7 + "lon"),
+    ]
+    check(spark, docs)
+
+
+def test_nulls_ties_and_repeated_rows(spark):
+    rng = random.Random(3)
+    text, other = prose(rng, 50, 40), prose(rng, 50, 40)
+    docs = [(None, text), (None, other), (None, None), (7, text), (7, text), (7, text + other), (8, ""), (9, other[1:])]
+    check(spark, docs)
+
+
+def test_long_texts_come_in_slices(spark, monkeypatch):
+    rng = random.Random(5)
+    long = prose(rng, 3000, 4000)
+    check(spark, [(1, long), (2, "x" + long[1000:]), (3, long[500:9000])], window=100)
+    monkeypatch.setattr(column_suffixes, "_SLICE", 700)
+    data = long.encode()
+    sliced = anchors(data, 100)
+    covered = [(first, last) for _, _, first, last in zip(*(part.tolist() for part in sliced))]
+    assert covered[0][0] == 0 and covered[-1][1] == len(data) - 100
+    assert all(b[0] == a[1] + 1 for a, b in zip(covered, covered[1:]))
+
+
+def test_empty_tables(spark, no_documents):
+    assert remove_repeats(no_documents).collect() == []
+    with pytest.raises(ValueError, match="window"):
+        remove_repeats(no_documents, window=8)
+
+
+def test_hashes_are_those_of_the_runs():
+    data = np.random.default_rng(1).integers(0, 3, 4000).astype(np.uint8)
+    hashes = run_hashes(data, 6)
+    runs = [data[i : i + 6].tobytes() for i in range(len(data) - 5)]
+    assert len(set(zip(runs, hashes.tolist()))) == len(set(runs)) == len(set(hashes.tolist()))
+
+
+def test_least_between():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 100, 200).astype(np.uint16)
+    before = rng.integers(0, 199, 500)
+    upto = np.array([rng.integers(b + 1, 200) for b in before])
+    wanted = [values[b + 1 : u + 1].min() for b, u in zip(before, upto)]
+    assert least_between(values, before, upto).tolist() == wanted
+
+
+def test_columns_keep_the_suffixes_in_order():
+    rng = random.Random(11)
+    texts = [bytes(rng.choices(b"ab", k=30)) for _ in range(40)]
+    order, common = np.arange(40, dtype=np.int32), np.zeros(40, np.uint16)
+    for place in range(29, -1, -1):
+        order, common = insert_column(np.array([t[place] for t in texts], np.uint16), order, common)
+        suffixes = [texts[i][place:] for i in order]
+        assert suffixes == sorted(suffixes)
+        for i in range(1, 40):
+            shared = next((k for k, (a, b) in enumerate(zip(suffixes[i - 1], suffixes[i])) if a != b), 30 - place)
+            assert common[i] == shared
