@@ -3,11 +3,11 @@
 Equal strings of ``window`` bytes must meet in one task. Every window has an anchor: of its
 runs of ``ANCHOR`` bytes the leftmost with the smallest hash. Equal windows have equal anchors
 at equal places, so a window's equals lie among the windows of the same anchor. Anchors are
-counted over all documents; where one recurs, the stretch of text that its windows cover, the
-passage, is collected by anchor. Passages of one anchor are lined up by it, and a task takes a
-shard of anchors.
+counted over all documents, once for each shard of texts; where one recurs, the stretch of
+text that its windows cover, the passage, is collected by anchor. Passages of one anchor are
+lined up by it, and a task takes a collection of several anchors' passages.
 
-A shard's passages are a collection of short documents, and its suffix order is built column
+A collection's passages are short documents, and their suffix order is built column
 by column, from the last to the first: a round inserts one symbol of each document. The
 symbols in the order of the round before are that column of the collection's Burrows-Wheeler
 transform; counting them gives each suffix its new place (a stable sort by the symbol), and
@@ -16,7 +16,7 @@ between their old places. Only suffixes that start in the same column are ever c
 transform is kept by columns, and a round costs as much as there are documents, not as there
 are suffixes so far. A round reads order and common prefixes from the file of the round before
 and writes its own, both from start to end; the files lie in the shared folder and go with
-the shard. Neighbours that share ``window`` symbols or more make a class of equal windows: all
+the collection. Neighbours that share ``window`` symbols or more make a class of equal windows: all
 but the one that stands first are removed.
 
 Of a passage that stands in many places only the first and the last enter, and the verdict on
@@ -57,6 +57,10 @@ COLLECTION, CROWDED = 1 << 15, 1 << 13
 #: A key that meets more than this share of the rows, and this many, is broadcast.
 HOT_SHARE, HOT_ROWS = 1000, 10_000
 
+#: A place: the partition that read a row, above these bits the shard in it, then the row.
+_PART_BITS, _ROW_BITS = 23, 17
+#: What a row counts besides its text, so that a shard's rows fit their bits.
+_ROW_BYTES = 64
 _SLICE = 1 << 19
 _PLACE_BITS = 20
 #: Fixed: an odd base and its inverse modulo 2**64, and odd factors that mix the bits.
@@ -205,52 +209,75 @@ def repeated_windows(
     return document, first - shift, after - 1 - shift + window
 
 
+class Texts:
+    """A shard's rows in a file of their own, compressed together."""
+
+    @staticmethod
+    def write(folder: str, ids: pa.Array, texts: list[bytes]) -> str:
+        system, base = pyarrow.fs.FileSystem.from_uri(folder)
+        system.create_dir(base, recursive=True)
+        name = f"{uuid.uuid4().hex}.arrow"
+        table = pa.table({"id": ids, "text": pa.array(texts, pa.large_binary())})
+        packing = pa.ipc.IpcWriteOptions(compression="zstd")
+        with system.open_output_stream(f"{base}/{name}", compression=None) as stream:
+            with pa.ipc.new_stream(stream, table.schema, options=packing) as writer:
+                writer.write_table(table)
+        return f"{folder}/{name}"
+
+    @staticmethod
+    def read(address: str) -> tuple[pa.ChunkedArray, list[bytes]]:
+        system, path = pyarrow.fs.FileSystem.from_uri(address)
+        with system.open_input_stream(path, compression=None) as stream:
+            table = pa.ipc.open_stream(stream).read_all()
+        return table["id"], table["text"].to_pylist()
+
+
 def _shards(docs: DataFrame) -> DataFrame:
-    """``place, shard, id, text``: rows named by where they were read, in shards of bounded size."""
-    kind = docs.schema["id"].dataType.simpleString()
+    """``shard, file``: the rows in files of bounded size, in the order they are read.
+
+    A row's place is its shard and its row in it, in one number. Each row is read once from the
+    table; the table of shards names the files of tasks that ended well.
+    """
+    folder = qualified(docs.sparkSession, new_folder(docs.sparkSession, "texts"))
 
     def dealt(batches):
         part = TaskContext.get().partitionId()
-        row, shard, held = 0, 0, 0
+        shards, files = [], []
+
+        def finish(ids, texts):
+            shards.append(part << _PART_BITS | len(shards))
+            files.append(Texts.write(folder, pa.concat_arrays(ids), texts))
+
+        ids, texts, held = [], [], 0
         for batch in batches:
-            sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
-            shards = np.empty(len(sizes), np.int64)
-            for i, size in enumerate(sizes):
-                if held and held + size > SHARD_BYTES:
-                    shard, held = shard + 1, 0
-                held += int(size) + 64
-                shards[i] = (part << 33) + shard
-            places = np.arange(row, row + len(sizes)) + (part << 33)
-            row += len(sizes)
-            yield pa.record_batch(
-                [pa.array(places, pa.int64()), pa.array(shards, pa.int64()), batch.column("id"), batch.column("text")],
-                names=["place", "shard", "id", "text"],
-            )
-
-    return written(in_arrow(docs, dealt, f"place bigint, shard bigint, id {kind}, text binary"), "rows")
-
-
-def _anchor_counts(rows: DataFrame, window: int) -> DataFrame:
-    """``key, shard, n``: how often each anchor stands in a shard (or in part of one)."""
+            for row, text in enumerate(batch.column(1)):
+                text = text.as_py()
+                if held and held + len(text) > SHARD_BYTES:
+                    finish(ids, texts)
+                    ids, texts, held = [], [], 0
+                held += len(text) + _ROW_BYTES
+                texts.append(text)
+                ids.append(batch.column(0).slice(row, 1))
+        if texts:
+            finish(ids, texts)
+        yield pa.record_batch([pa.array(shards, pa.int64()), pa.array(files, pa.string())], names=["shard", "file"])
+
+    return written(in_arrow(docs, dealt, "shard bigint, file string"), "shards")
 
-    def counted(batches):
-        def flush(shard, hashes):
-            keys, n = np.unique(np.concatenate(hashes), return_counts=True)
-            shards = np.full(len(keys), shard, np.int64)
-            return pa.record_batch([pa.array(c, pa.int64()) for c in (keys, shards, n)], names=["key", "shard", "n"])
 
-        shard, hashes = None, []
+def _anchor_counts(shards: DataFrame, window: int) -> DataFrame:
+    """``key, shard, n``: how often each anchor stands in a shard."""
+
+    def counted(batches):
         for batch in batches:
-            for now, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if now != shard and hashes:
-                    yield flush(shard, hashes)
-                    hashes = []
-                shard = now
-                hashes.append(anchors(text.as_py(), window)[0])
-        if hashes:
-            yield flush(shard, hashes)
+            for shard, file in zip(*(part.to_pylist() for part in batch.columns)):
+                found = [anchors(text, window)[0] for text in Texts.read(file)[1]]
+                keys, n = np.unique(np.concatenate(found), return_counts=True)
+                here = np.full(len(keys), shard, np.int64)
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in (keys, here, n)], names=["key", "shard", "n"])
 
-    return written(in_arrow(rows.select("shard", "text"), counted, "key bigint, shard bigint, n bigint"), "anchors")
+    spread = shards.repartition(partitions(shards.sparkSession), "shard")
+    return in_arrow(spread, counted, "key bigint, shard bigint, n bigint")
 
 
 def _meeting(rows: DataFrame, keyed: DataFrame, on: str, total: int) -> DataFrame:
@@ -267,54 +294,92 @@ def _meeting(rows: DataFrame, keyed: DataFrame, on: str, total: int) -> DataFram
     return rows.join(F.broadcast(hot), on).unionByName(others.join(rest, on))
 
 
-def _passages(rows: DataFrame, found: DataFrame, window: int) -> DataFrame:
-    """The passages of recurring anchors: see ``_repeats`` for the columns."""
-    kind = rows.schema["id"].dataType.simpleString()
+def _by_shard(shards: DataFrame, rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on each shard's file and the rows that concern it."""
+    reach_workers(shards.sparkSession)
+    return shards.groupBy("shard").cogroup(rows.groupBy("shard")).applyInArrow(work, schema)
+
+
+def _occurrences(shards: DataFrame, found: DataFrame, window: int, kind: str) -> DataFrame:
+    """``content, id, place, at, core, length`` of each passage of a recurring anchor.
 
-    def collect(docs: pa.Table, keys: pa.Table) -> pa.Table:
-        wanted = np.sort(keys["key"].to_numpy())
-        made = {name: [] for name in ("key", "id_row", "place", "at", "base", "core")}
-        contents = []
-        ids, places = docs["id"], docs["place"].to_pylist()
-        for row, text in enumerate(docs["text"]):
-            text = text.as_py()
-            if not len(wanted) or len(text) < window:
-                continue
+    ``content`` names anchor and text, ``at`` is where the anchor stands in the document and
+    ``core`` where in the passage.
+    """
+
+    def collect(shard: pa.Table, keys: pa.Table) -> pa.Table:
+        wanted, row_of, parts, names = np.sort(keys["key"].to_numpy()), [], [], []
+        ids, texts = Texts.read(shard["file"][0].as_py())
+        for row, text in enumerate(texts if len(wanted) else ()):
             hashes, at, firsts, lasts = anchors(text, window)
             near = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
             kept = wanted[near] == hashes
-            hashes, at, firsts, lasts = (part[kept] for part in (hashes, at, firsts, lasts))
-            contents += [text[first : last + window] for first, last in zip(firsts.tolist(), lasts.tolist())]
-            made["key"].append(hashes)
-            made["id_row"].append(np.full(len(at), row, np.int64))
-            made["place"].append(np.full(len(at), places[row], np.int64))
-            made["at"].append(at)
-            made["base"].append(firsts)
-            made["core"].append(at - firsts)
-        columns = {name: np.concatenate(parts) if parts else np.empty(0, np.int64) for name, parts in made.items()}
-        shard = docs["shard"][0].as_py() if len(docs) else 0
-        heads = [f"{key} {core} ".encode() for key, core in zip(columns["key"].tolist(), columns["core"].tolist())]
+            at, firsts, afters = at[kept], firsts[kept], lasts[kept] + window
+            parts.append((at, at - firsts, afters - firsts))
+            row_of.append(np.full(len(at), row, np.int64))
+            names += [
+                hashlib.md5(b"%d " % core + text[first:after]).digest()
+                for core, first, after in zip((at - firsts).tolist(), firsts.tolist(), afters.tolist())
+            ]
+        at, core, length = (np.concatenate(p) for p in zip(*parts)) if parts else (np.empty(0, np.int64),) * 3
+        rows = np.concatenate(row_of) if row_of else np.empty(0, np.int64)
         return pa.table(
             {
-                "key": columns["key"],
-                "content": pa.array([hashlib.md5(h + c).digest() for h, c in zip(heads, contents)], pa.binary()),
-                "text": pa.array(contents, pa.binary()),
-                "core": columns["core"],
-                "size": np.full(len(contents), ANCHOR, np.int64),
-                "id": ids.take(pa.array(columns["id_row"])),
-                "place": columns["place"],
-                "at": columns["at"],
-                "who": columns["place"],
-                "shard": np.full(len(contents), shard, np.int64),
-                "base": columns["base"],
+                "content": pa.array(names, pa.binary()),
+                "id": ids.take(pa.array(rows)),
+                "place": (shard["shard"][0].as_py() << _ROW_BITS) + rows,
+                "at": at,
+                "core": core,
+                "length": length,
+            }
+        )
+
+    schema = f"content binary, id {kind}, place bigint, at bigint, core bigint, length bigint"
+    return _by_shard(shards, found, collect, schema)
+
+
+def _ends(extra: list[str]) -> list[Column]:
+    """What a passage's rows say of it: its first and last place, and how many there are."""
+    order = F.struct("id", "place", "at")
+    return [
+        F.min(order).alias("first"),
+        F.max(order).alias("last"),
+        *[F.any_value(name).alias(name) for name in extra],
+        F.count(F.lit(1)).alias("n"),
+    ]
+
+
+_FLAT_ENDS = [f"{end}.{name} AS {end}_{name}" for end in ("first", "last") for name in ("id", "place", "at")]
+
+
+def _spelled(shards: DataFrame, strings: DataFrame, kind: str) -> DataFrame:
+    """The passages ``strings`` with their text, and the anchor as their key."""
+    strings = strings.withColumn("shard", F.shiftright("first_place", _ROW_BITS))
+    names = ["content", "n", *(f"{end}_{name}" for end in ("first", "last") for name in ("id", "place", "at"))]
+
+    def spell(shard: pa.Table, block: pa.Table) -> pa.Table:
+        texts = Texts.read(shard["file"][0].as_py())[1] if len(block) else []
+        rows = block["first_place"].to_numpy() & (1 << _ROW_BITS) - 1
+        cores = block["core"].to_numpy()
+        starts = block["first_at"].to_numpy() - cores
+        stops = starts + block["length"].to_numpy()
+        found = [texts[row][a:b] for row, a, b in zip(rows.tolist(), starts.tolist(), stops.tolist())]
+        keys = [hashlib.md5(text[core : core + ANCHOR]).digest() for text, core in zip(found, cores.tolist())]
+        return pa.table(
+            {
+                **{name: block[name] for name in names},
+                "key": pa.array(keys, pa.binary()),
+                "text": pa.array(found, pa.binary()),
+                "core": block["core"],
+                "size": np.full(len(found), ANCHOR, np.int64),
             }
         )
 
     schema = (
-        f"key bigint, content binary, text binary, core bigint, size bigint, id {kind}, place bigint, at bigint, "
-        "who bigint, shard bigint, base bigint"
+        f"content binary, n bigint, first_id {kind}, first_place bigint, first_at bigint, last_id {kind}, "
+        "last_place bigint, last_at bigint, key binary, text binary, core bigint, size bigint"
     )
-    return rows.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(collect, schema)
+    return _by_shard(shards, strings, spell, schema)
 
 
 def _in_collections(strings: DataFrame, count: int, window: int) -> DataFrame:
@@ -397,13 +462,12 @@ def _longer_cores(crowded: DataFrame, window: int) -> DataFrame:
         return F.expr(f"substring(text, cast({start} + 1 AS int), cast({stop} - {start} AS int))")
 
     made = dealt.select(
-        F.unhex(F.md5(F.concat(_bytes(F.hex("key")), _bytes(F.col("part.side")), piece("part.low", "part.high")))).alias("key"),
+        F.unhex(F.md5(F.concat("key", _bytes(F.col("part.side")), piece("part.low", "part.high")))).alias("key"),
         piece("part.start", "part.stop").alias("text"),
         (F.col("part.low") - F.col("part.start")).alias("core"),
         (F.col("part.high") - F.col("part.low")).alias("size"),
         *[F.col(f"owner.{name}").alias(name) for name in ("id", "place", "at")],
         F.struct("content", "owner.which").alias("who"),
-        F.lit(0).cast("long").alias("shard"),
         F.col("part.start").alias("base"),
     )
     named = F.concat(F.col("key"), _bytes(F.concat(F.lit(" "), F.col("core").cast("string"), F.lit(" "))), F.col("text"))
@@ -414,59 +478,51 @@ def _bytes(text: Column) -> Column:
     return text.cast("binary")
 
 
-def _repeats(passages: DataFrame, window: int) -> DataFrame:
-    """``who, shard, start, end`` of the bytes to go.
+def _verdicts(strings: DataFrame, window: int) -> DataFrame:
+    """``content, which, start, end``: the bytes to go from a passage's first place (0) or last (1).
 
-    A passage has ``key``, its core's name; ``text``, where the core starts in it and how long
-    it is, ``core`` and ``size``; ``content``, the name of key, core and text; ``id, place, at``,
-    what orders it; ``who`` and ``shard``, which own the bytes, and ``base``, what is added to
-    their places.
+    ``strings`` holds each passage once: ``content``, the name of all else; ``key``, its core's
+    name; ``text``, where the core starts in it and how long it is, ``core`` and ``size``; how
+    often it stands, ``n``, and its first and last place.
     """
-    strings = passages.groupBy("key", "content").agg(
-        F.min(F.struct("id", "place", "at")).alias("first"),
-        F.max(F.struct("id", "place", "at")).alias("last"),
-        *[F.any_value(name).alias(name) for name in ("text", "core", "size")],
-        F.count(F.lit(1)).alias("n"),
-    )
-    ends = [F.col(f"{end}.{name}").alias(f"{end}_{name}") for end in ("first", "last") for name in ("id", "place", "at")]
-    strings = written(strings.select("key", "content", "text", "core", "size", "n", *ends), "strings")
-    members = strings.groupBy("key").agg(F.sum(F.least("n", F.lit(2))).alias("members"))
-    count, most = members.agg(F.sum("members"), F.max("members")).head()
-    if not count:
-        return passages.select("who", "shard", F.col("base").alias("start"), F.col("base").alias("end"))
-    small, verdict = strings, None
-    if most > CROWDED:
-        crowded = written(members.where(F.col("members") > CROWDED), "crowded")
-        met = _meeting(strings, crowded.withColumnRenamed("members", "n_met"), "key", count)
-        crowd = written(met, "crowd")
-        # A content names one row of ``strings``, so this join has no frequent key.
-        small = strings.join(crowd.select("content"), "content", "left_anti")
-        finer = _repeats(written(_longer_cores(crowd, window), "passages"), window)
-        verdict = finer.select("who.content", "who.which", "start", "end")
-    found = _in_collections(small, count, window)
-    verdict = written(found if verdict is None else found.unionByName(verdict), "verdicts")
+    members = strings.groupBy("key").agg(F.sum(F.least("n", F.lit(2))).alias("n_met"))
+    count, most = members.agg(F.coalesce(F.sum("n_met"), F.lit(0)), F.max("n_met")).head()
+    if not count or most <= CROWDED:
+        return _in_collections(strings, count, window)
+    crowded = written(members.where(F.col("n_met") > CROWDED), "crowded")
+    crowd = written(_meeting(strings, crowded, "key", count), "crowd")
+    # A content names one row of ``strings``, so these joins have no frequent key.
+    small = strings.join(crowd.select("content"), "content", "left_anti")
+    finer = written(_longer_cores(crowd, window), "passages")
+    parts = finer.groupBy("key", "content").agg(*_ends(["text", "core", "size"]))
+    parts = written(parts.selectExpr("key", "content", "text", "core", "size", "n", *_FLAT_ENDS), "strings")
+    found = _told(finer, parts, _verdicts(parts, window)).select("who.content", "who.which", "start", "end")
+    return _in_collections(small, count, window).unionByName(found)
+
+
+def _told(passages: DataFrame, strings: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """``who, start, end``: the verdicts on passages told to each place, counted from ``base``."""
     places = strings.select("content", F.col("n").alias("n_met"), F.col("first_place").alias("fp"), F.col("first_at").alias("fa"))
-    occurrences = strings.agg(F.sum("n")).head()[0]
-    owners = passages.select("content", "who", "shard", "base", "place", "at")
-    met = _meeting(owners, verdict.join(places, "content"), "content", occurrences)
+    told = written(verdicts.join(places, "content"), "verdicts")
+    total = strings.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+    met = _meeting(passages.select("content", "who", "base", "place", "at"), told, "content", total)
     is_first = (F.col("place") == F.col("fp")) & (F.col("at") == F.col("fa"))
-    return met.where((F.col("which") == 0) == is_first).select(
-        "who", "shard", (F.col("start") + F.col("base")).alias("start"), (F.col("end") + F.col("base")).alias("end")
-    )
+    start, end = (F.col(name) + F.col("base") for name in ("start", "end"))
+    return met.where((F.col("which") == 0) == is_first).select("who", start.alias("start"), end.alias("end"))
 
 
-def _without_repeats(rows: DataFrame, repeats: DataFrame) -> DataFrame:
+def _without_repeats(shards: DataFrame, repeats: DataFrame, kind: str) -> DataFrame:
     """Every row's text without the bytes that go, and where they were."""
-    kind = rows.schema["id"].dataType.simpleString()
 
-    def cut(docs: pa.Table, gone: pa.Table) -> pa.Table:
+    def cut(shard: pa.Table, gone: pa.Table) -> pa.Table:
         gone = gone.sort_by([("who", "ascending"), ("start", "ascending")])
         owners, starts, ends = (gone[name].to_numpy() for name in ("who", "start", "end"))
-        places = docs["place"].to_numpy()
+        ids, texts = Texts.read(shard["file"][0].as_py())
+        places = (shard["shard"][0].as_py() << _ROW_BITS) + np.arange(len(texts))
         lows, highs = np.searchsorted(owners, places, "left"), np.searchsorted(owners, places, "right")
         kept, spans = [], []
-        for text, low, high in zip(docs["text"], lows.tolist(), highs.tolist()):
-            text, mine = text.as_py(), []
+        for text, low, high in zip(texts, lows.tolist(), highs.tolist()):
+            mine = []
             if low < high:
                 first, after = starts[low:high], np.maximum.accumulate(ends[low:high])
                 new = np.flatnonzero(np.append(True, first[1:] > after[:-1]))
@@ -475,12 +531,11 @@ def _without_repeats(rows: DataFrame, repeats: DataFrame) -> DataFrame:
             kept.append(b"".join(text[a:b] for a, b in zip(stops, [*(start for start, _ in mine), len(text)])))
             spans.append([{"start": a, "end": b} for a, b in mine])
         span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-        sizes = pc.cast(pc.binary_length(docs["text"]), pa.int64())
-        columns = [docs["id"], sizes, pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary())]
+        columns = [ids, pa.array([len(text) for text in texts], pa.int64()), pa.array(spans, pa.list_(span)), pa.array(kept, pa.binary())]
         return pa.table(columns, names=["id", "n_bytes", "spans", "kept"])
 
     schema = f"id {kind}, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary"
-    return rows.groupBy("shard").cogroup(repeats.groupBy("shard")).applyInArrow(cut, schema)
+    return _by_shard(shards, repeats.withColumn("shard", F.shiftright("who", _ROW_BITS)), cut, schema)
 
 
 def remove_repeats(docs: DataFrame, window: int = 100, doc_id: str = "doc_id") -> DataFrame:
@@ -491,15 +546,18 @@ def remove_repeats(docs: DataFrame, window: int = 100, doc_id: str = "doc_id") -
     """
     if window < ANCHOR:
         raise ValueError(f"a window has {ANCHOR} bytes or more")
-    spark = docs.sparkSession
-    rows = _shards(docs.select(column(doc_id).alias("id"), whole(column("text")).cast("binary").alias("text")))
-    with inner_tables(spark):
-        with inner_tables(spark):
-            counted = _anchor_counts(rows, window)
-            shared = counted.groupBy("key").agg(F.sum("n").alias("n_met")).where("n_met > 1")
-            shared = written(shared, "shared")
-            total = shared.agg(F.coalesce(F.sum("n_met"), F.lit(0))).head()[0]
-            found = _meeting(counted.select("key", "shard"), shared, "key", total)
-            passages = written(_passages(rows, found, window), "passages", keep=True)
-        repeats = written(_repeats(passages, window), "repeats", keep=True)
-    return _without_repeats(rows, repeats).withColumnRenamed("id", doc_id)
+    rows = docs.select(column(doc_id).alias("id"), whole(column("text")).cast("binary").alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    shards = _shards(rows)
+    with inner_tables(docs.sparkSession):
+        # One shuffle serves the counts and what they are joined with.
+        counted = _anchor_counts(shards, window).repartition(partitions(docs.sparkSession), "key")
+        recurring = counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+        found = counted.select("key", "shard").join(recurring, "key")
+        passages = written(_occurrences(shards, found, window, kind), "occurrences")
+        strings = passages.groupBy("content").agg(*_ends(["core", "length"]))
+        strings = strings.selectExpr("content", "n", "core", "length", *_FLAT_ENDS)
+        strings = written(_spelled(shards, strings, kind), "strings")
+        owners = passages.withColumn("who", F.col("place")).withColumn("base", F.col("at") - F.col("core"))
+        repeats = written(_told(owners, strings, _verdicts(strings, window)), "repeats", keep=True)
+    return _without_repeats(shards, repeats, kind).withColumnRenamed("id", doc_id)

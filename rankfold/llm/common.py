@@ -57,7 +57,7 @@ def written(frame: DataFrame, kind: str, keep: bool = False) -> DataFrame:
     """The same rows, kept in a table that outlives any executor.
 
     Inside ``inner_tables`` the table goes when the block ends; one to ``keep``, when the
-    block around that one does.
+    block around that one does. Shuffle files go as soon as the table is there.
     """
     path = new_folder(frame.sparkSession, kind)
     open_blocks = _AT_WORK.get()
@@ -65,8 +65,26 @@ def written(frame: DataFrame, kind: str, keep: bool = False) -> DataFrame:
         open_blocks = open_blocks[:-1]
     if open_blocks:
         open_blocks[-1].append(path)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+    with _shuffles_removed(frame.sparkSession):
+        frame.write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+_REMOVAL_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Let a query's shuffle files go at its end, when what it computed is written."""
+    before = spark.conf.getAll.get(_REMOVAL_SETTING)
+    spark.conf.set(_REMOVAL_SETTING, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_REMOVAL_SETTING)
+        else:
+            spark.conf.set(_REMOVAL_SETTING, before)
 
 
 def partitions(spark: SparkSession) -> int:
