@@ -32,7 +32,6 @@ is read. Texts shorter than a window lose nothing. Other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from functools import cache
 
@@ -40,8 +39,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankfold.llm.common import column, in_arrow, inner_tables, partitions, reach_workers, whole, written
@@ -53,7 +53,7 @@ ANCHOR = 32
 #: Texts that a task holds at once, in bytes.
 SHARD_BYTES = 4 << 20
 #: Documents of a collection, about, and the most that one anchor may give to it.
-COLLECTION, CROWDED = 1 << 15, 1 << 13
+COLLECTION, CROWDED = 1 << 15, 1 << 16
 #: A key that meets more than this share of the rows, and this many, is broadcast.
 HOT_SHARE, HOT_ROWS = 1000, 10_000
 
@@ -233,11 +233,13 @@ class Texts:
 
 
 def _shards(docs: DataFrame) -> DataFrame:
-    """``shard, file``: the rows in files of bounded size, in the order they are read.
+    """``shard, file``: the rows in files of bounded size, in the order of their ids.
 
-    A row's place is its shard and its row in it, in one number. Each row is read once from the
-    table; the table of shards names the files of tasks that ended well.
+    A row's place is its shard and its row in it, in one number; places have the rows' order.
+    The table of shards names the files of tasks that ended well.
     """
+    order = [F.col("id").asc_nulls_first(), F.col("row")]
+    docs = docs.withColumn("row", F.monotonically_increasing_id()).orderBy(*order).drop("row")
     folder = qualified(docs.sparkSession, new_folder(docs.sparkSession, "texts"))
 
     def dealt(batches):
@@ -280,18 +282,18 @@ def _anchor_counts(shards: DataFrame, window: int) -> DataFrame:
     return in_arrow(spread, counted, "key bigint, shard bigint, n bigint")
 
 
-def _meeting(rows: DataFrame, keyed: DataFrame, on: str, total: int) -> DataFrame:
-    """``rows`` joined with ``keyed`` on one column; ``n_met`` says how many of ``total`` rows a key meets.
+def _meeting(rows: DataFrame, keyed: DataFrame, on: list[str], total: int, wanted: str = "true") -> DataFrame:
+    """``rows`` joined with the ``wanted`` of ``keyed``; its ``n_met`` says how many of ``total`` rows a key meets.
 
     Keys that meet more than one in ``HOT_SHARE`` of the rows, so fewer than that many, are
     broadcast and their rows stay where they are.
     """
     bound = max(HOT_ROWS, total // HOT_SHARE)
-    hot, rest = keyed.where(F.col("n_met") > bound).drop("n_met"), keyed.where(F.col("n_met") <= bound).drop("n_met")
+    hot, rest = keyed.where(F.col("n_met") > bound), keyed.where((F.col("n_met") <= bound) & F.expr(wanted)).drop("n_met")
     if not hot.limit(1).count():
         return rows.join(rest, on)
-    others = rows.join(F.broadcast(hot.select(on).distinct()), on, "left_anti")
-    return rows.join(F.broadcast(hot), on).unionByName(others.join(rest, on))
+    others = rows.join(F.broadcast(hot.select(*on).distinct()), on, "left_anti")
+    return rows.join(F.broadcast(hot.where(wanted).drop("n_met")), on).unionByName(others.join(rest, on))
 
 
 def _by_shard(shards: DataFrame, rows: DataFrame, work, schema: str) -> DataFrame:
@@ -300,91 +302,71 @@ def _by_shard(shards: DataFrame, rows: DataFrame, work, schema: str) -> DataFram
     return shards.groupBy("shard").cogroup(rows.groupBy("shard")).applyInArrow(work, schema)
 
 
-def _occurrences(shards: DataFrame, found: DataFrame, window: int, kind: str) -> DataFrame:
-    """``content, id, place, at, core, length`` of each passage of a recurring anchor.
+#: What names a passage: its core's hash, a hash of its text, where the core starts, its length.
+NAME = ["key", "sub", "core", "length"]
+_NAME_TYPES = "key bigint, sub bigint, core bigint, length bigint"
 
-    ``content`` names anchor and text, ``at`` is where the anchor stands in the document and
-    ``core`` where in the passage.
-    """
+
+def _occurrences(shards: DataFrame, found: DataFrame, window: int) -> DataFrame:
+    """Every passage of a recurring anchor: its name, ``place``, and ``at``, where the anchor stands."""
 
     def collect(shard: pa.Table, keys: pa.Table) -> pa.Table:
-        wanted, row_of, parts, names = np.sort(keys["key"].to_numpy()), [], [], []
-        ids, texts = Texts.read(shard["file"][0].as_py())
+        wanted, parts = np.sort(keys["key"].to_numpy()), []
+        texts = Texts.read(shard["file"][0].as_py())[1]
+        first_place = shard["shard"][0].as_py() << _ROW_BITS
         for row, text in enumerate(texts if len(wanted) else ()):
             hashes, at, firsts, lasts = anchors(text, window)
             near = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
             kept = wanted[near] == hashes
             at, firsts, afters = at[kept], firsts[kept], lasts[kept] + window
-            parts.append((at, at - firsts, afters - firsts))
-            row_of.append(np.full(len(at), row, np.int64))
-            names += [
-                hashlib.md5(b"%d " % core + text[first:after]).digest()
-                for core, first, after in zip((at - firsts).tolist(), firsts.tolist(), afters.tolist())
-            ]
-        at, core, length = (np.concatenate(p) for p in zip(*parts)) if parts else (np.empty(0, np.int64),) * 3
-        rows = np.concatenate(row_of) if row_of else np.empty(0, np.int64)
-        return pa.table(
-            {
-                "content": pa.array(names, pa.binary()),
-                "id": ids.take(pa.array(rows)),
-                "place": (shard["shard"][0].as_py() << _ROW_BITS) + rows,
-                "at": at,
-                "core": core,
-                "length": length,
-            }
-        )
+            subs = [xxhash.xxh64_intdigest(text[a:b]) for a, b in zip(firsts.tolist(), afters.tolist())]
+            subs = np.array(subs, np.uint64).view(np.int64)
+            place = np.full(len(at), first_place + row, np.int64)
+            parts.append((hashes[kept], subs, at - firsts, afters - firsts, place, at))
+        columns = [np.concatenate(part) for part in zip(*parts)] if parts else [np.empty(0, np.int64)] * 6
+        return pa.table(columns, names=[*NAME, "place", "at"])
 
-    schema = f"content binary, id {kind}, place bigint, at bigint, core bigint, length bigint"
-    return _by_shard(shards, found, collect, schema)
+    return _by_shard(shards, found, collect, f"{_NAME_TYPES}, place bigint, at bigint")
 
 
-def _ends(extra: list[str]) -> list[Column]:
-    """What a passage's rows say of it: its first and last place, and how many there are."""
-    order = F.struct("id", "place", "at")
-    return [
+def _strings(passages: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Each passage once: its first and last place, and how often it stands, ``n``."""
+    order = F.struct("place", "at")
+    grouped = passages.groupBy(*NAME).agg(
         F.min(order).alias("first"),
         F.max(order).alias("last"),
-        *[F.any_value(name).alias(name) for name in extra],
         F.count(F.lit(1)).alias("n"),
-    ]
-
-
-_FLAT_ENDS = [f"{end}.{name} AS {end}_{name}" for end in ("first", "last") for name in ("id", "place", "at")]
+        *[F.any_value(name).alias(name) for name in extra],
+    )
+    ends = [f"{end}.{name} AS {end}_{name}" for end in ("first", "last") for name in ("place", "at")]
+    return written(grouped.selectExpr(*NAME, "n", *ends, *extra), "strings")
 
 
-def _spelled(shards: DataFrame, strings: DataFrame, kind: str) -> DataFrame:
-    """The passages ``strings`` with their text, and the anchor as their key."""
-    strings = strings.withColumn("shard", F.shiftright("first_place", _ROW_BITS))
-    names = ["content", "n", *(f"{end}_{name}" for end in ("first", "last") for name in ("id", "place", "at"))]
+def _spelled(shards: DataFrame, strings: DataFrame) -> DataFrame:
+    """The passages ``strings`` with their ``text``, and ``size``, the bytes of their core."""
+    names = [*NAME, "n", "first_place", "first_at", "last_place", "last_at"]
 
     def spell(shard: pa.Table, block: pa.Table) -> pa.Table:
         texts = Texts.read(shard["file"][0].as_py())[1] if len(block) else []
         rows = block["first_place"].to_numpy() & (1 << _ROW_BITS) - 1
-        cores = block["core"].to_numpy()
-        starts = block["first_at"].to_numpy() - cores
+        starts = block["first_at"].to_numpy() - block["core"].to_numpy()
         stops = starts + block["length"].to_numpy()
         found = [texts[row][a:b] for row, a, b in zip(rows.tolist(), starts.tolist(), stops.tolist())]
-        keys = [hashlib.md5(text[core : core + ANCHOR]).digest() for text, core in zip(found, cores.tolist())]
-        return pa.table(
-            {
-                **{name: block[name] for name in names},
-                "key": pa.array(keys, pa.binary()),
-                "text": pa.array(found, pa.binary()),
-                "core": block["core"],
-                "size": np.full(len(found), ANCHOR, np.int64),
-            }
-        )
+        columns = {name: block[name] for name in names}
+        return pa.table({**columns, "text": pa.array(found, pa.binary()), "size": np.full(len(found), ANCHOR, np.int64)})
 
     schema = (
-        f"content binary, n bigint, first_id {kind}, first_place bigint, first_at bigint, last_id {kind}, "
-        "last_place bigint, last_at bigint, key binary, text binary, core bigint, size bigint"
+        f"{_NAME_TYPES}, n bigint, first_place bigint, first_at bigint, last_place bigint, last_at bigint, "
+        "text binary, size bigint"
     )
-    return _by_shard(shards, strings, spell, schema)
+    return _by_shard(shards, strings.withColumn("shard", F.shiftright("first_place", _ROW_BITS)), spell, schema)
 
 
 def _in_collections(strings: DataFrame, count: int, window: int) -> DataFrame:
-    """``content, which, start, end`` of the bytes to go from each passage of a collection."""
+    """Names, ``which, start, end`` of the bytes to go from each passage of a collection."""
     spark = strings.sparkSession
+    if not count:
+        return spark.createDataFrame([], f"{_NAME_TYPES}, which int, start bigint, end bigint")
     folder = qualified(spark, new_folder(spark, "rounds"))
     shards = max(partitions(spark), -(-count // COLLECTION))
 
@@ -393,13 +375,12 @@ def _in_collections(strings: DataFrame, count: int, window: int) -> DataFrame:
         again = block.filter(pc.greater(block["n"], 1))
         places = pa.concat_tables(
             [
-                pa.table({name: part[f"{which}_{name}"] for name in ("id", "place", "at")})
+                pa.table({name: part[f"{which}_{name}"] for name in ("place", "at")})
                 for part, which in ((block, "first"), (again, "last"))
             ]
         )
-        keys = [("id", "ascending"), ("place", "ascending"), ("at", "ascending")]
         rank = np.empty(len(places), np.int64)
-        rank[pc.sort_indices(places, sort_keys=keys, null_placement="at_start").to_numpy()] = np.arange(len(places))
+        rank[np.lexsort((places["at"].to_numpy(), places["place"].to_numpy()))] = np.arange(len(places))
         texts = block["text"].to_pylist() + again["text"].to_pylist()
         cores = np.concatenate([block["core"].to_numpy(), again["core"].to_numpy()])
         files = RoundFile(folder)
@@ -407,19 +388,13 @@ def _in_collections(strings: DataFrame, count: int, window: int) -> DataFrame:
             document, start, end = repeated_windows(texts, cores, rank, window, files)
         finally:
             files.remove()
-        contents = pa.concat_arrays([c for part in (block, again) for c in part["content"].chunks])
-        return pa.table(
-            {
-                "content": contents.take(pa.array(document)),
-                "which": (document >= len(block)).astype(np.int32),
-                "start": start,
-                "end": end,
-            }
-        )
+        names = {name: np.concatenate([block[name].to_numpy(), again[name].to_numpy()])[document] for name in NAME}
+        which = (document >= len(block)).astype(np.int32)
+        return pa.table({**names, "which": which, "start": start, "end": end})
 
     reach_workers(spark)
     dealt = strings.withColumn("collection", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("collection")
-    return dealt.applyInArrow(work, "content binary, which int, start bigint, end bigint")
+    return dealt.applyInArrow(work, f"{_NAME_TYPES}, which int, start bigint, end bigint")
 
 
 def _longer_cores(crowded: DataFrame, window: int) -> DataFrame:
@@ -449,7 +424,7 @@ def _longer_cores(crowded: DataFrame, window: int) -> DataFrame:
         F.when(cut >= 0, left), F.when(F.greatest(cut + 1, F.lit(0).cast("long")) + window <= length, right)
     )
     places = [
-        F.struct(F.lit(number).alias("which"), *[F.col(f"{name}_{part}").alias(part) for part in ("id", "place", "at")])
+        F.struct(F.lit(number).alias("which"), *[F.col(f"{name}_{part}").alias(part) for part in ("place", "at")])
         for number, name in enumerate(("first", "last"))
     ]
     dealt = (
@@ -461,51 +436,48 @@ def _longer_cores(crowded: DataFrame, window: int) -> DataFrame:
     def piece(start: str, stop: str) -> Column:
         return F.expr(f"substring(text, cast({start} + 1 AS int), cast({stop} - {start} AS int))")
 
-    made = dealt.select(
-        F.unhex(F.md5(F.concat("key", _bytes(F.col("part.side")), piece("part.low", "part.high")))).alias("key"),
-        piece("part.start", "part.stop").alias("text"),
+    return dealt.select(
+        F.xxhash64("key", "part.side", piece("part.low", "part.high")).alias("key"),
+        F.xxhash64(piece("part.start", "part.stop")).alias("sub"),
         (F.col("part.low") - F.col("part.start")).alias("core"),
+        (F.col("part.stop") - F.col("part.start")).alias("length"),
+        piece("part.start", "part.stop").alias("text"),
         (F.col("part.high") - F.col("part.low")).alias("size"),
-        *[F.col(f"owner.{name}").alias(name) for name in ("id", "place", "at")],
-        F.struct("content", "owner.which").alias("who"),
+        *[F.col(f"owner.{name}").alias(name) for name in ("place", "at")],
+        F.struct(*NAME, "owner.which").alias("who"),
         F.col("part.start").alias("base"),
     )
-    named = F.concat(F.col("key"), _bytes(F.concat(F.lit(" "), F.col("core").cast("string"), F.lit(" "))), F.col("text"))
-    return made.withColumn("content", F.unhex(F.md5(named)))
-
-
-def _bytes(text: Column) -> Column:
-    return text.cast("binary")
 
 
-def _verdicts(strings: DataFrame, window: int) -> DataFrame:
-    """``content, which, start, end``: the bytes to go from a passage's first place (0) or last (1).
+def _verdicts(strings: DataFrame, window: int, spell) -> DataFrame:
+    """Names, ``which, start, end``: the bytes to go from a passage's first place (0) or last (1).
 
-    ``strings`` holds each passage once: ``content``, the name of all else; ``key``, its core's
-    name; ``text``, where the core starts in it and how long it is, ``core`` and ``size``; how
-    often it stands, ``n``, and its first and last place.
+    ``strings`` holds each passage once, ``spell`` adds their texts.
     """
     members = strings.groupBy("key").agg(F.sum(F.least("n", F.lit(2))).alias("n_met"))
-    count, most = members.agg(F.coalesce(F.sum("n_met"), F.lit(0)), F.max("n_met")).head()
-    if not count or most <= CROWDED:
-        return _in_collections(strings, count, window)
-    crowded = written(members.where(F.col("n_met") > CROWDED), "crowded")
-    crowd = written(_meeting(strings, crowded, "key", count), "crowd")
-    # A content names one row of ``strings``, so these joins have no frequent key.
-    small = strings.join(crowd.select("content"), "content", "left_anti")
-    finer = written(_longer_cores(crowd, window), "passages")
-    parts = finer.groupBy("key", "content").agg(*_ends(["text", "core", "size"]))
-    parts = written(parts.selectExpr("key", "content", "text", "core", "size", "n", *_FLAT_ENDS), "strings")
-    found = _told(finer, parts, _verdicts(parts, window)).select("who.content", "who.which", "start", "end")
-    return _in_collections(small, count, window).unionByName(found)
+    members = written(members, "members")
+    count, most = members.agg(F.coalesce(F.sum("n_met"), F.lit(0)), F.coalesce(F.max("n_met"), F.lit(0))).head()
+    if most <= CROWDED:
+        return _in_collections(spell(strings), count, window)
+    few, many = f"n_met <= {CROWDED}", f"n_met > {CROWDED}"
+    found = _in_collections(spell(_meeting(strings, members, ["key"], count, few)), count, window)
+    crowd = written(spell(_meeting(strings, members, ["key"], count, many)), "crowd")
+    finer = _longer_cores(crowd, window)
+    # A core that stands once has nothing to be compared with.
+    cores = written(finer.groupBy("key").agg(F.count(F.lit(1)).alias("n_met")), "cores")
+    total = cores.agg(F.sum("n_met")).head()[0]
+    finer = written(_meeting(finer, cores, ["key"], total, "n_met > 1"), "passages")
+    parts = _strings(finer, ("text", "size"))
+    told = _told(finer, parts, _verdicts(parts, window, lambda whole_ones: whole_ones))
+    return found.unionByName(told.select("who.*", "start", "end"))
 
 
 def _told(passages: DataFrame, strings: DataFrame, verdicts: DataFrame) -> DataFrame:
     """``who, start, end``: the verdicts on passages told to each place, counted from ``base``."""
-    places = strings.select("content", F.col("n").alias("n_met"), F.col("first_place").alias("fp"), F.col("first_at").alias("fa"))
-    told = written(verdicts.join(places, "content"), "verdicts")
+    places = strings.select(*NAME, F.col("n").alias("n_met"), F.col("first_place").alias("fp"), F.col("first_at").alias("fa"))
+    told = written(verdicts.join(places, NAME), "verdicts")
     total = strings.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
-    met = _meeting(passages.select("content", "who", "base", "place", "at"), told, "content", total)
+    met = _meeting(passages.select(*NAME, "who", "base", "place", "at"), told, NAME, total)
     is_first = (F.col("place") == F.col("fp")) & (F.col("at") == F.col("fa"))
     start, end = (F.col(name) + F.col("base") for name in ("start", "end"))
     return met.where((F.col("which") == 0) == is_first).select("who", start.alias("start"), end.alias("end"))
@@ -550,14 +522,13 @@ def remove_repeats(docs: DataFrame, window: int = 100, doc_id: str = "doc_id") -
     kind = rows.schema["id"].dataType.simpleString()
     shards = _shards(rows)
     with inner_tables(docs.sparkSession):
-        # One shuffle serves the counts and what they are joined with.
-        counted = _anchor_counts(shards, window).repartition(partitions(docs.sparkSession), "key")
-        recurring = counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
-        found = counted.select("key", "shard").join(recurring, "key")
-        passages = written(_occurrences(shards, found, window, kind), "occurrences")
-        strings = passages.groupBy("content").agg(*_ends(["core", "length"]))
-        strings = strings.selectExpr("content", "n", "core", "length", *_FLAT_ENDS)
-        strings = written(_spelled(shards, strings, kind), "strings")
+        counted = _anchor_counts(shards, window)
+        # One row a shard for each anchor, however often it stands there.
+        everywhere = F.sum("n").over(Window.partitionBy("key"))
+        found = counted.withColumn("n", everywhere).where("n > 1").select("key", "shard")
+        passages = written(_occurrences(shards, found, window), "occurrences")
+        strings = _strings(passages)
         owners = passages.withColumn("who", F.col("place")).withColumn("base", F.col("at") - F.col("core"))
-        repeats = written(_told(owners, strings, _verdicts(strings, window)), "repeats", keep=True)
+        told = _told(owners, strings, _verdicts(strings, window, lambda some: _spelled(shards, some)))
+        repeats = written(told, "repeats", keep=True)
     return _without_repeats(shards, repeats, kind).withColumnRenamed("id", doc_id)

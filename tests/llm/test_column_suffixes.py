@@ -60,7 +60,7 @@ def mixed(rng):
     return docs
 
 
-@pytest.mark.parametrize("crowded", [2, 6, 1 << 13])
+@pytest.mark.parametrize("crowded", [2, 6, 1 << 16])
 def test_against_every_window(spark, monkeypatch, crowded):
     # A low bound deals crowded cores by longer ones, over several rounds.
     monkeypatch.setattr(column_suffixes, "CROWDED", crowded)
