@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankfold.llm.common import column, in_arrow, inner_tables, partitions, reach_workers, whole, written
+from rankfold.llm.common import column, in_arrow, inner_tables, partitions, reach_workers, spread_join, whole, written
 from rankfold.llm.warc_archives import qualified
 from rankfold.sources.store import new_folder
 
@@ -54,8 +54,6 @@ ANCHOR = 32
 SHARD_BYTES = 4 << 20
 #: Documents of a collection, about, and the most that one anchor may give to it.
 COLLECTION, CROWDED = 1 << 15, 1 << 16
-#: A key that meets more than this share of the rows, and this many, is broadcast.
-HOT_SHARE, HOT_ROWS = 1000, 10_000
 
 #: A place: the partition that read a row, above these bits the shard in it, then the row.
 _PART_BITS, _ROW_BITS = 23, 17
@@ -282,20 +280,6 @@ def _anchor_counts(shards: DataFrame, window: int) -> DataFrame:
     return in_arrow(spread, counted, "key bigint, shard bigint, n bigint")
 
 
-def _meeting(rows: DataFrame, keyed: DataFrame, on: list[str], total: int, wanted: str = "true") -> DataFrame:
-    """``rows`` joined with the ``wanted`` of ``keyed``; its ``n_met`` says how many of ``total`` rows a key meets.
-
-    Keys that meet more than one in ``HOT_SHARE`` of the rows, so fewer than that many, are
-    broadcast and their rows stay where they are.
-    """
-    bound = max(HOT_ROWS, total // HOT_SHARE)
-    hot, rest = keyed.where(F.col("n_met") > bound), keyed.where((F.col("n_met") <= bound) & F.expr(wanted)).drop("n_met")
-    if not hot.limit(1).count():
-        return rows.join(rest, on)
-    others = rows.join(F.broadcast(hot.select(*on).distinct()), on, "left_anti")
-    return rows.join(F.broadcast(hot.where(wanted).drop("n_met")), on).unionByName(others.join(rest, on))
-
-
 def _by_shard(shards: DataFrame, rows: DataFrame, work, schema: str) -> DataFrame:
     """``work`` on each shard's file and the rows that concern it."""
     reach_workers(shards.sparkSession)
@@ -460,13 +444,13 @@ def _verdicts(strings: DataFrame, window: int, spell) -> DataFrame:
     if most <= CROWDED:
         return _in_collections(spell(strings), count, window)
     few, many = f"n_met <= {CROWDED}", f"n_met > {CROWDED}"
-    found = _in_collections(spell(_meeting(strings, members, ["key"], count, few)), count, window)
-    crowd = written(spell(_meeting(strings, members, ["key"], count, many)), "crowd")
+    found = _in_collections(spell(spread_join(strings, members, ["key"], count, few)), count, window)
+    crowd = written(spell(spread_join(strings, members, ["key"], count, many)), "crowd")
     finer = _longer_cores(crowd, window)
     # A core that stands once has nothing to be compared with.
     cores = written(finer.groupBy("key").agg(F.count(F.lit(1)).alias("n_met")), "cores")
     total = cores.agg(F.sum("n_met")).head()[0]
-    finer = written(_meeting(finer, cores, ["key"], total, "n_met > 1"), "passages")
+    finer = written(spread_join(finer, cores, ["key"], total, "n_met > 1"), "passages")
     parts = _strings(finer, ("text", "size"))
     told = _told(finer, parts, _verdicts(parts, window, lambda whole_ones: whole_ones))
     return found.unionByName(told.select("who.*", "start", "end"))
@@ -477,7 +461,7 @@ def _told(passages: DataFrame, strings: DataFrame, verdicts: DataFrame) -> DataF
     places = strings.select(*NAME, F.col("n").alias("n_met"), F.col("first_place").alias("fp"), F.col("first_at").alias("fa"))
     told = written(verdicts.join(places, NAME), "verdicts")
     total = strings.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
-    met = _meeting(passages.select(*NAME, "who", "base", "place", "at"), told, NAME, total)
+    met = spread_join(passages.select(*NAME, "who", "base", "place", "at"), told, NAME, total)
     is_first = (F.col("place") == F.col("fp")) & (F.col("at") == F.col("fa"))
     start, end = (F.col(name) + F.col("base") for name in ("start", "end"))
     return met.where((F.col("which") == 0) == is_first).select("who", start.alias("start"), end.alias("end"))

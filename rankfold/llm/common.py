@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import rankfold
+from rankfold.functions.names import fresh
 from rankfold.sources.store import new_folder, remove_folder
 
 
@@ -129,16 +130,38 @@ def map_texts(docs: DataFrame, make, schema: str, text: str = "text", keys: tupl
     return in_arrow(frame, mapped, f"{fields}, {schema}")
 
 
-#: Names a row by what it says, where ids repeat.
-TEXT_KEY = "_text_key"
+def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key that tells its rows apart by text and by all other columns, and its name.
 
-
-def with_text_key(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(TEXT_KEY, F.xxhash64(whole(column("text"))))
+    The text counts by 128 bits, the rest by 64; a null text and an empty one differ.
+    """
+    key = fresh("row_key")
+    others = [column(name) for name, kind in docs.dtypes if name != "text" and "map<" not in kind and "variant" not in kind]
+    text = F.coalesce(F.unhex(F.md5(column("text").cast("binary"))), F.lit("").cast("binary"))
+    return docs.withColumn(key, F.concat(text, F.unhex(F.hex(F.xxhash64(*others))))), key
 
 
-def only_rows(keyed: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+def only_rows(keyed: DataFrame, key: str, rows: DataFrame, how: str) -> DataFrame:
     """The rows of ``keyed`` that are among ``rows`` (``left_semi``) or not (``left_anti``)."""
-    named = rows.select(F.col("doc_id").alias("_id"), F.col(TEXT_KEY).alias("_key"))
-    same = keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed[TEXT_KEY] == F.col("_key"))
-    return keyed.join(named, same, how).drop(TEXT_KEY)
+    name, named = fresh("id"), fresh("key")
+    rows = rows.select(F.col("doc_id").alias(name), F.col(key).alias(named))
+    same = keyed["doc_id"].eqNullSafe(F.col(name)) & (keyed[key] == F.col(named))
+    return keyed.join(rows, same, how).drop(key)
+
+
+#: A key that meets more than one in so many of the rows, and so many rows, is broadcast.
+HOT_SHARE, HOT_ROWS = 1000, 1000
+
+
+def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], total: int, wanted: str = "true") -> DataFrame:
+    """``rows`` joined with the ``wanted`` of ``keyed``; its ``n_met`` says how many of ``total`` rows a key meets.
+
+    Keys that meet more than one in ``HOT_SHARE`` of the rows, so fewer than that many, are
+    broadcast and their rows stay where they are.
+    """
+    bound = max(HOT_ROWS, total // HOT_SHARE)
+    hot, rest = keyed.where(F.col("n_met") > bound), keyed.where((F.col("n_met") <= bound) & F.expr(wanted)).drop("n_met")
+    if not hot.limit(1).count():
+        return rows.join(rest, on)
+    others = rows.join(F.broadcast(hot.select(*on).distinct()), on, "left_anti")
+    return rows.join(F.broadcast(hot.where(wanted).drop("n_met")), on).unionByName(others.join(rest, on))

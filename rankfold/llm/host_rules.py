@@ -3,8 +3,8 @@
 Each document is measured once. A host's failures are counted, and its rate is drawn towards
 that of all hosts by a beta prior fitted to the hosts' rates by their mean and variance, so
 a host with few documents is not judged by chance. Verdicts go back to the documents by a
-join. A document of a host with a high rate must pass stricter rules than others; a clean
-one stays wherever it comes from.
+join. A document of a host whose rate is high beside that of all must pass stricter rules than
+others; a clean one stays wherever it comes from.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.llm.common import column, map_texts, written
+from rankfold.functions.names import fresh
+from rankfold.llm.common import column, map_texts, spread_join, written
 
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -83,11 +84,11 @@ def strict_failed() -> Column:
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
-    """One row per host: ``host, n_docs, n_failed, rate``, the rate drawn towards all hosts.
+    """One row per host: ``host, n_docs, n_failed, rate, pooled``, the rate drawn towards the pooled one.
 
     The prior's mean is the pooled rate ``m``. Its weight ``a + b`` follows from the variance
-    between hosts beyond that of counting, ``m (1 - m) / v - 1``, kept within 1 and 10,000
-    documents. The prior is two numbers, whatever the input.
+    between hosts beyond that of counting, ``m (1 - m) / v - 1``; without such variance all hosts
+    have the pooled rate. The prior is two numbers, whatever the input.
     """
     hosts = measured.groupBy("host").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")
@@ -99,34 +100,44 @@ def host_rates(measured: DataFrame) -> DataFrame:
         F.sum(F.col("n_failed") * F.col("n_failed") / F.col("n_docs")).alias("squares"),
     ).head()
     mean, weight = beta_prior(*pooled)
-    return hosts.withColumn(
-        "rate", (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight))
-    )
+    rate = F.lit(mean)
+    if weight is not None:
+        rate = (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight))
+    return hosts.withColumns({"rate": rate, "pooled": F.lit(mean)})
+
 
+def beta_prior(docs: int, failed: int | None, hosts: int, squares: float | None) -> tuple[float, float | None]:
+    """Mean and weight of the prior; ``squares`` sums failures times rate over the hosts.
 
-def beta_prior(docs: int, failed: int | None, hosts: int, squares: float | None) -> tuple[float, float]:
-    """Mean and weight of the prior; ``squares`` sums failures times rate over the hosts."""
+    No weight stands for an unlimited one: the hosts differ by no more than chance.
+    """
     if not docs:
-        return 0.0, 1.0
+        return 0.0, None
     mean = failed / docs
     between = squares / docs - mean * mean - mean * (1 - mean) * hosts / docs
     if between <= 0:
-        return mean, 1e4
-    return mean, min(1e4, max(1.0, mean * (1 - mean) / between - 1))
+        return mean, None
+    return mean, max(0.0, mean * (1 - mean) / between - 1)
 
 
 def judge(
-    docs: DataFrame, host: str = "source", suspect: float = 0.5, keys: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame, host: str = "source", suspect: float = 2.0, keys: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
     """Measures and verdicts of every row: its keys, ``host, n_words, ..., base_failed, kept``.
 
-    A null text has no words and fails. Documents without a host share one, the null host.
+    A host is suspect if the odds of its rate, drawn in, are over ``suspect`` times the pooled
+    odds. A null text has no words and fails. Documents without a host share one, the null host; an empty table gives
+    no rows. Columns other than keys, host and text are not read.
     """
     named = docs.select(*[column(key).alias(key) for key in keys], column(host).alias("host"), column("text").alias("text"))
     measures = ", ".join(f"{name} bigint" for name in MEASURES)
     measured = map_texts(named, lambda: measure, measures, keys=(*keys, "host"))
     measured = written(measured.withColumn("base_failed", base_failed()), "measures")
-    rates = host_rates(measured).select(F.col("host").alias("h"), "rate")
-    judged = measured.join(rates, F.col("host").eqNullSafe(F.col("h"))).drop("h")
-    kept = ~F.col("base_failed") & ((F.col("rate") <= suspect) | ~strict_failed())
-    return judged.withColumn("kept", kept)
+    rates = written(host_rates(measured), "rates")
+    name = fresh("host")
+    not_null = F.coalesce(F.concat(F.lit("+"), F.col("host").cast("string")), F.lit("")).alias(name)
+    rate, pooled = F.col("rate"), F.col("pooled")
+    high = rate * (1 - pooled) > suspect * pooled * (1 - rate)
+    verdicts = rates.select(not_null, high.alias("suspect"), F.col("n_docs").alias("n_met"))
+    judged = spread_join(measured.select("*", not_null), verdicts, [name], measured.count()).drop(name)
+    return judged.withColumn("kept", ~F.col("base_failed") & ~(F.col("suspect") & strict_failed())).drop("suspect")

@@ -154,12 +154,13 @@ LLM_ORACLES = {
                    count(*) / sum(docs) AS per_doc
             FROM hosts),
         prior AS (
-            SELECT m, CASE WHEN between_hosts <= 0 THEN 10000
-                           ELSE least(10000, greatest(1, m * (1 - m) / between_hosts - 1)) END AS weight
-            FROM (SELECT m, s - m * m - m * (1 - m) * per_doc AS between_hosts FROM pooled))
+            SELECT m, CASE WHEN between_hosts > 0 THEN greatest(0, m * (1 - m) / between_hosts - 1) END AS weight
+            FROM (SELECT m, s - m * m - m * (1 - m) * per_doc AS between_hosts FROM pooled)),
+        rates AS (
+            SELECT host, coalesce((failed + m * weight) / (docs + weight), m) AS rate, m FROM hosts, prior)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-               NOT base_failed AND ((failed + m * weight) / (docs + weight) <= 0.5 OR NOT strict_failed) AS kept
-        FROM judged JOIN hosts ON host IS NOT DISTINCT FROM source, prior""",
+               NOT base_failed AND NOT (strict_failed AND rate * (1 - m) > 2 * m * (1 - rate)) AS kept
+        FROM judged JOIN rates ON host IS NOT DISTINCT FROM source""",
     "op11_column_suffixes": """
         WITH spelled AS (
             SELECT doc_id, row_number() OVER () AS row_no, hex(encode(coalesce(text, ''))) AS h FROM documents),

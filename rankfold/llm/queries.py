@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +23,6 @@ from rankfold.llm import (
 )
 from rankfold.sources.tables import read_table
 
-#: Where the vocabulary files of public tokenizers are installed, on every worker.
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
-
 
 def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     control = "<|im_end|><|im_start|>assistant ok"
@@ -63,7 +59,7 @@ def op4_repeated_phrases(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
-    return prefix_tokens.count_tokens(docs, f"{TOKENIZERS}/byte_bpe_50k.json", limit=1024)
+    return prefix_tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,7 +84,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
-    return piece_merging.encode_texts(docs, f"{TOKENIZERS}/piece_bpe_32k.model", ids=False)
+    return piece_merging.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), ids=False)
 
 
 def op11_column_suffixes(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,13 +8,12 @@ of two; near fingerprints share one. Fingerprints that share a key are joined, a
 distance is taken. Only different fingerprints are joined, whatever the number of copies.
 
 Keys that very many fingerprints share are refined: the fingerprint is cut into more parts
-than bits may differ, and the parts that must then be equal join the key.
+than bits may differ, and the parts that must then be equal join the key. A key, fingerprint or
+node that a thousandth of the rows share is met by broadcast, and its rows are not gathered.
 """
 
 from __future__ import annotations
 
-import math
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankfold.llm import golay
-from rankfold.llm.common import TEXT_KEY, TEXTS_AT_ONCE, in_arrow, map_texts, whole, written
+from rankfold.llm.common import column, in_arrow, inner_tables, map_texts, spread_join, written
 from rankfold.llm.components import components
 
 #: Lowest bit and width of each segment.
@@ -50,12 +49,6 @@ def shingle_hashes(text: bytes, size: int = 3) -> np.ndarray:
     return np.array([digest(joined[a:b], 42) for a, b in zip(starts, stops)], ">u8")
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """XXH64 (seed 42) of every different word, A-Z lower-cased."""
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(word, 42) for word in set(text.lower().split())], ">u8")
-
-
 def fingerprint(hashes: np.ndarray) -> int:
     """The bits that are set in over half of the hashes, as a signed long."""
     counts = np.zeros(64, np.int64)
@@ -65,11 +58,11 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, hashes=shingle_hashes, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def fingerprints(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``fp`` of every row, besides ``keys``; a text without words, null too, has zero."""
 
     def make():
-        return lambda texts: {"fp": ([fingerprint(hashes(text)) for text in texts], pa.int64())}
+        return lambda texts: {"fp": ([fingerprint(shingle_hashes(text)) for text in texts], pa.int64())}
 
     return map_texts(docs, make, "fp bigint", keys=keys)
 
@@ -130,17 +123,13 @@ def _refined(crowded: DataFrame, max_bits: int) -> DataFrame:
 def near_pairs(values: DataFrame, max_bits: int = 2, crowded: int = CROWDED) -> DataFrame:
     """Pairs ``a < b`` of different fingerprints in ``fp`` that differ in at most ``max_bits``.
 
-    ``values`` holds each fingerprint once. ``max_bits`` is at most 5. Where ``values`` has a
-    column ``comp``, only pairs that differ in it are told.
+    ``values`` holds each fingerprint once. ``max_bits`` is at most 5.
     """
     keyed = shared_keys(values, max_bits)
     errors = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
     near = (F.col("x.fp") < F.col("y.fp")) & (F.bit_count(errors) <= max_bits)
     # A pair that shares keys of several kinds is told by one kind alone.
     near = near & (F.shiftright("x.key", 36) == _first_kind(errors, max_bits))
-    if "comp" in values.columns:
-        keyed = keyed.join(values.select("fp", "comp"), "fp")
-        near = near & (F.col("x.comp") != F.col("y.comp"))
     pair = [F.col("x.fp").alias("a"), F.col("y.fp").alias("b")]
     few = keyed.where(F.col("n") <= crowded)
     pairs = few.alias("x").join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & near).select(*pair)
@@ -170,268 +159,28 @@ def shared_keys(values: DataFrame, max_bits: int) -> DataFrame:
         raise ValueError("max_bits must be from 1 to 5")
     keyed = written(_keyed(values, max_bits), "keys")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return keyed.join(written(shared, "shared"), "key")
+    shared = written(shared.withColumn("n_met", F.col("n")), "shared")
+    return written(spread_join(keyed, shared, ["key"], keyed.count()), "shared-keys")
 
 
-def pivot_pairs(values: DataFrame, max_bits: int, orders: int = 3) -> DataFrame:
-    """Near pairs of each fingerprint with the first ones of its keys, in several random orders.
+def link_fingerprints(
+    docs: DataFrame, max_bits: int = 2, crowded: int = CROWDED, keys: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """One row per document: ``keys, fp, root, component_id``, the smallest id it is linked to.
 
-    As many rows as keys, however many fingerprints are near each other.
+    ``root`` names the group by one of its fingerprints. Null ids are passed over where there
+    are others. Documents whose fingerprints are equal are linked, those without words too.
+    ``keys`` holds ``doc_id``; other columns of ``docs`` than these and the text are not read.
     """
-    keyed = shared_keys(values, max_bits)
-    firsts = F.array(*[F.min_by("fp", F.xxhash64(F.lit(i), "fp")) for i in range(orders)])
-    pivots = keyed.groupBy(F.col("key").alias("k")).agg(firsts.alias("pivots"))
-    near = F.filter(
-        F.array_distinct("pivots"),
-        lambda p: (p != F.col("fp")) & (F.bit_count(p.bitwiseXOR(F.col("fp"))) <= max_bits),
-    )
-    met = keyed.join(pivots, F.col("key") == F.col("k")).select("fp", F.explode(near).alias("pivot"))
-    return met.select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).distinct()
-
-
-def link_fingerprints(docs: DataFrame, max_bits: int = 2, crowded: int = CROWDED) -> DataFrame:
-    """One row per document: ``doc_id, fp, component_id``, the smallest id it is linked to.
-
-    Null ids are passed over where there are others. Documents whose fingerprints are equal
-    are linked, those without words too.
-    """
-    rows = written(fingerprints(docs), "fingerprints")
-    firsts = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
-    roots = components(near_pairs(firsts, max_bits, crowded))
-    placed = firsts.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    smallest = placed.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("component_id"))
-    named = placed.join(smallest, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
-    return rows.join(named, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
-
-
-# --- near copies by similarity ------------------------------------------------------------
-
-SKETCH = 128
-#: How far below the wanted similarity a sketch must lie for a pair to be dropped unread. A pair
-#: at 0.8 lies 0.3 lower with a chance below 1e-12.
-SLACK = 0.3
-
-
-def run_hashes(text: bytes, size: int = 5) -> np.ndarray:
-    """The 64-bit hashes of the different runs of five words, in order; zero for no words."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(1, np.uint64)
-    digest = xxhash.xxh3_64_intdigest
-    hashed = np.array([digest(word) for word in words], np.uint64)
-    runs = np.zeros(max(1, len(words) - size + 1), np.uint64)
-    for i in range(min(size, len(words))):
-        runs = runs * np.uint64(0x9E3779B97F4A7C15) + hashed[i : i + len(runs)]
-    return np.unique((runs ^ runs >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD))
-
-
-def sketch_of(runs: np.ndarray) -> np.ndarray:
-    """The ``SKETCH`` smallest different upper halves of the hashes."""
-    return np.unique(runs >> np.uint64(32))[:SKETCH].astype(np.uint32)
-
-
-def sketch(text: bytes, size: int = 5) -> np.ndarray:
-    """The ``SKETCH`` smallest 32-bit hashes of the different runs of five words."""
-    return sketch_of(run_hashes(text, size)) if text.split() else np.empty(0, np.uint32)
-
-
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """The Jaccard similarity of two sketches; exact where they hold all runs."""
-    both = np.union1d(a, b)[:SKETCH]
-    if not len(both):
-        return 1.0
-    return float((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).mean())
-
-
-def exact_similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """The Jaccard similarity of two sets of runs, all of them."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
-
-
-def _similar(pairs: DataFrame, least: float) -> DataFrame:
-    """The pairs ``a, b`` whose sketches are not far below ``least``."""
-
-    def similar(batches):
-        for batch in batches:
-            a, b, left, right = batch.columns
-            sketches = zip(left.to_pylist(), right.to_pylist())
-            good = [similarity(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) >= least - SLACK for x, y in sketches]
-            mask = pa.array(good, pa.bool_())
-            yield pa.record_batch([a.filter(mask), b.filter(mask)], names=["a", "b"])
-
-    return in_arrow(pairs, similar, "a bigint, b bigint")
-
-
-def _exactly_similar(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """The pairs ``a, b`` of text keys whose texts are at least so similar, by all their runs."""
-    pairs = written(pairs, "candidates")
-    named = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    texts = docs.select(F.col(TEXT_KEY).alias("node"), whole("text").cast("binary").alias("t"))
-    texts = texts.join(named, "node", "left_semi").groupBy("node").agg(F.first("t").alias("t"))
-    texts = written(texts, "compared")
-    left = texts.select(F.col("node").alias("a"), F.col("t").alias("ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("t").alias("tb"))
-
-    def similar(batches):
-        runs = lru_cache(64)(run_hashes)
-        for batch in batches:
-            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                a, b, first, second = batch.slice(start, TEXTS_AT_ONCE).columns
-                texts = zip(first.to_pylist(), second.to_pylist())
-                mask = pa.array([exact_similarity(runs(x), runs(y)) >= least for x, y in texts], pa.bool_())
-                yield pa.record_batch([a.filter(mask), b.filter(mask)], names=["a", "b"])
-
-    return in_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), similar, "a bigint, b bigint")
-
-
-#: Texts in which runs are counted, and the share of all texts where that is more; runs seen in so
-#: many of them are common, and so many of the most common ones are told to every task.
-COUNTED_TEXTS, COUNTED_SHARE, COMMON_FROM, COMMON_RUNS = 8192, 1 / 16, 8, 1 << 16
-
-
-def rare_runs(runs: np.ndarray, least: float, common: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """So many of a text's runs, rarest first, that texts at ``least`` share one of them.
-
-    Of ``n`` runs at least ``least * n`` are shared, so one of any ``n - least * n + 1`` is;
-    the rarest of both texts hold the rarest shared one, whatever order all texts are held to.
-    ``common`` are the runs that come last, in order, and ``seen`` how often they were seen.
-    """
-    count = len(runs) - math.ceil(least * len(runs) - 1e-9) + 1
-    if not len(common):
-        return runs[:count]
-    at = np.minimum(np.searchsorted(common, runs), len(common) - 1)
-    often = np.where(common[at] == runs, seen[at], 0)
-    return runs[np.lexsort((runs, often))[:count]]
-
-
-def _common_runs(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Runs that many of the counted texts have, in order, and in how many. They only steer."""
-    share = max(COUNTED_SHARE, COUNTED_TEXTS / max(1, docs.count()))
-    counted = docs.where(F.pmod(F.xxhash64(TEXT_KEY), F.lit(1 << 20)) < int(share * (1 << 20)))
-    runs = map_texts(
-        counted,
-        lambda: lambda texts: {"runs": ([run_hashes(text).view(np.int64) for text in texts], pa.list_(pa.int64()))},
-        "runs array<bigint>",
-        keys=(TEXT_KEY,),
-    )
-    often = runs.select(F.explode("runs").alias("run")).groupBy("run").agg(F.count(F.lit(1)).alias("n"))
-    often = often.where(F.col("n") >= COMMON_FROM).orderBy(F.desc("n"), "run").limit(COMMON_RUNS).collect()
-    common = np.array([row.run for row in often], np.int64).view(np.uint64)
-    order = np.argsort(common)
-    return common[order], np.array([row.n for row in often], np.int64)[order]
-
-
-def _rare(docs: DataFrame, least: float) -> DataFrame:
-    """``run, key, size``: rare runs of each text that others have too, and its number of runs."""
-    common, seen = _common_runs(docs)
-
-    def make():
-        def picked(texts):
-            found = [run_hashes(text) for text in texts]
-            rare = [rare_runs(runs, least, common, seen).view(np.int64) for runs in found]
-            return {"size": ([len(runs) for runs in found], pa.int64()), "runs": (rare, pa.list_(pa.int64()))}
-
-        return picked
-
-    rare = map_texts(docs, make, "size bigint, runs array<bigint>", keys=(TEXT_KEY,))
-    rare = written(rare.select(F.explode("runs").alias("run"), F.col(TEXT_KEY).alias("key"), "size"), "rare")
-    shared = rare.groupBy(F.col("run").alias("r")).agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    shared = written(shared.where("low < high").select("r"), "shared")
-    return written(rare.join(shared, F.col("run") == F.col("r"), "left_semi").distinct(), "rare-shared")
-
-
-def _sized(least: float) -> Column:
-    """Whether two sets ``x`` and ``y`` are not too unlike in size."""
-    return F.least("x.size", "y.size") >= F.greatest("x.size", "y.size") * least - 1e-9
-
-
-def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
-
-
-def _rare_pivots(rare: DataFrame, least: float) -> DataFrame:
-    """Pairs of each text with the first one of each of its rare runs: as many rows as runs."""
-    first = rare.groupBy("run").agg(F.min_by(F.struct("key", "size"), F.xxhash64("key")).alias("first"))
-    first = first.select("run", "first.*")
-    met = rare.alias("x").join(first.alias("y"), F.col("x.run") == F.col("y.run"))
-    return _pairs(met.where((F.col("x.key") != F.col("y.key")) & _sized(least)))
-
-
-def _rare_pairs(rare: DataFrame, least: float) -> DataFrame:
-    """All pairs that share a rare run and differ in ``comp``.
-
-    Of two such texts one at least is not of the run's main component, so its texts are not
-    joined with each other.
-    """
-    main = rare.groupBy(F.col("run").alias("r")).agg(
-        F.min_by("comp", F.xxhash64("run", "key")).alias("main"), F.min("comp").alias("low"), F.max("comp").alias("high")
-    )
-    mixed = rare.join(main.where("low < high").select("r", "main"), F.col("run") == F.col("r"))
-    mixed = written(mixed.select("run", "key", "size", "comp", "main"), "mixed")
-    apart = (F.col("x.run") == F.col("y.run")) & (F.col("x.comp") != F.col("y.comp")) & _sized(least)
-    # Where both are of other components, one order is enough.
-    once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.key") < F.col("y.key"))
-    return _pairs(mixed.where("comp != main").alias("x").join(mixed.alias("y"), apart & once))
-
-
-def near_copies(docs: DataFrame, least: float = 0.8, max_bits: int = 5) -> DataFrame:
-    """Groups of near copies: ``doc_id``, the text key, ``copies`` and ``kept`` of each different row.
-
-    ``docs`` has ``doc_id``, ``text`` and the text key. Texts are linked where the similarity
-    of their runs of five words is at least ``least``, and every such pair ends in one group.
-    Fingerprints of their different words that differ in at most ``max_bits`` join large
-    groups first, with few comparisons; then all texts of different groups that share one of
-    their rarest runs are compared, which no similar pair escapes. Pairs are first compared by
-    ``SKETCH`` hashes, and by all runs where these are not far apart. Of each group one row is
-    kept: that with the smallest id, then text key. Equal texts are one group, null as the
-    empty one. ``copies`` counts the rows that are repeated whole.
-    """
-
-    def make():
-        def measured(texts):
-            return {
-                "fp": ([fingerprint(word_hashes(text)) for text in texts], pa.int64()),
-                "sketch": ([sketch(text).tobytes() for text in texts], pa.binary()),
-            }
-
-        return measured
-
-    rows = map_texts(docs, make, "fp bigint, sketch binary", keys=("doc_id", TEXT_KEY))
-    rows = written(rows.withColumnRenamed(TEXT_KEY, "key"), "sketches")
-    texts = written(rows.groupBy("key").agg(F.first("fp").alias("fp"), F.first("sketch").alias("s")), "texts")
-    speaks = written(texts.groupBy("fp").agg(F.min("key").alias("k")), "chosen")
-    equal = texts.join(speaks, "fp").where("key != k").select(F.col("key").alias("a"), F.col("k").alias("b"))
-    left = texts.select(F.col("key").alias("a"), F.col("s").alias("sa"))
-    right = texts.select(F.col("key").alias("b"), F.col("s").alias("sb"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        sketched = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-        return _exactly_similar(_similar(sketched, least), docs, least)
-
-    # First each text with few others; then only what these links leave apart, so that a large
-    # group does not give all its pairs.
-    near = pivot_pairs(speaks.select("fp"), max_bits)
-    near = near.join(speaks.select(F.col("fp").alias("a"), F.col("k").alias("ka")), "a")
-    near = near.join(speaks.select(F.col("fp").alias("b"), F.col("k").alias("kb")), "b")
-    near = near.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"))
-    rare = _rare(docs, least)
-    few = equal.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionAll(near)
-    links = written(verified(few.unionAll(_rare_pivots(rare, least)).distinct()), "links")
-    first = components(links)
-    parts = rare.join(first, F.col("key") == F.col("node"), "left")
-    parts = written(parts.select("run", "key", "size", F.coalesce("root", "key").alias("comp")), "parts")
-    more = verified(_rare_pairs(parts, least))
-    roots = components(links.unionAll(more))
-    different = rows.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("copies"))
-    grouped = different.join(roots, F.col("key") == F.col("node"), "left")
-    grouped = grouped.select("doc_id", "key", "copies", F.coalesce("root", "key").alias("group"))
-    best = grouped.groupBy(F.col("group").alias("g")).agg(F.min(F.struct("doc_id", "key")).alias("best"))
-    return grouped.join(best, F.col("group") == F.col("g")).select(
-        "doc_id",
-        F.col("key").alias(TEXT_KEY),
-        "copies",
-        F.struct("doc_id", "key").eqNullSafe(F.col("best")).alias("kept"),
-    )
+    with inner_tables(docs.sparkSession):
+        rows = written(fingerprints(docs, keys), "fingerprints", keep=True)
+        each = rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_met"))
+        firsts = written(each, "firsts")
+        roots = components(near_pairs(firsts, max_bits, crowded))
+        placed = firsts.join(roots, F.col("fp") == F.col("node"), "left").select(
+            "fp", "first", "n_met", F.coalesce("root", "fp").alias("root")
+        )
+        smallest = placed.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("component_id"))
+        named = placed.join(smallest, F.col("root") == F.col("r")).select("fp", "root", "component_id", "n_met")
+        named = written(named, "groups", keep=True)
+    return spread_join(rows, named, ["fp"], rows.count()).select(*[column(key) for key in keys], "fp", "root", "component_id")

@@ -1,13 +1,13 @@
+import public_tokenizers
 import pytest
-
-from rankfold.llm.queries import TOKENIZERS
+from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
 def vocabularies():
-    return {name: f"{TOKENIZERS}/{name}" for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")}
+    return {name: public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")}
 
 
 @pytest.fixture
@@ -27,7 +27,9 @@ def documents(spark):
         (7, "<|endoftext|> 日本 é \U0001f600​", "src2", "x", 8),
     ]
     # Columns of the operators' own working names must be left alone.
-    return spark.createDataFrame(rows, "doc_id long, text string, source string, key string, n_tokens int")
+    named = spark.createDataFrame(rows, "doc_id long, text string, source string, key string, n_tokens int")
+    clashing = ("_id", "_key", "_text_key", "host", "fp", "root", "n_met", "shard", "place", "kept", "item_id", "row", "h")
+    return named.withColumns({name: F.lit(name) for name in clashing})
 
 
 @pytest.fixture

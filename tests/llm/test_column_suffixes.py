@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankfold.llm import column_suffixes
+from rankfold.llm import column_suffixes, common
 from rankfold.llm.column_suffixes import anchors, insert_column, least_between, remove_repeats, run_hashes
 
 
@@ -72,8 +72,8 @@ def test_against_every_window(spark, monkeypatch, crowded):
 def test_small_shards_and_frequent_keys(spark, monkeypatch):
     monkeypatch.setattr(column_suffixes, "SHARD_BYTES", 2000)
     monkeypatch.setattr(column_suffixes, "COLLECTION", 20)
-    monkeypatch.setattr(column_suffixes, "HOT_ROWS", 5)
-    monkeypatch.setattr(column_suffixes, "HOT_SHARE", 10_000)
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    monkeypatch.setattr(common, "HOT_SHARE", 10_000)
     monkeypatch.setattr(column_suffixes, "CROWDED", 10)
     check(spark, mixed(random.Random(7)), parts=4)
 

@@ -9,8 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rankfold.llm import golay, repeated_phrases, simhash_groups
-from rankfold.llm.common import with_text_key
+from rankfold.llm import common, golay, repeated_phrases, simhash_groups
 from rankfold.llm.components import components
 
 
@@ -94,89 +93,16 @@ def test_blocks_of_hashes_add_up(monkeypatch):
     assert simhash_groups.fingerprint(hashes) == whole
 
 
-def test_near_copies(spark, documents, no_documents):
-    rng = random.Random(7)
-    base = [f"w{rng.randint(0, 400)}" for _ in range(300)]
-    near = list(base)
-    near[100], near[200] = "x", "y"
-    half = base[:150] + [f"v{rng.randint(0, 400)}" for _ in range(150)]
-    other = [f"u{rng.randint(0, 400)}" for _ in range(300)]
-    texts = [(10, base), (11, base), (12, near), (13, half), (14, other)]
-    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "doc_id long, text string")
-    kept = simhash_groups.near_copies(with_text_key(frame)).where("kept")
-    assert sorted(r.doc_id for r in kept.collect()) == [10, 13, 14]
-    got = simhash_groups.near_copies(with_text_key(documents)).collect()
-    assert sum(r.copies for r in got) == documents.count()
-    assert sorted(str(r.doc_id) for r in got if r.kept) == sorted(["1", "3", "4", "5", "7", "None"])
-    assert simhash_groups.near_copies(with_text_key(no_documents)).count() == 0
-
-
-def kept_by_brute_force(texts, least=0.8):
-    words = {i: text.split() for i, text in texts}
-    runs = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
-    pairs = [(a, b) for a in runs for b in runs if a < b]
-    links = [(a, b) for a, b in pairs if len(runs[a] & runs[b]) / len(runs[a] | runs[b]) >= least]
-    return sorted(set(grouped(runs, links).values()))
-
-
-def kept_ids(spark, texts):
-    frame = spark.createDataFrame(texts, "doc_id long, text string")
-    return sorted(r.doc_id for r in simhash_groups.near_copies(with_text_key(frame)).where("kept").collect())
-
-
-def test_unlike_texts_of_one_word_set_find_their_near_copies(spark):
-    rng = random.Random(3)
-    vocabulary = [f"w{i}" for i in range(120)]
-    texts = []
-    for i in range(12):
-        words = rng.sample(vocabulary, 120)
-        near = list(words)
-        near[40], near[41] = near[41], near[40]
-        other = list(near)
-        other[90] = f"new{i}"
-        texts += [(3 * i + 1, " ".join(words)), (3 * i, " ".join(near)), (3 * i + 2, " ".join(other))]
-    marks = {simhash_groups.fingerprint(simhash_groups.word_hashes(t.encode())) for i, t in texts if i % 3 < 2}
-    assert len(marks) == 1
-    wanted = kept_by_brute_force(texts)
-    assert wanted == list(range(0, 36, 3)) and kept_ids(spark, texts) == wanted
-
-
-def test_long_texts_are_compared_by_all_runs(spark):
-    rng = random.Random(11)
-    texts = []
-    for i in range(30):
-        words = [f"w{rng.randint(0, 900)}" for _ in range(600)]
-        near = list(words)
-        for at in rng.sample(range(5, 595, 10), 11 + i % 5):
-            near[at] = "new"
-        texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
-    wanted = kept_by_brute_force(texts)
-    assert 30 < len(wanted) < 60 and kept_ids(spark, texts) == wanted
-
-
-def test_pairs_with_unlike_fingerprints_are_found(spark):
-    rng = random.Random(13)
-    texts = []
-    for i in range(20):
-        words = [f"g{i}w{rng.randint(0, 11)}" for _ in range(60)]
-        near = list(words)
-        near[30] = "new"
-        texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
-    marks = [simhash_groups.fingerprint(simhash_groups.word_hashes(text.encode())) for _, text in texts]
-    assert sum(((a ^ b) & (1 << 64) - 1).bit_count() > 5 for a, b in zip(marks[::2], marks[1::2])) > 5
-    wanted = kept_by_brute_force(texts)
-    assert len(wanted) < 25 and kept_ids(spark, texts) == wanted
-
-
-def test_similarity_is_that_of_the_runs():
-    rng = random.Random(1)
-    for n in (3, 8, 60, 400):
-        a = [f"w{i}" for i in range(n)]
-        b = [w if rng.random() > 0.03 else "z" for w in a]
-        runs = [{tuple(x[i : i + 5]) for i in range(max(1, len(x) - 4))} for x in (a, b)]
-        exact = len(runs[0] & runs[1]) / len(runs[0] | runs[1])
-        got = simhash_groups.similarity(*(simhash_groups.sketch(" ".join(x).encode()) for x in (a, b)))
-        assert abs(got - exact) <= (0 if n <= 60 else 0.15)
+def test_frequent_fingerprints_and_star_centres(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    same, centre = " ".join(f"w{i}" for i in range(60)), 1 << 40
+    rows = [(i, same) for i in range(40)] + [(100 + i, f"other {i} text {i * i}") for i in range(20)] + [(50, None), (51, "")]
+    got = simhash_groups.link_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 62 and {r.component_id for r in got if r.doc_id < 40} == {0}
+    assert {r.component_id for r in got if r.doc_id in (50, 51)} == {50}
+    links = [(centre, i) for i in range(60)] + [(i, 1000 + i) for i in range(60)]
+    roots = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.root for r in roots} == {0} and len(roots) == 120
 
 
 # --- repeated phrases -----------------------------------------------------------------------

@@ -4,7 +4,9 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -13,6 +15,7 @@ from tokenizers import Tokenizer
 
 from rankfold.llm import disguised_data, edit_matches, host_rules, licence_spans, piece_merging, prefix_tokens
 from rankfold.llm.licence_texts import TEMPLATES
+from rankfold.llm.oracles import LLM_ORACLES
 
 from .conftest import FOLDER
 
@@ -78,9 +81,8 @@ def test_units_encode_as_the_whole_text(text):
 
 
 def piece_merging_path():
-    from rankfold.llm.queries import TOKENIZERS
 
-    return f"{TOKENIZERS}/piece_bpe_32k.model"
+    return public_tokenizers.path("piece_bpe_32k.model")
 
 
 # --- personal data --------------------------------------------------------------------------
@@ -191,7 +193,10 @@ def test_prior_draws_small_hosts_in(spark):
     rates = {r.host: r for r in host_rules.host_rates(spark.createDataFrame(rows, "host string, base_failed boolean")).collect()}
     assert rates["bad"].rate > 0.9 and abs(rates["big"].rate - 0.1) < 0.02
     assert 0.3 < rates["tiny"].rate < 0.9
-    assert host_rules.beta_prior(0, None, 0, None) == (0.0, 1.0)
+    assert host_rules.beta_prior(0, None, 0, None) == (0.0, None)
+    # Alike hosts have the pooled rate.
+    assert host_rules.beta_prior(400, 40, 4, 4.0) == (0.1, None)
+    assert host_rules.beta_prior(400, 200, 4, 200.0)[1] < 0.02
 
 
 def test_clean_documents_of_a_bad_host_stay(spark):
@@ -203,6 +208,32 @@ def test_clean_documents_of_a_bad_host_stay(spark):
     assert kept == {100, 102, *range(200, 220)}
 
 
+def test_verdicts_on_unlike_hosts_match_sql(spark, tmp_path):
+    rng = random.Random(2)
+    rows = []
+    for i in range(600):
+        host = rng.choice(["good", "good", "good", "bad", "worse", None, "small" if i % 40 == 0 else "good"])
+        words = [f"w{rng.randint(0, 500)}" for _ in range(rng.randint(60, 90))]
+        if rng.random() < {"bad": 0.4, "worse": 0.8}.get(host, 0.05):
+            words = words[:10]
+        elif rng.random() < 0.3:
+            words += ["#"] * 12
+        rows.append((i, " ".join(words), host))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = host_rules.judge(docs).select("doc_id", *host_rules.MEASURES, "base_failed", "kept")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    wanted = connection.execute(LLM_ORACLES["op6_quality_rules"]).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(wanted)
+    # Hosts decide: rows that pass the base rules go, and only from suspect hosts.
+    gone = {rows[r.doc_id][2] for r in got.where("NOT kept AND NOT base_failed").collect()}
+    assert gone == {"bad", "worse"}
+    stay = got.where("kept").collect()
+    assert {rows[r.doc_id][2] for r in stay} >= {"bad", "worse", "good"}
+    assert any(20 * r.n_symbols > r.n_words for r in stay)
+
+
 # --- licences -------------------------------------------------------------------------------
 
 
