@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankfold.functions.schemas import is_collated
+
 # Types whose Python values become Spark literals without any loss.
 _EXACT_LITERALS = (
     T.StringType,
@@ -18,7 +20,7 @@ _EXACT_LITERALS = (
 
 
 def has_exact_literals(data_type: T.DataType) -> bool:
-    return isinstance(data_type, _EXACT_LITERALS)
+    return isinstance(data_type, _EXACT_LITERALS) and not is_collated(data_type)
 
 
 def stored_bytes(column: Column, data_type: T.DataType) -> Column:
@@ -53,7 +55,10 @@ def _is_fixed(data_type: T.DataType) -> bool:
 
 
 def steady_hash(column: Column, data_type: T.DataType) -> Column:
-    """A hash that does not depend on which of several number types holds a value."""
+    """A hash that does not depend on which of several number types holds a value.
+
+    Equal texts of a collation have different hashes: not for collated text.
+    """
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType)):
         column = column.cast("long")
     elif isinstance(data_type, T.FloatType):

@@ -30,14 +30,22 @@ _ORDERED = _INTEGRAL + _FRACTIONAL + (
 _DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 
-def is_orderable(data_type: T.DataType) -> bool:
-    """Whether values of this type have one order: Spark's, and by code point for text."""
+def is_collated(data_type: T.DataType) -> bool:
+    """Whether this is text with an order, and an equality, of its own."""
+    return isinstance(data_type, T.StringType) and data_type != T.StringType()
+
+
+def is_orderable(data_type: T.DataType, part: bool = False) -> bool:
+    """Whether values of this type have one order: Spark's, for text that of its collation.
+
+    Collated text inside of arrays and structs is not taken.
+    """
     if isinstance(data_type, T.StringType):
-        return data_type == T.StringType()
+        return not (part and is_collated(data_type))
     if isinstance(data_type, T.ArrayType):
-        return is_orderable(data_type.elementType)
+        return is_orderable(data_type.elementType, part=True)
     if isinstance(data_type, T.StructType):
-        return all(is_orderable(f.dataType) for f in data_type.fields)
+        return all(is_orderable(f.dataType, part=True) for f in data_type.fields)
     return isinstance(data_type, _ORDERED)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator, Mapping as PairsByKey
 from dataclasses import replace
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.param import Param, Params
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankfold.functions.schemas import common_key_type, input_field, with_field
-from rankfold.operators.domain import hot_values, learn_mapping
+from rankfold.operators.domain import Wanted, hot_values, learn_mappings
 from rankfold.operators.limits import Limits
-from rankfold.operators.lookup import add_index
+from rankfold.operators.lookup import add_index, note_source
 from rankfold.operators.mapping import Mapping, freeze_given
 from rankfold.sources.model_files import MappingModelReader, MappingModelWriter
-from rankfold.sources.store import remove_folder
+from rankfold.sources.bucketed import write_buckets
+from rankfold.sources.store import new_folder, remove_folder
 
 
 class IndexParams(HasInputCol, HasOutputCol):
@@ -38,9 +39,13 @@ class IndexParams(HasInputCol, HasOutputCol):
         Params._dummy(), "planLimits", "size limits in place of the session's, by option name"
     )
 
+    textOrder = Param(
+        Params._dummy(), "textOrder", "order of text: codepoint, or utf16 by units of UTF-16", TypeConverters.toString
+    )
+
     def __init__(self):
         super().__init__()
-        self._setDefault(outputCol=self.uid + "__output", planLimits={})
+        self._setDefault(outputCol=self.uid + "__output", planLimits={}, textOrder="codepoint")
 
     def _set_given(self, **params):
         return self._set(**{name: v for name, v in params.items() if v is not None})
@@ -58,6 +63,15 @@ class IndexParams(HasInputCol, HasOutputCol):
     def getPlanLimits(self) -> dict[str, str]:
         return self.getOrDefault(self.planLimits)
 
+    def setTextOrder(self, value):
+        """``utf16`` numbers text as the JVM compares strings; the default is by code point."""
+        if value not in ("codepoint", "utf16"):
+            raise ValueError(f"text order is codepoint or utf16, not {value!r}")
+        return self._set(textOrder=value)
+
+    def getTextOrder(self) -> str:
+        return self.getOrDefault(self.textOrder)
+
     def _limits(self, spark: SparkSession) -> Limits:
         return Limits.of(spark, self.getPlanLimits())
 
@@ -69,7 +83,10 @@ class IndexParams(HasInputCol, HasOutputCol):
         """The schema of the result for an input of this schema, or ValueError."""
         if not self.isDefined(self.inputCol):
             raise ValueError(f"{self.uid}: inputCol is not set")
-        self._check_key(input_field(schema, self.getInputCol()).dataType)
+        key_type = input_field(schema, self.getInputCol()).dataType
+        self._check_key(key_type)
+        if self.getTextOrder() == "utf16" and key_type != T.StringType():
+            raise ValueError(f"{self.uid}: {key_type.simpleString()} has no order by UTF-16 units")
         added = T.StructField(self.getOutputCol(), self.index_type, self.index_nullable)
         return with_field(schema, added)
 
@@ -91,9 +108,15 @@ class IndexEstimator(IndexParams, Estimator, DefaultParamsReadable, DefaultParam
 
     def _fit(self, dataset: DataFrame) -> IndexModel:
         self.output_schema(dataset.schema)
+        return self._fitted(learn_mappings(dataset, [self._wanted(dataset.sparkSession)])[0])
+
+    def _wanted(self, spark: SparkSession) -> Wanted:
+        utf16 = self.getTextOrder() == "utf16"
+        return Wanted(self.getInputCol(), self.index_type, self._limits(spark), utf16)
+
+    def _fitted(self, mapping: Mapping) -> IndexModel:
         model = self.model_class()
-        limits = self._limits(dataset.sparkSession)
-        model._mapping = learn_mapping(dataset, self.getInputCol(), self.index_type, limits)
+        model._mapping = mapping
         model._resetUid(self.uid)
         return self._copyValues(model)
 
@@ -139,6 +162,22 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
         self._mapping = replace(self._frozen(), hot=hot_values(rows, self.getInputCol(), limits))
         return self
 
+    def co_partition(self, buckets: int | None = None):
+        """Deal a mapping too large to broadcast into buckets by key, once.
+
+        Lookups, each micro-batch of a stream among them, then shuffle their rows alone; so do
+        those of the model as it is saved and loaded. ``buckets`` is the number of tasks a
+        lookup has, by default that of shuffle partitions. Smaller mappings stay as they are, and
+        so do those with frequent values, whose rows are spread in another way.
+        """
+        frozen = self._frozen()
+        spark = SparkSession.active()
+        if frozen.buckets is None and not frozen.broadcastable(self._limits(spark)):
+            count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            dealt = write_buckets(frozen.frame(spark), new_folder(spark, "mapping"), count)
+            self._mapping = replace(frozen, buckets=dealt)
+        return self
+
     def release(self) -> None:
         """Remove the working table of a mapping that has one; the model has no mapping then.
 
@@ -146,8 +185,13 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
         model share the table.
         """
         frozen, self._mapping = self._frozen(), None
+        spark = SparkSession.active()
+        if frozen.buckets is not None:
+            frozen.buckets.forget(spark)
+            if frozen.buckets.folder != frozen.folder:
+                remove_folder(spark, frozen.buckets.folder)
         if frozen.folder is not None and frozen.own_folder:
-            remove_folder(SparkSession.active(), frozen.folder)
+            remove_folder(spark, frozen.folder)
 
     @property
     def mapping(self) -> DataFrame:
@@ -207,7 +251,7 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         self.output_schema(dataset.schema)
-        return add_index(
+        indexed = add_index(
             dataset,
             self.getInputCol(),
             self.getOutputCol(),
@@ -215,6 +259,7 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
             self.missing,
             self._limits(dataset.sparkSession),
         )
+        return note_source(indexed, dataset, self.getOutputCol())
 
     def write(self) -> MappingModelWriter:
         return MappingModelWriter(self)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from rankfold.functions.schemas import without_field
+from rankfold.operators.lookup import note_source
 
 
 class DropColumn(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -39,7 +40,7 @@ class DropColumn(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         column = self.getDropCol()
-        return dataset.drop(column) if column else dataset
+        return note_source(dataset.drop(column), dataset, column) if column else dataset
 
     def __repr__(self):
         return f"{type(self).__name__}: uid={self.uid}, column={self.getDropCol()}"

@@ -12,7 +12,7 @@ class _LabelParams(IndexParams):
     index_nullable = False
 
     def _check_key(self, data_type: T.DataType) -> None:
-        if data_type != T.StringType():
+        if not isinstance(data_type, T.StringType):
             raise ValueError(
                 f"{self.uid}: column {self.getInputCol()!r} is {data_type.simpleString()}, "
                 "not string"

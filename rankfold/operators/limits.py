@@ -34,6 +34,9 @@ class Limits:
     hot_labels: int = 8192
     # Places that each of them is spread to.
     hot_spread: int = 64
+    # 1: shuffled lookups show Catalyst that their keys are unique, and those whose index nobody
+    # reads are left out of the plan. Adaptive execution cannot split such a join.
+    prunable: int = 0
 
     @staticmethod
     def of(spark: SparkSession, own: Options[str, object] | None = None) -> "Limits":

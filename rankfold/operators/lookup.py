@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankfold.functions.labels import has_exact_literals, literal_lookup, steady_hash
 from rankfold.functions.names import fresh, quoted
-from rankfold.functions.schemas import common_key_type
+from rankfold.functions.schemas import common_key_type, is_collated
 from rankfold.operators.limits import Limits
 from rankfold.operators.mapping import Mapping
 
 
+# What a stage has returned: the table it was made from, and the column that differs. Rows and
+# all other columns are the same.
+_SOURCES: WeakKeyDictionary[DataFrame, tuple[DataFrame, str]] = WeakKeyDictionary()
+
+
+def note_source(result: DataFrame, source: DataFrame, changed: str) -> DataFrame:
+    _SOURCES[result] = (source, changed.lower())
+    return result
+
+
+def source_of(dataset: DataFrame, columns: list[str]) -> DataFrame:
+    """The earliest table that has these columns as ``dataset`` has them.
+
+    What is learned from them is the same there, and no lookup of an earlier stage is in its plan.
+    """
+    names = {column.lower() for column in columns}
+    while dataset in _SOURCES and _SOURCES[dataset][1] not in names:
+        dataset = _SOURCES[dataset][0]
+    return dataset
+
+
 def add_index(
     dataset: DataFrame,
     input_col: str,
@@ -38,8 +61,10 @@ def add_index(
         key = key.cast(key_type)
     if mapping.broadcastable(limits):
         return _broadcast_lookup(dataset, key, key_type, output_col, mapping, missing)
+    if mapping.buckets is not None and key_type == mapping.key_type and not mapping.hot:
+        return _dealt_lookup(dataset, key, key_type, output_col, mapping, missing, limits.hot_spread)
     return _shuffled_lookup(
-        dataset, input_col, key, key_type, output_col, mapping, missing, limits.hot_spread
+        dataset, input_col, key, key_type, output_col, mapping, missing, limits
     )
 
 
@@ -58,6 +83,9 @@ def _broadcast_lookup(
 ) -> DataFrame:
     label, index = fresh("label"), fresh("index")
     entries = _entries(mapping.frame(dataset.sparkSession), key_type, label, index)
+    if mapping.slice_starts is None:
+        # What the driver or one task has sorted is one partition: grouping needs no shuffle.
+        entries = _each_once(entries.coalesce(1), [label], index)
     return (
         dataset.join(F.broadcast(entries), key == F.col(label), "left")
         .withColumn(output_col, _or_missing([F.col(index)], missing))
@@ -73,7 +101,7 @@ def _shuffled_lookup(
     output_col: str,
     mapping: Mapping,
     missing: float | None,
-    places: int,
+    limits: Limits,
 ) -> DataFrame:
     """Join by key over a shuffle that no single key can overload.
 
@@ -83,19 +111,22 @@ def _shuffled_lookup(
     of it rather than a random number: a task that runs again sends it to the same place.
     Skew that no table has shown before is left to adaptive execution.
     """
-    spark = dataset.sparkSession
+    spark, places = dataset.sparkSession, limits.hot_spread
     label, index = fresh("label"), fresh("index")
     entries = _entries(mapping.frame(spark), key_type, label, index)
-    scratch = [label, index]
+    scratch, parts = [label, index], [label]
     matches = key == F.col(label)
     # Only where a row may be moved: Catalyst moves no filter below the mark.
     if dataset.schema[input_col].nullable or mapping.hot:
         origin = F.pmod(F.spark_partition_id(), F.lit(places)).cast("long")
         spread, label_spread = fresh("spread"), fresh("label_spread")
-        moved, copies = key.isNull(), F.array(F.xxhash64(label))
+        moved = key.isNull()
+        # Equal texts of a collation have unlike hashes: they go by the join's own alone.
+        spread_of = (lambda c: F.lit(0).cast("long")) if is_collated(key_type) else F.xxhash64
+        copies = F.array(spread_of(F.col(label)))
         if mapping.hot:
             hot, hot_entry = fresh("hot"), fresh("hot_entry")
-            hashes = F.broadcast(mapping.hot_frame(spark))
+            hashes = F.broadcast(mapping.hot_frame(spark).coalesce(1).distinct())
             dataset = dataset.join(
                 hashes.withColumnRenamed("hash", hot),
                 steady_hash(key, key_type) == F.col(hot),
@@ -110,10 +141,13 @@ def _shuffled_lookup(
             everywhere = F.sequence(F.lit(0).cast("long"), F.lit(places - 1).cast("long"))
             copies = F.when(F.col(hot_entry).isNotNull(), everywhere).otherwise(copies)
             scratch.append(hot)
-        dataset = dataset.withColumn(spread, F.when(moved, origin).otherwise(F.xxhash64(key)))
+        dataset = dataset.withColumn(spread, F.when(moved, origin).otherwise(spread_of(key)))
         entries = entries.select(label, index, F.explode(copies).alias(label_spread))
         matches = (F.col(spread) == F.col(label_spread)) & matches
         scratch += [spread, label_spread]
+        parts = [label_spread, label]
+    if limits.prunable:
+        entries = _each_once(entries, parts, index)
     return (
         dataset.join(entries, matches, "left")
         .withColumn(output_col, _or_missing([F.col(index)], missing))
@@ -121,6 +155,48 @@ def _shuffled_lookup(
     )
 
 
+def _dealt_lookup(
+    dataset: DataFrame,
+    key: Column,
+    key_type: T.DataType,
+    output_col: str,
+    mapping: Mapping,
+    missing: float | None,
+    places: int,
+) -> DataFrame:
+    """Join with a mapping that lies in buckets by key: only the rows are shuffled.
+
+    Rows without a key are spread by the partition they come from: they get one of a few
+    keys, and what they meet does not count.
+    """
+    label, index = fresh("label"), fresh("index")
+    entries = _entries(mapping.buckets.frame(dataset.sparkSession), key_type, label, index)
+    met, found = key, F.col(index)
+    if isinstance(key_type, (T.StringType, *_INTEGERS)):
+        origin = F.pmod(F.spark_partition_id(), F.lit(min(places, 100)))
+        met = F.coalesce(key, origin.cast(key_type))
+        found = F.when(key.isNotNull(), found)
+    own = fresh("key")
+    return (
+        dataset.withColumn(own, met)
+        .join(_each_once(entries, [label], index), F.col(own) == F.col(label), "left")
+        .withColumn(output_col, _or_missing([found], missing))
+        .drop(label, index, own)
+    )
+
+
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _each_once(entries: DataFrame, keys: list[str], index: str) -> DataFrame:
+    """The same entries, in a form that shows Catalyst that their keys are unique.
+
+    A lookup whose index nobody reads is then left out of the plan. The grouping shuffles by
+    the keys the join needs, so the join adds no shuffle to it.
+    """
+    return entries.groupBy(*keys).agg(F.any_value(index).alias(index))
+
+
 def _entries(frame: DataFrame, key_type: T.DataType, label: str, index: str) -> DataFrame:
     category = F.col("category")
     if frame.schema["category"].dataType != key_type:

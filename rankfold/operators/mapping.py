@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankfold.functions.labels import stored_bytes
+from rankfold.functions.schemas import is_collated
 from rankfold.operators.limits import Limits
+from rankfold.sources.bucketed import Buckets
 from rankfold.sources.store import new_folder
 
 # Memory a broadcast entry takes besides the key's own bytes: row header, index,
@@ -60,6 +62,8 @@ class Mapping:
     hot: tuple[int, ...] = ()
     # Whether the folder is a working table, which may be removed.
     own_folder: bool = True
+    # The same entries once more, dealt by key.
+    buckets: Buckets | None = None
 
     def schema(self) -> T.StructType:
         return T.StructType(
@@ -105,7 +109,7 @@ def read_positions(spark: SparkSession, folder: str, key_type: T.DataType) -> Da
 
 
 def reaches_arrow(key_type: T.DataType) -> bool:
-    return isinstance(key_type, _ARROW_EXACT)
+    return isinstance(key_type, _ARROW_EXACT) and not is_collated(key_type)
 
 
 def may_hold(key_type: T.DataType, labels: int, key_bytes: int, limits: Limits) -> bool:

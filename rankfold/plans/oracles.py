@@ -85,6 +85,18 @@ ORACLES = {
         SELECT o_orderkey, {_label('o_orderstatus')} AS status_idx,
                {_label('o_orderpriority')} AS prio_idx
         FROM orders""",
+    "mixed_indexers": f"""
+        WITH o AS (
+            SELECT *, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(12, 2)) AS price,
+                   nullif(o_orderpriority, '5-LOW') AS priority
+            FROM orders)
+        SELECT o_orderkey, o_orderstatus, priority, o_custkey, {_label('o_orderstatus')} AS status_idx,
+               {_category('o_orderstatus')} AS status_number,
+               CASE WHEN priority IS NULL THEN -1 ELSE {_label('priority NULLS LAST')} END AS prio_idx,
+               {_category('day')} AS day_idx, {_category('price')} AS price_idx,
+               {_category('o_custkey')} AS customer_idx
+        FROM o""",
+    "unread_index": "SELECT l_orderkey, l_linenumber FROM lineitem",
     "indexer_then_mapper": f"""
         SELECT p_partkey, p_name, {_label('p_name')} AS name_idx,
                {_category('p_name')} AS idx
@@ -124,6 +136,26 @@ ORACLES = {
         FROM orders""",
     "reload_ranked_model": _ORDER_LABELS,
     "stream_shuffled": f"SELECT event_id, user_id, {_category('user_id')} AS idx FROM events",
+    "reload_dealt_model": f"""
+        WITH learned AS (
+            SELECT k, {_label('CAST(k AS VARCHAR)')} AS i FROM (SELECT DISTINCT l_orderkey AS k FROM lineitem))
+        SELECT l_orderkey, l_linenumber,
+               CASE l_orderkey % 3 WHEN 0 THEN CAST(l_orderkey AS VARCHAR)
+                                   WHEN 1 THEN '?' || CAST(l_orderkey AS VARCHAR) END AS order_label,
+               CASE l_orderkey % 3 WHEN 0 THEN i ELSE -1 END AS idx
+        FROM lineitem JOIN learned ON k = l_orderkey""",
+    "label_index_collated": f"""
+        SELECT c_custkey, {_label('lower(c_mktsegment)')} AS idx, {_category('lower(c_mktsegment)')} AS number
+        FROM customer""",
+    "label_index_utf16": f"""
+        WITH named AS (
+            SELECT c_custkey, c_name, c_custkey % 4 AS kind,
+                   CASE c_custkey % 4 WHEN 0 THEN 'z' WHEN 1 THEN chr(65374) WHEN 2 THEN chr(128512)
+                                      ELSE chr(57344) END || c_name AS label
+            FROM customer)
+        SELECT c_custkey, label,
+               {_label("CASE kind WHEN 0 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 3 END, c_name")} AS idx
+        FROM named""",
     "model_from_mapping_shuffled": """
         SELECT l_orderkey, l_linenumber, l_partkey, CAST(p_size AS INTEGER) AS idx
         FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",

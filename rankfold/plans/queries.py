@@ -14,6 +14,7 @@ from rankfold import (
     CategoryMapper,
     CategoryMapperModel,
     DropColumn,
+    IndexPipeline,
     LabelIndexer,
     LabelIndexerModel,
 )
@@ -179,7 +180,38 @@ def two_indexers(spark: SparkSession, folder: str) -> DataFrame:
         LabelIndexer(inputCol="o_orderpriority", outputCol="prio_idx"),
         DropColumn(column="o_orderpriority"),
     ]
-    return Pipeline(stages=stages).fit(orders).transform(orders)
+    return IndexPipeline(stages=stages).fit(orders).transform(orders)
+
+
+def mixed_indexers(spark: SparkSession, folder: str) -> DataFrame:
+    """Five columns of four types, one of them twice, learned in one scan; one with nulls."""
+    orders = read_table(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_orderstatus",
+        F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"),
+        F.to_date("o_orderdate").alias("day"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+        "o_custkey",
+    )
+    stages = [
+        LabelIndexer(inputCol="o_orderstatus", outputCol="status_idx"),
+        CategoryMapper(inputCol="o_orderstatus", outputCol="status_number"),
+        LabelIndexer(inputCol="priority", outputCol="prio_idx"),
+        CategoryMapper(inputCol="day", outputCol="day_idx"),
+        DropColumn(column="day"),
+        CategoryMapper(inputCol="price", outputCol="price_idx"),
+        DropColumn(column="price"),
+        CategoryMapper(inputCol="o_custkey", outputCol="customer_idx").setPlanLimits(**_SHUFFLED),
+    ]
+    return IndexPipeline(stages=stages).fit(orders).transform(orders)
+
+
+def unread_index(spark: SparkSession, folder: str) -> DataFrame:
+    """A shuffled lookup whose index is not read: the plan is a scan."""
+    lines = _order_labels(spark, folder)
+    indexer = LabelIndexer(inputCol="order_label", outputCol="idx")
+    indexer.setPlanLimits(**_SHUFFLED, prunable=1)
+    return indexer.fit(lines).transform(lines).select("l_orderkey", "l_linenumber")
 
 
 def indexer_then_mapper(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,7 +366,7 @@ def two_shuffled_indexers(spark: SparkSession, folder: str) -> DataFrame:
         DropColumn(column="customer"),
         DropColumn(column="o_orderpriority"),
     ]
-    return Pipeline(stages=stages).fit(orders).transform(orders)
+    return IndexPipeline(stages=stages).fit(orders).transform(orders)
 
 
 def reload_ranked_model(spark: SparkSession, folder: str) -> DataFrame:
@@ -348,15 +380,50 @@ def reload_ranked_model(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """A mapping dealt into buckets once, which no micro-batch shuffles."""
     events = read_table(spark, folder, "events")
-    indexer = CategoryMapper(inputCol="user_id", outputCol="idx").setPlanLimits(**_SHUFFLED)
-    model = indexer.fit(events)
+    indexer = CategoryMapper(inputCol="user_id", outputCol="idx").setPlanLimits(**_SHUFFLED, hotLabels=0)
+    model = indexer.fit(events).co_partition()
     rows = read_table_stream(spark, folder, "events").select("event_id", "user_id")
     written, checkpoint = new_folder(spark, "stream"), new_folder(spark, "progress")
     write_transformed(model, rows, written, checkpoint).awaitTermination()
     return spark.read.schema(model.output_schema(rows.schema)).parquet(written)
 
 
+def reload_dealt_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Saved and loaded in buckets; a third of the keys are unknown, a third null."""
+    lines = _order_labels(spark, folder)
+    saved = new_folder(spark, "saved")
+    indexer = LabelIndexer(inputCol="order_label", outputCol="idx").setPlanLimits(**_SHUFFLED, hotLabels=0)
+    indexer.fit(lines).co_partition(16).write().overwrite().save(saved)
+    part = F.col("l_orderkey") % 3
+    asked = F.when(part == 0, F.col("order_label")).when(part == 1, F.concat(F.lit("?"), "order_label"))
+    return LabelIndexerModel.load(saved).transform(lines.withColumn("order_label", asked))
+
+
+def label_index_collated(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments in two spellings that their collation holds equal."""
+    segment = F.when(F.col("c_custkey") % 2 == 0, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
+    customers = read_table(spark, folder, "customer").select(
+        "c_custkey", F.collate(segment, "UTF8_LCASE").alias("a"), F.collate(segment, "UNICODE_CI").alias("b")
+    )
+    stages = [
+        LabelIndexer(inputCol="a", outputCol="idx"),
+        CategoryMapper(inputCol="b", outputCol="number").setPlanLimits(**_SHUFFLED),
+        DropColumn(column="a"),
+        DropColumn(column="b"),
+    ]
+    return IndexPipeline(stages=stages).fit(customers).transform(customers)
+
+
+def label_index_utf16(spark: SparkSession, folder: str) -> DataFrame:
+    """Names that begin with characters above U+FFFF, between U+E000 and U+FFFF, or below."""
+    first = F.element_at(F.array(*map(F.lit, "z\uff5e\U0001f600\ue000")), (F.col("c_custkey") % 4 + 1).cast("int"))
+    customers = read_table(spark, folder, "customer").select("c_custkey", F.concat(first, "c_name").alias("label"))
+    indexer = LabelIndexer(inputCol="label", outputCol="idx").setTextOrder("utf16")
+    return indexer.fit(customers).transform(customers)
+
+
 def model_from_mapping_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """A given mapping; which parts are frequent is learned from the lines."""
     sizes = read_table(spark, folder, "part").select("p_partkey", "p_size")
@@ -409,6 +476,8 @@ ALL = (
     drop_unset_column,
     index_then_drop,
     two_indexers,
+    mixed_indexers,
+    unread_index,
     indexer_then_mapper,
     model_from_mapping,
     label_model_from_mapping,
@@ -427,6 +496,9 @@ ALL = (
     two_shuffled_indexers,
     reload_ranked_model,
     stream_shuffled,
+    reload_dealt_model,
+    label_index_collated,
+    label_index_utf16,
     model_from_mapping_shuffled,
     category_map_decimal_key,
     category_map_array_key,

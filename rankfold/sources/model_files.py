@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from rankfold.operators.limits import Limits
 from rankfold.operators.mapping import Mapping, may_hold
+from rankfold.sources.bucketed import read_buckets, write_buckets
 from rankfold.sources.store import new_folder, qualified
 
 
@@ -45,13 +46,17 @@ class MappingModelWriter(MLWriter):
                     "labels": mapping.labels,
                     "keyBytes": mapping.key_bytes,
                     "hot": len(mapping.hot),
+                    "buckets": mapping.buckets.count if mapping.buckets else 0,
                 }
             },
         )
         frame = mapping.frame(spark)
         if mapping.held is not None:
             frame = frame.coalesce(1)
-        frame.write.parquet(f"{path}/data")
+        if mapping.buckets is not None:
+            write_buckets(frame, f"{path}/data", mapping.buckets.count).forget(spark)
+        else:
+            frame.write.parquet(f"{path}/data")
         if mapping.hot:
             mapping.hot_frame(spark).coalesce(1).write.parquet(f"{path}/hot")
 
@@ -82,8 +87,12 @@ class MappingModelReader(MLReader):
         if may_hold(key_type, labels, key_bytes, limits):
             frame = mapping.frame(spark).coalesce(1).sortWithinPartitions("idx")
             mapping = replace(mapping, folder=None, own_folder=True, held=frame.toArrow())
-        elif "/stages/" in path:
-            mapping = copied(spark, mapping)
+        else:
+            if saved.get("buckets"):
+                dealt = read_buckets(spark, qualified(spark, f"{path}/data"), schema, saved["buckets"])
+                mapping = replace(mapping, buckets=dealt)
+            if "/stages/" in path:
+                mapping = copied(spark, mapping)
         if saved.get("hot"):
             hot = spark.read.schema("hash bigint").parquet(f"{path}/hot").toArrow()
             mapping = replace(mapping, hot=tuple(hot["hash"].to_pylist()))
@@ -93,5 +102,10 @@ class MappingModelReader(MLReader):
 def copied(spark: SparkSession, mapping: Mapping) -> Mapping:
     """The same mapping in a working table."""
     folder = new_folder(spark, "mapping")
-    mapping.frame(spark).write.parquet(folder)
-    return replace(mapping, folder=folder, slice_starts=None, own_folder=True)
+    buckets = None
+    if mapping.buckets is not None:
+        buckets = write_buckets(mapping.frame(spark), folder, mapping.buckets.count)
+        mapping.buckets.forget(spark)
+    else:
+        mapping.frame(spark).write.parquet(folder)
+    return replace(mapping, folder=folder, slice_starts=None, own_folder=True, buckets=buckets)

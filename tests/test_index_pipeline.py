@@ -1,0 +1,135 @@
+"""Several indexers fitted in one scan."""
+
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import functions as F
+
+from rankfold import CategoryMapper, DropColumn, IndexPipeline, LabelIndexer
+from rankfold.operators import domain, index_pipeline
+
+
+@pytest.fixture
+def frame(spark):
+    rows = [(i, f"a{i % 7}", None if i % 4 == 0 else i % 3, f"t.{i % 5}") for i in range(60)]
+    return spark.createDataFrame(rows, "id long, s string, n int, `t.x` string")
+
+
+def stages():
+    return [
+        LabelIndexer(inputCol="s", outputCol="s_idx"),
+        CategoryMapper(inputCol="n", outputCol="n_idx"),
+        DropColumn(column="n"),
+        CategoryMapper(inputCol="t.x", outputCol="t_idx"),
+        CategoryMapper(inputCol="s", outputCol="s"),
+        CategoryMapper(inputCol="s_idx", outputCol="again"),
+        DropColumn(),
+        LabelIndexer(inputCol="t.x", outputCol="t.x"),
+    ]
+
+
+def rows(table):
+    return sorted(map(tuple, table.collect()), key=repr)
+
+
+@pytest.fixture
+def learned(monkeypatch):
+    """How many columns each aggregate counts."""
+    seen, counted = [], domain._counted
+
+    def noted(dataset, columns, names):
+        seen.append(columns)
+        return counted(dataset, columns, names)
+
+    monkeypatch.setattr(domain, "_counted", noted)
+    return seen
+
+
+def test_equals_a_pipeline(frame, way, learned):
+    model = IndexPipeline(stages=stages()).fit(frame)
+    # A new run starts where a stage reads what the run has made.
+    assert learned == [["s", "n", "t.x", "s"], ["s_idx", "t.x"]]
+    plain = Pipeline(stages=stages()).fit(frame)
+    assert type(model) is PipelineModel
+    assert model.transform(frame).schema == plain.transform(frame).schema
+    assert rows(model.transform(frame)) == rows(plain.transform(frame))
+    for mine, other in zip(model.stages, plain.stages):
+        if hasattr(mine, "mapping"):
+            assert rows(mine.mapping) == rows(other.mapping)
+
+
+def test_many_columns_are_counted_in_several_aggregates(spark, learned):
+    wide = spark.range(5).select(*[(F.col("id") * i % 5).alias(f"c{i}") for i in range(20)])
+    pipeline = IndexPipeline(stages=[CategoryMapper(inputCol=f"c{i}", outputCol=f"i{i}") for i in range(20)])
+    result = pipeline.fit(wide).transform(wide)
+    assert [len(columns) for columns in learned] == [16, 4]
+    assert sorted(r.i1 for r in result.collect()) == [0, 1, 2, 3, 4] and {r.i0 for r in result.collect()} == {0}
+
+
+def test_one_scan_reads_the_needed_columns(spark, frame, tmp_path, monkeypatch):
+    frame.withColumn("unused", F.lit("x")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    plans, head = [], type(table).head
+
+    def noted(self, *args):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return head(self, *args)
+
+    monkeypatch.setattr(type(table), "head", noted)
+    IndexPipeline(stages=stages()[:4]).fit(table)
+    # The counts come from the cached aggregate, which scans once.
+    assert plans and {text.count("FileScan parquet") for text in plans} == {1}
+    assert "ReadSchema: struct<s:string,n:int,t.x:string>" in plans[0]
+
+
+def test_a_single_fit_scans_once(spark, frame, tmp_path, settings, monkeypatch):
+    settings(spark__rankfold__heldLabels=-1, spark__rankfold__oneTaskBytes=-1, spark__rankfold__broadcastBytes=-1)
+    monkeypatch.setattr(domain, "hot_values", None)
+    frame.write.parquet(str(tmp_path / "t"))
+    model = LabelIndexer(inputCol="s", outputCol="i").fit(spark.read.parquet(str(tmp_path / "t")))
+    # Counted with the distinct values: no second scan looks for the frequent ones.
+    assert len(model._mapping.hot) == 7
+
+
+def test_fits_of_a_chain_do_not_look_up_what_they_do_not_need(spark, frame, way, tmp_path, monkeypatch):
+    frame.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    plans, counted = [], domain._counted
+
+    def noted(*args):
+        made = counted(*args)
+        plans.append(made._jdf.queryExecution().optimizedPlan().toString())
+        return made
+
+    monkeypatch.setattr(domain, "_counted", noted)
+    model = Pipeline(stages=stages()).fit(table)
+    # ``s`` is replaced by its index before the last stages; only what reads an index has a join.
+    assert ["Join" in text for text in plans[:4]] == [False] * 4
+    assert rows(model.transform(table)) == rows(IndexPipeline(stages=stages()).fit(frame).transform(frame))
+
+
+def test_saved_and_loaded(frame, tmp_path):
+    IndexPipeline(stages=stages()[:4]).write().overwrite().save(str(tmp_path / "p"))
+    loaded = IndexPipeline.load(str(tmp_path / "p"))
+    assert type(loaded) is IndexPipeline and type(loaded.copy()) is IndexPipeline
+    assert rows(loaded.fit(frame).transform(frame)) == rows(Pipeline(stages=stages()[:4]).fit(frame).transform(frame))
+
+
+def test_refuses_what_a_pipeline_refuses(frame):
+    for bad in ([DropColumn(column="s"), LabelIndexer(inputCol="s")], [LabelIndexer(inputCol="n")], [LabelIndexer()]):
+        with pytest.raises(ValueError):
+            IndexPipeline(stages=bad).fit(frame)
+    assert index_pipeline.IndexPipeline(stages=[]).fit(frame).transform(frame).columns == frame.columns
+
+
+def test_empty_table(frame):
+    result = IndexPipeline(stages=stages()[:4]).fit(frame.where("false")).transform(frame)
+    assert {(r.s_idx, r.n_idx, r.t_idx) for r in result.collect()} == {(-1.0, None, None)}
+
+
+@pytest.mark.parametrize("hot", [0, 3])
+def test_a_lookup_that_is_not_read_leaves_the_plan(frame, way, settings, hot):
+    settings(spark__rankfold__hotLabels=hot, spark__rankfold__prunable=1)
+    result = LabelIndexer(inputCol="s", outputCol="i").fit(frame).transform(frame)
+    text = result.select("id", "s")._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Join" in text) == (way == "sliced")
+    assert rows(result.select("id", "s")) == rows(frame.select("id", "s"))

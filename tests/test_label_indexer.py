@@ -150,8 +150,8 @@ def test_wrong_input_is_refused(spark, categories):
     with pytest.raises(ValueError, match="no mapping"):
         LabelIndexerModel(inputCol="CATEGORY", outputCol="i").transform(categories)
     collated = categories.selectExpr("CATEGORY COLLATE UTF8_LCASE AS c")
-    with pytest.raises(ValueError, match="not string"):
-        LabelIndexer(inputCol="c", outputCol="i").fit(collated)
+    with pytest.raises(ValueError, match="string collate UTF8_LCASE"):
+        LabelIndexer(inputCol="CATEGORY", outputCol="i").fit(categories).setInputCol("c").transform(collated)
     struct = spark.createDataFrame([(("x",),)], "s struct<c: string>")
     with pytest.raises(ValueError, match="not one of"):
         LabelIndexer(inputCol="s.c", outputCol="i").fit(struct)

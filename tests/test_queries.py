@@ -75,22 +75,26 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize(
-    "name, ranked, shuffled",
+    "name, ranked, shuffled, dealt",
     [
-        ("label_index_ranked", 1, 0),
-        ("label_mapping_ranked", 1, 0),
-        ("label_index_shuffled", 1, 1),
-        ("category_map_shuffled", 1, 1),
-        ("label_index_shuffled_hot", 1, 1),
-        ("label_index_hot_text", 1, 1),
-        ("two_shuffled_indexers", 2, 2),
-        ("reload_ranked_model", 1, 1),
-        ("stream_shuffled", 1, 1),
-        ("model_from_mapping_shuffled", 0, 1),
+        ("label_index_ranked", 1, 0, 0),
+        ("label_mapping_ranked", 1, 0, 0),
+        ("label_index_shuffled", 1, 1, 0),
+        ("category_map_shuffled", 1, 1, 0),
+        ("label_index_shuffled_hot", 1, 1, 0),
+        ("label_index_hot_text", 1, 1, 0),
+        ("two_shuffled_indexers", 2, 2, 0),
+        ("reload_ranked_model", 1, 1, 0),
+        ("stream_shuffled", 1, 0, 1),
+        ("reload_dealt_model", 1, 0, 1),
+        ("mixed_indexers", 1, 1, 0),
+        ("unread_index", 1, 1, 0),
+        ("label_index_collated", 1, 1, 0),
+        ("model_from_mapping_shuffled", 0, 1, 0),
     ],
 )
-def test_queries_reach_the_large_plans(spark, monkeypatch, name, ranked, shuffled):
-    counts = {"ranked": 0, "shuffled": 0}
+def test_queries_reach_the_large_plans(spark, monkeypatch, name, ranked, shuffled, dealt):
+    counts = {"ranked": 0, "shuffled": 0, "dealt": 0}
 
     def counted(kind, function):
         def call(*args):
@@ -101,7 +105,9 @@ def test_queries_reach_the_large_plans(spark, monkeypatch, name, ranked, shuffle
 
     monkeypatch.setattr(domain, "_ranked_table", counted("ranked", domain._ranked_table))
     monkeypatch.setattr(lookup, "_shuffled_lookup", counted("shuffled", lookup._shuffled_lookup))
+    monkeypatch.setattr(lookup, "_dealt_lookup", counted("dealt", lookup._dealt_lookup))
     QUERIES[name](spark, FOLDER)
+    assert counts["dealt"] == dealt
     assert counts["ranked"] == ranked
     # A fitted chain transforms once more for the stage that follows; a stream for each batch.
     assert counts["shuffled"] >= shuffled and bool(counts["shuffled"]) == bool(shuffled)
