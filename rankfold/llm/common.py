@@ -130,6 +130,32 @@ def map_texts(docs: DataFrame, make, schema: str, text: str = "text", keys: tupl
     return in_arrow(frame, mapped, f"{fields}, {schema}")
 
 
+def rewrite_texts(docs: DataFrame, make) -> DataFrame:
+    """The same rows and columns; ``text`` is rewritten and ``n_chars``, if there is one, its new length.
+
+    ``make`` is called once in each task and returns a function from one text to another.
+    Null texts stay null, and so does their length.
+    """
+    import pyarrow as pa
+
+    names = docs.columns
+    text, length = names.index("text"), names.index("n_chars") if "n_chars" in names else None
+    kinds = {"text": "string", "n_chars": "bigint"}
+    schema = ", ".join(f"`{name.replace('`', '``')}` {kinds.get(name, kind)}" for name, kind in docs.dtypes)
+
+    def rewritten(batches):
+        rewrite = make()
+        for batch in batches:
+            columns = list(batch.columns)
+            made = [None if value is None else rewrite(value) for value in columns[text].to_pylist()]
+            columns[text] = pa.array(made, pa.string())
+            if length is not None:
+                columns[length] = pa.array([None if value is None else len(value) for value in made], pa.int64())
+            yield pa.record_batch(columns, names=batch.schema.names)
+
+    return in_arrow(docs, rewritten, schema)
+
+
 def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a key that tells its rows apart by text and by all other columns, and its name.
 

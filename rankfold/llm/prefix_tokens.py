@@ -6,22 +6,24 @@ prefixes, the last token and the number of tokens: the last token of a prefix is
 that ends there and that merging keeps apart from the last token of the rest. Whether
 merging keeps two tokens apart is asked of the merge list, once for each pair of tokens.
 
-Text is first cut into pieces as the tokenizer does. A cut inside a piece cuts the prefix
-alike, but for contractions and white space; ``PrefixCounts`` counts those afresh.
+Text is first cut into pieces as the tokenizer does. ``PrefixCounts`` puts the tables of the
+pieces together to one of the whole text, and answers any prefix and budget by lookup.
 """
 
 from __future__ import annotations
 
 import json
-from bisect import bisect_right
+from array import array
+from functools import cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.llm.common import map_texts
+from rankfold.llm.common import map_texts, rewrite_texts
 
 #: Fixed: the pattern that cuts text before merging, as the vocabulary's makers published it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -117,75 +119,117 @@ class PairMerging:
 
 
 class PrefixCounts:
-    """Answers about one text without encoding it again."""
-
-    def __init__(self, merging: PairMerging, text: str):
-        self.merging, self.text = merging, text
-        self.starts, self.before, self.pieces = [0], [0], []
-        at = total = 0
-        for piece in pieces(merging, text):
-            self.pieces.append(piece)
-            special = piece in merging.special
-            total += 1 if special else merging.prefix_counts(piece.encode())[-1]
-            at += len(piece)
-            self.starts.append(at)
-            self.before.append(total)
+    """The exact number of tokens of every prefix of one text, in characters.
 
-    def total(self) -> int:
-        return self.before[-1]
+    A prefix that ends inside a piece is cut like the whole text, so that piece's own table
+    says what it adds. White space before the end of a text is one piece, so its runs have
+    tables of their own; so have the beginnings of contractions, which are two pieces, and
+    those of special strings, which are ordinary text until they are whole.
+
+    With a ``budget`` the table ends where no longer prefix can keep within it.
+    """
+
+    def __init__(self, merging: PairMerging, text: str, budget: int | None = None, tables=None):
+        self.chars = len(text)
+        self.tables = tables or merging.prefix_counts
+        self.counts = array("q", [0])
+        at = 0
+        for hit in _specials(merging).finditer(text):
+            if not self._ordinary(text[at : hit.start()] + hit[0][:-1], hit.start() - at, budget):
+                break
+            self.counts.append(self.counts[hit.start()] + 1)
+            at = hit.end()
+        else:
+            self._ordinary(text[at:], len(text) - at, budget)
+        # The least count from each place on never falls, so a budget is found by bisection.
+        self._least = np.minimum.accumulate(np.asarray(self.counts)[::-1])[::-1]
+
+    def _ordinary(self, text: str, own: int, budget: int | None) -> bool:
+        """Append the counts of a stretch without special strings; whether it was read to its end.
+
+        Past its ``own`` characters begins a special string, which will count less than its beginnings.
+        """
+        counts, first = self.counts, len(self.counts) - 1
+        total = counts[first]
+        end = 0
+        for hit in _CUT.finditer(text):
+            piece = hit[0]
+            if budget is not None and total > budget and hit.start() <= own and not _BLANK.match(piece):
+                break
+            table = self._by_character(piece)
+            counts.extend([total + count for count in table[1:]])
+            total, end = counts[-1], hit.end()
+        for run in _BLANKS.finditer(text, 0, end):
+            before = counts[first + run.start()]
+            counts[first + run.start() + 1 : first + run.end() + 1] = array(
+                "q", [before + count for count in self._by_character(run[0])[1:]]
+            )
+        return end == len(text)
+
+    def _by_character(self, piece: str):
+        data = piece.encode()
+        table = self.tables(data)
+        if len(data) != len(piece):
+            # Bytes that go on with a character end no prefix.
+            table = [0, *(table[i] for i in range(1, len(data) + 1) if i == len(data) or data[i] & 0xC0 != 0x80)]
+        if len(piece) == 3 and _CONTRACTION.fullmatch(piece):
+            table = [0, 1, 2, table[3]]
+        return table
 
     def at(self, chars: int) -> int:
         """The exact number of tokens of the first ``chars`` characters."""
-        chars = max(0, min(chars, len(self.text)))
-        k = bisect_right(self.starts, chars) - 1
-        if self.starts[k] == chars and (not chars or not self.text[chars - 1].isspace()) and (k == 0 or self.pieces[k - 1] not in self.merging.special):
-            return self.before[k]
-        # White space and contractions may be cut otherwise at the end: go back to a piece
-        # before them and count what follows it.
-        k = max(0, min(k, len(self.pieces) - 1))
-        while k > 0 and (self.pieces[k - 1].isspace() or self.pieces[k - 1].startswith("'")):
-            k -= 1
-        rest = self.text[self.starts[k] : chars]
-        return self.before[k] + sum(
-            1 if piece in self.merging.special else self.merging.prefix_counts(piece.encode())[-1]
-            for piece in pieces(self.merging, rest)
-        )
+        return self.counts[max(0, min(chars, self.chars))]
+
+    def total(self) -> int:
+        return self.at(self.chars)
 
     def fitting(self, budget: int) -> int:
-        """The longest prefix, in characters, all of whose prefixes keep within the budget."""
-        chars = self.starts[max(0, bisect_right(self.before, budget) - 1)]
-        while chars < len(self.text) and self.at(chars + 1) <= budget:
-            chars += 1
-        return chars
+        """The characters of the longest prefix of at most ``budget`` tokens."""
+        return max(0, int(np.searchsorted(self._least, budget, side="right")) - 1)
+
 
+_CUT = regex.compile(PATTERN)
+_CONTRACTION = regex.compile("'re|'ve|'ll")
+_BLANK, _BLANKS = regex.compile(r"\s"), regex.compile(r"\s{2,}")
 
-def pieces(merging: PairMerging, text: str) -> list[str]:
-    """How the tokenizer cuts a text; special strings are pieces of their own."""
-    cut, found = regex.compile(PATTERN), []
-    special = regex.compile("|".join(map(regex.escape, sorted(merging.special, key=len, reverse=True))) or r"(?!)")
-    at = 0
-    for hit in special.finditer(text):
-        found += cut.findall(text[at : hit.start()])
-        found.append(hit[0])
-        at = hit.end()
-    return found + cut.findall(text[at:])
+
+@cache
+def _special_pattern(special: tuple[str, ...]):
+    return regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
+
+
+def _specials(merging: PairMerging):
+    return _special_pattern(tuple(merging.special))
 
 
 class _Counts(dict):
-    """Token counts by piece, made when first asked for."""
+    """Token counts by piece, made when first asked for; the tables they end are kept too."""
 
     def __init__(self, merging: PairMerging):
         super().__init__()
         self.merging = merging
+        self.kept: dict[bytes, bytes] = {}
 
     def __missing__(self, piece: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        count = self.merging.prefix_counts(piece.encode())[-1]
+        count = self.table(piece.encode())[-1]
         if len(piece) <= 64:
             self[piece] = count
         return count
 
+    def table(self, piece: bytes):
+        """The number of tokens of each prefix of a piece, the empty one first."""
+        table = self.kept.get(piece)
+        if table is None:
+            table = self.merging.prefix_counts(piece)
+            if len(piece) <= 64:
+                if len(self.kept) >= REMEMBERED:
+                    self.kept.clear()
+                # No prefix has more tokens than bytes, so a count is one byte.
+                table = self.kept[piece] = bytes(table)
+        return table
+
 
 _LOADED: dict[str, tuple[PairMerging, _Counts]] = {}
 
@@ -199,28 +243,69 @@ def loaded(path: str) -> tuple[PairMerging, _Counts]:
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
-    """``doc_id, n_bytes, n_tokens, over_limit`` for each row; a null text is empty.
+    """``doc_id, n_bytes, n_tokens, over_limit, fit_chars`` for each row; a null text is empty.
 
+    ``fit_chars``: the characters of the longest prefix of at most ``limit`` tokens.
     ``path`` names a vocabulary file that is installed on every worker.
     """
 
     def make():
         merging, counts = loaded(path)
-        findall, special = regex.compile(PATTERN).findall, merging.special
+        findall, special = _CUT.findall, merging.special
 
         def count(texts):
-            totals = []
+            totals, fits = [], []
             for data in texts:
-                parts, total = [data.decode()], 0
+                text = data.decode()
+                parts, total = [text], 0
                 for word in special:
                     if word in parts[0] or len(parts) > 1:
                         split = [part.split(word) for part in parts]
                         total += sum(len(s) - 1 for s in split)
                         parts = [p for s in split for p in s]
-                totals.append(total + sum(sum(map(counts.__getitem__, findall(part))) for part in parts))
-            return {"n_bytes": (list(map(len, texts)), pa.int64()), "n_tokens": (totals, pa.int64())}
+                total += sum(sum(map(counts.__getitem__, findall(part))) for part in parts)
+                totals.append(total)
+                fits.append(
+                    len(text) if total <= limit else PrefixCounts(merging, text, limit, counts.table).fitting(limit)
+                )
+            return {
+                "n_bytes": (list(map(len, texts)), pa.int64()),
+                "n_tokens": (totals, pa.int64()),
+                "fit_chars": (fits, pa.int64()),
+            }
 
         return count
 
-    counted = map_texts(docs, make, "n_bytes bigint, n_tokens bigint")
-    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+    counted = map_texts(docs, make, "n_bytes bigint, n_tokens bigint, fit_chars bigint")
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fit_chars")
+
+
+def prefix_tokens_at(docs: DataFrame, path: str, chars: list[int]) -> DataFrame:
+    """``doc_id, counts``: the tokens of the prefixes of these lengths, each text read once.
+
+    A length beyond the text counts as the whole text; a null text is empty.
+    """
+
+    def make():
+        merging, counts = loaded(path)
+
+        def answer(texts):
+            tables = (PrefixCounts(merging, data.decode(), None, counts.table) for data in texts)
+            return {"counts": ([[table.at(n) for n in chars] for table in tables], pa.list_(pa.int64()))}
+
+        return answer
+
+    return map_texts(docs, make, "counts array<bigint>")
+
+
+def truncate_texts(docs: DataFrame, path: str, budget: int) -> DataFrame:
+    """The same rows and columns; ``text`` is its longest prefix of at most ``budget`` tokens.
+
+    ``n_chars``, if there is one, says the new length. A null text and its length stay null.
+    """
+
+    def make():
+        merging, counts = loaded(path)
+        return lambda text: text[: PrefixCounts(merging, text, budget, counts.table).fitting(budget)]
+
+    return rewrite_texts(docs, make)
