@@ -1,15 +1,19 @@
 """Licence scans with a generalised suffix automaton.
 
 The automaton holds every run of words of every template. Fed a text word by word, it knows
-the longest run that ends at each word (the matching statistics). Long runs are chained, in
-the order of text and template, into spans; a template of which a span covers enough gives
-its label. Words that no template has end every run, so only stretches of template words
-that are long enough to matter are fed to it. The templates are a short fixed list, and so
-is the automaton that each task builds from them.
+the longest run that ends at each word (the matching statistics); the states it links to
+know the shorter runs of other templates that end there, and all places they end at. Long
+runs are chained, in the order of text and template, by a dynamic program that keeps the
+chain covering most. A template of which a chain covers enough is found; where templates
+share wording, the one that covers most of the text gives the label. Words that no template
+has end every run, so only stretches of template words that are long enough to matter are
+fed to the automaton. The templates are a short fixed list, and so is the automaton that
+each task builds from them.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -38,8 +42,8 @@ class State:
     length: int
     link: int = -1
     next: dict[int, int] = field(default_factory=dict)
-    #: By template, where in it the state's runs end first.
-    ends: dict[int, int] = field(default_factory=dict)
+    #: Every template and place in it where the state's runs end.
+    ends: set[tuple[int, int]] = field(default_factory=set)
 
 
 class SuffixAutomaton:
@@ -51,11 +55,10 @@ class SuffixAutomaton:
             last = 0
             for at, symbol in enumerate(sequence):
                 last = self._extend(last, symbol)
-                self.states[last].ends.setdefault(number, at + 1)
+                self.states[last].ends.add((number, at + 1))
         for i in sorted(range(1, len(self.states)), key=lambda i: -self.states[i].length):
-            ends = self.states[self.states[i].link].ends
-            for number, end in self.states[i].ends.items():
-                ends[number] = min(end, ends.get(number, end))
+            if link := self.states[i].link:
+                self.states[link].ends |= self.states[i].ends
 
     def _extend(self, last: int, symbol: int) -> int:
         states = self.states
@@ -77,7 +80,7 @@ class SuffixAutomaton:
         if states[to].length == states[at].length + 1:
             return to
         made = len(states)
-        states.append(State(states[at].length + 1, states[to].link, dict(states[to].next), {}))
+        states.append(State(states[at].length + 1, states[to].link, dict(states[to].next)))
         states[to].link = made
         while at >= 0 and states[at].next.get(symbol) == to:
             states[at].next[symbol] = made
@@ -96,6 +99,52 @@ class SuffixAutomaton:
             yield length, at
 
 
+    def runs(self, symbols, least: int):
+        """``(template, end in it, end among the symbols, length)`` of each run that cannot go on.
+
+        A run is the longest that ends at its two places; it counts from ``least`` symbols.
+        """
+        before: dict[tuple[int, int], int] = {}
+        end = 0
+        for end, (length, state) in enumerate(self.matches(symbols), 1):
+            here: dict[tuple[int, int], int] = {}
+            while length >= least:
+                for place in self.states[state].ends:
+                    here.setdefault(place, length)
+                state = self.states[state].link
+                length = self.states[state].length
+            for (template, stop), size in before.items():
+                if (template, stop + 1) not in here:
+                    yield template, stop, end - 1, size
+            before = here
+        for (template, stop), size in before.items():
+            yield template, stop, end, size
+
+
+def chains(runs: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
+    """``(words covered, -first word, -end word)`` of the best chain that ends with each run.
+
+    A run is ``(end in the text, end in the template, length)``; runs are in ascending order.
+    A chain goes on with a run that ends later in both and starts at most ``gap`` words after
+    the last one's end in the text. What two runs share, in the text or in the template,
+    counts once. Of chains that cover as much, the one that starts last is kept.
+    """
+    best: list[tuple[int, int, int]] = []
+    for j, (b, y, length) in enumerate(runs):
+        a, x = b - length, y - length
+        most, start = length, a
+        for i in range(j - 1, -1, -1):
+            p, q, _ = runs[i]
+            if a - p > gap:
+                break
+            if p < b and q < y:
+                gained = best[i][0] + min(b - max(a, p), y - max(x, q))
+                if (gained, best[i][2]) > (most, start):
+                    most, start = gained, best[i][2]
+        best.append((most, b, start))
+    return [(most, -start, -b) for most, b, start in best]
+
+
 class LicenceScanner:
     def __init__(self, templates, least: int, gap: int, enough: float):
         self.least, self.gap, self.enough = least, gap, enough
@@ -111,30 +160,37 @@ class LicenceScanner:
         self.phrases = [([self.numbers[w] for w in phrase.split()], label) for phrase, label in phrases.items()]
 
     def spans(self, ids: np.ndarray):
-        """``(template, first word, end word, words covered)`` of every chain."""
+        """``(template, first word, end word, words covered)`` of the chains that are found.
+
+        Of one template's chains that meet in the text, that which covers most stays (of equals
+        the one that starts first). A chain whose words lie by half or more in better ones is
+        dropped: those that cover more words, then a greater share of their template.
+        """
         edges = np.flatnonzero(np.diff(np.concatenate(([0], ids > 0, [0])).astype(np.int8)))
-        chains: dict[int, list] = {}
-        done = []
-        for start, end in edges.reshape(-1, 2):
-            if end - start < self.least:
-                continue
-            found = list(self.automaton.matches(ids[start:end].tolist()))
-            for i, (length, state) in enumerate(found):
-                if length < self.least or (i + 1 < len(found) and found[i + 1][0] > length):
-                    continue
-                last = int(start) + i + 1
-                for template, stop in self.automaton.states[state].ends.items():
-                    # doc span, template span
-                    a, b, x, y = last - length, last, stop - length, stop
-                    chain = chains.get(template)
-                    if chain and a - chain[1] <= self.gap and b > chain[1] and y > chain[2]:
-                        chain[3] += min(y - max(x, chain[2]), b - max(a, chain[1]))
-                        chain[1], chain[2] = b, y
-                    else:
-                        if chain:
-                            done.append((template, chain[0], chain[1], chain[3]))
-                        chains[template] = [a, b, y, length]
-        return done + [(template, c[0], c[1], c[3]) for template, c in chains.items()]
+        runs: dict[int, list[tuple[int, int, int]]] = {}
+        for start, end in edges.reshape(-1, 2).tolist():
+            if end - start >= self.least:
+                for template, stop, at, length in self.automaton.runs(ids[start:end].tolist(), self.least):
+                    runs.setdefault(template, []).append((start + at, stop, length))
+        found = []
+        for template, own in runs.items():
+            size = self.sizes[template]
+            enough = [c for c in chains(sorted(own), self.gap) if c[0] >= self.enough * size]
+            taken: list[tuple[int, int]] = []
+            for covered, first, end in sorted(enough, key=lambda c: (-c[0], -c[1], -c[2])):
+                span = (-first, -end)
+                k = bisect_left(taken, span)
+                if (k == 0 or taken[k - 1][1] <= span[0]) and (k == len(taken) or span[1] <= taken[k][0]):
+                    taken.insert(k, span)
+                    found.append((template, *span, covered))
+        better = np.zeros(len(ids), bool)
+        kept = []
+        for span in sorted(found, key=lambda s: (-s[3], -s[3] / self.sizes[s[0]], s[1], s[0])):
+            _, first, end, _ = span
+            if 2 * np.count_nonzero(better[first:end]) < end - first:
+                better[first:end] = True
+                kept.append(span)
+        return kept
 
     def scan(self, text: bytes) -> dict:
         words = words_of(text)
@@ -149,8 +205,8 @@ class LicenceScanner:
             if len(ends):
                 base.add(label)
                 starts += (ends - len(phrase) + 1).tolist()
-        spans = [s for s in self.spans(ids) if s[3] >= self.enough * self.sizes[s[0]]]
-        score = max((min(1.0, s[3] / self.sizes[s[0]]) for s in spans), default=0.0)
+        spans = self.spans(ids)
+        score = max((s[3] / self.sizes[s[0]] for s in spans), default=0.0)
         return {
             "n_words": len(words),
             "n_base": len(starts),

@@ -64,4 +64,90 @@ TEMPLATES: list[tuple[str, str]] = [
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
     ),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    (
+        "cc-by-sa",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    ),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    (
+        "cc-by-nd",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    ),
+    ("cc-by-nd", "Licensed under CC BY-ND 4.0"),
+    (
+        "cc-by-nc-sa",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    ),
+    ("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0"),
+    (
+        "cc-by-nc-nd",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
+    ),
+    ("cc-by-nc-nd", "Licensed under CC BY-NC-ND 4.0"),
+    (
+        "cc0",
+        """To the extent possible under law, the author has waived all copyright and related or
+        neighboring rights to this work.""",
+    ),
+    (
+        "bsd-3-clause",
+        """Redistribution and use in source and binary forms, with or without modification, are
+        permitted provided that the following conditions are met: 1. Redistributions of source code
+        must retain the above copyright notice, this list of conditions and the following
+        disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+        this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. 3. Neither the name of the copyright holder nor
+        the names of its contributors may be used to endorse or promote products derived from this
+        software without specific prior written permission.""",
+    ),
+    (
+        "mpl",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a
+        copy of the MPL was not distributed with this file, You can obtain one at
+        https://mozilla.org/MPL/2.0/.""",
+    ),
+    (
+        "lgpl",
+        """This library is free software; you can redistribute it and/or modify it under the terms of
+        the GNU Lesser General Public License as published by the Free Software Foundation; either
+        version 2.1 of the License, or (at your option) any later version. This library is
+        distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser
+        General Public License for more details. You should have received a copy of the GNU Lesser
+        General Public License along with this library""",
+    ),
+    (
+        "agpl",
+        """This program is free software: you can redistribute it and/or modify it under the terms of
+        the GNU Affero General Public License as published by the Free Software Foundation, either
+        version 3 of the License, or (at your option) any later version. This program is
+        distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero
+        General Public License for more details. You should have received a copy of the GNU Affero
+        General Public License along with this program. If not, see
+        <https://www.gnu.org/licenses/>.""",
+    ),
+    (
+        "unlicense",
+        """This is free and unencumbered software released into the public domain. Anyone is free to
+        copy, modify, publish, use, compile, sell, or distribute this software, either in source
+        code form or as a compiled binary, for any purpose, commercial or non-commercial, and by
+        any means.""",
+    ),
+    (
+        "zlib",
+        """This software is provided 'as-is', without any express or implied warranty. In no event
+        will the authors be held liable for any damages arising from the use of this software.
+        Permission is granted to anyone to use this software for any purpose, including commercial
+        applications, and to alter it and redistribute it freely, subject to the following
+        restrictions""",
+    ),
+    (
+        "bsl",
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a
+        copy of the software and accompanying documentation covered by this license (the
+        "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and
+        to prepare derivative works of the Software, and to permit third-parties to whom the
+        Software is furnished to do so""",
+    ),
 ]
