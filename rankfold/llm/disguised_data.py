@@ -19,9 +19,10 @@ from bisect import bisect_right
 from functools import cache
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
-from rankfold.llm.common import in_arrow, map_texts
+from rankfold.llm.common import map_texts, rewrite_texts
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -180,7 +181,7 @@ class Rewritten:
 
 
 _NUMERAL = "|".join(sorted(_SPELLED, key=len, reverse=True))
-_ITEM = rf"(?:(?:{_NUMERAL})(?![^\W_])|[0-9]{{1,4}}(?![^\W_]))"
+_ITEM = rf"(?:(?:{_NUMERAL})(?![^\W_])|[0-9]++(?![^\W_]))"
 _JOIN = r"(?:[ \t]{1,3}|[ ]?[-,][ ]?)"
 _NUMERALS = re.compile(rf"(?<![^\W_]){_ITEM}(?:{_JOIN}{_ITEM})+", re.I)
 _WORD = re.compile(_NUMERAL, re.I)
@@ -190,19 +191,14 @@ _BRACKETS = ("()", "[]", "{}", "<>")
 _IN_BRACKETS = lambda word: "|".join(rf"[ ]{{0,2}}\{a}[ ]?{word}[ ]?\{b}[ ]{{0,2}}" for a, b in _BRACKETS)
 _DOT_SIGN = rf"(?:{_IN_BRACKETS('(?:dot|[.])')}|[ ]{{1,2}}dot[ ]{{1,2}})"
 _AT_SIGN = rf"(?:{_IN_BRACKETS('(?:at|@)')}|[ ]{{1,2}}at[ ]{{1,2}}|[ ]{{0,2}}@[ ]{{0,2}})"
-_NAME = r"[A-Za-z0-9-]{1,63}+"
-#: An address: a name, a sign for "at", and names joined by signs for "dot".
-_ADDRESS = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]{{1,64}}+(?:(?:{_DOT_SIGN}|[.])[A-Za-z0-9_%+-]{{1,64}}+){{0,3}}"
-    rf"(?P<at>{_AT_SIGN}){_NAME}(?:(?:{_DOT_SIGN}|[.]){_NAME}){{1,4}}(?![A-Za-z0-9-])",
-    re.I,
-)
-_SIGN = re.compile(rf"{_DOT_SIGN}|{_AT_SIGN}", re.I)
+_AT = re.compile(_AT_SIGN, re.I)
+#: What follows a sign for "at", and, read backwards from it, what stands before it: names of any
+#: length joined by any number of dots and signs for "dot".
+_AFTER_AT = re.compile(rf"[A-Z0-9-]++(?:(?:{_DOT_SIGN}|[.])[A-Z0-9-]++)++", re.I)
+_BEFORE_AT = regex.compile(rf"(?r)[A-Z0-9_%+-]+(?:(?:{_DOT_SIGN}|[.])[A-Z0-9_%+-]+)*", regex.I)
 #: Every address that is not a plain one holds one of these: of "at" alone, a sign for "dot" follows.
 _SIGNED = re.compile(r"[ (\[{<](?:(?<= )(?:dot |@)|(?<=[(\[{<])[ ]?(?:at|@|dot|[.])[ ]?[)\]}>])|@ ", re.I)
-#: More than an address can be long.
-_REACH = 700
-_DOTS = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:(?:{_DOT_SIGN}|[.])[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
+_DOTS = re.compile(rf"(?<![0-9])[0-9]++(?:(?:{_DOT_SIGN}|[.])[0-9]++){{3}}", re.I)
 _DOT = re.compile(_DOT_SIGN, re.I)
 _PART = rf"{_ITEM}(?:{_JOIN}{_ITEM}){{0,2}}"
 _SPELLED_DOTS = re.compile(rf"(?<![^\W_]){_PART}(?:(?:{_DOT_SIGN}|[.]){_PART}){{3}}", re.I)
@@ -247,36 +243,33 @@ def _plus(text: str):
             yield hit.start(), hit.end(), "+"
 
 
-def _near_signs(text: str):
-    """Stretches around signs for "dot", and for "at" but the bare word, joined where they meet."""
-    low = high = None
-    for sign in _SIGNED.finditer(text):
-        start, end = max(0, sign.start() - _REACH), min(len(text), sign.end() + _REACH)
-        if high is None or start > high:
-            if high is not None:
-                yield low, high
-            low = start
-        high = end
-    if high is not None:
-        yield low, high
-
-
 def _signs(text: str):
+    """Signs for "at" and "dot" in addresses; every address is read once, outwards from its "at"."""
+    if not _SIGNED.search(text):
+        return
     edits = {}
-    for low, high in _near_signs(text):
-        for hit in _DOTS.finditer(text, low, high):
-            for sign in _DOT.finditer(text, hit.start(), hit.end()):
-                edits[sign.start()] = (sign.end(), ".")
-        for hit in _ADDRESS.finditer(text, low, high):
-            bracketed = not set("()[]{}<>").isdisjoint(hit["at"])
-            # A bare "at" is a word like others unless a sign for "dot" follows.
-            if hit["at"].strip().lower() == "at" and not bracketed and not _DOT.search(text, hit.end("at"), hit.end()):
-                continue
-            for sign in _SIGN.finditer(text, hit.start(), hit.end()):
-                edits[sign.start()] = (sign.end(), "@" if sign.start() == hit.start("at") else ".")
+    for hit in _DOTS.finditer(text):
+        for sign in _DOT.finditer(text, hit.start(), hit.end()):
+            edits[sign.start()] = (sign.end(), ".")
+    done = 0
+    for at in _AT.finditer(text):
+        domain = at.start() >= done and _AFTER_AT.match(text, at.end())
+        if not domain:
+            continue
+        dots = list(_DOT.finditer(text, domain.start(), domain.end()))
+        # A bare "at" is a word like others unless a sign for "dot" follows.
+        if at[0].strip().lower() == "at" and not dots:
+            continue
+        local = _BEFORE_AT.match(text, done, at.start())
+        if not local:
+            continue
+        done = domain.end()
+        edits[at.start()] = (at.end(), "@")
+        for sign in [*_DOT.finditer(text, local.start(), local.end()), *dots]:
+            edits[sign.start()] = (sign.end(), ".")
     done = 0
     for start, (end, new) in sorted(edits.items()):
-        if start >= done:
+        if start >= done and text[start:end] != new:
             yield start, end, new
             done = end
 
@@ -355,18 +348,4 @@ def mask_texts(docs: DataFrame) -> DataFrame:
 
     Null texts stay null, and so does their length.
     """
-    names = docs.columns
-    text, length = names.index("text"), names.index("n_chars") if "n_chars" in names else None
-    kinds = {"text": "string", "n_chars": "bigint"}
-    schema = ", ".join(f"`{name.replace('`', '``')}` {kinds.get(name, kind)}" for name, kind in docs.dtypes)
-
-    def mask(batches):
-        for batch in batches:
-            columns = list(batch.columns)
-            made = [None if value is None else masked(value) for value in columns[text].to_pylist()]
-            columns[text] = pa.array(made, pa.string())
-            if length is not None:
-                columns[length] = pa.array([None if value is None else len(value) for value in made], pa.int64())
-            yield pa.record_batch(columns, names=batch.schema.names)
-
-    return in_arrow(docs, mask, schema)
+    return rewrite_texts(docs, lambda: masked)

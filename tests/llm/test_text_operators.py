@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -11,6 +12,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rankfold.llm import disguised_data, edit_matches, host_rules, licence_spans, piece_merging, prefix_tokens
@@ -45,16 +47,63 @@ def test_token_counts_are_the_librarys(spark, texts, vocabularies):
         assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len(text.encode()), wanted, wanted > 1024)
 
 
+#: Cuts inside contractions, special strings and white space change how the rest is cut.
+CUT = [*ODD, "we're they've I'll 're'll''ve x!'re", "!!<|endoftext|>  <|endoftext|>\n\n<|endo", "a  \t b\u2003\u2003c \x1c\x1c d", "é́́ 日本\U0001f600\U0001f600  語"]
+
+
 def test_every_prefix_is_counted(texts, vocabularies):
     path = vocabularies["byte_bpe_50k.json"]
-    library, (merging, _) = Tokenizer.from_file(path), prefix_tokens.loaded(path)
-    for text in [t[:150] for t in texts[:12] + ODD]:
-        counts = prefix_tokens.PrefixCounts(merging, text)
+    library, (merging, memo) = Tokenizer.from_file(path), prefix_tokens.loaded(path)
+    for text in [t[:150] for t in texts[:12] + CUT]:
+        counts = prefix_tokens.PrefixCounts(merging, text, None, memo.table)
         wanted = [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
         assert [counts.at(i) for i in range(len(text) + 1)] == wanted
-        assert counts.total() == wanted[-1]
-        for budget in (0, 3, 1000):
-            assert wanted[counts.fitting(budget)] <= budget
+        assert counts.total() == counts.at(len(text) + 9) == wanted[-1]
+        for budget in (0, 1, 2, 3, 5, 8, 13, 1000):
+            longest = max(i for i, n in enumerate(wanted) if n <= budget)
+            assert counts.fitting(budget) == longest
+            assert prefix_tokens.PrefixCounts(merging, text, budget).fitting(budget) == longest
+
+
+@settings(max_examples=150, deadline=None)
+@given(text=st.text(st.sampled_from("ab'srelvd  \n\t!<|endoftext|>é語1"), max_size=40), budget=st.integers(0, 12))
+def test_any_prefix_and_budget(vocabularies, text, budget):
+    path = vocabularies["byte_bpe_50k.json"]
+    library, (merging, _) = Tokenizer.from_file(path), prefix_tokens.loaded(path)
+    wanted = [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
+    counts = prefix_tokens.PrefixCounts(merging, text)
+    assert list(counts.counts) == wanted
+    assert prefix_tokens.PrefixCounts(merging, text, budget).fitting(budget) == max(
+        i for i, n in enumerate(wanted) if n <= budget
+    )
+
+
+def test_a_long_word_is_read_once(vocabularies):
+    merging, _ = prefix_tokens.loaded(vocabularies["byte_bpe_50k.json"])
+    asked = []
+    counts = prefix_tokens.PrefixCounts(merging, "ab" * 10_000, None, lambda piece: asked.append(piece) or merging.prefix_counts(piece))
+    assert all(counts.at(counts.fitting(budget)) <= budget for budget in range(0, 10_000, 7))
+    assert len(asked) == 1
+
+
+def test_texts_are_cut_to_a_budget(spark, documents, no_documents, vocabularies):
+    path = vocabularies["byte_bpe_50k.json"]
+    library = Tokenizer.from_file(path)
+    size = lambda text: len(library.encode(text, add_special_tokens=False).ids)
+    documents, no_documents = (d.withColumn("n_chars", F.length("text").cast("bigint")) for d in (documents, no_documents))
+    got = prefix_tokens.truncate_texts(documents, path, 3)
+    assert got.columns == documents.columns and got.count() == documents.count()
+    for row in got.collect():
+        assert (row.text is None) == (row.n_chars is None)
+        assert row.text is None or (size(row.text) <= 3 and len(row.text) == row.n_chars)
+    assert prefix_tokens.truncate_texts(no_documents, path, 3).count() == 0
+    texts = ["", None, "a b c d e", "word  word" * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    answers = {r.doc_id: r.counts for r in prefix_tokens.prefix_tokens_at(docs, path, [0, 3, 6, 10**6]).collect()}
+    assert answers == {i: [size((t or "")[:n]) for n in (0, 3, 6, 10**6)] for i, t in enumerate(texts)}
+    counted = {r.doc_id: r.fit_chars for r in prefix_tokens.count_tokens(docs, path, 100).collect()}
+    for i, text in enumerate(t or "" for t in texts):
+        assert counted[i] == max(n for n in range(len(text) + 1) if size(text[:n]) <= 100)
 
 
 # --- piece merging --------------------------------------------------------------------------
@@ -155,6 +204,36 @@ def test_each_dot_of_spelled_numbers_is_found_alone(dot, parts):
     assert disguised_data.find(text) == ([], [("ip", 0, len(text))])
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        "x at a dot b dot c dot d dot e dot com",
+        "j dot a dot b dot c dot d at example dot com",
+        "n" * 65 + " at example dot com",
+        "jane at " + "d" * 70 + " dot com",
+        "jane (at) " + "part dot " * 400 + "com",
+        "first dot " * 400 + "last [at] example [dot] org",
+    ],
+)
+def test_addresses_have_no_length_limit(source):
+    text = f"see: {source}, please"
+    assert disguised_data.find(text)[1] == [("email", 5, 5 + len(source))]
+    assert disguised_data.masked(text) == "see: [EMAIL], please"
+
+
+def test_long_groups_of_digits_join_spelled_ones():
+    text = "four 11111 11111 1111 one"
+    assert disguised_data.find(text) == ([], [("card", 0, len(text))])
+    assert [s[0] for s in disguised_data.find("plus 4930 1234567 eight nine")[1]] == ["phone"]
+
+
+@pytest.mark.parametrize("unit", ["a dot ", "a at ", "a dot b at ", "at dot ", " (at) ", "1 dot ", "one ", "@ ", "a @ b "])
+def test_disguises_take_time_in_proportion(unit):
+    began = time.perf_counter()
+    disguised_data.find(unit * 20_000)
+    assert time.perf_counter() - began < 10
+
+
 def test_long_addresses_are_found_whole():
     text = f"{'a' * 64} dot {'b' * 64}.{'c' * 64}@{'.'.join(['d' * 63] * 5)}"
     assert ("email", 0, len(text)) in disguised_data.find(text)[1]
@@ -253,11 +332,90 @@ def test_automaton_against_brute_force():
             }
             assert length == max(runs.values(), default=0)
             if length:
-                wanted = {}
-                for (n, end), size in runs.items():
-                    if size == length:
-                        wanted[n] = min(end, wanted.get(n, end))
-                assert automaton.states[state].ends == wanted
+                assert automaton.states[state].ends == {place for place, size in runs.items() if size == length}
+
+
+def longest_runs(known, text, least):
+    """Common runs that go on in neither direction, by trying all places."""
+    for n, x in enumerate(known):
+        for i in range(len(text)):
+            for j in range(len(x)):
+                if i and j and text[i - 1] == x[j - 1]:
+                    continue
+                size = 0
+                while i + size < len(text) and j + size < len(x) and text[i + size] == x[j + size]:
+                    size += 1
+                if size >= least:
+                    yield n, j + size, i + size, size
+
+
+def test_runs_against_brute_force():
+    rng = random.Random(5)
+    for _ in range(150):
+        known = [[rng.randint(1, 3) for _ in range(rng.randint(1, 12))] for _ in range(3)]
+        text = [rng.randint(1, 4) for _ in range(25)]
+        got = list(licence_spans.SuffixAutomaton(known).runs(text, 2))
+        assert sorted(got) == sorted(longest_runs(known, text, 2))
+
+
+def test_chains_against_brute_force():
+    rng = random.Random(7)
+    for _ in range(200):
+        ends = {(rng.randint(4, 30), rng.randint(4, 20)): rng.randint(1, 4) for _ in range(8)}
+        runs = sorted((b, y, length) for (b, y), length in ends.items())
+        gap = rng.randint(0, 8)
+
+        def every(j):
+            """Words covered and start of every chain that ends with run ``j``."""
+            b, y, length = runs[j]
+            yield length, b - length
+            for i, (p, q, _) in enumerate(runs[:j]):
+                if p < b and q < y and b - length - p <= gap:
+                    more = min(b - max(b - length, p), y - max(y - length, q))
+                    for covered, start in every(i):
+                        yield covered + more, start
+
+        got = licence_spans.chains(runs, gap)
+        assert got == [(covered, -start, -runs[j][0]) for j in range(len(runs)) for covered, start in [max(every(j))]]
+
+
+def test_base_columns_match_a_plain_version(texts):
+    scanner = licence_spans.LicenceScanner(TEMPLATES, 4, 20, 0.7)
+    for text in [*texts, "MIT\nLicense", "mit license mit license", "general public license" * 2, "É mit license ſ"]:
+        words = re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        places, labels = [], set()
+        for phrase, label in licence_spans.PHRASES.items():
+            size = len(phrase.split())
+            at = [i for i in range(len(words)) if words[i : i + size] == phrase.split()]
+            places += at
+            labels |= {label} if at else set()
+        got = scanner.scan(text.encode())
+        assert (got["n_words"], got["n_base"], got["base_labels"]) == (len(words), len(places), ",".join(sorted(labels)))
+        assert (got["first_word"], got["last_word"]) == (min(places, default=None), max(places, default=None))
+        assert labels <= set(got["labels"].split(",")) and 0 <= got["score"] <= 1
+
+
+def test_moved_words_do_not_split_a_chain():
+    scanner = licence_spans.LicenceScanner(TEMPLATES, 4, 20, 0.7)
+    notice = " ".join(dict((label, text) for label, text in reversed(TEMPLATES) if label == "gpl")["gpl"].split())
+    moved = notice.replace("the GNU General Public License as", "version 3 of the License GNU General Public License as", 1)
+    assert "gpl" in scanner.scan(moved.encode())["labels"].split(",")
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "cc-by-nc-nd"),
+        ("Licensed under CC BY-NC-SA 4.0 and licensed under CC BY 4.0", "cc-by,cc-by-nc-sa"),
+        *((text, label) for label, text in TEMPLATES if label in ("bsd-2-clause", "bsd-3-clause", "mpl", "unlicense", "zlib", "bsl")),
+        *((text, ",".join(sorted(["gpl", label]))) for label, text in TEMPLATES if label in ("lgpl", "agpl")),
+    ],
+)
+def test_the_best_of_sibling_licences_wins(text, labels):
+    scanner = licence_spans.LicenceScanner(TEMPLATES, 4, 20, 0.7)
+    assert scanner.scan(f"x {text} y".encode())["labels"] == labels
 
 
 def test_licence_labels():
