@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankfold.functions.names import quoted
 from rankfold.functions.schemas import common_key_type, input_field, with_field
 from rankfold.operators.domain import Wanted, hot_values, learn_mappings
 from rankfold.operators.limits import Limits
@@ -28,6 +29,10 @@ from rankfold.sources.bucketed import write_buckets
 from rankfold.sources.store import new_folder, remove_folder
 
 
+# Types whose values a literal gives back exactly.
+_BOUNDED = (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType)
+
+
 class IndexParams(HasInputCol, HasOutputCol):
     """Input and output column, and the schema rule both stages follow."""
 
@@ -261,6 +266,28 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
         )
         return note_source(indexed, dataset, self.getOutputCol())
 
+    def transform_between(self, dataset: DataFrame, low, high) -> DataFrame:
+        """``transform``, then the rows whose index is from ``low`` to ``high``.
+
+        The least and the greatest category with such an index bound the input column before
+        the lookup, so the scan of the rows can skip what lies outside. An index in the range
+        always has its category within these bounds, whatever the order of the mapping.
+        """
+        self.output_schema(dataset.schema)
+        index = F.col(quoted(self.getOutputCol()))
+        rows, column = dataset, self.getInputCol()
+        if self.missing is None or not low <= self.missing <= high:
+            category = F.col("category")
+            wanted = self._frozen().frame(dataset.sparkSession).where(F.col("idx").between(low, high))
+            least, greatest = wanted.agg(F.min(category), F.max(category)).head()
+            key = F.col(quoted(column))
+            key_type = dataset.schema[column].dataType
+            if least is None:
+                rows = dataset.where(F.lit(False))
+            elif key_type == self._frozen().key_type and isinstance(key_type, _BOUNDED):
+                rows = dataset.where(key.between(F.lit(least).cast(key_type), F.lit(greatest).cast(key_type)))
+        return self.transform(rows).where(index.between(low, high))
+
     def write(self) -> MappingModelWriter:
         return MappingModelWriter(self)
 

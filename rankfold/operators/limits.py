@@ -37,6 +37,10 @@ class Limits:
     # 1: shuffled lookups show Catalyst that their keys are unique, and those whose index nobody
     # reads are left out of the plan. Adaptive execution cannot split such a join.
     prunable: int = 0
+    # Most bytes of a bitmap of the known values that a shuffled lookup broadcasts, two for each
+    # label: rows of other values then skip the shuffle. The rows are scanned twice for it, so
+    # it is for tables that give the same rows each time; zero does without.
+    known_bytes: int = 0
 
     @staticmethod
     def of(spark: SparkSession, own: Options[str, object] | None = None) -> "Limits":

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from rankfold.functions.labels import has_exact_literals, literal_lookup, steady_hash
 from rankfold.functions.names import fresh, quoted
 from rankfold.functions.schemas import common_key_type, is_collated
+from rankfold.operators.known_keys import bitmap_bits, may_be_known
 from rankfold.operators.limits import Limits
 from rankfold.operators.mapping import Mapping
 
@@ -63,11 +64,34 @@ def add_index(
         return _broadcast_lookup(dataset, key, key_type, output_col, mapping, missing)
     if mapping.buckets is not None and key_type == mapping.key_type and not mapping.hot:
         return _dealt_lookup(dataset, key, key_type, output_col, mapping, missing, limits.hot_spread)
+    if bitmap_bits(mapping.labels) // 8 <= limits.known_bytes and not (
+        dataset.isStreaming or is_collated(key_type)
+    ):
+        return _reduced_lookup(dataset, input_col, key, key_type, output_col, mapping, missing, limits)
     return _shuffled_lookup(
         dataset, input_col, key, key_type, output_col, mapping, missing, limits
     )
 
 
+def _reduced_lookup(
+    dataset: DataFrame,
+    input_col: str,
+    key: Column,
+    key_type: T.DataType,
+    output_col: str,
+    mapping: Mapping,
+    missing: float | None,
+    limits: Limits,
+) -> DataFrame:
+    """Only rows whose value may have an entry are shuffled; the others take the default where they are."""
+    mark = fresh("known")
+    marked = may_be_known(dataset, key, key_type, mapping, mark)
+    known = marked.where(F.col(mark)).drop(mark)
+    found = _shuffled_lookup(known, input_col, key, key_type, output_col, mapping, missing, limits)
+    default = F.lit(missing).cast(mapping.index_type)
+    return found.union(marked.where(~F.col(mark)).drop(mark).withColumn(output_col, default))
+
+
 def _or_missing(found: list[Column], missing: float | None) -> Column:
     options = found if missing is None else [*found, F.lit(missing)]
     return F.coalesce(*options) if len(options) > 1 else options[0]

@@ -130,6 +130,14 @@ ORACLES = {
         FROM documents LEFT JOIN learned ON learned.doc_id = documents.doc_id""",
     "label_index_shuffled_hot": _LABEL_INDEX,
     "label_index_hot_text": f"SELECT doc_id, {_label('text')} AS idx FROM documents",
+    "category_map_mostly_unknown": f"""
+        WITH learned AS (
+            SELECT s_suppkey, {_category('s_suppkey')} AS i FROM (SELECT DISTINCT s_suppkey FROM supplier))
+        SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, l_linenumber, i AS idx
+        FROM lineitem LEFT JOIN learned ON s_suppkey = l_orderkey""",
+    "label_index_between": f"""
+        SELECT * FROM (SELECT c_custkey, c_name, {_label('c_name')} AS idx FROM customer)
+        WHERE idx BETWEEN 10 AND 99""",
     "two_shuffled_indexers": f"""
         SELECT o_orderkey, {_label('CAST(o_custkey AS VARCHAR)')} AS customer_idx,
                {_label('o_orderpriority')} AS prio_idx

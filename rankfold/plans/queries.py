@@ -356,6 +356,23 @@ def label_index_hot_text(spark: SparkSession, folder: str) -> DataFrame:
     return DropColumn(column="text").transform(indexed)
 
 
+def category_map_mostly_unknown(spark: SparkSession, folder: str) -> DataFrame:
+    """Fitted on the suppliers' keys, looked up for the orders of all lines: few are known."""
+    suppliers = read_table(spark, folder, "supplier").select(F.col("s_suppkey").cast("long").alias("l_orderkey"))
+    lines = read_table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").cast("long").alias("l_orderkey"), "l_linenumber"
+    )
+    mapper = CategoryMapper(inputCol="l_orderkey", outputCol="idx")
+    return mapper.setPlanLimits(**_SHUFFLED, knownBytes="64m").fit(suppliers).transform(lines)
+
+
+def label_index_between(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of a range of indexes: a range of labels at the scan."""
+    customers = read_table(spark, folder, "customer").select("c_custkey", "c_name")
+    indexer = LabelIndexer(inputCol="c_name", outputCol="idx").setPlanLimits(**_SHUFFLED)
+    return indexer.fit(customers).transform_between(customers, 10, 99)
+
+
 def two_shuffled_indexers(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("customer"), "o_orderpriority"
@@ -493,6 +510,8 @@ ALL = (
     category_map_shuffled,
     label_index_shuffled_hot,
     label_index_hot_text,
+    category_map_mostly_unknown,
+    label_index_between,
     two_shuffled_indexers,
     reload_ranked_model,
     stream_shuffled,
