@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankfold.llm.common import column, in_arrow, partitions, whole, written
+from rankfold.llm.common import HOT_SHARE, column, in_arrow, partitions, whole, written
 from rankfold.sources.store import new_folder
 
 SKIPPABLE = 0x184D2A5D
@@ -35,6 +35,9 @@ CHUNK = 1 << 16
 #: Bounds of the sample that the dictionary is made from.
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 256, 4096, 1 << 14
 
+#: Most recurring payloads, a digest and two numbers each, that are all broadcast.
+KEEPERS_SENT = 100_000
+
 
 def qualified(spark: SparkSession, path: str) -> str:
     """The address with its scheme, as the cluster's settings complete it."""
@@ -144,6 +147,30 @@ def dictionary_for(pages: DataFrame) -> bytes:
         return b""
 
 
+def _with_keepers(rows: DataFrame, revisit_bytes: int) -> DataFrame:
+    """``rows`` and the page ``keeper`` that stands for all with their payload; null where there is one.
+
+    Which payloads recur is settled on digests alone. Those that recur in more than one of
+    ``HOT_SHARE`` rows are broadcast, and so are all where they are no more than ``KEEPERS_SENT``:
+    then no payload is shuffled, and archives are written from the scan's own order.
+    """
+    same = ["sha1", "size"]
+    keepers = (
+        rows.where(F.col("size") >= revisit_bytes)
+        .groupBy(*same)
+        .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+    )
+    keepers = written(keepers, "keepers")
+    found, met = keepers.agg(F.count(F.lit(1)), F.sum("n")).head()
+    if found <= KEEPERS_SENT:
+        return rows.join(F.broadcast(keepers.drop("n")), same, "left")
+    # No more than HOT_SHARE payloads can have that share of the rows.
+    hot = F.broadcast(keepers.where(F.col("n") * HOT_SHARE > met).drop("n"))
+    rest = rows.join(hot, same, "left_anti")
+    return rows.join(hot, same).unionByName(rest.join(keepers.drop("n"), same, "left"))
+
+
 def write_archives(
     pages: DataFrame, revisit_bytes: int = 1000, archive_bytes: int = 64 << 20, date: str = "2024-01-01T00:00:00Z"
 ) -> DataFrame:
@@ -154,13 +181,7 @@ def write_archives(
         column("url").alias("url"),
         whole(column("html")).cast("binary").alias("payload"),
     ).withColumns({"sha1": F.sha1("payload"), "size": F.length("payload")})
-    keepers = (
-        rows.where(F.col("size") >= revisit_bytes)
-        .groupBy(F.col("sha1").alias("same"), F.col("size").alias("long"))
-        .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-    )
-    rows = rows.join(keepers, (F.col("sha1") == F.col("same")) & (F.col("size") == F.col("long")), "left").select(
+    rows = _with_keepers(rows, revisit_bytes).select(
         "page_id", "url", "payload", "sha1", "keeper",
         F.coalesce(~F.col("page_id").eqNullSafe(F.col("keeper")) & F.col("keeper").isNotNull(), F.lit(False)).alias("again"),
     )

@@ -32,6 +32,19 @@ def test_round_trip(spark):
     assert warc.read_archives(empty).count() == 0
 
 
+@pytest.mark.parametrize("sent", [100, 0])
+def test_payloads_are_shuffled_only_past_the_broadcast(spark, monkeypatch, sent):
+    monkeypatch.setattr(warc, "KEEPERS_SENT", sent)
+    monkeypatch.setattr(warc, "HOT_SHARE", 4)
+    rows = [(i, "u", ("hot" if i % 3 == 0 else f"page {i % 50}") * 400) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_archives(warc.write_archives(pages)).collect()}
+    keepers = {html: i for i, _, html in rows}
+    assert got == {
+        i: ("response", None) if keepers[html] == i else ("revisit", keepers[html]) for i, _, html in rows
+    }
+
+
 def test_the_dictionary_leads_and_each_record_is_a_frame(spark):
     rows = [(i, "u", f"<html><head><title>page {i}</title></head><body><p>" + f"text {i % 7} " * 30) for i in range(300)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
