@@ -111,7 +111,7 @@ def _anchors(window: int, anchor: int):
             uids = batch.column(1).to_numpy(zero_copy_only=False)
             parts = []
             for i in range(batch.num_rows):
-                places, found = anchor_places(word_hashes(texts[i].as_py().split()), window, anchor)
+                places, found = anchor_places(word_hashes(_words(texts[i])), window, anchor)
                 if len(places):
                     parts.append((found, np.full(len(found), shards[i]), np.full(len(found), uids[i]), places))
             if not parts:
@@ -275,28 +275,38 @@ def _packed(batches):
         yield pa.record_batch([*batch.columns[:3], packed], names=["doc_id", "shard", "uid", "packed"])
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, anchor: int = 8) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256`` of every row.
+def dealt_into_shards(docs: DataFrame) -> DataFrame:
+    """``doc_id, shard, uid, packed`` of every row, written: compressed texts in shards of like size.
 
-    A word goes if a window of ``window`` words that covers it also stands anywhere else,
-    in the same document too. Rows repeated whole count each. A null text has no words.
+    A row's shard comes from its place in the input, so rows repeated whole spread like any
+    others. It is written once; no later task deals anew.
     """
     spark = docs.sparkSession
-    reach_workers(spark)
     kind = dict(docs.dtypes)["doc_id"]
     texts = docs.select(column("doc_id").alias("doc_id"), whole(column("text")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     shards = max(2 * partitions(spark), size // SHARD_BYTES + 1)
-    texts = texts.withColumn("uid", F.xxhash64("doc_id", "text")).select(
+    dealt = texts.select(
         "doc_id",
-        F.pmod(F.hash("uid"), F.lit(shards)).cast("int").alias("shard"),
-        "uid",
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard"),
+        F.xxhash64("doc_id", "text").alias("uid"),
         F.col("text").cast("binary").alias("text"),
     )
-    packed = in_arrow(texts, _packed, f"doc_id {kind}, shard int, uid bigint, packed binary")
+    return written(in_arrow(dealt, _packed, f"doc_id {kind}, shard int, uid bigint, packed binary"), "packed")
+
+
+def remove_repeats(docs: DataFrame, window: int = 35, anchor: int = 8) -> DataFrame:
+    """``doc_id, n_words, n_removed, kept_sha256`` of every row.
+
+    A word goes if a window of ``window`` words that covers it also stands anywhere else,
+    in the same document too. Rows repeated whole count each. A null text has no words.
+    """
+    reach_workers(docs.sparkSession)
+    kind = dict(docs.dtypes)["doc_id"]
+    packed = dealt_into_shards(docs)
 
     anchors = in_arrow(
-        texts.select("shard", "uid", "text"),
+        packed.select("shard", "uid", "packed"),
         _anchors(window, anchor),
         "anchor bigint, shard int, uid bigint, place bigint, n bigint",
     )

@@ -157,3 +157,15 @@ def test_a_passage_in_every_document_stays_in_no_task(spark):
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit(passage + " own"), F.col("id").cast("string")).alias("text"))
     got = repeated_phrases.remove_repeats(docs).collect()
     assert {(r.n_words, r.n_removed) for r in got} == {(61, 60)}
+
+
+def test_rows_repeated_whole_spread_over_the_shards(spark):
+    text = " ".join(f"p{i}" for i in range(60))
+    same = spark.range(1000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    others = spark.range(2000).select("id", F.concat(F.lit("own "), F.col("id").cast("string")))
+    docs = same.unionAll(others).repartition(4)
+    dealt = repeated_phrases.dealt_into_shards(docs)
+    sizes = [r["count"] for r in dealt.groupBy("shard").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 2 * 3000 / len(sizes)
+    got = removal(docs)
+    assert got == sorted(slow_removal(docs.collect(), 35))
