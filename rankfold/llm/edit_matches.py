@@ -6,17 +6,23 @@ at least one piece must stand in the text unchanged. So the pieces are looked up
 each hit the edit distance to the whole item is taken with Myers' bit vectors, one bit for
 each word of the item.
 
-Items are taken in blocks of bounded size; each block goes over all documents.
+Items are written once and read by the tasks in blocks of bounded size, whatever their number:
+neither the driver nor a task holds all of them. One scan takes the documents through all blocks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankfold.llm.common import column, in_arrow, whole
+from rankfold.llm.common import column, in_arrow, whole, written
 from rankfold.llm.licence_spans import words_of
 
 #: Bytes of item texts in a block.
@@ -148,34 +154,54 @@ def find_items(docs: DataFrame, benchmark: DataFrame, share: int = 5, keys: tupl
     words match nothing; of several places the nearest, then first, is told; items repeated
     whole are told once each.
     """
-    items = benchmark.select(column("item_id").cast("long").alias("item_id"), whole(column("text")).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    blocks = size // BLOCK_BYTES + 1
+    items = benchmark.select(
+        column("item_id").cast("long").alias("item_id"), whole(column("text")).cast("binary").alias("text")
+    )
+    files = written(items, "items").inputFiles()
     frame = docs.select(*[column(key).alias(key) for key in keys], whole(column("text")).cast("binary").alias("text"))
     kinds = ", ".join(f"`{name}` {kind}" for name, kind in frame.drop("text").dtypes)
     schema = f"{kinds}, item_id bigint, distance bigint, first_word bigint, end_word bigint"
-    found = None
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = [(row.item_id, row.text.encode()) for row in own.collect()]
-        part = in_arrow(frame, _finding(rows, share, len(keys)), schema)
-        found = part if found is None else found.unionAll(part)
-    return found
-
+    return in_arrow(frame, _finding(files, share, len(keys), BLOCK_BYTES), schema)
+
+
+def blocks_of(files: list[str], block_bytes: int) -> Iterator[list[tuple[int, bytes]]]:
+    """The written items, in blocks of ``block_bytes`` of text or one longer item."""
+    block, size = [], 0
+    for address in files:
+        system, path = pyarrow.fs.FileSystem.from_uri(address)
+        with system.open_input_file(path) as stream:
+            for batch in pyarrow.parquet.ParquetFile(stream).iter_batches(64, columns=["item_id", "text"]):
+                for item, text in zip(*(c.to_pylist() for c in batch.columns)):
+                    if block and size + len(text) > block_bytes:
+                        yield block
+                        block, size = [], 0
+                    block.append((item, text))
+                    size += len(text)
+    if block:
+        yield block
+
+
+def _finding(files: list[str], share: int, width: int, block_bytes: int):
+    def finders() -> Iterator[ItemFinder]:
+        for block in blocks_of(files, block_bytes):
+            yield ItemFinder(block, share)
 
-def _finding(rows, share: int, width: int):
     def finding(batches):
-        finder = ItemFinder(rows, share)
+        # A benchmark of one block is read once in a task, a larger one for each batch.
+        first = list(islice(finders(), 2))
+        held = first if len(first) < 2 else None
+        del first
         for batch in batches:
-            at, hits = [], []
-            for i, text in enumerate(batch.column(width)):
-                for hit in finder.find(text.as_py()):
-                    at.append(i)
-                    hits.append(hit)
-            if at:
-                chosen = batch.select(list(range(width))).take(pa.array(at))
-                columns = [pa.array(c, pa.int64()) for c in zip(*hits)]
-                names = [*chosen.schema.names, "item_id", "distance", "first_word", "end_word"]
-                yield pa.record_batch([*chosen.columns, *columns], names=names)
+            for finder in held if held is not None else finders():
+                at, hits = [], []
+                for i, text in enumerate(batch.column(width)):
+                    for hit in finder.find(text.as_py()):
+                        at.append(i)
+                        hits.append(hit)
+                if at:
+                    chosen = batch.select(list(range(width))).take(pa.array(at))
+                    columns = [pa.array(c, pa.int64()) for c in zip(*hits)]
+                    names = [*chosen.schema.names, "item_id", "distance", "first_word", "end_word"]
+                    yield pa.record_batch([*chosen.columns, *columns], names=names)
 
     return finding

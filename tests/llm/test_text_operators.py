@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rankfold.llm import disguised_data, edit_matches, host_rules, licence_spans, piece_merging, prefix_tokens
+from rankfold.llm import common, disguised_data, edit_matches, host_rules, licence_spans, piece_merging, prefix_tokens
 from rankfold.llm.licence_texts import TEMPLATES
 from rankfold.llm.oracles import LLM_ORACLES
 
@@ -472,6 +472,18 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     whole = sorted(edit_matches.find_items(docs, items).collect())
     monkeypatch.setattr(edit_matches, "BLOCK_BYTES", 3000)
     assert sorted(edit_matches.find_items(docs, items).collect()) == whole and whole
+    # Items repeated whole are told once each, in whichever blocks they stand.
+    again = sorted(edit_matches.find_items(docs, items.unionAll(items)).collect())
+    assert again == sorted(whole * 2)
+
+
+def test_blocks_hold_all_items_and_no_more_bytes_than_asked_for(spark):
+    rows = [(i, b"w" * (i % 90)) for i in range(500)] + [(500, b"long " * 100)]
+    files = common.written(spark.createDataFrame(rows, "item_id long, text binary").repartition(3), "items").inputFiles()
+    blocks = list(edit_matches.blocks_of(files, 200))
+    assert sorted(item for block in blocks for item, _ in block) == list(range(501))
+    for block in blocks:
+        assert len(block) == 1 or sum(len(text) for _, text in block) <= 200
 
 
 # --- odd tables -----------------------------------------------------------------------------
