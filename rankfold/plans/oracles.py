@@ -143,6 +143,7 @@ ORACLES = {
                {_label('o_orderpriority')} AS prio_idx
         FROM orders""",
     "reload_ranked_model": _ORDER_LABELS,
+    "reload_versioned_chain": _ORDER_LABELS,
     "stream_shuffled": f"SELECT event_id, user_id, {_category('user_id')} AS idx FROM events",
     "reload_dealt_model": f"""
         WITH learned AS (

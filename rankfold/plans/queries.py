@@ -20,6 +20,7 @@ from rankfold import (
 )
 from rankfold.sources.store import new_folder
 from rankfold.sources.tables import read_table, read_table_stream
+from rankfold.sources.versions import STORE_SETTING
 from rankfold.streaming import write_transformed
 
 
@@ -396,6 +397,21 @@ def reload_ranked_model(spark: SparkSession, folder: str) -> DataFrame:
     return DropColumn(column="order_label").transform(indexed)
 
 
+def reload_versioned_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """A chain with a large mapping in a store of versions, read after it was overwritten."""
+    lines = _order_labels(spark, folder)
+    saved, before = new_folder(spark, "saved"), spark.conf.get(STORE_SETTING, None)
+    indexer = LabelIndexer(inputCol="order_label", outputCol="idx").setPlanLimits(**_SHUFFLED)
+    spark.conf.set(STORE_SETTING, new_folder(spark, "versions"))
+    try:
+        Pipeline(stages=[indexer, DropColumn(column="order_label")]).fit(lines).save(saved)
+        loaded = PipelineModel.load(saved)
+        PipelineModel.load(saved).write().overwrite().save(saved)
+    finally:
+        spark.conf.unset(STORE_SETTING) if before is None else spark.conf.set(STORE_SETTING, before)
+    return loaded.transform(lines)
+
+
 def stream_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """A mapping dealt into buckets once, which no micro-batch shuffles."""
     events = read_table(spark, folder, "events")
@@ -514,6 +530,7 @@ ALL = (
     label_index_between,
     two_shuffled_indexers,
     reload_ranked_model,
+    reload_versioned_chain,
     stream_shuffled,
     reload_dealt_model,
     label_index_collated,

@@ -1,8 +1,9 @@
 """Saved models: ``metadata/`` by Spark's own writer, the mapping as Parquet.
 
 ``data/`` holds ``category, idx``; ``hot/`` the hashes of the most frequent values, if any.
-A large mapping is read where it was saved; one inside a saved chain is copied, since a
-chain that is overwritten removes its stages' files before they are written.
+A large mapping is read where it was saved; one inside another saved model is copied, since a
+chain that is overwritten removes its stages' files before they are written. With a mapping
+store there is no ``data/`` for large ones: the metadata name a version, which is never copied.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 from rankfold.operators.limits import Limits
 from rankfold.operators.mapping import Mapping, may_hold
 from rankfold.sources.bucketed import read_buckets, write_buckets
-from rankfold.sources.store import new_folder, qualified
+from rankfold.sources.store import inside_saved, new_folder, qualified
+from rankfold.sources.versions import is_version, new_version, store_of
 
 
 class MappingModelWriter(MLWriter):
@@ -36,6 +38,7 @@ class MappingModelWriter(MLWriter):
     def saveImpl(self, path: str) -> None:
         spark = self.sparkSession
         mapping = self.instance._frozen()
+        version = self._version(mapping)
         DefaultParamsWriter.saveMetadata(
             self.instance,
             path,
@@ -47,18 +50,37 @@ class MappingModelWriter(MLWriter):
                     "keyBytes": mapping.key_bytes,
                     "hot": len(mapping.hot),
                     "buckets": mapping.buckets.count if mapping.buckets else 0,
+                    "version": version,
                 }
             },
         )
-        frame = mapping.frame(spark)
+        if version is None:
+            self._write(mapping, f"{path}/data")
+        if mapping.hot:
+            mapping.hot_frame(spark).coalesce(1).write.parquet(f"{path}/hot")
+
+    def _version(self, mapping: Mapping) -> str | None:
+        """The mapping's version in the session's store, written if it is not there yet."""
+        spark = self.sparkSession
+        store = store_of(spark)
+        if store is None or mapping.held is not None:
+            return None
+        # A version that has been dealt into buckets since is another one.
+        dealt = mapping.buckets is not None and mapping.buckets.folder != mapping.folder
+        if is_version(spark, mapping.folder, store) and not dealt:
+            return mapping.folder
+        version = new_version(store)
+        self._write(mapping, version)
+        return version
+
+    def _write(self, mapping: Mapping, folder: str) -> None:
+        frame = mapping.frame(self.sparkSession)
         if mapping.held is not None:
             frame = frame.coalesce(1)
         if mapping.buckets is not None:
-            write_buckets(frame, f"{path}/data", mapping.buckets.count).forget(spark)
+            write_buckets(frame, folder, mapping.buckets.count).forget(self.sparkSession)
         else:
-            frame.write.parquet(f"{path}/data")
-        if mapping.hot:
-            mapping.hot_frame(spark).coalesce(1).write.parquet(f"{path}/hot")
+            frame.write.parquet(folder)
 
 
 class MappingModelReader(MLReader):
@@ -81,17 +103,18 @@ class MappingModelReader(MLReader):
         schema = T.StructType.fromJson(saved["schema"])
         key_type, index_type = schema["category"].dataType, schema["idx"].dataType
         labels, key_bytes = saved["labels"], saved["keyBytes"]
+        folder = saved.get("version") or qualified(spark, f"{path}/data")
         mapping = Mapping(
-            key_type, index_type, labels, key_bytes, folder=f"{path}/data", own_folder=False
+            key_type, index_type, labels, key_bytes, folder=folder, own_folder=False
         )
         if may_hold(key_type, labels, key_bytes, limits):
             frame = mapping.frame(spark).coalesce(1).sortWithinPartitions("idx")
             mapping = replace(mapping, folder=None, own_folder=True, held=frame.toArrow())
         else:
             if saved.get("buckets"):
-                dealt = read_buckets(spark, qualified(spark, f"{path}/data"), schema, saved["buckets"])
+                dealt = read_buckets(spark, folder, schema, saved["buckets"])
                 mapping = replace(mapping, buckets=dealt)
-            if "/stages/" in path:
+            if not saved.get("version") and inside_saved(spark, path):
                 mapping = copied(spark, mapping)
         if saved.get("hot"):
             hot = spark.read.schema("hash bigint").parquet(f"{path}/hot").toArrow()

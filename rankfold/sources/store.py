@@ -37,6 +37,30 @@ def qualified(spark: SparkSession, path: str) -> str:
     return system.makeQualified(place).toString()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The folders in a folder, as whole addresses; none where it is not there."""
+    place, system = _place(spark, path)
+    if not system.exists(place):
+        return []
+    return [str(e.getPath().toString()) for e in system.listStatus(place) if e.isDirectory()]
+
+
+def inside_saved(spark: SparkSession, path: str) -> bool:
+    """Whether a folder above this one was saved by an ML writer, as a chain's is above its stages."""
+    place, system = _place(spark, path)
+    above = system.makeQualified(place).getParent()
+    while above is not None:
+        if system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(above, "metadata")):
+            return True
+        above = above.getParent()
+    return False
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a working folder; one that is gone already is no error."""
     place, system = _place(spark, path)

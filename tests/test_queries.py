@@ -85,6 +85,7 @@ def test_every_query_has_sql():
         ("label_index_hot_text", 1, 1, 0),
         ("two_shuffled_indexers", 2, 2, 0),
         ("reload_ranked_model", 1, 1, 0),
+        ("reload_versioned_chain", 1, 1, 0),
         ("stream_shuffled", 1, 0, 1),
         ("reload_dealt_model", 1, 0, 1),
         ("mixed_indexers", 1, 1, 0),

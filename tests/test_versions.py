@@ -1,0 +1,129 @@
+"""Large mappings as versions in a store, named by saved models."""
+
+import os
+import shutil
+
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+
+from rankfold import CategoryMapper, DropColumn, LabelIndexer, LabelIndexerModel
+from rankfold.sources import model_files
+from rankfold.sources.store import inside_saved
+from rankfold.sources.versions import remove_unused_versions
+
+LARGE = {"heldLabels": -1, "oneTaskBytes": -1, "broadcastBytes": -1}
+
+
+@pytest.fixture
+def store(settings, tmp_path):
+    settings(spark__rankfold__mappingStore=tmp_path / "store")
+    return tmp_path / "store"
+
+
+@pytest.fixture
+def no_copies(monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a mapping was copied")
+
+    monkeypatch.setattr(model_files, "copied", refuse)
+
+
+def rows(frame):
+    return sorted(map(str, frame.collect()))
+
+
+def chain(**more):
+    indexer = LabelIndexer(inputCol="CATEGORY", outputCol="idx").setPlanLimits(**LARGE, **more)
+    return Pipeline(stages=[Pipeline(stages=[indexer]), DropColumn(column="CATEGORY")])
+
+
+def test_a_chain_loads_without_copies_and_survives_overwriting(categories, tmp_path, store, no_copies):
+    path = str(tmp_path / "chain")
+    model = chain().fit(categories)
+    expected = rows(model.transform(categories))
+    model.save(path)
+    loaded = PipelineModel.load(path)
+    versions = os.listdir(store)
+    assert len(versions) == 1 and rows(loaded.transform(categories)) == expected
+    # Saved again under its own path and another: the same version, written once.
+    loaded.write().overwrite().save(path)
+    loaded.save(str(tmp_path / "other"))
+    assert os.listdir(store) == versions
+    # The files of another mapping take the chain's place; what was loaded stays as it was.
+    chain().fit(categories.where("ID > 0 and ID < 3")).write().overwrite().save(path)
+    assert rows(loaded.transform(categories)) == expected
+    shutil.rmtree(path)
+    assert rows(PipelineModel.load(str(tmp_path / "other")).transform(categories)) == expected
+    loaded.stages[0].stages[0].release()
+    assert rows(PipelineModel.load(str(tmp_path / "other")).transform(categories)) == expected
+
+
+def test_unused_versions_are_removed(spark, categories, tmp_path, store):
+    kept, gone = str(tmp_path / "kept"), str(tmp_path / "gone")
+    model = chain().fit(categories)
+    expected = rows(model.transform(categories))
+    model.save(kept)
+    chain().fit(categories).save(gone)
+    single = LabelIndexer(inputCol="CATEGORY", outputCol="idx").setPlanLimits(**LARGE).fit(categories)
+    single.save(str(tmp_path / "single"))
+    small = LabelIndexer(inputCol="CATEGORY", outputCol="idx").fit(categories)
+    small.save(str(tmp_path / "small"))
+    assert len(os.listdir(store)) == 3
+    with pytest.raises(ValueError, match="no saved model"):
+        remove_unused_versions(spark, [kept, str(tmp_path / "absent")])
+    saved = [kept, str(tmp_path / "single"), str(tmp_path / "small")]
+    assert len(remove_unused_versions(spark, saved)) == 1
+    assert len(os.listdir(store)) == 2 and remove_unused_versions(spark, saved) == []
+    assert rows(PipelineModel.load(kept).transform(categories)) == expected
+
+
+def test_without_a_store_a_version_is_saved_whole(spark, categories, tmp_path, store):
+    path, whole = str(tmp_path / "named"), str(tmp_path / "whole")
+    model = chain().fit(categories)
+    expected = rows(model.transform(categories))
+    model.save(path)
+    loaded = PipelineModel.load(path)
+    spark.conf.unset("spark.rankfold.mappingStore")
+    with pytest.raises(ValueError, match="not set"):
+        remove_unused_versions(spark, [path])
+    loaded.save(whole)
+    shutil.rmtree(store)
+    assert rows(PipelineModel.load(whole).transform(categories)) == expected
+
+
+def test_dealt_versions(categories, tmp_path, store, no_copies):
+    path, again = str(tmp_path / "model"), str(tmp_path / "again")
+    plain = LabelIndexer(inputCol="CATEGORY", outputCol="idx").setPlanLimits(**LARGE).fit(categories)
+    expected = rows(plain.transform(categories))
+    plain.save(path)
+    dealt = LabelIndexerModel.load(path)
+    dealt.co_partition()
+    dealt.save(again)
+    assert len(os.listdir(store)) == 2
+    loaded = LabelIndexerModel.load(again)
+    assert loaded._mapping.buckets is not None
+    loaded.write().overwrite().save(again)
+    assert len(os.listdir(store)) == 2
+    assert rows(loaded.transform(categories)) == expected
+    loaded.release()
+    assert rows(LabelIndexerModel.load(again).transform(categories)) == expected
+
+
+def test_released_models_leave_saved_buckets(categories, tmp_path):
+    path = str(tmp_path / "model")
+    model = LabelIndexer(inputCol="CATEGORY", outputCol="idx").setPlanLimits(**LARGE).fit(categories)
+    expected = rows(model.transform(categories))
+    model.co_partition()
+    model.save(path)
+    LabelIndexerModel.load(path).release()
+    assert rows(LabelIndexerModel.load(path).transform(categories)) == expected
+
+
+def test_whatever_saved_a_model_around_another_is_seen(spark, categories, tmp_path):
+    path = str(tmp_path / "stages" / "model")
+    mapper = CategoryMapper(inputCol="CATEGORY", outputCol="idx").setPlanLimits(**LARGE).fit(categories)
+    mapper.save(path)
+    # A folder that is only named like a chain's is none.
+    assert not inside_saved(spark, path)
+    chain().fit(categories).save(str(tmp_path / "chain"))
+    assert inside_saved(spark, str(tmp_path / "chain" / "bestModel"))
