@@ -26,7 +26,7 @@ from rankfold.operators.lookup import add_index, note_source
 from rankfold.operators.mapping import Mapping, freeze_given
 from rankfold.sources.model_files import MappingModelReader, MappingModelWriter
 from rankfold.sources.bucketed import write_buckets
-from rankfold.sources.store import new_folder, remove_folder
+from rankfold.sources.store import new_folder, qualified, remove_folder
 
 
 # Types whose values a literal gives back exactly.
@@ -193,7 +193,8 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
         spark = SparkSession.active()
         if frozen.buckets is not None:
             frozen.buckets.forget(spark)
-            if frozen.buckets.folder != frozen.folder:
+            # A saved mapping's buckets are its own files, by their whole address.
+            if qualified(spark, frozen.buckets.folder) != qualified(spark, frozen.folder):
                 remove_folder(spark, frozen.buckets.folder)
         if frozen.folder is not None and frozen.own_folder:
             remove_folder(spark, frozen.folder)

@@ -103,7 +103,7 @@ class MappingModelReader(MLReader):
         schema = T.StructType.fromJson(saved["schema"])
         key_type, index_type = schema["category"].dataType, schema["idx"].dataType
         labels, key_bytes = saved["labels"], saved["keyBytes"]
-        folder = saved.get("version") or qualified(spark, f"{path}/data")
+        folder = saved.get("version") or f"{path}/data"
         mapping = Mapping(
             key_type, index_type, labels, key_bytes, folder=folder, own_folder=False
         )
@@ -112,7 +112,7 @@ class MappingModelReader(MLReader):
             mapping = replace(mapping, folder=None, own_folder=True, held=frame.toArrow())
         else:
             if saved.get("buckets"):
-                dealt = read_buckets(spark, folder, schema, saved["buckets"])
+                dealt = read_buckets(spark, qualified(spark, folder), schema, saved["buckets"])
                 mapping = replace(mapping, buckets=dealt)
             if not saved.get("version") and inside_saved(spark, path):
                 mapping = copied(spark, mapping)
