@@ -25,7 +25,7 @@ from rankfold.operators.limits import Limits
 from rankfold.operators.lookup import add_index, note_source
 from rankfold.operators.mapping import Mapping, freeze_given
 from rankfold.sources.model_files import MappingModelReader, MappingModelWriter
-from rankfold.sources.bucketed import write_buckets
+from rankfold.sources.bucketed import MOST_BUCKETS, write_buckets
 from rankfold.sources.store import new_folder, qualified, remove_folder
 
 
@@ -171,14 +171,17 @@ class IndexModel(IndexParams, Model, MLReadable, MLWritable):
         """Deal a mapping too large to broadcast into buckets by key, once.
 
         Lookups, each micro-batch of a stream among them, then shuffle their rows alone; so do
-        those of the model as it is saved and loaded. ``buckets`` is the number of tasks a
-        lookup has, by default that of shuffle partitions. Smaller mappings stay as they are, and
+        those of the model as it is saved and loaded. ``buckets`` is the least number of tasks a
+        lookup has, by default that of shuffle partitions; a mapping whose buckets would go beyond
+        ``bucketBytes`` gets a multiple of it. Smaller mappings stay as they are, and
         so do those with frequent values, whose rows are spread in another way.
         """
         frozen = self._frozen()
         spark = SparkSession.active()
-        if frozen.buckets is None and not frozen.broadcastable(self._limits(spark)):
-            count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        limits = self._limits(spark)
+        if frozen.buckets is None and not frozen.broadcastable(limits):
+            least = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            count = frozen.bucket_count(least, int(spark.conf.get(MOST_BUCKETS)), limits)
             dealt = write_buckets(frozen.frame(spark), new_folder(spark, "mapping"), count)
             self._mapping = replace(frozen, buckets=dealt)
         return self

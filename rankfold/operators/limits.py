@@ -41,6 +41,9 @@ class Limits:
     # label: rows of other values then skip the shuffle. The rows are scanned twice for it, so
     # it is for tables that give the same rows each time; zero does without.
     known_bytes: int = 0
+    # Counted size up to which a bucket of a dealt mapping is one task's hash table; a larger
+    # mapping is dealt into more buckets. Zero keeps the number asked for, and sorts.
+    bucket_bytes: int = 16 * 1024 * 1024
 
     @staticmethod
     def of(spark: SparkSession, own: Options[str, object] | None = None) -> "Limits":

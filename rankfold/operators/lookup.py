@@ -63,7 +63,7 @@ def add_index(
     if mapping.broadcastable(limits):
         return _broadcast_lookup(dataset, key, key_type, output_col, mapping, missing)
     if mapping.buckets is not None and key_type == mapping.key_type and not mapping.hot:
-        return _dealt_lookup(dataset, key, key_type, output_col, mapping, missing, limits.hot_spread)
+        return _dealt_lookup(dataset, key, key_type, output_col, mapping, missing, limits)
     if bitmap_bits(mapping.labels) // 8 <= limits.known_bytes and not (
         dataset.isStreaming or is_collated(key_type)
     ):
@@ -186,30 +186,38 @@ def _dealt_lookup(
     output_col: str,
     mapping: Mapping,
     missing: float | None,
-    places: int,
+    limits: Limits,
 ) -> DataFrame:
     """Join with a mapping that lies in buckets by key: only the rows are shuffled.
 
-    Rows without a key are spread by the partition they come from: they get one of a few
-    keys, and what they meet does not count.
+    A task holds its bucket, whose size is bounded, and lets the rows pass unsorted, so its memory does
+    not grow with them. Buckets too large for that, of models dealt under other limits, are joined
+    by sorting. Rows without a key are spread by the partition they come from: they get one of
+    some keys, several for each bucket, and what they meet does not count.
     """
     label, index = fresh("label"), fresh("index")
     entries = _entries(mapping.buckets.frame(dataset.sparkSession), key_type, label, index)
+    entries = _each_once(entries, [label], index)
+    if mapping.buckets_fit(limits):
+        entries = entries.hint("shuffle_hash")
     met, found = key, F.col(index)
     if isinstance(key_type, (T.StringType, *_INTEGERS)):
-        origin = F.pmod(F.spark_partition_id(), F.lit(min(places, 100)))
+        places = min(max(limits.hot_spread, 4 * mapping.buckets.count), _PLACES.get(type(key_type), 1 << 20))
+        origin = F.pmod(F.spark_partition_id(), F.lit(places))
         met = F.coalesce(key, origin.cast(key_type))
         found = F.when(key.isNotNull(), found)
     own = fresh("key")
     return (
         dataset.withColumn(own, met)
-        .join(_each_once(entries, [label], index), F.col(own) == F.col(label), "left")
+        .join(entries, F.col(own) == F.col(label), "left")
         .withColumn(output_col, _or_missing([found], missing))
         .drop(label, index, own)
     )
 
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# As many places as short types have numbers for.
+_PLACES = {T.ByteType: 100, T.ShortType: 30_000}
 
 
 def _each_once(entries: DataFrame, keys: list[str], index: str) -> DataFrame:

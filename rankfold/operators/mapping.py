@@ -100,6 +100,17 @@ class Mapping:
         size = memory_bytes(self.labels, self.key_bytes)
         return self.held is not None or size <= limits.broadcast_bytes
 
+    def bucket_count(self, least: int, most: int, limits: Limits) -> int:
+        """The first multiple of ``least`` that keeps buckets within their size, or the last up to ``most``."""
+        if limits.bucket_bytes < 1:
+            return least
+        times = -(-memory_bytes(self.labels, self.key_bytes) // (least * limits.bucket_bytes))
+        return least * max(1, min(times, most // least))
+
+    def buckets_fit(self, limits: Limits) -> bool:
+        """Whether one task may hold a bucket."""
+        return memory_bytes(self.labels, self.key_bytes) <= self.buckets.count * limits.bucket_bytes
+
 
 def read_positions(spark: SparkSession, folder: str, key_type: T.DataType) -> DataFrame:
     schema = T.StructType(

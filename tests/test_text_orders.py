@@ -136,6 +136,38 @@ def test_buckets_of_other_types_and_small_mappings(spark, settings, no_broadcast
     assert sorted(r.i for r in numbers.transform(spark.range(50).select(F.col("id").alias("k"))).collect()) == list(range(50))
 
 
+def test_larger_mappings_get_more_buckets_and_rows_are_not_sorted(spark, settings, keyed, no_broadcast, tmp_path):
+    wanted = {(None, -1.0), *expected(keyed).items()}
+    found = {}
+    for size in ("16m", "4k", "0"):
+        indexer = LabelIndexer(inputCol="c", outputCol="i").setPlanLimits(**LARGE, bucketBytes=size)
+        indexer.fit(keyed).co_partition(4).save(str(tmp_path / size))
+        model = LabelIndexerModel.load(str(tmp_path / size))
+        result = model.transform(keyed)
+        assert {(r.c, r.i) for r in result.collect()} == wanted and result.count() == 3000
+        assert result.rdd.getNumPartitions() == model._mapping.buckets.count
+        found[size] = (model._mapping.buckets.count, "SortMergeJoin" in plan(result), exchanges(result))
+    # 500 labels, counted as 64 bytes and their text each, are over two times four buckets of 4 KiB.
+    assert found == {"16m": (4, False, 1), "4k": (12, False, 1), "0": (4, True, 1)}
+    settings(spark__sql__sources__bucketing__maxBuckets=10)
+    few = LabelIndexer(inputCol="c", outputCol="i").setPlanLimits(**LARGE, bucketBytes="4k").fit(keyed).co_partition(4)
+    # More than Spark allows: the buckets are larger than one task is to hold.
+    assert few._mapping.buckets.count == 8 and "SortMergeJoin" in plan(few.transform(keyed))
+    assert {(r.c, r.i) for r in few.transform(keyed).collect()} == wanted
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint", "smallint", "tinyint"])
+def test_rows_without_a_key_reach_most_buckets(spark, keyed, no_broadcast, kind):
+    known = spark.range(100).select(F.col("id").cast(kind).alias("c"))
+    model = CategoryMapper(inputCol="c", outputCol="i").setPlanLimits(**LARGE).fit(known).co_partition(150)
+    blank = spark.range(0, 900, 1, 300).select("id", F.when(F.col("id") < 0, F.col("id").cast(kind)).alias("c"))
+    result = model.transform(blank)
+    places = {r.place for r in result.select(F.spark_partition_id().alias("place"), "i").collect()}
+    # 300 partitions with such rows; a tinyint has no names for that many.
+    assert len(places) > (40 if kind == "tinyint" else 100)
+    assert result.where("i IS NULL").count() == 900
+
+
 def test_micro_batches_do_not_shuffle_the_mapping(spark, keyed, no_broadcast, tmp_path):
     keyed.write.parquet(str(tmp_path / "rows"))
     model = LabelIndexer(inputCol="c", outputCol="i").setPlanLimits(**LARGE).fit(keyed).co_partition(4)
