@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from rankfold import CategoryMapper, LabelIndexer, LabelIndexerModel
+from rankfold import CategoryMapper, IndexPipeline, LabelIndexer, LabelIndexerModel
 from rankfold.functions.labels import stored_bytes
 from rankfold.functions.names import quoted
 from rankfold.operators.domain import hot_values
@@ -362,3 +362,29 @@ def test_keys_arrow_cannot_take_stay_on_the_executors(spark, way):
     assert model._mapping.held is None and model._mapping.hot == ()
     rows = model.transform(frame).select("id", "i").collect()
     assert {row["id"]: row["i"] for row in rows} == {n: n % 5 for n in range(20)}
+
+
+@pytest.mark.parametrize("kept", ["held", "written"])
+def test_a_small_column_is_not_picked_out_of_a_large_one_by_one_task(spark, monkeypatch, kept):
+    """Each kind counts 16 + 64 bytes for its 5 values, each id for its 20,000."""
+    frame = spark.range(0, 20_000, 1, 6).select("id", (F.col("id") % 5).alias("kind"))
+    seen = []
+    sort = type(frame).sortWithinPartitions
+
+    def noted(self, *columns):
+        seen.append((plan(self), self.rdd.getNumPartitions(), self.count()))
+        return sort(self, *columns)
+
+    monkeypatch.setattr(type(frame), "sortWithinPartitions", noted)
+    held = {} if kept == "held" else {"heldLabels": -1}
+    for size, sent in (("1m", True), ("8m", False)):
+        small = CategoryMapper(inputCol="kind", outputCol="i").setPlanLimits(**held, oneTaskBytes=size)
+        large = CategoryMapper(inputCol="id", outputCol="j").setPlanLimits(heldLabels=-1, oneTaskBytes=-1)
+        result = IndexPipeline(stages=[small, large]).fit(frame).transform(frame)
+        (text, partitions, values), = seen
+        assert (partitions, values) == (1, 5)
+        # What is sent has been picked out where it was cached.
+        assert ("Exchange SinglePartition" in text.split("InMemoryTableScan")[0]) is sent
+        assert ("Coalesce 1" in text.split("InMemoryTableScan")[0]) is not sent
+        assert all((r.i, r.j) == (r.id % 5, r.id) for r in result.collect())
+        seen.clear()
